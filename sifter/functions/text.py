@@ -109,29 +109,40 @@ def tokenize_query(c, normalize: bool = False) -> Column:
     return F.filter(F.split(col(c), WHITESPACE_PATTERN), lambda w: w != "")
 
 
-def term_counts(tokens) -> Column:
-    """Distinct terms of one token array with their counts, in term order.
-
-    Sort once, mark where a new term starts, and take the distance to the
-    next start: O(n log n) per document inside one projection, so the
-    per-document count needs no shuffle.  ``tokens`` must be a column that is
-    already materialised by an earlier projection (it is referenced several
-    times).
+def let(value: Column, body) -> Column:
+    """Bind ``value`` once and use it several times inside ``body``.
+
+    ``transform(array(value), v -> body(v))[0]``: the optimizer may inline
+    projections into their consumers, but a lambda variable is evaluated
+    once, so an expensive value (the sorted token array of a 20,000-word
+    page) is never recomputed per reference.
     """
-    return F.transform(
-        F.col("__starts"),
-        lambda st, k: F.struct(
-            F.get(F.col("__sorted"), st).alias("term"),
-            (F.coalesce(F.get(F.col("__starts"), k + 1), F.size(F.col("__sorted"))) - st)
-            .cast("long").alias("frequency"),
-        ),
-    )
+    return F.get(F.transform(F.array(value), body), 0)
 
 
-def run_starts(sorted_tokens) -> Column:
+def run_starts(sorted_tokens: Column) -> Column:
     """0-based positions where a sorted array starts a new value."""
-    s = col(sorted_tokens)
+    s = sorted_tokens
     return F.filter(
         F.sequence(F.lit(0), F.greatest(F.size(s) - 1, F.lit(0))),
         lambda i: (i < F.size(s)) & ((i == 0) | (F.get(s, i) != F.get(s, i - 1))),
     )
+
+
+def document_terms(text) -> Column:
+    """Struct(term_count, total_terms, terms ARRAY<STRUCT<term, frequency>>) of one text.
+
+    Sort the tokens once, mark where a new term starts and take the distance
+    to the next start: O(n log n) per document inside one projection, so the
+    per-document counts need no shuffle.  ``terms`` is sorted by term.
+    """
+    def counts(s: Column) -> Column:
+        return let(run_starts(s), lambda st: F.struct(
+            F.size(st).cast("long").alias("term_count"),
+            F.size(s).cast("long").alias("total_terms"),
+            F.transform(st, lambda i, k: F.struct(
+                F.get(s, i).alias("term"),
+                (F.coalesce(F.get(st, k + 1), F.size(s)) - i).cast("long").alias("frequency"),
+            )).alias("terms"),
+        ))
+    return let(F.array_sort(tokenize(text)), counts)

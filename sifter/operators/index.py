@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sifter.functions.text import html_to_text, run_starts, term_counts, tokenize
+from sifter.functions.text import document_terms, html_to_text, let
 
 IDF_MODES = ("smoothed", "constant")
 
@@ -47,30 +47,41 @@ def spread(df: DataFrame) -> DataFrame:
     return df
 
 
+def keep_where(row: Column, predicate) -> Column:
+    """Generator over a 0-or-1 element array: ``inline`` keeps the row when ``predicate`` holds.
+
+    Used instead of ``filter`` on a computed column: Catalyst pushes a filter
+    below the projection by copying the expression, which would run the whole
+    regex chain twice per page; a generator argument is evaluated once.
+    """
+    return F.inline(F.filter(F.array(row), predicate))
+
+
 def indexable_documents(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """R12 + R18: (url, text) of pages whose text is not '' (a lone space counts)."""
-    return (pages.select(F.col(url).alias("url"), html_to_text(html).alias("text"))
-            .filter(F.col("text") != ""))
+    row = F.struct(F.col(url).alias("url"), html_to_text(html).alias("text"))
+    return pages.select(keep_where(row, lambda r: r["text"] != ""))
 
 
 def forward_index(docs: DataFrame, text: str = "text", key: str = "url") -> DataFrame:
-    """R25 + R27 + R28 in one map-only pass.
+    """R25 + R27 + R28 in one map-only pass over documents that have a text.
 
     Returns (url, term_count, total_terms, terms ARRAY<STRUCT<term, frequency>>)
     with ``terms`` sorted by term.  Zero-term documents keep their row.
     """
-    d = docs.select(F.col(key).alias("url"), F.array_sort(tokenize(text)).alias("__sorted"))
-    d = d.select("url", "__sorted", run_starts("__sorted").alias("__starts"))
-    return d.select(
-        "url",
-        F.size("__starts").cast("long").alias("term_count"),
-        F.size("__sorted").cast("long").alias("total_terms"),
-        term_counts("__sorted").alias("terms"),
-    )
+    return _forward(docs, F.col(key), F.col(text))
+
+
+def _forward(df: DataFrame, key: Column, text: Column) -> DataFrame:
+    row = let(text, lambda t: F.struct(
+        key.alias("url"), (t != "").alias("is_doc"), document_terms(t).alias("d")))
+    return (df.select(keep_where(row, lambda r: r["is_doc"]))
+            .select("url", "d.term_count", "d.total_terms", "d.terms"))
 
 
 def forward_from_pages(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    return forward_index(indexable_documents(spread(pages), url, html))
+    """Pages → forward index: html_to_text, the indexable test and the counts in one pass."""
+    return _forward(spread(pages), F.col(url), html_to_text(html))
 
 
 def term_frequency(forward: DataFrame) -> DataFrame:
