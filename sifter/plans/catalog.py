@@ -248,6 +248,109 @@ def q_search_topk(spark, sf):
     return res.select("qid", "url", r6("score").alias("score"), "rank")
 
 
+# --------------------------------------------------------------------------- R17, R20, R21, R24, R46–R50
+
+from sifter.operators import links as lx  # noqa: E402
+
+
+def _href_variants(spark, sf) -> DataFrame:
+    """Every anchor of every page in five reference forms derived from its href."""
+    p = pages(spark, sf).select(F.col("url").alias("src"), F.explode(lx.anchor_hrefs("html")).alias("h"))
+    rel = F.substring(F.col("h"), 2, 2**31 - 1)
+    forms = F.array(F.col("h"), rel, F.concat(F.lit("../"), rel),
+                    F.concat(F.lit("//"), ux.url_host(F.col("src")), F.col("h")), F.concat(F.lit("?"), rel))
+    return p.select("src", F.explode(forms).alias("href"))
+
+
+ORACLE_HREFS = f"""(SELECT src, unnest([h, substr(h, 2), '../' || substr(h, 2), '//' || {o.host('src')} || h, '?' || substr(h, 2)]) AS href
+   FROM (SELECT src, href AS h FROM {o.links_sql()}))"""
+
+
+@register("resolve_url", f"""
+SELECT DISTINCT src, href, dst FROM (SELECT src, href, {o.resolve_items('src', 'href', 'dst')} FROM {ORACLE_HREFS})""")
+def q_resolve_url(spark, sf):
+    v = _href_variants(spark, sf)
+    return v.select("src", "href", ux.resolve_url(F.col("src"), F.col("href")).alias("dst")).distinct()
+
+
+@register("extract_links", f"SELECT DISTINCT src, dst FROM {o.links_sql()}")
+def q_extract_links(spark, sf):
+    return lx.extract_links(pages(spark, sf))
+
+
+@register("distinct_links", f"SELECT DISTINCT src, dst FROM {o.links_sql()}")
+def q_distinct_links(spark, sf):
+    raw = pages(spark, sf).select(F.col("url").alias("src"), F.explode(lx.anchor_hrefs("html")).alias("href"))
+    return lx.distinct_links(raw.select("src", ux.resolve_url(F.col("src"), F.col("href")).alias("dst")))
+
+
+@register("host_filter", f"""
+SELECT DISTINCT src, dst FROM {o.links_sql()}
+WHERE {o.host('dst')} IN (SELECT {o.host('url')} FROM pages WHERE page_id % 2 = 0)""")
+def q_host_filter(spark, sf):
+    hosts = pages(spark, sf).filter("page_id % 2 = 0").select(ux.url_host(F.col("url")).alias("host"))
+    return lx.extract_links(pages(spark, sf), hosts=hosts)
+
+
+ROBOT_URLS = f"(SELECT url FROM pages UNION SELECT dst FROM {o.links_sql()})"
+
+
+@register("robots_filter", with_fixtures(
+    f"SELECT url, CAST(allowed AS INTEGER) AS allowed FROM {o.robots_allowed_sql(ROBOT_URLS)}", "robots_rules"))
+def q_robots_filter(spark, sf):
+    urls = pages(spark, sf).select("url").unionByName(
+        lx.extract_links(pages(spark, sf)).select(F.col("dst").alias("url")))
+    res = lx.robots_filter(urls, fixture(spark, sf, "robots_rules"))
+    return res.select("url", F.col("allowed").cast("int").alias("allowed"))
+
+
+@register("usable_pages", with_fixtures(
+    "SELECT page_id, url FROM fetch_log WHERE status = 200 AND html <> ''", "fetch_log"))
+def q_usable_pages(spark, sf):
+    return lx.usable_pages(fixture(spark, sf, "fetch_log")).select("page_id", "url")
+
+
+VISITED_SQL = "SELECT url FROM pages WHERE page_id % 2 = 0"
+
+
+@register("frontier_difference", with_fixtures(
+    f"SELECT DISTINCT dst AS url FROM link_graph WHERE dst NOT IN ({VISITED_SQL})", "link_graph"))
+def q_frontier_difference(spark, sf):
+    visited = pages(spark, sf).filter("page_id % 2 = 0").select("url")
+    return lx.frontier_difference(fixture(spark, sf, "link_graph"), visited)
+
+
+FRONTIER_SQL = "SELECT url FROM pages WHERE page_id % 5 = 0"
+
+
+@register("frontier_step", with_fixtures(f"""
+SELECT n.url FROM (SELECT DISTINCT dst AS url FROM link_graph
+                   WHERE src IN ({FRONTIER_SQL}) AND dst NOT IN ({FRONTIER_SQL})) n
+JOIN {o.robots_allowed_sql('link_graph_dsts')} a USING (url) WHERE a.allowed""".replace(
+    "link_graph_dsts", "(SELECT dst AS url FROM link_graph)"), "link_graph", "robots_rules"))
+def q_frontier_step(spark, sf):
+    frontier = pages(spark, sf).filter("page_id % 5 = 0").select("url")
+    return lx.frontier_step(frontier, frontier, fixture(spark, sf, "link_graph"),
+                            fixture(spark, sf, "robots_rules"))
+
+
+CRAWL_MAX_PAGES = 100
+
+
+@register("crawl_order", f"""
+WITH RECURSIVE link_graph AS ({__import__('sifter.plans.fixtures', fromlist=['x']).FIXTURE_SQL['link_graph']}),
+bfs(url, level) AS (
+  SELECT url, 0 FROM pages WHERE page_id = 0
+  UNION
+  SELECT g.dst, b.level + 1 FROM bfs b JOIN link_graph g ON g.src = b.url
+  WHERE b.level < (SELECT count(*) FROM pages))
+SELECT url, level FROM (SELECT url, min(level) AS level FROM bfs GROUP BY url)
+QUALIFY row_number() OVER (ORDER BY level, url) <= {CRAWL_MAX_PAGES}""")
+def q_crawl_order(spark, sf):
+    seeds = pages(spark, sf).filter("page_id = 0").select("url")
+    return lx.crawl_order(seeds, fixture(spark, sf, "link_graph"), max_pages=CRAWL_MAX_PAGES)
+
+
 def queries() -> dict[str, QueryFn]:
     return dict(QUERIES)
 

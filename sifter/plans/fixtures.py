@@ -40,11 +40,11 @@ FIXTURE_SQL: dict[str, str] = {
                                UNION ALL SELECT 2, false, '/the') r
         WHERE page_id % 2 = 0""",
     "link_graph": """
-        SELECT a.url AS src, b.url AS dst FROM pages a
-        JOIN pages b ON b.page_id = (a.page_id * 7 + 3) % (SELECT count(*) FROM pages)
+        SELECT a.url AS src, b.url AS dst FROM pages a CROSS JOIN (SELECT count(*) AS n FROM pages) c
+        JOIN pages b ON b.page_id = (a.page_id * 7 + 3) % c.n
         UNION
-        SELECT a.url, b.url FROM pages a
-        JOIN pages b ON b.page_id = (a.page_id * 5 + 1) % (SELECT count(*) FROM pages)""",
+        SELECT a.url, b.url FROM pages a CROSS JOIN (SELECT count(*) AS n FROM pages) c
+        JOIN pages b ON b.page_id = (a.page_id * 5 + 1) % c.n""",
     # queries: the benchmark items and the user turns of the conversations
     "bench_queries": "SELECT item_id AS qid, text AS query FROM benchmark",
     "chat_queries": "SELECT conv_id * 1000 + turn AS qid, text AS query FROM conversations WHERE role = 'user'",

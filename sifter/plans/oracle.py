@@ -97,3 +97,100 @@ def query_param(x: str, name: str = "query") -> str:
     pre = f"{name}="
     return (f"substr(list_filter(string_split(substr({x}, instr({x}, '?') + 1), '&'), "
             f"lambda p: starts_with(p, '{pre}'))[-1], {len(pre) + 1})")
+
+
+# --------------------------------------------------------------------------- URLs and links
+
+SCHEME_RE = r"^([A-Za-z][A-Za-z0-9+.\-]*):"
+HOST_RE = r"^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)"
+RELATIVE = ("", "ftp", "http", "gopher", "nntp", "imap", "wais", "file", "https", "shttp", "mms",
+            "prospero", "rtsp", "rtsps", "rtspu", "sftp", "svn", "svn+ssh", "ws", "wss")
+SKIP_RE = r"(?i)<script[^>]*>[\s\S]*?</script>|<style[^>]*>[\s\S]*?</style>|<!--[\s\S]*?-->"
+ANCHOR_RE = (r"(?i)<a[\t\n\x0B\f\r ](?:[^>]*?[\t\n\x0B\f\r ])?href[\t\n\x0B\f\r ]*=[\t\n\x0B\f\r ]*"
+             r"(\"[^\"]*\"|''[^'']*''|[^\t\n\x0B\f\r \"''>]+)")
+
+
+def host(x: str) -> str:
+    return f"regexp_extract({x}, '{HOST_RE}', 1)"
+
+
+def _unsplit(scheme: str, netloc: str, path: str, query: str, frag: str) -> str:
+    pth = f"(CASE WHEN {path} <> '' AND NOT starts_with({path}, '/') THEN '/' || {path} ELSE {path} END)"
+    out = f"(CASE WHEN {netloc} <> '' OR {scheme} <> '' THEN '//' || {netloc} || {pth} ELSE {path} END)"
+    out = f"(CASE WHEN {scheme} <> '' THEN {scheme} || ':' || {out} ELSE {out} END)"
+    out = f"(CASE WHEN {query} <> '' THEN {out} || '?' || {query} ELSE {out} END)"
+    return f"(CASE WHEN {frag} <> '' THEN {out} || '#' || {frag} ELSE {out} END)"
+
+
+def resolve_items(base: str, href: str, out: str, p: str = "rz_") -> str:
+    """SELECT items (DuckDB lateral aliases) ending in ``<out>`` = urljoin(base, href)."""
+    items = []
+    for side, x in (("b", base), ("h", href)):
+        s = f"{p}{side}_"
+        items += [
+            f"lower(regexp_extract({x}, '{SCHEME_RE}', 1)) AS {s}scheme",
+            f"CASE WHEN {s}scheme = '' THEN {x} ELSE substr({x}, length({s}scheme) + 2) END AS {s}rest",
+            f"starts_with({s}rest, '//') AS {s}hasnet",
+            f"CASE WHEN {s}hasnet THEN regexp_extract({s}rest, '^//([^/?#]*)', 1) ELSE '' END AS {s}netloc",
+            rf"CASE WHEN {s}hasnet THEN regexp_extract({s}rest, '^//[^/?#]*([\s\S]*)$', 1) ELSE {s}rest END AS {s}after",
+            rf"regexp_extract({s}after, '#([\s\S]*)$', 1) AS {s}fragment",
+            f"regexp_extract({s}after, '^([^#]*)', 1) AS {s}nofrag",
+            rf"regexp_extract({s}nofrag, '\?([\s\S]*)$', 1) AS {s}query",
+            f"regexp_extract({s}nofrag, '^([^?]*)', 1) AS {s}path",
+        ]
+    b, h = f"{p}b_", f"{p}h_"
+    rel = ", ".join(f"'{r}'" for r in RELATIVE)
+    items += [
+        f"CASE WHEN {h}scheme = '' THEN {b}scheme ELSE {h}scheme END AS {p}scheme",
+        f"({p}scheme <> {b}scheme OR {p}scheme NOT IN ({rel})) AS {p}other",
+        rf"regexp_extract({b}path, '^([\s\S]*/)', 1) AS {p}bdir",
+        f"string_split({p}bdir || {h}path, '/') AS {p}rs0",
+        f"CASE WHEN len({p}rs0) > 2 THEN list_slice({p}rs0, 1, 1) || "
+        f"list_filter(list_slice({p}rs0, 2, len({p}rs0) - 1), lambda q: q <> '') || "
+        f"list_slice({p}rs0, len({p}rs0), len({p}rs0)) ELSE {p}rs0 END AS {p}rs",
+        f"CASE WHEN starts_with({h}path, '/') THEN string_split({h}path, '/') ELSE {p}rs END AS {p}segs",
+        f"list_reduce({p}segs, lambda acc, sg: CASE WHEN sg = '..' THEN list_slice(acc, 1, greatest(len(acc) - 1, 0)) "
+        f"WHEN sg = '.' THEN acc ELSE list_append(acc, sg) END, []::VARCHAR[]) AS {p}kept0",
+        f"CASE WHEN {p}segs[-1] IN ('.', '..') THEN list_append({p}kept0, '') ELSE {p}kept0 END AS {p}kept",
+        f"CASE WHEN array_to_string({p}kept, '/') = '' THEN '/' ELSE array_to_string({p}kept, '/') END AS {p}joined",
+    ]
+    final = (f"CASE WHEN {base} IS NULL OR {href} IS NULL THEN NULL "
+             f"WHEN {base} = '' THEN {href} WHEN {href} = '' THEN {base} "
+             f"WHEN {p}other THEN {href} "
+             f"WHEN {h}netloc <> '' THEN {_unsplit(p + 'scheme', h + 'netloc', h + 'path', h + 'query', h + 'fragment')} "
+             f"WHEN {h}path = '' THEN {_unsplit(p + 'scheme', b + 'netloc', b + 'path', f'(CASE WHEN {h}query = {chr(39)}{chr(39)} THEN {b}query ELSE {h}query END)', h + 'fragment')} "
+             f"ELSE {_unsplit(p + 'scheme', b + 'netloc', p + 'joined', h + 'query', h + 'fragment')} END AS {out}")
+    return ",\n  ".join(items + [final])
+
+
+def unquote(x: str) -> str:
+    return (f"CASE WHEN starts_with({x}, '\"') OR starts_with({x}, '''') "
+            f"THEN substr({x}, 2, length({x}) - 2) ELSE {x} END")
+
+
+def links_sql(src_table: str = "pages") -> str:
+    """Subquery text of all (src, href, dst) anchors of ``src_table`` (not de-duplicated)."""
+    return f"""(
+  SELECT src, href, {resolve_items('src', 'href', 'dst')}
+  FROM (SELECT src, {decode_entities(unquote('raw'))} AS href FROM (
+        SELECT url AS src, unnest(regexp_extract_all(regexp_replace(html, '{SKIP_RE}', '', 'g'), '{ANCHOR_RE}', 1)) AS raw
+        FROM {src_table})))"""
+
+
+def robots_allowed_sql(urls: str, rules: str = "robots_rules", agent: str = "MyCrawler") -> str:
+    """(url, allowed) by brute force over every rule of the URL's host."""
+    token = agent.split("/")[0].lower()
+    return f"""(
+  WITH r AS (SELECT host, agent, rule_order, allow,
+                    CASE WHEN path_prefix = '*' THEN '' ELSE path_prefix END AS path_prefix,
+                    agent = '*' AS is_default
+             FROM {rules} WHERE agent = '*' OR contains('{token}', lower(agent))),
+       chosen AS (SELECT host, arg_min(agent, (CASE WHEN is_default THEN 1 ELSE 0 END) * 1000000000 + rule_order) AS agent
+                  FROM r GROUP BY host),
+       app AS (SELECT r.* FROM r JOIN chosen USING (host, agent)),
+       u AS (SELECT DISTINCT url, {host('url')} AS h,
+                    CASE WHEN regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\\-]*://[^/?#]*([\\s\\S]*)$', 1) = '' THEN '/'
+                         ELSE regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\\-]*://[^/?#]*([\\s\\S]*)$', 1) END AS p
+             FROM {urls})
+  SELECT u.url, coalesce(arg_min(app.allow, app.rule_order) FILTER (WHERE starts_with(u.p, app.path_prefix)), true) AS allowed
+  FROM u LEFT JOIN app ON app.host = u.h GROUP BY u.url)"""
