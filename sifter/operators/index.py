@@ -73,10 +73,16 @@ def forward_index(docs: DataFrame, text: str = "text", key: str = "url") -> Data
 
 
 def _forward(df: DataFrame, key: Column, text: Column) -> DataFrame:
+    return forward_with(df, key, text, {})
+
+
+def forward_with(df: DataFrame, key: Column, text: Column, extra: dict[str, Column]) -> DataFrame:
+    """Forward rows of documents with a non-empty text, carrying ``extra`` columns."""
     row = let(text, lambda t: F.struct(
-        key.alias("url"), (t != "").alias("is_doc"), document_terms(t).alias("d")))
+        key.alias("url"), *[c.alias(n) for n, c in extra.items()],
+        (t != "").alias("is_doc"), document_terms(t).alias("d")))
     return (df.select(keep_where(row, lambda r: r["is_doc"]))
-            .select("url", "d.term_count", "d.total_terms", "d.terms"))
+            .select("url", *extra, "d.term_count", "d.total_terms", "d.terms"))
 
 
 def forward_from_pages(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
@@ -105,19 +111,27 @@ def document_frequency(postings: DataFrame) -> DataFrame:
     return postings.groupBy("term").agg(F.count(F.lit(1)).cast("long").alias("document_count"))
 
 
-def inverted_index(postings: DataFrame, max_postings: int | None = None) -> DataFrame:
-    """Term → sorted list of (url, frequency).
+def url_block(url, n_blocks) -> Column:
+    """Block of a posting inside its term's list: a uniform hash of the url (first 32 bits of md5)."""
+    u = F.col(url) if isinstance(url, str) else url
+    return F.pmod(F.conv(F.substring(F.md5(u), 1, 8), 16, 10).cast("long"), n_blocks)
+
+
+def inverted_index(postings: DataFrame, block_size: int = 1024, terms: DataFrame | None = None,
+                   n_terms: int | None = None) -> DataFrame:
+    """Term → (url, frequency) lists, sorted by url, in blocks of about ``block_size``.
 
-    A view, not a hot-path structure: a common term holds N entries.  With
-    ``max_postings`` the list keeps the first entries by (frequency desc, url),
-    chosen with a window limit before grouping, so no group is collected whole.
+    A common term has N postings, so one list per term would put an unbounded
+    group into one task.  Each term is split into ceil(df / block_size) blocks
+    by a hash of the url: every group stays near ``block_size`` and the union
+    of a term's blocks is its complete posting list.
     """
     p = postings.select("term", "url", "frequency")
-    if max_postings is not None:
-        from pyspark.sql import Window
-        w = Window.partitionBy("term").orderBy(F.desc("frequency"), "url")
-        p = p.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= max_postings).drop("__rn")
-    return p.groupBy("term").agg(
+    df = terms if terms is not None else document_frequency(p)
+    nb = df.select("term", F.greatest(F.lit(1), F.ceil(F.col("document_count") / F.lit(block_size)))
+                   .cast("long").alias("__nb"))
+    blocked = p.join(broadcast_if_small(nb, n_terms), "term").withColumn("block", url_block("url", F.col("__nb")))
+    return blocked.groupBy("term", "block").agg(
         F.sort_array(F.collect_list(F.struct("url", "frequency"))).alias("postings"))
 
 
@@ -185,22 +199,28 @@ def assign_ids(keys: DataFrame, key: str, existing: DataFrame | None = None,
                id_col: str = "id") -> DataFrame:
     """Dense ids in sorted-key order; existing ids stay, new keys follow the maximum.
 
-    Range-partition and sort the new keys, then number them with
-    ``zipWithIndex`` (per-partition counts + offsets), so no single-partition
-    window is needed.
+    The new keys are range-partitioned, sorted and checkpointed (so both passes
+    below see identical partitions); per-partition counts (one row per
+    partition) give each partition its offset, and a row's id is its offset
+    plus its position in the partition.  No single-partition window.
     """
-    spark = keys.sparkSession
     fresh = keys.select(key).distinct()
     offset = 0
     if existing is not None:
         fresh = fresh.join(existing.select(key), key, "left_anti")
         mx = existing.agg(F.max(id_col)).collect()[0][0]
         offset = 0 if mx is None else int(mx)
-    ordered = fresh.repartitionByRange(key).sortWithinPartitions(key)
-    from pyspark.sql.types import LongType, StructField, StructType
-    schema = StructType([*ordered.schema.fields, StructField(id_col, LongType(), False)])
-    rdd = ordered.rdd.zipWithIndex().map(lambda r: (*r[0], r[1] + 1 + offset))
-    numbered = spark.createDataFrame(rdd, schema)
+    ordered = fresh.repartitionByRange(key).sortWithinPartitions(key).checkpoint()
+    pos = ordered.select(key, F.spark_partition_id().alias("__p"),
+                         F.monotonically_increasing_id().alias("__m"))
+    counts = sorted(tuple(r) for r in pos.groupBy("__p").count().collect())  # ≤ #partitions rows
+    starts, acc = [], offset
+    for part, n in counts:
+        starts += [F.lit(part), F.lit(acc)]
+        acc += n
+    start_of = F.create_map(*starts) if starts else F.create_map().cast("map<int,bigint>")
+    local = F.col("__m") - F.shiftleft(F.col("__p").cast("long"), 33)
+    numbered = pos.select(key, (F.element_at(start_of, F.col("__p")) + local + 1).cast("long").alias(id_col))
     if existing is not None:
-        numbered = existing.select(key, id_col).unionByName(numbered)
+        numbered = existing.select(key, F.col(id_col).cast("long")).unionByName(numbered)
     return numbered

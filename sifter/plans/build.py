@@ -8,7 +8,7 @@ sorted (term, frequency) array), ``terms`` (document frequency), ``stats``
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -140,15 +140,6 @@ def open_index(spark: SparkSession, root: str) -> Index | None:
     return None if v is None else read_index_tables(spark, version_path(root, v))
 
 
-def with_idf(index: Index, idf: str) -> Index:
-    """The same index scored with another IDF (postings rescored lazily)."""
-    if idf == index.idf:
-        return index
-    tf_rows = index.postings.select("url", "term", "frequency", "total_terms")
-    return replace(index, postings=ix.score_postings(tf_rows, index.terms, index.stats, idf, index.n_terms),
-                   idf=idf, buckets=None)
-
-
 def scan_postings(index: Index) -> DataFrame:
     """Full scan of (term, url, frequency); Parquet reads only these columns."""
     return index.postings.select("term", "url", "frequency")
@@ -162,5 +153,7 @@ def bulk_build(pages: DataFrame, root: str, idf: str = "smoothed", buckets: int
     return publish(ix.forward_from_pages(pages, url, html), root, 0 if v is None else v + 1, idf, buckets)
 
 
-def lit_terms(terms: list[str]):
-    return [F.lit(t) for t in terms]
+def score_matrix(index: Index, idf: str | None = None) -> DataFrame:
+    """Rescore every stored posting (set-based, one join with the vocabulary)."""
+    tf_rows = index.postings.select("url", "term", "frequency", "total_terms")
+    return ix.score_postings(tf_rows, index.terms, index.stats, idf or index.idf, index.n_terms)

@@ -351,6 +351,241 @@ def q_crawl_order(spark, sf):
     return lx.crawl_order(seeds, fixture(spark, sf, "link_graph"), max_pages=CRAWL_MAX_PAGES)
 
 
+# --------------------------------------------------------------------------- R31, R35–R37, R41, R45
+
+from sifter.plans import refresh as rx  # noqa: E402
+from sifter.operators import merge as mx  # noqa: E402
+from sifter.plans.fixtures import FIXTURE_SQL  # noqa: E402
+from sifter.session import scratch_path  # noqa: E402
+from sifter.sources import dump as dx  # noqa: E402
+from sifter.streaming import ingest as sx_stream  # noqa: E402
+
+BLOCK_SIZE = 64
+
+
+@register("inverted_index", o.with_index(f"""
+SELECT term, CAST(block AS INTEGER) AS block, string_agg(url || ':' || frequency, ' ' ORDER BY url, frequency) AS postings
+FROM (SELECT f.term, f.url, f.frequency,
+             ('0x' || substr(md5(f.url), 1, 8))::BIGINT % CAST(greatest(1, ceil(t.document_count / {BLOCK_SIZE})) AS BIGINT) AS block
+      FROM tf f JOIN terms t USING (term))
+GROUP BY term, block"""))
+def q_inverted_index(spark, sf):
+    inv = ix.inverted_index(ix.term_frequency(ix.forward_from_pages(pages(spark, sf))), block_size=BLOCK_SIZE)
+    flat = F.array_join(F.transform("postings", lambda x: F.concat(x["url"], F.lit(":"), x["frequency"].cast("string"))), " ")
+    return inv.select("term", F.col("block").cast("int").alias("block"), flat.alias("postings"))
+
+
+def _oracle_query_terms(queries: str) -> str:
+    return (f"(SELECT qid, term, count(*) AS mult FROM (SELECT qid, unnest({o.query_tokens('query')}) AS term "
+            f"FROM {queries}) GROUP BY qid, term)")
+
+
+@register("search_join", o.with_index(f"""
+SELECT q.qid, p.term, p.url, CAST(q.mult AS BIGINT) AS mult, round(p.tf_idf, 6) AS tf_idf
+FROM postings p JOIN {_oracle_query_terms('chat_queries')} q USING (term)""", "chat_queries"))
+def q_search_join(spark, sf):
+    qt = sx.query_terms(fixture(spark, sf, "chat_queries"))
+    hits = sx.search_join(lazy_index(spark, sf).postings, qt)
+    return hits.select("qid", "term", "url", F.col("mult").cast("long").alias("mult"), r6("tf_idf").alias("tf_idf"))
+
+
+def stored_index(spark, sf, name: str, idf: str = "smoothed") -> bx.Index:
+    """Build and persist the index of the pages into a fresh folder below the shared root."""
+    return bx.write_index_tables(ix.forward_from_pages(pages(spark, sf)), scratch_path(spark, name), idf, buckets=8)
+
+
+LOOKUP_TERM = "the"
+
+
+@register("term_lookup", o.with_index(
+    f"SELECT term, url, frequency, round(tf_idf, 6) AS tf_idf FROM postings WHERE term = '{LOOKUP_TERM}'"))
+def q_term_lookup(spark, sf):
+    res = sx.term_lookup(stored_index(spark, sf, "lookup"), LOOKUP_TERM)
+    return res.select("term", "url", "frequency", r6("tf_idf").alias("tf_idf"))
+
+
+def _recrawl_index_sql(sql: str, *, merged: bool = True, idf: str = "smoothed", extra: tuple = ()) -> str:
+    """Oracle over the recrawl fixture: latest indexable version per url ('merged')."""
+    parts = [f"recrawl AS ({FIXTURE_SQL['recrawl']})"]
+    parts.append(f"""merged AS (SELECT url, html FROM (SELECT seq, url, html, {o.html_to_text('html')} AS txt FROM recrawl)
+        WHERE txt <> '' QUALIFY row_number() OVER (PARTITION BY url ORDER BY seq DESC) = 1)""")
+    parts.append(o.index_ctes(src="merged", idf=idf).strip())
+    parts.extend(extra)
+    return "WITH " + ",\n".join(parts) + "\n" + sql.strip()
+
+
+def _recrawl_versions_sql() -> str:
+    return f"""rv AS (SELECT seq, url, {o.tokens('txt')} AS tokens FROM (
+                SELECT seq, url, {o.html_to_text('html')} AS txt FROM recrawl) WHERE txt <> ''),
+    rtf AS (SELECT seq, url, term, CAST(count(*) AS BIGINT) AS frequency
+            FROM (SELECT seq, url, unnest(tokens) AS term FROM rv) GROUP BY seq, url, term)"""
+
+
+def _corpus_terms_sql() -> str:
+    """Oracle CTEs: the pages vocabulary (terms) and the documents-table vocabulary (dterms)."""
+    return f"""dtoks AS (SELECT {o.tokens(o.ascii_lower('text'))} AS tokens FROM documents),
+    dterms AS (SELECT DISTINCT unnest(tokens) AS term FROM dtoks)"""
+
+
+def _documents_terms(spark, sf) -> DataFrame:
+    d = table(spark, sf, "documents")
+    fwd = ix.forward_index(ix.spread(d).select(F.col("doc_id").cast("string").alias("url"),
+                                               tx.ascii_lower("text").alias("text")))
+    return ix.term_frequency(fwd)
+
+
+def _corpus_sql(sql: str) -> str:
+    return "WITH " + o.index_ctes(prefix="p_").strip() + ",\n" + _corpus_terms_sql() + "\n" + sql.strip()
+
+
+@register("new_keys", _corpus_sql("SELECT term FROM dterms WHERE term NOT IN (SELECT term FROM p_terms)"))
+def q_new_keys(spark, sf):
+    return ix.new_keys(_documents_terms(spark, sf), ix.term_frequency(ix.forward_from_pages(pages(spark, sf))), "term")
+
+
+@register("assign_ids", _corpus_sql("""
+SELECT term, CAST(id AS BIGINT) AS id FROM (
+  SELECT term, row_number() OVER (ORDER BY term) AS id FROM p_terms
+  UNION ALL
+  SELECT term, (SELECT count(*) FROM p_terms) + row_number() OVER (ORDER BY term) AS id
+  FROM (SELECT term FROM dterms WHERE term NOT IN (SELECT term FROM p_terms)))"""))
+def q_assign_ids(spark, sf):
+    first = ix.assign_ids(ix.term_frequency(ix.forward_from_pages(pages(spark, sf))), "term")
+    return ix.assign_ids(_documents_terms(spark, sf), "term", existing=first)
+
+
+def _recrawl_forward(spark, sf) -> DataFrame:
+    rc = fixture(spark, sf, "recrawl")
+    return ix.forward_with(ix.spread(rc), F.col("url"), tx.html_to_text("html"), {"seq": F.col("seq")})
+
+
+@register("upsert_documents", _recrawl_index_sql("SELECT url, term_count, total_terms FROM documents"))
+def q_upsert_documents(spark, sf):
+    return mx.upsert_documents(_recrawl_forward(spark, sf))
+
+
+@register("merge_postings_keep_first", _recrawl_index_sql(
+    "SELECT url, term, CAST(arg_min(frequency, seq) AS BIGINT) AS frequency FROM rtf GROUP BY url, term",
+    extra=(_recrawl_versions_sql(),)))
+def q_merge_keep_first(spark, sf):
+    tf_rows = _recrawl_forward(spark, sf).select("url", "seq", F.inline("terms"))
+    return mx.merge_postings_keep_first(tf_rows)
+
+
+@register("merge_postings_replace", _recrawl_index_sql("SELECT url, term, frequency FROM tf"))
+def q_merge_replace(spark, sf):
+    fwd = _recrawl_forward(spark, sf)
+    old = ix.term_frequency(fwd.filter("seq = 0")).select("url", "term", "frequency")
+    new = ix.term_frequency(fwd.filter("seq = 1")).select("url", "term", "frequency")
+    return mx.merge_postings_replace(old, new)
+
+
+def _two_refreshes(spark, sf, name: str) -> bx.Index:
+    rc = fixture(spark, sf, "recrawl")
+    root = scratch_path(spark, name)
+    rx.refresh_index(rc.filter("seq = 0").select("url", "html"), root, buckets=8)
+    return rx.refresh_index(rc.filter("seq = 1").select("url", "html"), root, buckets=8)
+
+
+@register("refresh_index", _recrawl_index_sql(
+    "SELECT term, url, frequency, round(tf_idf, 6) AS tf_idf FROM postings"))
+def q_refresh_index(spark, sf):
+    idx = _two_refreshes(spark, sf, "refresh")
+    return idx.postings.select("term", "url", "frequency", r6("tf_idf").alias("tf_idf"))
+
+
+@register("score_matrix", _recrawl_index_sql(
+    "SELECT term, url, frequency, round(tf_idf, 6) AS tf_idf FROM postings", idf="constant"))
+def q_score_matrix(spark, sf):
+    idx = _two_refreshes(spark, sf, "rescore")
+    return bx.score_matrix(idx, "constant").select("term", "url", "frequency", r6("tf_idf").alias("tf_idf"))
+
+
+@register("search_request_log", o.with_index(f"""
+WITH_REQS
+SELECT r.req_id, x.url, round(x.score, 6) AS score, CAST(x.rank AS INTEGER) AS rank
+FROM reqs r LEFT JOIN (
+  SELECT * FROM (
+    SELECT qid, url, score, row_number() OVER (PARTITION BY qid ORDER BY round(score, 9) DESC, url) AS rank
+    FROM (SELECT q.qid, p.url, sum(p.tf_idf * q.mult) AS score
+          FROM postings p JOIN {_oracle_query_terms('(SELECT req_id AS qid, query FROM reqs)')} q USING (term)
+          GROUP BY q.qid, p.url))
+  WHERE rank <= 10) x ON x.qid = r.req_id""", "query_log").replace("WITH_REQS\n", "").replace(
+    "\nSELECT r.req_id", f""",
+reqs AS (SELECT req_id, coalesce({o.url_decode_lenient(o.query_param('uri'))}, '') AS query
+         FROM query_log WHERE method = 'GET' AND contains(uri, '/search'))
+SELECT r.req_id""", 1))
+def q_search_request_log(spark, sf):
+    res = sx.answer_requests(fixture(spark, sf, "query_log"), lazy_index(spark, sf), k=10)
+    return res.select("req_id", "url", r6("score").alias("score"), "rank")
+
+
+# --------------------------------------------------------------------------- R01–R04, R23, R56, R57
+
+@register("read_raw_dump", "SELECT url, html FROM pages")
+def q_read_raw_dump(spark, sf):
+    path = scratch_path(spark, "dump")
+    dx.write_raw_dump(pages(spark, sf), path)
+    return dx.read_raw_dump(spark, path).select("url", "html")
+
+
+@register("page_store", f"""
+WITH recrawl AS ({FIXTURE_SQL['recrawl']})
+SELECT dump_key, url, html FROM (
+  SELECT replace(replace(replace(url, 'http://', ''), 'https://', ''), '/', '_') || '.html' AS dump_key, seq, url, html
+  FROM recrawl)
+QUALIFY row_number() OVER (PARTITION BY dump_key ORDER BY seq DESC) = 1""")
+def q_page_store(spark, sf):
+    path = scratch_path(spark, "pagestore")
+    dx.write_pages(fixture(spark, sf, "recrawl"), path)
+    return dx.read_pages(spark, path).select("dump_key", "url", "html")
+
+
+@register("index_store", o.with_index("SELECT url, term_count, total_terms FROM documents"))
+def q_index_store(spark, sf):
+    return stored_index(spark, sf, "store").documents
+
+
+@register("scan_postings", o.with_index("SELECT term, url, frequency FROM tf"))
+def q_scan_postings(spark, sf):
+    return bx.scan_postings(stored_index(spark, sf, "scan"))
+
+
+@register("unprocessed_files", "SELECT url FROM pages WHERE page_id % 2 = 1")
+def q_unprocessed_files(spark, sf):
+    path = scratch_path(spark, "dump")
+    dx.write_raw_dump(pages(spark, sf), path)
+    files = dx.read_raw_dump(spark, path).select("path", "url")
+    seen = files.join(pages(spark, sf).filter("page_id % 2 = 0").select("url"), "url", "left_semi")
+    return dx.unprocessed(files, seen).select("url")
+
+
+@register("stream_ingest", _recrawl_index_sql(
+    "SELECT term, url, frequency, round(tf_idf, 6) AS tf_idf FROM postings"))
+def q_stream_ingest(spark, sf):
+    rc = fixture(spark, sf, "recrawl")
+    raw, root, ckpt = (scratch_path(spark, n) for n in ("raw", "stream-index", "stream-ckpt"))
+    dx.write_raw_dump(rc.filter("seq = 0"), raw)
+    sx_stream.stream_ingest(spark, raw, root, ckpt, buckets=8)
+    dx.write_raw_dump(rc.filter("seq = 1"), raw)
+    sx_stream.stream_ingest(spark, raw, root, ckpt, buckets=8)
+    idx = bx.open_index(spark, root)
+    return idx.postings.select("term", "url", "frequency", r6("tf_idf").alias("tf_idf"))
+
+
+@register("batch_threshold", o.with_index("SELECT url, term_count, total_terms FROM documents"))
+def q_batch_threshold(spark, sf):
+    raw, root, ckpt = (scratch_path(spark, n) for n in ("raw", "sched-index", "sched-ckpt"))
+    p = pages(spark, sf)
+    dx.write_raw_dump(p.filter("page_id = 0"), raw)
+    if sx_stream.run_scheduled(spark, raw, root, ckpt, min_files=sx_stream.MIN_FILES, buckets=8):
+        raise AssertionError("a single waiting file must not trigger a refresh")
+    dx.write_raw_dump(p, raw)
+    if not sx_stream.run_scheduled(spark, raw, root, ckpt, min_files=sx_stream.MIN_FILES, buckets=8):
+        raise AssertionError("waiting files were not indexed")
+    return bx.open_index(spark, root).documents
+
+
 def queries() -> dict[str, QueryFn]:
     return dict(QUERIES)
 
