@@ -8,6 +8,8 @@ of a crawl over a stored link table.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -149,13 +151,13 @@ def crawl_order(seeds: DataFrame, links: DataFrame, max_pages: int = 100,
     except Exception:  # noqa: BLE001
         pass
     graph = links.select("src", "dst").distinct().repartition(parts, "src").checkpoint()
-    frontier = seeds.select(F.col(seeds.columns[0]).alias("url")).distinct()
-    visited = frontier.withColumn("level", F.lit(0)).checkpoint()
-    n_visited = visited.count()
+    frontier = seeds.select(F.col(seeds.columns[0]).alias("url")).distinct().withColumn("level", F.lit(0)).checkpoint()
+    levels = [frontier]          # each level is checkpointed once; visited is their union
+    n_visited = frontier.count()
     level = 0
-    frontier = visited.select("url")
     while n_visited < max_pages and (max_depth is None or level < max_depth):
-        nxt = frontier_step(frontier, visited, graph, rules, agent)
+        visited = reduce(DataFrame.unionByName, levels)
+        nxt = frontier_step(frontier.select("url"), visited, graph, rules, agent)
         nxt = nxt.withColumn("level", F.lit(level + 1)).checkpoint()
         n_new = nxt.count()
         if n_new == 0:
@@ -163,9 +165,9 @@ def crawl_order(seeds: DataFrame, links: DataFrame, max_pages: int = 100,
         level += 1
         if n_visited + n_new > max_pages:
             # cut the last level by url: a top-k bounded by max_pages
-            nxt = nxt.orderBy("url").limit(max_pages - n_visited)
+            nxt = nxt.orderBy("url").limit(max_pages - n_visited).checkpoint()
             n_new = max_pages - n_visited
-        visited = visited.unionByName(nxt).checkpoint()
+        levels.append(nxt)
         n_visited += n_new
-        frontier = nxt.select("url")
-    return visited
+        frontier = nxt
+    return reduce(DataFrame.unionByName, levels)
