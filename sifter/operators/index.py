@@ -90,10 +90,20 @@ def forward_from_pages(pages: DataFrame, url: str = "url", html: str = "html") -
     return _forward(spread(pages), F.col(url), html_to_text(html))
 
 
-def term_frequency(forward: DataFrame) -> DataFrame:
-    """(url, term, frequency, total_terms); total_terms rides along so tf needs no join."""
-    return forward.select("url", "total_terms", F.inline("terms")).select(
-        "url", "term", "frequency", "total_terms")
+def doc_keys(df: DataFrame) -> list[str]:
+    """Document key columns present: ``doc_id`` in a stored index, ``url`` otherwise."""
+    return [c for c in ("doc_id", "url") if c in df.columns]
+
+
+def term_frequency(forward: DataFrame, with_url: bool = True) -> DataFrame:
+    """(url, term, frequency, total_terms); total_terms rides along so tf needs no join.
+
+    A stored forward index also carries ``doc_id``; ``with_url=False`` keeps
+    only the id (what stored postings hold).
+    """
+    keys = [k for k in doc_keys(forward) if with_url or k != "url"]
+    return forward.select(*keys, "total_terms", F.inline("terms")).select(
+        *keys, "term", "frequency", "total_terms")
 
 
 def document_stats(forward: DataFrame) -> DataFrame:
@@ -180,7 +190,7 @@ def score_postings(tf_rows: DataFrame, terms: DataFrame, stats: DataFrame,
         scored = join_term_idf(with_n, terms, n_terms).withColumn(
             "__idf", idf(F.col("total_documents"), F.col("document_count"), "smoothed"))
     return scored.select(
-        "term", "url", "frequency", "total_terms",
+        "term", *doc_keys(tf_rows), "frequency", "total_terms",
         (tf("frequency", "total_terms") * F.col("__idf")).alias("tf_idf"))
 
 

@@ -32,6 +32,18 @@ class Index:
     def documents(self) -> DataFrame:
         return ix.document_stats(self.forward)
 
+    @property
+    def doc_urls(self) -> DataFrame:
+        """(doc_id, url) of a stored index."""
+        return self.forward.select("doc_id", "url")
+
+    @property
+    def named_postings(self) -> DataFrame:
+        """Postings with their url (a join with the documents when stored by id)."""
+        if "url" in self.postings.columns:
+            return self.postings
+        return self.postings.join(self.doc_urls, "doc_id")
+
     @property
     def spark(self) -> SparkSession:
         return self.forward.sparkSession
@@ -74,10 +86,12 @@ def write_index_tables(forward: DataFrame, path: str, idf: str = "smoothed",
     large instead of writing it from one task.
     """
     spark = forward.sparkSession
-    forward.write.mode("overwrite").parquet(f"{path}/{FORWARD}")
+    # doc_id: unique per version, fixed once written (postings refer to it, not to the url string)
+    (forward.drop("doc_id").withColumn("doc_id", F.monotonically_increasing_id())
+     .write.mode("overwrite").parquet(f"{path}/{FORWARD}"))
     fwd = spark.read.parquet(f"{path}/{FORWARD}")
 
-    tf_rows = ix.term_frequency(fwd)
+    tf_rows = ix.term_frequency(fwd, with_url=False)
     ix.document_frequency(tf_rows).write.mode("overwrite").parquet(f"{path}/{TERMS}")
     ix.corpus_size(ix.document_stats(fwd)).coalesce(1).write.mode("overwrite").parquet(f"{path}/{STATS}")
     terms = spark.read.parquet(f"{path}/{TERMS}")
@@ -87,7 +101,7 @@ def write_index_tables(forward: DataFrame, path: str, idf: str = "smoothed",
     scored = ix.score_postings(tf_rows, terms, stats, idf, n_terms)
     (scored.withColumn("term_bucket", ix.term_bucket("term", buckets))
      .hint("rebalance", "term_bucket")
-     .sortWithinPartitions("term_bucket", "term", "url")
+     .sortWithinPartitions("term_bucket", "term", "doc_id")
      .write.mode("overwrite").partitionBy("term_bucket").parquet(f"{path}/{POSTINGS}"))
     fs.write_marker(spark, f"{path}/_META", f"idf={idf}\nbuckets={buckets}\nn_terms={n_terms}\n")
     return read_index_tables(spark, path)
@@ -141,8 +155,8 @@ def open_index(spark: SparkSession, root: str) -> Index | None:
 
 
 def scan_postings(index: Index) -> DataFrame:
-    """Full scan of (term, url, frequency); Parquet reads only these columns."""
-    return index.postings.select("term", "url", "frequency")
+    """Full scan of (term, url, frequency); Parquet reads only the needed columns."""
+    return index.named_postings.select("term", "url", "frequency")
 
 
 def bulk_build(pages: DataFrame, root: str, idf: str = "smoothed", buckets: int = 64,
@@ -155,5 +169,5 @@ def bulk_build(pages: DataFrame, root: str, idf: str = "smoothed", buckets: int
 
 def score_matrix(index: Index, idf: str | None = None) -> DataFrame:
     """Rescore every stored posting (set-based, one join with the vocabulary)."""
-    tf_rows = index.postings.select("url", "term", "frequency", "total_terms")
+    tf_rows = index.postings.select(*ix.doc_keys(index.postings), "term", "frequency", "total_terms")
     return ix.score_postings(tf_rows, index.terms, index.stats, idf or index.idf, index.n_terms)

@@ -491,14 +491,15 @@ def _two_refreshes(spark, sf, name: str) -> bx.Index:
     "SELECT term, url, frequency, round(tf_idf, 6) AS tf_idf FROM postings"))
 def q_refresh_index(spark, sf):
     idx = _two_refreshes(spark, sf, "refresh")
-    return idx.postings.select("term", "url", "frequency", r6("tf_idf").alias("tf_idf"))
+    return idx.named_postings.select("term", "url", "frequency", r6("tf_idf").alias("tf_idf"))
 
 
 @register("score_matrix", _recrawl_index_sql(
     "SELECT term, url, frequency, round(tf_idf, 6) AS tf_idf FROM postings", idf="constant"))
 def q_score_matrix(spark, sf):
     idx = _two_refreshes(spark, sf, "rescore")
-    return bx.score_matrix(idx, "constant").select("term", "url", "frequency", r6("tf_idf").alias("tf_idf"))
+    scored = bx.score_matrix(idx, "constant").join(idx.doc_urls, "doc_id")
+    return scored.select("term", "url", "frequency", r6("tf_idf").alias("tf_idf"))
 
 
 @register("search_request_log", o.with_index(f"""
@@ -570,7 +571,7 @@ def q_stream_ingest(spark, sf):
     dx.write_raw_dump(rc.filter("seq = 1"), raw)
     sx_stream.stream_ingest(spark, raw, root, ckpt, buckets=8)
     idx = bx.open_index(spark, root)
-    return idx.postings.select("term", "url", "frequency", r6("tf_idf").alias("tf_idf"))
+    return idx.named_postings.select("term", "url", "frequency", r6("tf_idf").alias("tf_idf"))
 
 
 @register("batch_threshold", o.with_index("SELECT url, term_count, total_terms FROM documents"))
