@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from sifter.functions.text import decode_entities
 from sifter.functions.urls import resolve_url, url_host
-from sifter.operators.index import BROADCAST_MAX_ROWS, broadcast_if_small
+from sifter.operators.index import broadcast_if_small, spread
 from sifter.session import checkpoint_root  # noqa: F401  (sets the shared folder in local runs)
 
 # ---------------------------------------------------------------------------
@@ -45,11 +45,25 @@ def anchor_hrefs(html) -> Column:
 def extract_links(pages: DataFrame, hosts: list[str] | DataFrame | None = None,
                   url: str = "url", html: str = "html") -> DataFrame:
     """R48 (+R46, R20): distinct (src, dst) links of every page; fragments kept."""
-    links = pages.select(F.col(url).alias("src"), F.explode(anchor_hrefs(html)).alias("href"))
-    links = links.select("src", resolve_url(F.col("src"), F.col("href")).alias("dst"))
+    return distinct_links(_filter_hosts(resolved_anchors(pages, url, html), hosts))
+
+
+def resolved_anchors(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
+    """(src, href, dst) for every anchor of every page (not de-duplicated).
+
+    The url is resolved inside the generator: predicates that later joins
+    infer on ``dst`` (``isnotnull``) cannot be pushed below a generator's
+    output, so the resolution is never copied into a filter and run twice.
+    """
+    src = F.col(url)
+    anchors = F.transform(anchor_hrefs(html), lambda h: F.struct(h.alias("href"), resolve_url(src, h).alias("dst")))
+    return spread(pages).select(src.alias("src"), F.inline(anchors))
+
+
+def _filter_hosts(links: DataFrame, hosts) -> DataFrame:
     if hosts is not None:
         links = host_filter(links, hosts)
-    return distinct_links(links)
+    return links
 
 
 def distinct_links(links: DataFrame) -> DataFrame:

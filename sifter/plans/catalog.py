@@ -280,19 +280,22 @@ def q_extract_links(spark, sf):
 
 @register("distinct_links", f"SELECT DISTINCT src, dst FROM {o.links_sql()}")
 def q_distinct_links(spark, sf):
-    raw = pages(spark, sf).select(F.col("url").alias("src"), F.explode(lx.anchor_hrefs("html")).alias("href"))
-    return lx.distinct_links(raw.select("src", ux.resolve_url(F.col("src"), F.col("href")).alias("dst")))
+    return lx.distinct_links(lx.resolved_anchors(pages(spark, sf)))
 
 
-@register("host_filter", f"""
-SELECT DISTINCT src, dst FROM {o.links_sql()}
-WHERE {o.host('dst')} IN (SELECT {o.host('url')} FROM pages WHERE page_id % 2 = 0)""")
-def q_host_filter(spark, sf):
-    hosts = pages(spark, sf).filter("page_id % 2 = 0").select(ux.url_host(F.col("url")).alias("host"))
-    return lx.extract_links(pages(spark, sf), hosts=hosts)
+ROBOT_URLS = f"(SELECT url FROM pages UNION SELECT dst FROM {o.links_sql()})"
 
+# Page sets for the crawl operators, derived from page content: the language
+# the page declares in <html lang="…">.
+LANG_RE = '<html lang="([A-Za-z-]+)"'
+
+
+def lang_pages(spark, sf, lang: str) -> DataFrame:
+    return pages(spark, sf).filter(F.regexp_extract("html", LANG_RE, 1) == lang)
 
-ROBOT_URLS = f"(SELECT url FROM pages UNION SELECT dst FROM {o.links_sql()})"
+
+def lang_sql(lang: str) -> str:
+    return f"SELECT url FROM pages WHERE regexp_extract(html, '{LANG_RE}', 1) = '{lang}'"
 
 
 @register("robots_filter", with_fixtures(
@@ -310,17 +313,25 @@ def q_usable_pages(spark, sf):
     return lx.usable_pages(fixture(spark, sf, "fetch_log")).select("page_id", "url")
 
 
-VISITED_SQL = "SELECT url FROM pages WHERE page_id % 2 = 0"
+@register("host_filter", f"""
+SELECT DISTINCT src, dst FROM {o.links_sql()}
+WHERE {o.host('dst')} IN (SELECT {o.host('url')} FROM ({lang_sql('en')}))""")
+def q_host_filter(spark, sf):
+    hosts = lang_pages(spark, sf, "en").select(ux.url_host(F.col("url")).alias("host"))
+    return lx.extract_links(pages(spark, sf), hosts=hosts)
+
+
+VISITED_SQL = lang_sql("en")
 
 
 @register("frontier_difference", with_fixtures(
     f"SELECT DISTINCT dst AS url FROM link_graph WHERE dst NOT IN ({VISITED_SQL})", "link_graph"))
 def q_frontier_difference(spark, sf):
-    visited = pages(spark, sf).filter("page_id % 2 = 0").select("url")
+    visited = lang_pages(spark, sf, "en").select("url")
     return lx.frontier_difference(fixture(spark, sf, "link_graph"), visited)
 
 
-FRONTIER_SQL = "SELECT url FROM pages WHERE page_id % 5 = 0"
+FRONTIER_SQL = lang_sql("fr")
 
 
 @register("frontier_step", with_fixtures(f"""
@@ -329,7 +340,7 @@ SELECT n.url FROM (SELECT DISTINCT dst AS url FROM link_graph
 JOIN {o.robots_allowed_sql('link_graph_dsts')} a USING (url) WHERE a.allowed""".replace(
     "link_graph_dsts", "(SELECT dst AS url FROM link_graph)"), "link_graph", "robots_rules"))
 def q_frontier_step(spark, sf):
-    frontier = pages(spark, sf).filter("page_id % 5 = 0").select("url")
+    frontier = lang_pages(spark, sf, "fr").select("url")
     return lx.frontier_step(frontier, frontier, fixture(spark, sf, "link_graph"),
                             fixture(spark, sf, "robots_rules"))
 
@@ -552,12 +563,12 @@ def q_scan_postings(spark, sf):
     return bx.scan_postings(stored_index(spark, sf, "scan"))
 
 
-@register("unprocessed_files", "SELECT url FROM pages WHERE page_id % 2 = 1")
+@register("unprocessed_files", f"SELECT url FROM pages EXCEPT {lang_sql('en')}")
 def q_unprocessed_files(spark, sf):
     path = scratch_path(spark, "dump")
     dx.write_raw_dump(pages(spark, sf), path)
     files = dx.read_raw_dump(spark, path).select("path", "url")
-    seen = files.join(pages(spark, sf).filter("page_id % 2 = 0").select("url"), "url", "left_semi")
+    seen = files.join(lang_pages(spark, sf, "en").select("url"), "url", "left_semi")
     return dx.unprocessed(files, seen).select("url")
 
 
