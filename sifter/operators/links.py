@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sifter.functions.text import decode_entities
@@ -91,6 +91,80 @@ def _path_for_robots(u: Column) -> Column:
     return F.when(rest == "", F.lit("/")).otherwise(rest)
 
 
+# ---------------------------------------------------------------------------
+# Robots.txt reading as Python's urllib.robotparser does it.
+#   lines split like str.splitlines; '#' starts a comment; "key: value" with the
+#   key case-insensitive; keys user-agent, allow, disallow; an empty raw line
+#   ends an entry; "Disallow:" with an empty path allows everything; the first
+#   entry naming "*" is the default entry, later ones are ignored.
+#   HTTP status: 401/403 → deny all, other 4xx → allow all, 200 → parse,
+#   anything else → nothing is allowed.
+# ---------------------------------------------------------------------------
+ROBOTS_LINE_BREAK = "\r\n|[\n\r\u000b\u000c\u001c\u001d\u001e\u0085\u2028\u2029]"
+
+
+def _percent_decode(v: Column) -> Column:
+    """urllib's unquote: %XX decoded, '+' kept, a lone '%' kept."""
+    plus_safe = F.replace(v, F.lit("+"), F.lit("%2B"))
+    return F.try_url_decode(F.regexp_replace(plus_safe, r"%(?![0-9A-Fa-f]{2})", "%25"))
+
+
+def robots_rules(robots: DataFrame) -> DataFrame:
+    """R21 input: ``robots(host, status, body)`` → rules(host, entry, agent, rule_order, allow, path_prefix).
+
+    One robots file is one row; its lines are exploded and the parser's state
+    (which entry a line belongs to, whether a rule is accepted) is derived with
+    running window aggregates over the lines of that one file.
+    """
+    parsed = robots.filter(F.col("status") == 200).select(
+        "host", F.posexplode(F.split(F.coalesce("body", F.lit("")), ROBOTS_LINE_BREAK)).alias("pos", "raw"))
+    line = F.trim(F.regexp_replace(F.regexp_extract("raw", r"^([^#]*)", 1), r"^\s+|\s+$", ""))
+    has_colon = F.instr(line, ":") > 0
+    key = F.lower(F.trim(F.substring_index(line, ":", 1)))
+    value = F.trim(F.expr("substring(__line, instr(__line, ':') + 1)"))
+    lines = parsed.withColumn("__line", line).select(
+        "host", "pos",
+        F.when(F.col("raw") == "", F.lit("B"))
+        .when(has_colon & (key == "user-agent"), F.lit("A"))
+        .when(has_colon & key.isin("allow", "disallow"), F.lit("R"))
+        .alias("kind"),
+        (key == "allow").alias("allow"),
+        value.alias("value"))
+    lines = lines.filter(F.col("kind").isNotNull())
+    w = Window.partitionBy("host").orderBy("pos")
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    lines = (lines
+             .withColumn("__blank", F.max(F.when(F.col("kind") == "B", F.col("pos"))).over(before))
+             .withColumn("__agent", F.max(F.when(F.col("kind") == "A", F.col("pos"))).over(before)))
+    accepted = (F.col("kind") == "R") & (F.coalesce("__agent", F.lit(-1)) > F.coalesce("__blank", F.lit(-1)))
+    lines = lines.withColumn("__accepted", accepted).withColumn(
+        "__rule", F.max(F.when(F.col("__accepted"), F.col("pos"))).over(before))
+    last_other = F.greatest(F.coalesce("__blank", F.lit(-1)), F.coalesce("__rule", F.lit(-1)))
+    starts = (F.col("kind") == "A") & (F.coalesce("__agent", F.lit(-1)) < last_other) | \
+        ((F.col("kind") == "A") & F.col("__agent").isNull())
+    lines = lines.withColumn("entry", F.sum(F.when(starts, 1).otherwise(0)).over(
+        w.rowsBetween(Window.unboundedPreceding, 0)))
+    agents = lines.filter(F.col("kind") == "A").select("host", "entry", _percent_decode(F.col("value")).alias("agent"))
+    rules = lines.filter("__accepted").select(
+        "host", "entry", F.col("pos").alias("rule_order"),
+        (F.col("allow") | (F.col("value") == "")).alias("allow"),
+        _percent_decode(F.col("value")).alias("path_prefix"))
+    entries = agents.join(rules.select("host", "entry").distinct(), ["host", "entry"], "left_semi")
+    star = entries.filter(F.col("agent") == "*").groupBy("host").agg(F.min("entry").alias("__default"))
+    tagged = entries.join(star, "host", "left").withColumn(
+        "__has_star", F.max((F.col("agent") == "*").cast("int")).over(Window.partitionBy("host", "entry")))
+    kept = tagged.filter((F.col("__has_star") == 0) |
+                         ((F.col("entry") == F.col("__default")) & (F.col("agent") == "*")))
+    parsed_rules = kept.select("host", "entry", "agent").join(rules, ["host", "entry"])
+    deny_all = robots.filter(~F.col("status").between(200, 200) &
+                             ~(F.col("status").between(400, 499) & ~F.col("status").isin(401, 403))).select(
+        "host", F.lit(0).alias("entry"), F.lit("*").alias("agent"), F.lit(0).alias("rule_order"),
+        F.lit(False).alias("allow"), F.lit("").alias("path_prefix"))
+    return parsed_rules.select("host", "entry", "agent", "rule_order", "allow", "path_prefix").unionByName(
+        deny_all.select("host", F.col("entry").cast("long"), "agent", F.col("rule_order").cast("int"),
+                        "allow", "path_prefix"))
+
+
 def robots_filter(urls: DataFrame, rules: DataFrame, agent: str = DEFAULT_AGENT,
                   url: str = "url") -> DataFrame:
     """(url, allowed) for every URL under a robots rule table.
@@ -106,15 +180,16 @@ def robots_filter(urls: DataFrame, rules: DataFrame, agent: str = DEFAULT_AGENT,
     equi-join on (host, prefix).
     """
     token = agent.split("/")[0].lower()
+    group = "entry" if "entry" in rules.columns else "agent"   # a group of rules shares an entry
     r = rules.select(
-        "host", "agent", "rule_order", "allow",
+        "host", F.col(group).alias("__g"), "agent", "rule_order", "allow",
         F.when(F.col("path_prefix") == "*", F.lit("")).otherwise(F.col("path_prefix")).alias("path_prefix"),
         (F.col("agent") == "*").alias("is_default"))
     r = r.filter(F.col("is_default") | F.lit(token).contains(F.lower(F.col("agent"))))
     chosen = r.groupBy("host").agg(
-        F.min_by("agent", F.struct("is_default", "rule_order")).alias("agent"))
-    applicable = r.join(chosen, ["host", "agent"], "left_semi").select(
-        "host", "path_prefix", "rule_order", "allow")
+        F.min_by("__g", F.struct("is_default", "rule_order")).alias("__g"))
+    applicable = r.join(chosen, ["host", "__g"], "left_semi").select(
+        "host", "path_prefix", "rule_order", "allow").distinct()
 
     lengths = sorted(x[0] for x in applicable.select(F.length("path_prefix")).distinct().collect())
     n_rules = applicable.count()

@@ -307,6 +307,27 @@ def q_robots_filter(spark, sf):
     return res.select("url", F.col("allowed").cast("int").alias("allowed"))
 
 
+@register("robots_rules", with_fixtures(f"""
+SELECT host, agent, CAST(row_number() OVER (PARTITION BY host ORDER BY rule_order) AS INTEGER) AS rule_rank,
+       CAST(allow AS INTEGER) AS allow, path_prefix
+FROM robots_rules""", "robots_rules"))
+def q_robots_rules(spark, sf):
+    """robots.txt bodies rendered from the rules fixture, parsed back into rules."""
+    fx = fixture(spark, sf, "robots_rules")
+    line = F.concat(F.when(F.col("allow"), F.lit("Allow: ")).otherwise(F.lit("Disallow: ")), F.col("path_prefix"))
+    bodies = fx.groupBy("host").agg(   # one robots file per host: its few rule lines
+        F.max("agent").alias("agent"),
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rule_order", line.alias("l")))),
+                                 lambda x: x["l"]), "\n").alias("rules"))
+    bodies = bodies.select("host", F.lit(200).alias("status"),
+                           F.concat(F.lit("User-agent: "), F.col("agent"), F.lit("\n"), F.col("rules")).alias("body"))
+    rules = lx.robots_rules(bodies)
+    from pyspark.sql import Window
+    w = Window.partitionBy("host").orderBy("rule_order")   # one robots file per host
+    return rules.select("host", "agent", F.row_number().over(w).alias("rule_rank"),
+                        F.col("allow").cast("int").alias("allow"), "path_prefix")
+
+
 @register("usable_pages", with_fixtures(
     "SELECT page_id, url FROM fetch_log WHERE status = 200 AND html <> ''", "fetch_log"))
 def q_usable_pages(spark, sf):

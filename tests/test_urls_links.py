@@ -97,3 +97,38 @@ def test_crawl_order_bfs(spark):
     shallow = {r.url for r in lx.crawl_order(seeds, links, max_pages=100, max_depth=1).collect()}
     assert shallow == {"s", "a", "b"}
     assert F is not None
+
+
+ROBOTS_FILES = [
+    "User-agent: *\nDisallow: /private\nAllow: /",
+    "User-agent: MyCrawler\nUser-agent: other\nDisallow: /a\n\nUser-agent: *\nDisallow: /",
+    "# comment\nUser-agent: mycrawler # inline\nAllow: /a/b\nDisallow: /a\nUser-agent: x\nDisallow: /\n",
+    "Disallow: /ignored-before-agent\nUser-agent: *\n\nDisallow: /orphan\nUser-agent: *\nDisallow: /x",
+    "User-agent: *\nDisallow:\n\nUser-agent: *\nDisallow: /second-star-ignored",
+    "User-agent: bot\nUser-agent: *\nDisallow: /b\n\nUser-agent: mycrawler\nDisallow: /m",
+    "  \nUser-agent: MyCrawler\n   \nDisallow: /spaces-do-not-end-entries\r\nAllow: /%7Etilde",
+]
+PATHS = ["/", "/a", "/a/b", "/a/bc", "/private/x", "/x", "/b", "/m", "/orphan", "/second-star-ignored",
+         "/spaces-do-not-end-entries", "/~tilde", "/ignored-before-agent"]
+
+
+@pytest.mark.parametrize("agent", ["MyCrawler/1.0", "OtherBot"])
+def test_robots_rules_match_robotparser(spark, agent):
+    rows = [(f"h{i}", 200, body) for i, body in enumerate(ROBOTS_FILES)]
+    rows += [("d401", 401, None), ("a404", 404, None), ("e503", 503, None)]
+    robots = spark.createDataFrame(rows, "host string, status int, body string")
+    rules = lx.robots_rules(robots)
+    urls = spark.createDataFrame([(f"http://{h}{p}",) for h, _, _ in rows for p in PATHS], "url string")
+    got = {r.url: r.allowed for r in lx.robots_filter(urls, rules, agent=agent).collect()}
+    want = {}
+    for host, status, body in rows:
+        rp = urllib.robotparser.RobotFileParser()
+        if status == 200:
+            rp.parse(body.splitlines())
+        elif status in (401, 403):
+            rp.disallow_all = True
+        elif 400 <= status < 500:
+            rp.allow_all = True
+        for p in PATHS:
+            want[f"http://{host}{p}"] = rp.can_fetch(agent, f"http://{host}{p}")
+    assert got == want
