@@ -46,3 +46,31 @@ def test_search_plan_prunes_and_limits(spark):
     assert "WindowGroupLimit" in plan
     assert "PartitionFilters: [term_bucket" in plan or "PartitionFilters: [isnotnull(term_bucket)" in plan
     assert "BroadcastHashJoin" in plan or "broadcast" in plan.lower()
+
+
+def unpartitioned_windows(plan: str) -> list[str]:
+    """Window specs list partition keys first; without any, the first item is an ordering or the frame."""
+    out = []
+    for ln in plan.splitlines():
+        for spec in ln.split("windowspecdefinition(")[1:]:
+            first = spec.split(", ")[0]
+            if first.startswith("specifiedwindowframe") or first.endswith(("NULLS FIRST", "NULLS LAST")):
+                out.append(ln)
+    return out
+
+
+def test_unpartitioned_window_detector(spark):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+    bad = spark.range(5).withColumn("r", F.row_number().over(Window.orderBy("id")))
+    good = spark.range(5).withColumn("r", F.row_number().over(Window.partitionBy("id").orderBy("id")))
+    assert unpartitioned_windows(bad._jdf.queryExecution().executedPlan().toString())
+    assert not unpartitioned_windows(good._jdf.queryExecution().executedPlan().toString())
+
+
+def test_all_registered_plans_stay_jvm_side_and_partitioned(spark):
+    for key, fn in entry.queries().items():
+        plan = fn(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+        assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, key
+        assert not unpartitioned_windows(plan), key
+        assert "CartesianProduct" not in plan, key
