@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sifter import schema
 from sifter.operators import index as ix
 from sifter.sources import fs
 
@@ -73,8 +74,18 @@ def version_path(root: str, version: int) -> str:
     return f"{root.rstrip('/')}/v={version}"
 
 
+# Target postings per term bucket when the bucket count is derived from the data.
+POSTINGS_PER_BUCKET = 50_000_000
+MAX_BUCKETS = 16_384
+
+
+def auto_buckets(n_postings: int) -> int:
+    """Bucket count so a bucket holds about POSTINGS_PER_BUCKET postings (8 … 16,384)."""
+    return int(min(MAX_BUCKETS, max(8, -(-n_postings // POSTINGS_PER_BUCKET))))
+
+
 def write_index_tables(forward: DataFrame, path: str, idf: str = "smoothed",
-                       buckets: int = 64) -> Index:
+                       buckets: int | None = 64) -> Index:
     """Persist forward, terms, stats and postings under ``path``.
 
     The regex pipeline runs once (into ``forward``); everything else is
@@ -97,6 +108,8 @@ def write_index_tables(forward: DataFrame, path: str, idf: str = "smoothed",
     terms = spark.read.parquet(f"{path}/{TERMS}")
     stats = spark.read.parquet(f"{path}/{STATS}")
     n_terms = terms.count()  # Parquet footers only
+    if buckets is None:
+        buckets = auto_buckets(int(fwd.agg(F.sum("term_count")).first()[0] or 0))
 
     scored = ix.score_postings(tf_rows, terms, stats, idf, n_terms)
     (scored.withColumn("term_bucket", ix.term_bucket("term", buckets))
@@ -111,10 +124,10 @@ def read_index_tables(spark: SparkSession, path: str) -> Index:
     """Open a persisted index (column pruning and partition pruning apply)."""
     meta = dict(line.split("=", 1) for line in fs.read_text(spark, f"{path}/_META").split())
     return Index(
-        forward=spark.read.parquet(f"{path}/{FORWARD}"),
-        terms=spark.read.parquet(f"{path}/{TERMS}"),
-        stats=spark.read.parquet(f"{path}/{STATS}"),
-        postings=spark.read.parquet(f"{path}/{POSTINGS}"),
+        forward=spark.read.schema(schema.FORWARD).parquet(f"{path}/{FORWARD}"),
+        terms=spark.read.schema(schema.TERMS).parquet(f"{path}/{TERMS}"),
+        stats=spark.read.schema(schema.STATS).parquet(f"{path}/{STATS}"),
+        postings=spark.read.schema(schema.POSTINGS).parquet(f"{path}/{POSTINGS}"),
         idf=meta["idf"], buckets=int(meta["buckets"]), n_terms=int(meta["n_terms"]), path=path,
     )
 
@@ -132,7 +145,8 @@ def latest_version(spark: SparkSession, root: str) -> int | None:
     return versions[-1] if versions else None
 
 
-def publish(forward: DataFrame, root: str, version: int, idf: str = "smoothed", buckets: int = 64) -> Index:
+def publish(forward: DataFrame, root: str, version: int, idf: str = "smoothed",
+            buckets: int | None = 64) -> Index:
     """Write version ``version`` beside the live one and publish it last.
 
     Readers only open versions that carry the marker, so they never see a
