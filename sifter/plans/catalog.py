@@ -15,10 +15,16 @@ from pyspark.sql import functions as F
 from sifter.functions import text as tx
 from sifter.functions import urls as ux
 from sifter.operators import index as ix
+from sifter.operators import links as lx
+from sifter.operators import merge as mx
 from sifter.operators import search as sx
 from sifter.plans import build as bx
 from sifter.plans import oracle as o
-from sifter.plans.fixtures import fixture, table, with_fixtures
+from sifter.plans import refresh as rx
+from sifter.plans.fixtures import FIXTURE_SQL, fixture, table, with_fixtures
+from sifter.session import scratch_path
+from sifter.sources import dump as dx
+from sifter.streaming import ingest as sx_stream
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -250,7 +256,6 @@ def q_search_topk(spark, sf):
 
 # --------------------------------------------------------------------------- R17, R20, R21, R24, R46–R50
 
-from sifter.operators import links as lx  # noqa: E402
 
 
 def _href_variants(spark, sf) -> DataFrame:
@@ -370,7 +375,7 @@ CRAWL_MAX_PAGES = 100
 
 
 @register("crawl_order", f"""
-WITH RECURSIVE link_graph AS ({__import__('sifter.plans.fixtures', fromlist=['x']).FIXTURE_SQL['link_graph']}),
+WITH RECURSIVE link_graph AS ({FIXTURE_SQL['link_graph']}),
 bfs(url, level) AS (
   SELECT url, 0 FROM pages WHERE page_id = 0
   UNION
@@ -385,12 +390,6 @@ def q_crawl_order(spark, sf):
 
 # --------------------------------------------------------------------------- R31, R35–R37, R41, R45
 
-from sifter.plans import refresh as rx  # noqa: E402
-from sifter.operators import merge as mx  # noqa: E402
-from sifter.plans.fixtures import FIXTURE_SQL  # noqa: E402
-from sifter.session import scratch_path  # noqa: E402
-from sifter.sources import dump as dx  # noqa: E402
-from sifter.streaming import ingest as sx_stream  # noqa: E402
 
 BLOCK_SIZE = 64
 
