@@ -224,6 +224,8 @@ def assign_ids(keys: DataFrame, key: str, existing: DataFrame | None = None,
         fresh = fresh.join(existing.select(key), key, "left_anti")
         mx = existing.agg(F.max(id_col)).collect()[0][0]
         offset = 0 if mx is None else int(mx)
+    from sifter.session import checkpoint_root
+    checkpoint_root(keys.sparkSession)  # the shared folder from the session (own one only when unset)
     ordered = fresh.repartitionByRange(key).sortWithinPartitions(key).checkpoint()
     pos = ordered.select(key, F.spark_partition_id().alias("__p"),
                          F.monotonically_increasing_id().alias("__m"))
