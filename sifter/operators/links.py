@@ -94,9 +94,11 @@ def _path_for_robots(u: Column) -> Column:
 # ---------------------------------------------------------------------------
 # Robots.txt reading as Python's urllib.robotparser does it.
 #   lines split like str.splitlines; '#' starts a comment; "key: value" with the
-#   key case-insensitive; keys user-agent, allow, disallow; an empty raw line
-#   ends an entry; "Disallow:" with an empty path allows everything; the first
-#   entry naming "*" is the default entry, later ones are ignored.
+#   key case-insensitive; keys user-agent, allow, disallow, and crawl-delay /
+#   request-rate (which end the agent list of an entry like a rule does); an
+#   empty raw line ends an entry; "Disallow:" with an empty path allows
+#   everything; the first entry naming "*" is the default entry, later ones
+#   are ignored.
 #   HTTP status: 401/403 → deny all, other 4xx → allow all, 200 → parse,
 #   anything else → nothing is allowed.
 # ---------------------------------------------------------------------------
@@ -127,6 +129,7 @@ def robots_rules(robots: DataFrame) -> DataFrame:
         F.when(F.col("raw") == "", F.lit("B"))
         .when(has_colon & (key == "user-agent"), F.lit("A"))
         .when(has_colon & key.isin("allow", "disallow"), F.lit("R"))
+        .when(has_colon & key.isin("crawl-delay", "request-rate"), F.lit("D"))
         .alias("kind"),
         (key == "allow").alias("allow"),
         value.alias("value"))
@@ -136,7 +139,7 @@ def robots_rules(robots: DataFrame) -> DataFrame:
     lines = (lines
              .withColumn("__blank", F.max(F.when(F.col("kind") == "B", F.col("pos"))).over(before))
              .withColumn("__agent", F.max(F.when(F.col("kind") == "A", F.col("pos"))).over(before)))
-    accepted = (F.col("kind") == "R") & (F.coalesce("__agent", F.lit(-1)) > F.coalesce("__blank", F.lit(-1)))
+    accepted = F.col("kind").isin("R", "D") & (F.coalesce("__agent", F.lit(-1)) > F.coalesce("__blank", F.lit(-1)))
     lines = lines.withColumn("__accepted", accepted).withColumn(
         "__rule", F.max(F.when(F.col("__accepted"), F.col("pos"))).over(before))
     last_other = F.greatest(F.coalesce("__blank", F.lit(-1)), F.coalesce("__rule", F.lit(-1)))
@@ -145,10 +148,17 @@ def robots_rules(robots: DataFrame) -> DataFrame:
     lines = lines.withColumn("entry", F.sum(F.when(starts, 1).otherwise(0)).over(
         w.rowsBetween(Window.unboundedPreceding, 0)))
     agents = lines.filter(F.col("kind") == "A").select("host", "entry", _percent_decode(F.col("value")).alias("agent"))
-    rules = lines.filter("__accepted").select(
+    events = lines.filter("__accepted")
+    rules = events.filter(F.col("kind") == "R").select(
         "host", "entry", F.col("pos").alias("rule_order"),
         (F.col("allow") | (F.col("value") == "")).alias("allow"),
         _percent_decode(F.col("value")).alias("path_prefix"))
+    # an entry that only carries a crawl delay still exists and allows everything
+    rule_less = events.groupBy("host", "entry").agg(
+        F.max(F.when(F.col("kind") == "R", 1).otherwise(0)).alias("__has_rules"),
+        F.max("pos").alias("rule_order")).filter(F.col("__has_rules") == 0).select(
+        "host", "entry", "rule_order", F.lit(True).alias("allow"), F.lit("").alias("path_prefix"))
+    rules = rules.unionByName(rule_less)
     entries = agents.join(rules.select("host", "entry").distinct(), ["host", "entry"], "left_semi")
     star = entries.filter(F.col("agent") == "*").groupBy("host").agg(F.min("entry").alias("__default"))
     tagged = entries.join(star, "host", "left").withColumn(

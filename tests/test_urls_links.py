@@ -132,3 +132,28 @@ def test_robots_rules_match_robotparser(spark, agent):
         for p in PATHS:
             want[f"http://{host}{p}"] = rp.can_fetch(agent, f"http://{host}{p}")
     assert got == want
+
+
+def test_robots_rules_random_files_match_robotparser(spark):
+    import random
+    rnd = random.Random(11)
+    line_kinds = ["User-agent: *", "User-agent: mycrawler", "User-agent: Other", "user-agent: MyCrawler",
+                  "Allow: /a", "Allow: /a/b", "Disallow: /a", "Disallow: /", "Disallow:", "Disallow: /b",
+                  "", "# comment", "   ", "Crawl-delay: 3", "Allow: /b # tail", "garbage line", "Request-rate: 1/5", "Sitemap: http://s/x"]
+    rows = []
+    for i in range(200):
+        body = "\n".join(rnd.choice(line_kinds) for _ in range(rnd.randrange(0, 14)))
+        rows.append((f"r{i}", 200, body))
+    paths = ["/", "/a", "/a/b", "/a/c", "/b", "/bb", "/c"]
+    robots = spark.createDataFrame(rows, "host string, status int, body string")
+    rules = lx.robots_rules(robots)
+    urls = spark.createDataFrame([(f"http://{h}{p}",) for h, _, _ in rows for p in paths], "url string")
+    for agent in ["MyCrawler/2.1", "SomeBot"]:
+        got = {r.url: r.allowed for r in lx.robots_filter(urls, rules, agent=agent).collect()}
+        want = {}
+        for host, _, body in rows:
+            rp = urllib.robotparser.RobotFileParser()
+            rp.parse(body.splitlines())
+            for p in paths:
+                want[f"http://{host}{p}"] = rp.can_fetch(agent, f"http://{host}{p}")
+        assert got == want, [(u, got[u], want[u]) for u in want if got.get(u) != want[u]][:5]
