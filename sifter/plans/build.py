@@ -28,6 +28,14 @@ class Index:
     buckets: int | None = None        # postings stored partitioned by term_bucket
     n_terms: int | None = None        # vocabulary size when known (broadcast check)
     path: str | None = None
+    meta: dict | None = None          # written with the version: counts of the build
+
+    @property
+    def dropped_pages(self) -> int | None:
+        """Input pages that produced no document (no body / empty text), when recorded."""
+        if not self.meta or "pages_in" not in self.meta:
+            return None
+        return int(self.meta["pages_in"]) - int(self.meta["documents"])
 
     @property
     def documents(self) -> DataFrame:
@@ -85,7 +93,7 @@ def auto_buckets(n_postings: int) -> int:
 
 
 def write_index_tables(forward: DataFrame, path: str, idf: str = "smoothed",
-                       buckets: int | None = 64) -> Index:
+                       buckets: int | None = 64, pages_in: int | None = None) -> Index:
     """Persist forward, terms, stats and postings under ``path``.
 
     The regex pipeline runs once (into ``forward``); everything else is
@@ -116,7 +124,11 @@ def write_index_tables(forward: DataFrame, path: str, idf: str = "smoothed",
      .hint("rebalance", "term_bucket")
      .sortWithinPartitions("term_bucket", "term", "doc_id")
      .write.mode("overwrite").partitionBy("term_bucket").parquet(f"{path}/{POSTINGS}"))
-    fs.write_marker(spark, f"{path}/_META", f"idf={idf}\nbuckets={buckets}\nn_terms={n_terms}\n")
+    n_docs = int(stats.first()[0])
+    meta = f"idf={idf}\nbuckets={buckets}\nn_terms={n_terms}\ndocuments={n_docs}\n"
+    if pages_in is not None:
+        meta += f"pages_in={pages_in}\n"
+    fs.write_marker(spark, f"{path}/_META", meta)
     return read_index_tables(spark, path)
 
 
@@ -128,7 +140,7 @@ def read_index_tables(spark: SparkSession, path: str) -> Index:
         terms=spark.read.schema(schema.TERMS).parquet(f"{path}/{TERMS}"),
         stats=spark.read.schema(schema.STATS).parquet(f"{path}/{STATS}"),
         postings=spark.read.schema(schema.POSTINGS).parquet(f"{path}/{POSTINGS}"),
-        idf=meta["idf"], buckets=int(meta["buckets"]), n_terms=int(meta["n_terms"]), path=path,
+        idf=meta["idf"], buckets=int(meta["buckets"]), n_terms=int(meta["n_terms"]), path=path, meta=meta,
     )
 
 
@@ -146,7 +158,7 @@ def latest_version(spark: SparkSession, root: str) -> int | None:
 
 
 def publish(forward: DataFrame, root: str, version: int, idf: str = "smoothed",
-            buckets: int | None = 64) -> Index:
+            buckets: int | None = 64, pages_in: int | None = None) -> Index:
     """Write version ``version`` beside the live one and publish it last.
 
     Readers only open versions that carry the marker, so they never see a
@@ -157,7 +169,7 @@ def publish(forward: DataFrame, root: str, version: int, idf: str = "smoothed",
     path = version_path(root, version)
     if fs.exists(spark, f"{path}/{PUBLISHED}"):
         return read_index_tables(spark, path)
-    idx = write_index_tables(forward, path, idf, buckets)
+    idx = write_index_tables(forward, path, idf, buckets, pages_in)
     fs.write_marker(spark, f"{path}/{PUBLISHED}", str(version))
     return idx
 
@@ -178,7 +190,8 @@ def bulk_build(pages: DataFrame, root: str, idf: str = "smoothed", buckets: int
     """Bulk build into the next version of ``root`` and publish it."""
     spark = pages.sparkSession
     v = latest_version(spark, root)
-    return publish(ix.forward_from_pages(pages, url, html), root, 0 if v is None else v + 1, idf, buckets)
+    n_in = pages.count()  # pages without a body are dropped; the difference is kept as a metric
+    return publish(ix.forward_from_pages(pages, url, html), root, 0 if v is None else v + 1, idf, buckets, n_in)
 
 
 def score_matrix(index: Index, idf: str | None = None) -> DataFrame:
