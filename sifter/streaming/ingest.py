@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 
 from sifter.plans import build as bx
 from sifter.plans.refresh import refresh_index
-from sifter.session import scratch_path
 from sifter.sources import fs
 from sifter.sources.dump import SKIP_MARK, parse_dump
 
@@ -28,6 +27,7 @@ from sifter.sources.dump import SKIP_MARK, parse_dump
 REFRESH_INTERVAL = "60 minutes"
 MIN_FILES = 2
 BATCHES = "_batches"
+STREAM_CHECKPOINT = "_stream_checkpoint"
 
 
 def waiting_files(spark: SparkSession, raw_dir: str) -> int:
@@ -80,8 +80,10 @@ def stream_ingest(spark: SparkSession, raw_dir: str, root: str, checkpoint: str
     ``trigger="availableNow"`` processes what is waiting and stops (the
     scheduled-run form); ``trigger="processing"`` polls every 60 minutes.
     Pages are indexed from the whole file content, as the reference parses it.
+    The stream's checkpoint (its log of consumed files, R23) defaults to a
+    fixed folder inside ``root`` so every run of the same index resumes it.
     """
-    checkpoint = checkpoint or scratch_path(spark, "ingest-ckpt")
+    checkpoint = checkpoint or f"{root.rstrip('/')}/{STREAM_CHECKPOINT}"
     writer = (dump_stream(spark, raw_dir, max_files_per_trigger, clean_source).writeStream
               .foreachBatch(_index_batch(root, idf, buckets, mode))
               .option("checkpointLocation", checkpoint))
@@ -95,7 +97,7 @@ def stream_ingest(spark: SparkSession, raw_dir: str, root: str, checkpoint: str
     return query
 
 
-def run_scheduled(spark: SparkSession, raw_dir: str, root: str, checkpoint: str,
+def run_scheduled(spark: SparkSession, raw_dir: str, root: str, checkpoint: str | None = None,
                   min_files: int = MIN_FILES, **kwargs) -> bool:
     """One scheduled refresh: skip unless ``min_files`` wait (R57), else ingest all."""
     if not batch_threshold(spark, raw_dir, min_files):
