@@ -569,7 +569,7 @@ SELECT dump_key, url, html FROM (
 QUALIFY row_number() OVER (PARTITION BY dump_key ORDER BY seq DESC) = 1""")
 def q_page_store(spark, sf):
     path = scratch_path(spark, "pagestore")
-    dx.write_pages(fixture(spark, sf, "recrawl"), path)
+    dx.write_pages(fixture(spark, sf, "recrawl"), path, key="dump_key")
     return dx.read_pages(spark, path).select("dump_key", "url", "html")
 
 
