@@ -618,6 +618,41 @@ def q_batch_threshold(spark, sf):
     return bx.open_index(spark, root).documents
 
 
+# --------------------------------------------------------------------------- R25–R30 on the plain-text corpus
+
+def _text_forward(spark, sf) -> DataFrame:
+    """Forward index of the documents table: ASCII-lowered text, doc_id as the key."""
+    d = table(spark, sf, "documents")
+    return ix.forward_index(ix.spread(d).select(F.col("doc_id").cast("string").alias("url"),
+                                                tx.ascii_lower("text").alias("text")))
+
+
+def _text_index_sql(sql: str) -> str:
+    src = f"(SELECT CAST(doc_id AS VARCHAR) AS url, {o.ascii_lower('text')} AS text FROM documents)"
+    return f"""WITH t_toks AS (SELECT url, {o.tokens('text')} AS tokens FROM {src} WHERE text <> ''),
+t_documents AS (SELECT url, CAST(len(list_distinct(tokens)) AS BIGINT) AS term_count,
+                       CAST(len(tokens) AS BIGINT) AS total_terms FROM t_toks),
+t_tf AS (SELECT url, term, CAST(count(*) AS BIGINT) AS frequency
+         FROM (SELECT url, unnest(tokens) AS term FROM t_toks) GROUP BY url, term),
+t_terms AS (SELECT term, CAST(count(*) AS BIGINT) AS document_count FROM t_tf GROUP BY term)
+{sql.strip()}"""
+
+
+@register("term_frequency_text", _text_index_sql("SELECT url, term, frequency FROM t_tf"))
+def q_term_frequency_text(spark, sf):
+    return ix.term_frequency(_text_forward(spark, sf)).select("url", "term", "frequency")
+
+
+@register("document_stats_text", _text_index_sql("SELECT url, term_count, total_terms FROM t_documents"))
+def q_document_stats_text(spark, sf):
+    return ix.document_stats(_text_forward(spark, sf))
+
+
+@register("document_frequency_text", _text_index_sql("SELECT term, document_count FROM t_terms"))
+def q_document_frequency_text(spark, sf):
+    return ix.document_frequency(ix.term_frequency(_text_forward(spark, sf)))
+
+
 def queries() -> dict[str, QueryFn]:
     return dict(QUERIES)
 
