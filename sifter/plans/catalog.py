@@ -627,15 +627,24 @@ def _text_forward(spark, sf) -> DataFrame:
                                                 tx.ascii_lower("text").alias("text")))
 
 
-def _text_index_sql(sql: str) -> str:
+def _text_ctes() -> str:
+    """Oracle CTEs over the documents table: t_toks, t_documents, t_tf, t_terms, t_stats, t_postings."""
     src = f"(SELECT CAST(doc_id AS VARCHAR) AS url, {o.ascii_lower('text')} AS text FROM documents)"
-    return f"""WITH t_toks AS (SELECT url, {o.tokens('text')} AS tokens FROM {src} WHERE text <> ''),
+    return f"""t_toks AS (SELECT url, {o.tokens('text')} AS tokens FROM {src} WHERE text <> ''),
 t_documents AS (SELECT url, CAST(len(list_distinct(tokens)) AS BIGINT) AS term_count,
                        CAST(len(tokens) AS BIGINT) AS total_terms FROM t_toks),
 t_tf AS (SELECT url, term, CAST(count(*) AS BIGINT) AS frequency
          FROM (SELECT url, unnest(tokens) AS term FROM t_toks) GROUP BY url, term),
-t_terms AS (SELECT term, CAST(count(*) AS BIGINT) AS document_count FROM t_tf GROUP BY term)
-{sql.strip()}"""
+t_terms AS (SELECT term, CAST(count(*) AS BIGINT) AS document_count FROM t_tf GROUP BY term),
+t_stats AS (SELECT CAST(count(*) AS BIGINT) AS total_documents FROM t_documents),
+t_postings AS (
+    SELECT f.term, f.url, (f.frequency::DOUBLE / d.total_terms) * ln(s.total_documents::DOUBLE / (t.document_count + 1)) AS tf_idf
+    FROM t_tf f JOIN t_documents d USING (url) JOIN t_terms t USING (term) CROSS JOIN t_stats s)"""
+
+
+def _text_index_sql(sql: str, *fixtures: str) -> str:
+    ctes = [f"{n} AS ({FIXTURE_SQL[n]})" for n in fixtures] + [_text_ctes()]
+    return "WITH " + ",\n".join(ctes) + "\n" + sql.strip()
 
 
 @register("term_frequency_text", _text_index_sql("SELECT url, term, frequency FROM t_tf"))
@@ -653,6 +662,19 @@ def q_document_frequency_text(spark, sf):
     return ix.document_frequency(ix.term_frequency(_text_forward(spark, sf)))
 
 
+@register("search_topk_text", _text_index_sql(f"""
+SELECT qid, url, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT qid, url, score, row_number() OVER (PARTITION BY qid ORDER BY round(score, 9) DESC, url) AS rank
+  FROM (SELECT q.qid, p.url, sum(p.tf_idf * q.mult) AS score
+        FROM t_postings p JOIN {_oracle_query_terms('bench_queries')} q USING (term) GROUP BY q.qid, p.url))
+WHERE rank <= 10""", "bench_queries"))
+def q_search_topk_text(spark, sf):
+    """Top-10 documents of the plain-text corpus for every benchmark item."""
+    idx = bx.index_from_forward(_text_forward(spark, sf))
+    res = sx.search_batch(idx, fixture(spark, sf, "bench_queries"), k=10)
+    return res.select("qid", "url", r6("score").alias("score"), "rank")
+
+
 def queries() -> dict[str, QueryFn]:
     return dict(QUERIES)
 
