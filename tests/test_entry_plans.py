@@ -74,3 +74,15 @@ def test_all_registered_plans_stay_jvm_side_and_partitioned(spark):
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, key
         assert not unpartitioned_windows(plan), key
         assert "CartesianProduct" not in plan, key
+
+
+def test_stored_search_plans_agree(spark):
+    pages = spark.read.parquet(f"{SF_SMALL}/pages.parquet")
+    idx = bx.write_index_tables(ix.forward_from_pages(pages), scratch_path(spark, "t-plans2"), buckets=8)
+    q = fixture(spark, SF_SMALL, "chat_queries")
+    rows = lambda df: sorted((r.qid, r.url, round(r.score, 9), r.rank) for r in df.collect())
+    broadcast_plan = sx.search_batch(idx, q, k=10)
+    shuffle_plan = sx.search_batch(idx, q, k=10, broadcast_max_rows=0)
+    assert rows(broadcast_plan) == rows(shuffle_plan)
+    lazy = sx.search_batch(bx.build_index(pages), q, k=10)
+    assert rows(lazy) == rows(shuffle_plan)
