@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from sifter.functions.text import decode_entities
 from sifter.functions.urls import resolve_url, url_host
-from sifter.operators.index import broadcast_if_small, spread
+from sifter.operators.index import assign_ids, broadcast_if_small, spread
 from sifter.session import checkpoint_root
 
 # ---------------------------------------------------------------------------
@@ -263,9 +263,12 @@ def crawl_order(seeds: DataFrame, links: DataFrame, max_pages: int = 100,
             break
         level += 1
         if n_visited + n_new > max_pages:
-            # cut the last level by url: a top-k bounded by max_pages
-            nxt = nxt.orderBy("url").limit(max_pages - n_visited).checkpoint()
-            n_new = max_pages - n_visited
+            # cut the last level at the first (max_pages - visited) urls: dense url-ordered
+            # numbers from range-partitioned sorting, no single task holds the level
+            keep = max_pages - n_visited
+            nxt = (assign_ids(nxt.select("url"), "url", id_col="__n").filter(F.col("__n") <= keep)
+                   .select("url", F.lit(level).alias("level")).checkpoint())
+            n_new = keep
         levels.append(nxt)
         n_visited += n_new
         frontier = nxt
