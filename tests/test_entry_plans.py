@@ -86,3 +86,5 @@ def test_stored_search_plans_agree(spark):
     assert rows(broadcast_plan) == rows(shuffle_plan)
     lazy = sx.search_batch(bx.build_index(pages), q, k=10)
     assert rows(lazy) == rows(shuffle_plan)
+    every = lambda df: sorted((r.qid, r.url, round(r.score, 9)) for r in df.collect())
+    assert every(sx.search_batch(idx, q)) == every(sx.search_batch(idx, q, broadcast_max_rows=0))
