@@ -187,7 +187,11 @@ def scan_postings(index: Index) -> DataFrame:
 
 def bulk_build(pages: DataFrame, root: str, idf: str = "smoothed", buckets: int = 64,
                url: str = "url", html: str = "html") -> Index:
-    """Bulk build into the next version of ``root`` and publish it."""
+    """Bulk build into the next version of ``root`` and publish it.
+
+    ``pages`` must hold one row per url, as the page store (R02) provides;
+    refreshes fold repeated urls themselves.
+    """
     spark = pages.sparkSession
     v = latest_version(spark, root)
     n_in = pages.count()  # pages without a body are dropped; the difference is kept as a metric
