@@ -90,3 +90,18 @@ def test_request_log(spark, corpus):
         by.setdefault(r.req_id, set()).add(r.url)
     assert by == {1: {"A", "B", "C"}, 2: {None}, 4: {"B", "C"}}
     assert F is not None
+
+
+def test_topk_with_many_exact_copies(spark, tmp_path):
+    copies = [(f"http://c/{i:03d}", "<body>spam eggs</body>") for i in range(40)]
+    others = [("http://o/1", "<body>spam spam ham</body>"), ("http://o/2", "<body>ham</body>")]
+    pages = spark.createDataFrame(copies + others, "url string, html string")
+    q = spark.createDataFrame([(1, "spam"), (2, "eggs ham")], "qid long, query string")
+    stored = bx.write_index_tables(bx.ix.forward_from_pages(pages), str(tmp_path / "copies"), "constant", buckets=2)
+    lazy = bx.build_index(pages, idf="constant")
+    rows = lambda df: sorted((r.qid, r.url, round(r.score, 9), r.rank) for r in df.collect())
+    for plan_rows in (0, 2_000_000):
+        got = rows(sx.search_batch(stored, q, k=5, broadcast_max_rows=plan_rows))
+        assert got == rows(sx.search_batch(lazy, q, k=5))
+    top_spam = [r.url for r in sx.search_batch(stored, q, k=5).filter("qid = 1").orderBy("rank").collect()]
+    assert top_spam == ["http://o/1", "http://c/000", "http://c/001", "http://c/002", "http://c/003"]
