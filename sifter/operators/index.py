@@ -204,6 +204,13 @@ def term_bucket(term, buckets: int) -> Column:
     return F.pmod(F.xxhash64(t), F.lit(buckets)).cast("int")
 
 
+def bucket_of(term: str, buckets: int) -> int:
+    """Driver-side ``term_bucket`` of a literal term (Spark's xxhash64 is XXH64, seed 42)."""
+    import xxhash
+    h = xxhash.xxh64_intdigest(term.encode("utf-8"), seed=42)
+    return (h - (1 << 64) if h >= (1 << 63) else h) % buckets
+
+
 def new_keys(candidates: DataFrame, existing: DataFrame, key: str) -> DataFrame:
     """Distinct candidate keys not already present (INSERT OR IGNORE)."""
     return candidates.select(key).distinct().join(existing.select(key), key, "left_anti")

@@ -105,3 +105,12 @@ def test_topk_with_many_exact_copies(spark, tmp_path):
         assert got == rows(sx.search_batch(lazy, q, k=5))
     top_spam = [r.url for r in sx.search_batch(stored, q, k=5).filter("qid = 1").orderBy("rank").collect()]
     assert top_spam == ["http://o/1", "http://c/000", "http://c/001", "http://c/002", "http://c/003"]
+
+
+def test_driver_bucket_matches_spark(spark):
+    from pyspark.sql import functions as F
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    terms = bx.ix.term_frequency(bx.ix.forward_from_pages(pages)).select("term").distinct()
+    rows = terms.select("term", bx.ix.term_bucket("term", 37).alias("b")).collect()
+    assert rows and all(bx.ix.bucket_of(r.term, 37) == r.b for r in rows)
+    assert F is not None
