@@ -1,8 +1,11 @@
 """Registered queries: one per operator of the inventory, plus its DuckDB oracle.
 
-Every query reads the provided tables (or tables Spark derives from them) in
-full.  Scores are rounded to 6 decimals in both the Spark result and the
-oracle; ranks use the score rounded to 9 decimals, then the url.
+Keys are the inventory keys of SURVEY §2 (R01–R57), plus ``robots_rules``
+(robots.txt bodies parsed into rules) and four queries over the plain-text
+``documents`` corpus (``*_text``).  Every query reads the provided tables (or
+tables Spark derives from them) in full.  Scores are rounded to 6 decimals in
+both the Spark result and the oracle; ranks use the score rounded to 9
+decimals, then the url.
 """
 
 from __future__ import annotations
