@@ -244,12 +244,8 @@ def crawl_order(seeds: DataFrame, links: DataFrame, max_pages: int = 100,
     """
     spark = seeds.sparkSession
     checkpoint_root(spark)
-    parts = spark.sparkContext.defaultParallelism
-    try:
-        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    except Exception:  # noqa: BLE001
-        pass
-    graph = links.select("src", "dst").distinct().repartition(parts, "src").checkpoint()
+    # hash-partitioned on src once (AQE sizes the partitions), reused by every level
+    graph = links.select("src", "dst").distinct().repartition("src").checkpoint()
     frontier = seeds.select(F.col(seeds.columns[0]).alias("url")).distinct().withColumn("level", F.lit(0)).checkpoint()
     levels = [frontier]          # each level is checkpointed once; visited is their union
     n_visited = frontier.count()
