@@ -201,8 +201,10 @@ def robots_filter(urls: DataFrame, rules: DataFrame, agent: str = DEFAULT_AGENT,
     applicable = r.join(chosen, ["host", "__g"], "left_semi").select(
         "host", "path_prefix", "rule_order", "allow").distinct()
 
-    lengths = sorted(x[0] for x in applicable.select(F.length("path_prefix")).distinct().collect())
-    n_rules = applicable.count()
+    # one small job: the distinct prefix lengths (bounded by the longest rule) and the rule count
+    summary = applicable.agg(F.array_sort(F.collect_set(F.length("path_prefix"))).alias("lengths"),
+                             F.count(F.lit(1)).alias("n")).first()
+    lengths, n_rules = list(summary["lengths"] or []), int(summary["n"])
     u = urls.select(F.col(url).alias("url")).distinct().select(
         "url", url_host(F.col("url")).alias("host"), _path_for_robots(F.col("url")).alias("__path"))
     prefixes = F.filter(
