@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from sifter.session import scratch_path
@@ -38,7 +39,7 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
     """Cut an Arrow batch so that each piece holds about ``limit`` bytes of text."""
     if batch.num_rows == 0:
         return
-    lengths = np.asarray(pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0))
+    lengths = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0))
     piece = np.cumsum(lengths, dtype=np.int64) // limit
     cuts = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), batch.num_rows]
     for lo, hi in zip(cuts, cuts[1:], strict=False):
