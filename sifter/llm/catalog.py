@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sifter.llm import token_count
+from sifter.llm import bpe_codec, token_count
 from sifter.llm.common import read_table
 
 
@@ -20,8 +20,14 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op6_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_codec.encode_decode(read_table(spark, sf_dir, "documents"),
+                                   public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
+    "op6_bpe_roundtrip": op6_bpe_roundtrip,
 }
 
 ORACLE_SQL: dict[str, str] = {}
