@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sifter.llm import bpe_codec, token_count
+from sifter.llm import bpe_codec, sharding, token_count
 from sifter.llm.common import read_table
 
 
@@ -25,9 +25,14 @@ def op6_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
                                    public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
     "op6_bpe_roundtrip": op6_bpe_roundtrip,
+    "op3_sharding": op3_sharding,
 }
 
 ORACLE_SQL: dict[str, str] = {}
