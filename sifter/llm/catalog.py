@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sifter.llm import bpe_codec, sharding, token_count
+from sifter.llm import bpe_codec, exact_dedup, sharding, token_count
 from sifter.llm.common import read_table
 
 
@@ -29,10 +29,23 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_dedup(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
     "op6_bpe_roundtrip": op6_bpe_roundtrip,
     "op3_sharding": op3_sharding,
+    "op4_exact_dedup": op4_exact_dedup,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op4_exact_dedup": """
+        WITH t AS (
+            SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS norm
+            FROM documents)
+        SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+               doc_id = max(doc_id) OVER same AS kept, sha256(norm) AS text_sha256
+        FROM t WINDOW same AS (PARTITION BY norm)""",
+}
