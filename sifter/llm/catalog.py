@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sifter.llm import bpe_codec, exact_dedup, sharding, token_count
+from sifter.llm import bpe_codec, exact_dedup, language_id, sharding, token_count
 from sifter.llm.common import read_table
 
 
@@ -33,11 +33,16 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read_table(spark, sf_dir, "documents"))
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.language_id(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
     "op6_bpe_roundtrip": op6_bpe_roundtrip,
     "op3_sharding": op3_sharding,
     "op4_exact_dedup": op4_exact_dedup,
+    "op10_language_id": op10_language_id,
 }
 
 ORACLE_SQL: dict[str, str] = {
