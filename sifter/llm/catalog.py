@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sifter.llm import bpe_codec, exact_dedup, language_id, sharding, token_count
+from sifter.llm import bpe_codec, exact_dedup, language_id, sharding, token_count, token_ids
 from sifter.llm.common import read_table
 
 
@@ -37,12 +37,18 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language_id(read_table(spark, sf_dir, "documents"))
 
 
+def op5_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_ids.token_ids(read_table(spark, sf_dir, "documents"),
+                               public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
     "op6_bpe_roundtrip": op6_bpe_roundtrip,
     "op3_sharding": op3_sharding,
     "op4_exact_dedup": op4_exact_dedup,
     "op10_language_id": op10_language_id,
+    "op5_token_ids": op5_token_ids,
 }
 
 ORACLE_SQL: dict[str, str] = {
