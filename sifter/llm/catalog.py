@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sifter.llm import bpe_codec, exact_dedup, language_id, sharding, token_count, token_ids
+from sifter.llm import bpe_codec, exact_dedup, language_id, pii, sharding, token_count, token_ids
 from sifter.llm.common import read_table
 
 
@@ -42,6 +42,10 @@ def op5_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
                                public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(read_table(spark, sf_dir, "documents")).drop("text_hash", "removed")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
     "op6_bpe_roundtrip": op6_bpe_roundtrip,
@@ -49,6 +53,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_exact_dedup": op4_exact_dedup,
     "op10_language_id": op10_language_id,
     "op5_token_ids": op5_token_ids,
+    "op9_pii": op9_pii,
 }
 
 ORACLE_SQL: dict[str, str] = {
