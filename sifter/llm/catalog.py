@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sifter.llm import bpe_codec, exact_dedup, language_id, pii, sharding, token_count, token_ids
+from sifter.llm import bpe_codec, decontaminate, exact_dedup, language_id, pii, sharding, token_count, token_ids
 from sifter.llm.common import read_table
 
 
@@ -46,6 +46,10 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(read_table(spark, sf_dir, "documents")).drop("text_hash", "removed")
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.decontaminate(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
     "op6_bpe_roundtrip": op6_bpe_roundtrip,
@@ -54,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_language_id": op10_language_id,
     "op5_token_ids": op5_token_ids,
     "op9_pii": op9_pii,
+    "op8_decontaminate": op8_decontaminate,
 }
 
 ORACLE_SQL: dict[str, str] = {
