@@ -213,10 +213,10 @@ def fit(docs: DataFrame, families: dict[str, str] | None = None, sample_per_lang
 def identify(docs: DataFrame, model: Model, keep: bool = False) -> DataFrame:
     """doc_id, held_out, lang_pred, score; with ``keep`` the input columns before lang_pred and score."""
     # bounded: (families + pairs of at most MAX_LANGS languages) * DIMENSIONS weights
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast((model.langs, model.families, model.members, model.pairs, model.weights))
 
     def predict(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
+        m = Model(*shared.value)
         for batch in batches:
             for part in slices(batch, "text"):
                 found = m.predict(part.column("text").to_pylist())

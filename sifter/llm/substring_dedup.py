@@ -12,10 +12,10 @@ with a smaller doc_id is removed.
    doc_id of every window over all groups confirms it.  Runs of windows first
    seen in one document are cut out of it as passages.
 3. Automata.  A passage goes to the groups that hold one of its windows.  Each
-   group (a shard) compiles its passages, cut into 25-word phrases, into an
-   Aho-Corasick automaton and streams its documents through it: a 50-word
-   window of a passage holds a whole phrase, so every occurrence is met, and
-   is extended to both sides word by word.  What is removed rests on the words
+   group (a shard) compiles 25-word phrases of its passages into an
+   Aho-Corasick automaton and streams its documents through it: each 50-word
+   window of a passage holds a whole chosen phrase, so every occurrence is met,
+   and is extended to both sides word by word.  What is removed rests on the words
    found, not on hashes.
 
 Windows are judged on the input.  Defined results: words are the runs without
@@ -77,18 +77,20 @@ class Hasher:
             self.power = np.cumprod(np.r_[np.uint64(1), np.full(n, base)])
             self.back = np.cumprod(np.r_[np.uint64(1), np.full(n, inverse)])
 
-    def words(self, words: list[str]) -> np.ndarray:
+    def words(self, texts: list[list[str]]) -> list[np.ndarray]:
+        """Hashes of the words of each text."""
         import xxhash
 
         if len(self.known) > CACHE_WORDS:
             self.known, self.hashes = _Hashes(), self.hashes[:0]
-        use = np.fromiter(map(self.known.__getitem__, words), dtype=np.int64, count=len(words))
-        if len(self.known) > len(self.hashes):
-            fresh = islice(self.known, len(self.hashes), None)
-            self.hashes = np.r_[self.hashes, np.array([xxhash.xxh3_64_intdigest(w) for w in fresh], dtype=np.uint64)]
-        if len(words) >= len(self.power):
-            self._powers(2 * len(words))
-        return self.hashes[use]
+        number = self.known.__getitem__
+        use = [np.fromiter(map(number, words), dtype=np.int64, count=len(words)) for words in texts]
+        fresh = islice(self.known, len(self.hashes), None)
+        self.hashes = np.r_[self.hashes, np.array([xxhash.xxh3_64_intdigest(w) for w in fresh], dtype=np.uint64)]
+        longest = max(map(len, use), default=0)
+        if longest >= len(self.power):
+            self._powers(2 * longest)
+        return [self.hashes[u] for u in use]
 
     def rolled(self, hashes: np.ndarray, n: int) -> np.ndarray:
         """Hash of the ``n`` words from each place."""
@@ -130,7 +132,7 @@ def anchor_rows(rows: DataFrame) -> DataFrame:
         hasher = Hasher()
         for batch in batches:
             for part in slices(batch, "text"):
-                found = [np.unique(hasher.anchors(hasher.words(words_of(t)))) for t in part.column("text").to_pylist()]
+                found = [np.unique(hasher.anchors(h)) for h in hasher.words([words_of(t) for t in part.column("text").to_pylist()])]
                 sizes = [len(f) for f in found]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(found).view(np.int64)), *(pa.array(np.repeat(np.asarray(part.column(c)), sizes)) for c in ("grp", "doc"))],
@@ -206,11 +208,11 @@ def screen(rows: DataFrame, anchors: DataFrame) -> DataFrame:
         for part in docs:
             grp = int(part.column("grp")[0].as_py())
             out = []
-            for doc, tag, text in zip(*(part.column(c).to_pylist() for c in ("doc", "tag", "text")), strict=True):
-                words = words_of(text)
+            ids, tags, texts = (part.column(c).to_pylist() for c in ("doc", "tag", "text"))
+            cut = [words_of(t) for t in texts]
+            for doc, tag, text, words, hashes in zip(ids, tags, texts, cut, hasher.words(cut), strict=True):
                 hit = np.zeros(0, dtype=np.int64)
                 if wanted is not None and len(words) >= WINDOW:
-                    hashes = hasher.words(words)
                     least = hasher.anchors(hashes)
                     at = np.minimum(np.searchsorted(wanted, least), len(wanted) - 1)
                     hit = np.flatnonzero(wanted[at] == least)
@@ -272,20 +274,42 @@ def passages(screened: DataFrame) -> DataFrame:
     return store(by_group(side, candidates, handle, "passage long, first long, text string, keys array<long>"), "substring-passages")
 
 
+def choose_phrases(rarity: np.ndarray, n: int) -> list[int]:
+    """Starts of phrases such that every window of ``n`` words holds one, the rare ones where there is a choice.
+
+    ``rarity`` has the number of places of the phrase at each start.  Where near
+    copies give many passages with the same words beside one changed word, the
+    chosen phrases hold the changed word, so a document meets only the passages
+    that it shares.
+    """
+    reach = WINDOW - PHRASE  # a window holds the phrases at this distance from its start
+    starts, at = [], -1
+    while at < n - WINDOW:
+        span = rarity[at + 1:min(at + 1 + reach, len(rarity) - 1) + 1]
+        at += len(span) - int(np.argmin(span[::-1]))  # the last of the rarest
+        starts.append(at)
+    return starts
+
+
 def compile_phrases(found: list[tuple[int, list[str]]]):
     """Automaton over the phrases of (first, words) passages; a phrase leads to its places in them."""
     import ahocorasick
 
+    hasher = Hasher()
+    rolled = [hasher.rolled(h, PHRASE) for h in hasher.words([words for _, words in found])]
+    if not rolled:
+        return None
+    _, which, count = np.unique(np.concatenate(rolled), return_inverse=True, return_counts=True)
+    rarity = np.split(count[which], np.cumsum([len(r) for r in rolled])[:-1])
     places = defaultdict(list)
     for p, (_, words) in enumerate(found):
-        for o in range(0, len(words) - PHRASE + 1, PHRASE):
+        for o in choose_phrases(rarity[p], len(words)):
             places[" " + " ".join(words[o:o + PHRASE]) + " "].append((p, o))
     automaton = ahocorasick.Automaton()
     for phrase, where in places.items():
         automaton.add_word(phrase, where)
-    if places:
-        automaton.make_automaton()
-    return automaton if places else None
+    automaton.make_automaton()
+    return automaton
 
 
 def covered(automaton, found: list[tuple[int, list[str]]], doc: int, words: list[str]) -> np.ndarray:
