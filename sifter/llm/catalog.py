@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sifter.llm import bpe_codec, decontaminate, exact_dedup, language_id, pii, sharding, substring_dedup, token_count, token_ids
+from sifter.llm import bpe_codec, decontaminate, exact_dedup, language_id, minhash, pii, sharding, substring_dedup, token_count, token_ids
 from sifter.llm.common import read_table
 
 
@@ -54,6 +54,10 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.substring_dedup(read_table(spark, sf_dir, "documents"))
 
 
+def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
     "op6_bpe_roundtrip": op6_bpe_roundtrip,
@@ -64,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_pii": op9_pii,
     "op8_decontaminate": op8_decontaminate,
     "op7_substring_dedup": op7_substring_dedup,
+    "op1_minhash_dedup": op1_minhash_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
