@@ -1,11 +1,59 @@
-"""Corpus pipeline: documents through the training-data operators, stage by stage."""
+"""Corpus pipeline: documents through five of the training-data operators.
+
+Each stage takes (spark, docs, sf_dir) and works on everything that its
+predecessor kept; all but the last return the columns of ``docs`` and fewer
+rows, the last one the encoded documents.  Between stages the rows are written as
+Parquet into the shared folder and reread.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+
+from sifter.llm import bpe_codec, decontaminate, exact_dedup, language_id, minhash
+from sifter.llm.common import read_table, store
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without letters, or without a language of at least ``language_id.LEAST_SCORE``, go."""
+    return language_id.drop_unidentified(docs, language_id.fit(docs))
+
+
+def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of texts equal but for the case of A-Z the row with the largest doc_id stays."""
+    return exact_dedup.keep_one(docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each near-duplicate class the row with the least doc_id stays."""
+    return minhash.keep_one(docs)
+
+
+def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return decontaminate.drop_leaks(docs, read_table(spark, sf_dir, "benchmark"))
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, digests of ids and decoded text, and the ids."""
+    return bpe_codec.encode_decode(docs, public_tokenizers.path("byte_bpe_50k.json"), with_ids=True)
+
+
+STAGES = [
+    ("language_id", identify_language),
+    ("exact_dedup", drop_exact_copies),
+    ("near_dedup", drop_near_copies),
+    ("decontaminate", drop_benchmark_leaks),
+    ("bpe_encode", encode),
+]
+
+#: SQL expresses neither the trained first stage nor the sampled third; tests/llm holds the brute-force version.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return docs
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = store(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

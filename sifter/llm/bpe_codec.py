@@ -232,8 +232,8 @@ class Encoder:
         return ragged(self.flat, at[used], lengths), upto[last] - upto[last - per_text]
 
 
-def encode_decode(docs: DataFrame, tokenizer_path: str, texts: bool = False) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256; with ``texts`` also ids and the decoded text."""
+def encode_decode(docs: DataFrame, tokenizer_path: str, with_ids: bool = False, with_text: bool = False) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256; on request the ids and the decoded text."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(tokenizer_path)
@@ -242,17 +242,19 @@ def encode_decode(docs: DataFrame, tokenizer_path: str, texts: bool = False) ->
         for batch in batches:
             for part in slices(batch, "text"):
                 flat, sizes = encoder.ids(texts_of(part))
-                ids = np.split(flat, np.cumsum(sizes)[:-1])
+                ends = np.cumsum(sizes)
+                ids = np.split(flat, ends[:-1])
                 decoded = [encoder.bpe.decode(i) for i in ids]
-                columns = [part.column("doc_id"), pa.array([len(i) for i in ids], pa.int64()),
-                           pa.array([digest(",".join(decimal[i])) for i in ids]),
-                           pa.array([digest(d) for d in decoded])]
-                names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
-                if texts:
-                    columns += [pa.array([i.tolist() for i in ids], pa.list_(pa.int32())), pa.array(decoded)]
-                    names += ["ids", "decoded"]
-                yield pa.RecordBatch.from_arrays(columns, names=names)
+                columns = {"doc_id": part.column("doc_id"), "n_tokens": pa.array(sizes, pa.int64()),
+                           "ids_sha256": pa.array([digest(",".join(decimal[i])) for i in ids], pa.string()),
+                           "decoded_sha256": pa.array([digest(d) for d in decoded], pa.string())}
+                if with_ids:
+                    columns["ids"] = pa.ListArray.from_arrays(pa.array(np.r_[0, ends], pa.int32()), pa.array(flat, pa.int32()))
+                if with_text:
+                    columns["decoded"] = pa.array(decoded, pa.string())
+                yield pa.RecordBatch.from_pydict(columns)
 
     kind = dict(docs.dtypes)["doc_id"]
     schema = f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return docs.select("doc_id", "text").mapInArrow(run, schema + (", ids array<int>, decoded string" if texts else ""))
+    schema += ", ids array<int>" * with_ids + ", decoded string" * with_text
+    return docs.select("doc_id", "text").mapInArrow(run, schema)

@@ -13,7 +13,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from sifter.session import scratch_path
 
@@ -59,3 +60,24 @@ def ragged(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.nd
     ends = np.cumsum(lengths)
     index = np.arange(total, dtype=np.int64) + np.repeat(starts - (ends - lengths), lengths)
     return values[index]
+
+
+def who(doc_id: str = "doc_id") -> Column:
+    """doc_id as a join key that null can match."""
+    return F.coalesce(F.col(doc_id).cast("string"), F.lit(""))
+
+
+def keep_rows(docs: DataFrame, keys: dict[str, Column], chosen: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose keys are in ``chosen``, one for each key; all columns as they were.
+
+    ``keys`` gives the internal key columns that ``chosen`` has; the window uses
+    the partitioning and order of the join.
+    """
+    found = docs.withColumns(keys).join(chosen.select(*keys).distinct(), list(keys))
+    first = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys)) == 1
+    return found.withColumn("__first", first).filter("__first").select(*docs.columns)
+
+
+def drop_rows(docs: DataFrame, keys: dict[str, Column], found: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose keys are not in ``found``."""
+    return docs.withColumns(keys).join(found.select(*keys).distinct(), list(keys), "left_anti").select(*docs.columns)

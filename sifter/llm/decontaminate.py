@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sifter.llm.common import store
+from sifter.llm.common import drop_rows, store, who
 
 WINDOW = 5
 SIMILARITY = 0.8
@@ -178,3 +178,10 @@ def compare(aligned: DataFrame) -> DataFrame:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return leaks(docs, benchmark).drop("text_hash")
+
+
+def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The documents without those that hold a benchmark item."""
+    keys = {"__who": who(), "__text_hash": F.xxhash64("text")}
+    found = leaks(docs, benchmark).select(who().alias("__who"), F.col("text_hash").alias("__text_hash"))
+    return drop_rows(docs, keys, found)

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sifter.llm.common import slices, store
+from sifter.llm.common import keep_rows, slices, store, who
 
 #: Bits of the finest directory.
 MAX_DEPTH = 16
@@ -175,3 +175,10 @@ def exact_dedup(docs: DataFrame, capacity: int = BUCKET_BYTES, max_depth: int =
     same_row = Window.partitionBy("key", "text_sha256", "doc_id").orderBy("doc_id")
     first = F.row_number().over(same_row) == 1
     return found.select("doc_id", "keep_id", "group_size", (F.col("doc_id").eqNullSafe(F.col("keep_id")) & first).alias("kept"), "text_sha256")
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """The documents' columns of the one row that stays of equal texts."""
+    index = build_index(store(entries(docs), "exact-entries"))
+    keys = {"__key": F.xxhash64(normalised()), "__sha": F.sha2(normalised(), 256), "__who": who()}
+    return keep_rows(docs, keys, index.select(F.col("key").alias("__key"), F.col("text_sha256").alias("__sha"), who("keep_id").alias("__who")))

@@ -45,6 +45,8 @@ HELD_OUT = 2
 DIMENSIONS = 8192
 MAX_GRAM = 4
 UNDETERMINED = "und"
+#: Score under which the pipeline rejects a document.
+LEAST_SCORE = 0.2
 #: Distinct words a task remembers before it starts anew.
 CACHE_WORDS = 300_000
 _WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
@@ -210,29 +212,41 @@ def fit(docs: DataFrame, families: dict[str, str] | None = None, sample_per_lang
     return Model(langs, names, members, pairs, weights.astype(np.float32))
 
 
-def identify(docs: DataFrame, model: Model, keep: bool = False) -> DataFrame:
-    """doc_id, held_out, lang_pred, score; with ``keep`` the input columns before lang_pred and score."""
-    # bounded: (families + pairs of at most MAX_LANGS languages) * DIMENSIONS weights
-    shared = docs.sparkSession.sparkContext.broadcast((model.langs, model.families, model.members, model.pairs, model.weights))
+def _shared(docs: DataFrame, model: Model):
+    """The model for the tasks; bounded: (families + pairs of at most MAX_LANGS languages) * DIMENSIONS weights."""
+    return docs.sparkSession.sparkContext.broadcast((model.langs, model.families, model.members, model.pairs, model.weights))
+
+
+def identify(docs: DataFrame, model: Model) -> DataFrame:
+    """doc_id, held_out, lang_pred, score of every row."""
+    shared = _shared(docs, model)
 
     def predict(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = Model(*shared.value)
         for batch in batches:
             for part in slices(batch, "text"):
                 found = m.predict(part.column("text").to_pylist())
-                columns = [part.column(c) for c in part.schema.names if keep or c != "text"]
-                names = [c for c in part.schema.names if keep or c != "text"]
                 yield pa.RecordBatch.from_arrays(
-                    [*columns, pa.array([p for p, _ in found], pa.string()), pa.array([s for _, s in found], pa.float64())],
-                    names=[*names, "lang_pred", "score"])
-
-    if keep:
-        base = docs.drop("lang_pred", "score")
-    else:
-        base = docs.select("doc_id", F.coalesce(fold() == HELD_OUT, F.lit(False)).alias("held_out"), "text")
-    fields = [f for f in base.schema.fields if keep or f.name != "text"]
-    schema = type(base.schema)(fields).add("lang_pred", "string").add("score", "double")
-    return base.mapInArrow(predict, schema)
+                    [part.column("doc_id"), part.column("held_out"), pa.array([p for p, _ in found], pa.string()),
+                     pa.array([s for _, s in found], pa.float64())], names=["doc_id", "held_out", "lang_pred", "score"])
+
+    base = docs.select("doc_id", F.coalesce(fold() == HELD_OUT, F.lit(False)).alias("held_out"), "text")
+    kind = dict(base.dtypes)["doc_id"]
+    return base.mapInArrow(predict, f"doc_id {kind}, held_out boolean, lang_pred string, score double")
+
+
+def drop_unidentified(docs: DataFrame, model: Model, least_score: float = LEAST_SCORE) -> DataFrame:
+    """The rows with a predicted language whose score is at least ``least_score``; all columns as they were."""
+    shared = _shared(docs, model)
+
+    def choose(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = Model(*shared.value)
+        for batch in batches:
+            for part in slices(batch, "text"):
+                found = m.predict(part.column("text").to_pylist())
+                yield part.filter(pa.array([lang != UNDETERMINED and score >= least_score for lang, score in found]))
+
+    return docs.mapInArrow(choose, docs.schema)
 
 
 def language_id(docs: DataFrame) -> DataFrame:

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sifter.llm.common import slices, store, texts_of
+from sifter.llm.common import keep_rows, slices, store, texts_of, who
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -202,11 +202,12 @@ def sketches(docs: DataFrame, idf: np.ndarray) -> DataFrame:
                 samples = [icws(*weighted_shingles(words.hashes[u], shared.value[words.buckets[u]])) for u in use]
                 nodes = [xxhash.xxh3_128_digest(" ".join(c).encode("utf-8", "surrogatepass")) for c in cut]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(nodes, pa.binary()), pa.array([s.tolist() for s in samples], pa.list_(pa.int32()))],
-                    names=["doc_id", "node", "samples"])
+                    [part.column("doc_id"), part.column("text_hash"), pa.array(nodes, pa.binary()),
+                     pa.array([s.tolist() for s in samples], pa.list_(pa.int32()))], names=["doc_id", "text_hash", "node", "samples"])
 
+    rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     kind = dict(docs.dtypes)["doc_id"]
-    return store(docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, node binary, samples array<int>"), "minhash-sketches")
+    return store(rows.mapInArrow(run, f"doc_id {kind}, text_hash long, node binary, samples array<int>"), "minhash-sketches")
 
 
 def buckets(nodes: DataFrame) -> DataFrame:
@@ -323,38 +324,43 @@ def residual_pairs(rows: DataFrame, labels: DataFrame, nodes: DataFrame) -> Data
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, class_id, class_size, n_links (verified, of its text) and kept of every row."""
+    rows, labels, links = link(docs, similarity)
+    return classes(rows, labels, links)
+
+
+def link(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Stored rows with their nodes, labels of the linked nodes, and the links."""
     idf = idf_table(docs)
     rows = sketches(docs, idf)
     nodes = store(rows.groupBy("node").agg(F.first("samples").alias("samples")), "minhash-nodes")
     met = buckets(nodes)
     pairs = store(agreeing(leader_pairs(met), nodes), "minhash-pairs")
-    texts = _texts(docs, rows, pairs)
-    links = verify(pairs, texts, idf, similarity)
+    links = verify(pairs, _texts(docs, rows, pairs), idf, similarity)
     labels = components(links)
     more = store(agreeing(residual_pairs(met, labels, nodes).join(pairs, ["a", "b"], "left_anti"), nodes), "minhash-pairs")
     if not more.isEmpty():
         links = links.unionByName(verify(more, _texts(docs, rows, more), idf, similarity))
         labels = components(links)
-    return classes(rows, labels, links)
+    return rows, labels, links
 
 
-def _texts(docs: DataFrame, rows: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Stored: node and text of the nodes in pairs; each from one of its rows."""
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    chosen = rows.groupBy("node").agg(F.min("doc_id").alias("doc_id")).join(wanted, "node")
-    # a null or repeated doc_id may lead to other texts as well, so nodes are named from the text again
-    import xxhash
+def keep_one(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """The documents' columns of one row of each class, the one with the least doc_id."""
+    rows, labels, _ = link(docs, similarity)
+    label = rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    first = label.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("first")).select("first.*")
+    keys = {"__who": who(), "__text_hash": F.xxhash64("text")}
+    return keep_rows(docs, keys, first.select(who().alias("__who"), F.col("text_hash").alias("__text_hash")))
 
-    def name(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text"):
-                nodes = [xxhash.xxh3_128_digest(" ".join(words_of(t)).encode("utf-8", "surrogatepass")) for t in texts_of(part)]
-                at = [i for i, (n, w) in enumerate(zip(nodes, part.column("node").to_pylist(), strict=True)) if n == w]
-                yield part.take(pa.array(at, pa.int64())).select(["node", "text"])
 
-    given = docs.select(F.col("doc_id").alias("of"), "text")
-    found = chosen.join(given, F.col("doc_id").eqNullSafe(F.col("of"))).select("node", "text")
-    return store(found.mapInArrow(name, "node binary, text string").dropDuplicates(["node"]), "minhash-texts")
+def _texts(docs: DataFrame, rows: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Stored: node and text of the nodes in pairs, each from one of its rows."""
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+    chosen = (rows.groupBy("node").agg(F.min(F.struct("doc_id", "text_hash")).alias("row")).join(wanted, "node")
+              .select("node", who("row.doc_id").alias("__who"), F.col("row.text_hash").alias("__text_hash")))
+    keys = {"__who": who(), "__text_hash": F.xxhash64("text")}
+    found = docs.select("doc_id", "text").withColumns(keys).join(chosen, list(keys)).select("node", "text")
+    return store(found.dropDuplicates(["node"]), "minhash-texts")
 
 
 def classes(rows: DataFrame, labels: DataFrame, links: DataFrame) -> DataFrame:
