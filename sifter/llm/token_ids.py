@@ -23,28 +23,31 @@ from __future__ import annotations
 
 import os
 import struct
+import unicodedata
 import zlib
 from collections.abc import Iterable, Iterator
-from itertools import islice
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sifter.llm.bpe_codec import byte_symbols
 from sifter.llm.common import ragged, slices, store, texts_of
 
 END_ID = 2
 #: Ids after which a block is closed (a longer document has a block of its own).
 BLOCK_IDS = 1 << 20
 #: Rules made in one round, in all, and the least count of a pair worth a rule.
-ROUND_RULES, MAX_RULES, LEAST_COUNT = 1024, 14_000, 12
+ROUND_RULES, MAX_RULES, LEAST_COUNT = 2048, 14_000, 12
 MAX_ROUNDS = 16
 #: Distinct words a task remembers before it starts anew.
 CACHE_WORDS = 500_000
-_HEAD = struct.Struct("<4s6I")
-_CELLS = 1 << 20
+_HEAD = "<4s6I"
+_CELLS = 1 << 18
 #: Shards whose sizes one window adds up.
 SHARD_GROUP = 4096
 
@@ -58,10 +61,13 @@ class _Numbers(dict):
 
 
 class WordEncoder:
-    """Ids of whole texts from the tokenizer file; words between spaces or line ends are looked up once.
+    """Ids of whole texts by the tokenizer file, from its library's model.
 
-    The tokenizer drops white space, and no rule of it reads across a space or
-    a line end, so the ids of a text are those of its words in order.
+    The tokenizer normalises (NFC, lower case), drops white space and cuts words
+    from digits and signs.  No rule of it reads across a space or a line end, so
+    a text is cut there, and a word's pieces are looked up or given to the
+    library's BPE model once.  A word that holds a special token's string or is
+    not its own NFC form goes through the library whole.
     """
 
     def __init__(self, path: str):
@@ -71,10 +77,32 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        if not all("<" in s for s in self.special):
+            raise ValueError("special tokens are expected to hold a <")
+        self.byte_chars = str.maketrans(dict(enumerate(byte_symbols())))
+        # Fixed value: the pattern that belongs to the vocabulary
+        self.pieces = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
         self._forget()
 
     def _forget(self) -> None:
         self.known, self.flat, self.sizes = _Numbers(), np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        self.piece_ids: dict[str, list[int]] = {}
+
+    def word(self, word: str) -> list[int]:
+        if "<" in word and any(s in word for s in self.special):
+            return self.tokenizer.encode(word, add_special_tokens=False).ids
+        if not word.isascii() and ("Σ" in word or not unicodedata.is_normalized("NFC", word)):
+            return self.tokenizer.encode(word, add_special_tokens=False).ids
+        pieces = self.pieces.findall(word.lower())
+        if len(pieces) == 1:
+            return self.piece_ids.get(pieces[0]) or self.piece(pieces[0])
+        return [i for p in pieces for i in self.piece_ids.get(p) or self.piece(p)]
+
+    def piece(self, piece: str) -> list[int]:
+        spelled = piece if piece.isalpha() and piece.isascii() else piece.encode("utf-8").decode("latin-1").translate(self.byte_chars)
+        ids = self.piece_ids[piece] = [t.id for t in self.tokenizer.model.tokenize(spelled)]
+        return ids
 
     def ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts behind one another, and the number of ids of each text."""
@@ -83,9 +111,9 @@ class WordEncoder:
         number, before = self.known.__getitem__, len(self.known)
         use = [np.fromiter(map(number, w), dtype=np.int64, count=len(w))
                for w in (t.replace("\n", " ").split(" ") for t in texts)]
-        fresh = [e.ids for e in self.tokenizer.encode_batch_fast(list(islice(self.known, before, None)), add_special_tokens=False)]
+        fresh = [self.word(w) for w in islice(self.known, before, None)]
         self.sizes = np.r_[self.sizes, np.fromiter(map(len, fresh), dtype=np.int64, count=len(fresh))]
-        self.flat = np.r_[self.flat, np.fromiter((i for ids in fresh for i in ids), dtype=np.uint32)]
+        self.flat = np.r_[self.flat, np.fromiter(chain.from_iterable(fresh), dtype=np.uint32)]
         at = np.cumsum(self.sizes) - self.sizes
         per_text = np.fromiter(map(len, use), dtype=np.int64, count=len(use))
         used = np.concatenate([per_text[:0], *use])
@@ -117,7 +145,7 @@ def compress(ids: np.ndarray, sizes: np.ndarray) -> bytes:
         right += b.tolist()
         before = len(seq)
         seq, doc_end = _replace(seq, doc_end, chosen, new)
-        if len(seq) > 0.985 * before:
+        if len(seq) > 0.98 * before:
             break
     lengths = np.ones(first_rule + len(left), dtype=np.int64)
     for i, (x, y) in enumerate(zip(left, right, strict=True), first_rule):
@@ -128,7 +156,7 @@ def compress(ids: np.ndarray, sizes: np.ndarray) -> bytes:
     starts = np.maximum.accumulate(starts)
     width = 2 if first_rule + len(left) <= 65536 else 4
     parts = [np.array(left), np.array(right), lengths[first_rule:], sizes, starts]
-    return b"".join([_HEAD.pack(b"RPID", 1, len(sizes), len(left), len(seq), first_rule, width),
+    return b"".join([struct.pack(_HEAD, b"RPID", 1, len(sizes), len(left), len(seq), first_rule, width),
                      *(p.astype("<u4").tobytes() for p in parts), seq.astype(f"<u{width}").tobytes()])
 
 
@@ -136,11 +164,13 @@ def _frequent_pairs(seq: np.ndarray, doc_end: np.ndarray) -> tuple[np.ndarray, n
     """The most frequent pairs and their counts, most frequent first."""
     if len(seq) < 2:
         return seq[:0], seq[:0]
-    pair = (seq[:-1] << 32 | seq[1:])[~doc_end[:-1]]
-    cell = ((pair >> 32) * 2654435761 + (pair & 0xFFFFFFFF) * 40503) & (_CELLS - 1)
+    inside = np.flatnonzero(~doc_end[:-1])
+    a, b = seq[inside], seq[inside + 1]
+    cell = (a * 0x9E3779B1 + b * 0x85EBCA6B >> 13) & (_CELLS - 1)
     held = np.bincount(cell, minlength=_CELLS)
     least = max(LEAST_COUNT, int(np.partition(held, -2 * ROUND_RULES)[-2 * ROUND_RULES]))
-    pairs, counts = np.unique(pair[held[cell] >= least], return_counts=True)  # exact among the fullest cells
+    full = held[cell] >= least
+    pairs, counts = np.unique(a[full] << 32 | b[full], return_counts=True)  # exact among the fullest cells
     order = np.lexsort((pairs, -counts))[:2 * ROUND_RULES]
     order = order[counts[order] >= LEAST_COUNT]
     return pairs[order], counts[order]
@@ -184,12 +214,12 @@ class Block:
     """A stored block, decoded whole or in parts."""
 
     def __init__(self, data: bytes):
-        magic, version, docs, rules, symbols, self.first_rule, width = _HEAD.unpack_from(data)
+        magic, version, docs, rules, symbols, self.first_rule, width = struct.unpack_from(_HEAD, data)
         if magic != b"RPID" or version != 1:
             raise ValueError("not a block of token ids")
-        take = np.frombuffer(data, "<u4", 3 * rules + 2 * docs + 1, _HEAD.size).astype(np.int64)
+        take = np.frombuffer(data, "<u4", 3 * rules + 2 * docs + 1, struct.calcsize(_HEAD)).astype(np.int64)
         self.left, self.right, self.lengths, self.sizes, self.starts = np.split(take, [rules, 2 * rules, 3 * rules, 3 * rules + docs])
-        self.seq = np.frombuffer(data, f"<u{width}", symbols, _HEAD.size + 4 * len(take)).astype(np.int64)
+        self.seq = np.frombuffer(data, f"<u{width}", symbols, struct.calcsize(_HEAD) + 4 * len(take)).astype(np.int64)
 
     def _expansions(self) -> tuple[np.ndarray, np.ndarray]:
         """All rules expanded behind one another, after every plain id as itself; and where each begins."""
