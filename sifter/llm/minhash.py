@@ -15,8 +15,8 @@ Improved consistent weighted sampling draws ``BANDS * ROWS`` samples of each
 set; two texts agree in a sample with the probability of their weighted Jaccard
 similarity.  Texts that agree in all samples of a band meet in a bucket.  In a
 bucket every text is compared with a few leaders, not with every other text, so
-the pairs grow with the texts; texts that belong to no leader's class are
-compared among each other by their samples.  Pairs whose samples do not rule out
+the pairs grow with the texts; what the leaders leave in different classes is
+then compared by its samples (``residual_pairs``).  Pairs whose samples do not rule out
 the threshold are verified by their exact weighted Jaccard similarity, and the
 links of at least ``SIMILARITY`` make the classes (connected components, by
 label propagation over stored tables).
@@ -48,7 +48,9 @@ BANDS, ROWS = 16, 3
 #: (4.3 standard deviations of 48 samples under 0.8).
 LEAST_AGREEMENT = 0.55
 DF_BUCKETS = 1 << 18
-#: Texts of a bucket that are compared with each other at a time.
+#: Nodes of a bucket up to which all those of different classes are compared.
+SMALL = 256
+#: Nodes without a leader that are compared at a time.
 BLOCK = 2048
 CACHE_WORDS = 300_000
 
@@ -275,40 +277,45 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def residual_pairs(rows: DataFrame, labels: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs among the nodes of a bucket that share no class with its leaders, by their samples.
+    """Pairs of different classes in a bucket, other than those with leaders, that their samples do not rule out.
 
-    A bucket with more than BLOCK such nodes is split by a second band; texts
-    alike to 0.8 agree in two bands of 16 but for 2 in 10,000.
+    In a bucket of up to SMALL nodes all nodes of different classes are
+    compared.  In a larger one the nodes that share no class with its leaders
+    are compared with each other; when there are more than BLOCK of them they are
+    split by a second band (texts alike to 0.8 agree in two bands of 16 but for 2 in 10,000).
     """
     label = rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     of_leaders = (leaders(rows).select("bucket", F.explode("leaders").alias("node")).join(labels, "node", "left")
                   .groupBy("bucket").agg(F.collect_set(F.coalesce("label", "node")).alias("led")))
-    rest = label.join(of_leaders, "bucket").filter(~F.array_contains("led", F.col("label"))).select("bucket", "node", "label")
-    sizes = rest.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    rest = store(rest.join(sizes, "bucket").join(nodes.select("node", "samples"), "node"), "minhash-rest")
+    marked = label.join(of_leaders, "bucket").withColumn("outside", ~F.array_contains("led", F.col("label"))).drop("led")
+    sizes = (marked.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.count_if("outside").alias("n_outside"),
+                                          (F.min("label") < F.max("label")).alias("mixed"))
+             .filter(F.col("mixed") & ((F.col("n") <= SMALL) | (F.col("n_outside") > 1))).drop("mixed"))
+    rest = marked.join(sizes, "bucket").filter((F.col("n") <= SMALL) | F.col("outside")).join(nodes.select("node", "samples"), "node")
+    rest = store(rest.select("bucket", "node", "label", "samples", ((F.col("n") > SMALL) & (F.col("n_outside") > BLOCK)).alias("large")), "minhash-rest")
     second = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64("bucket", b, F.slice("samples", b * ROWS + 1, ROWS)))
-    large = rest.filter(F.col("n") > BLOCK).select(F.explode(second).alias("bucket"), "node", "label", "samples")
-    small = rest.filter(F.col("n") <= BLOCK).select("bucket", "node", "label", "samples")
+    split = rest.filter("large").select(F.explode(second).alias("bucket"), "node", "label", "samples")
+    dealt = rest.filter("NOT large").drop("large").unionByName(split).repartition("bucket").sortWithinPartitions("bucket", "node")
     least = int(np.ceil(LEAST_AGREEMENT * BANDS * ROWS))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, held = None, []
 
-        def compare(new: list[tuple], old: list[tuple]) -> pa.RecordBatch | None:
+        def compare(new: list[tuple], old: list[tuple]) -> Iterator[pa.RecordBatch]:
             x, y = (np.array([h[2] for h in side], dtype=np.int32) for side in (new, old))
-            found = []
+            names = {}
+            p, q = (np.array([names.setdefault(h[1], len(names)) for h in side]) for side in (new, old))
             for i, mine in enumerate(x):
-                for j in np.flatnonzero((y == mine).sum(axis=1) >= least).tolist():
-                    if new[i][0] > old[j][0] and new[i][1] != old[j][1] or new is not old and new[i][1] != old[j][1]:
-                        found.append((new[i][0], old[j][0]))
-            return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.binary()) for k in (0, 1)], names=["a", "b"]) if found else None
+                near = np.flatnonzero(((y == mine).sum(axis=1) >= least) & (q != p[i])).tolist()
+                if near:
+                    yield pa.RecordBatch.from_arrays([pa.array([new[i][0]] * len(near), pa.binary()), pa.array([old[j][0] for j in near], pa.binary())],
+                                                     names=["a", "b"])
 
         def close() -> Iterator[pa.RecordBatch]:
             blocks = [held[i:i + BLOCK] for i in range(0, len(held), BLOCK)]
             for i, new in enumerate(blocks):
                 for old in blocks[:i + 1]:
-                    if (out := compare(new, old)) is not None:
-                        yield out
+                    yield from compare(new, old)
 
         for batch in batches:
             for key, *row in zip(*(batch.column(c).to_pylist() for c in ("bucket", "node", "label", "samples")), strict=True):
@@ -318,7 +325,6 @@ def residual_pairs(rows: DataFrame, labels: DataFrame, nodes: DataFrame) -> Data
                 held.append(tuple(row))
         yield from close()
 
-    dealt = small.unionByName(large).repartition("bucket").sortWithinPartitions("bucket", "node")
     return _ordered(dealt.mapInArrow(run, "a binary, b binary"))
 
 

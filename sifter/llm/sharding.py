@@ -2,10 +2,10 @@
 
 Records are hashed into thousands of virtual slots, bytes are added up per
 slot, and a versioned map says which shard holds which slot.  Version 0 deals
-the slots out evenly by number; a rebalancing edits the latest version, moving
-as few slots as it needs to: a shard keeps its largest slots up to the target
-size, and what is beyond goes, largest slot first, to the shard with the least
-bytes.  The map has a row per slot, so the part that one task or the driver
+the slots out evenly by number; a rebalancing edits the latest version and moves
+only the bytes beyond the target: a shard keeps its largest slots up to the
+target size, and the others go, largest first, to the shard with the least
+bytes.  A slot is never split, so sizes are equal to within a slot.  The map has a row per slot, so the part that one task or the driver
 sees is bounded by the number of slots whatever the input.
 
 Defined results: the size of a null text is 1, its CRC that of the empty text;
