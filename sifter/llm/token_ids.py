@@ -82,27 +82,39 @@ class WordEncoder:
             raise ValueError("special tokens are expected to hold a <")
         self.byte_chars = str.maketrans(dict(enumerate(byte_symbols())))
         # Fixed value: the pattern that belongs to the vocabulary
-        self.pieces = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+        self.pattern = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+|\n")  # and line ends between words
         self._forget()
 
     def _forget(self) -> None:
-        self.known, self.flat, self.sizes = _Numbers(), np.zeros(0, np.uint32), np.zeros(0, np.int64)
-        self.piece_ids: dict[str, list[int]] = {}
-
-    def word(self, word: str) -> list[int]:
-        if "<" in word and any(s in word for s in self.special):
-            return self.tokenizer.encode(word, add_special_tokens=False).ids
-        if not word.isascii() and ("Σ" in word or not unicodedata.is_normalized("NFC", word)):
-            return self.tokenizer.encode(word, add_special_tokens=False).ids
-        pieces = self.pieces.findall(word.lower())
-        if len(pieces) == 1:
-            return self.piece_ids.get(pieces[0]) or self.piece(pieces[0])
-        return [i for p in pieces for i in self.piece_ids.get(p) or self.piece(p)]
-
-    def piece(self, piece: str) -> list[int]:
-        spelled = piece if piece.isalpha() and piece.isascii() else piece.encode("utf-8").decode("latin-1").translate(self.byte_chars)
-        ids = self.piece_ids[piece] = [t.id for t in self.tokenizer.model.tokenize(spelled)]
-        return ids
+        self.known, self.words = _Numbers(), _Ragged()
+        self.known_pieces, self.pieces = _Numbers({"\n": 0}), _Ragged()
+        self.pieces.add([[]])
+
+    def _whole(self, text: str) -> bool:
+        """Whether the library must see a word whole."""
+        return ("<" in text and any(s in text for s in self.special)) or not text.isascii() and (
+            "Σ" in text or not unicodedata.is_normalized("NFC", text))
+
+    def _learn(self, words: list[str]) -> None:
+        """Add the ids of new words; those of all words are cut into pieces in one go."""
+        joined = "\n".join(words)
+        odd = {w for w in words if self._whole(w)} if self._whole(joined) else set()
+        if odd:
+            joined = "\n".join("" if w in odd else w for w in words)
+        found = self.pattern.findall(joined.lower())
+        number, before = self.known_pieces.__getitem__, len(self.known_pieces)
+        use = np.fromiter(map(number, found), dtype=np.int64, count=len(found))
+        tokenize = self.tokenizer.model.tokenize
+        self.pieces.add([[t.id for t in tokenize(self._spelled(p))] for p in islice(self.known_pieces, before, None)])
+        word = np.cumsum(use == 0)  # number of the word that each piece is in
+        sizes = np.bincount(word, weights=self.pieces.sizes[use], minlength=len(words)).astype(np.int64)
+        self.words.extend(self.pieces.take(use), sizes)
+        for i, w in enumerate(words) if odd else ():
+            if w in odd:
+                self.words.replace(len(self.words.sizes) - len(words) + i, self.tokenizer.encode(w, add_special_tokens=False).ids)
+
+    def _spelled(self, piece: str) -> str:
+        return piece if piece.isascii() and piece.isalpha() else piece.encode("utf-8").decode("latin-1").translate(self.byte_chars)
 
     def ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts behind one another, and the number of ids of each text."""
@@ -111,16 +123,35 @@ class WordEncoder:
         number, before = self.known.__getitem__, len(self.known)
         use = [np.fromiter(map(number, w), dtype=np.int64, count=len(w))
                for w in (t.replace("\n", " ").split(" ") for t in texts)]
-        fresh = [self.word(w) for w in islice(self.known, before, None)]
-        self.sizes = np.r_[self.sizes, np.fromiter(map(len, fresh), dtype=np.int64, count=len(fresh))]
-        self.flat = np.r_[self.flat, np.fromiter(chain.from_iterable(fresh), dtype=np.uint32)]
-        at = np.cumsum(self.sizes) - self.sizes
+        fresh = list(islice(self.known, before, None))
+        if fresh:
+            self._learn(fresh)
         per_text = np.fromiter(map(len, use), dtype=np.int64, count=len(use))
         used = np.concatenate([per_text[:0], *use])
-        lengths = self.sizes[used]
-        upto = np.r_[0, np.cumsum(lengths)]
+        upto = np.r_[0, np.cumsum(self.words.sizes[used])]
         last = np.cumsum(per_text)
-        return ragged(self.flat, at[used], lengths), upto[last] - upto[last - per_text]
+        return self.words.take(used), upto[last] - upto[last - per_text]
+
+
+class _Ragged:
+    """Lists of ids behind one another."""
+
+    def __init__(self) -> None:
+        self.flat, self.at, self.sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def add(self, lists: list[list[int]]) -> None:
+        self.extend(np.fromiter(chain.from_iterable(lists), dtype=np.uint32), np.fromiter(map(len, lists), dtype=np.int64, count=len(lists)))
+
+    def extend(self, flat: np.ndarray, sizes: np.ndarray) -> None:
+        self.at = np.r_[self.at, len(self.flat) + np.cumsum(sizes) - sizes]
+        self.flat, self.sizes = np.r_[self.flat, flat], np.r_[self.sizes, sizes]
+
+    def replace(self, number: int, ids: list[int]) -> None:
+        self.at[number], self.sizes[number] = len(self.flat), len(ids)
+        self.flat = np.r_[self.flat, np.array(ids, np.uint32)]
+
+    def take(self, numbers: np.ndarray) -> np.ndarray:
+        return ragged(self.flat, self.at[numbers], self.sizes[numbers])
 
 
 # -- grammar -----------------------------------------------------------------
