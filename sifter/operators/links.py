@@ -86,8 +86,18 @@ def usable_pages(fetched: DataFrame) -> DataFrame:
     return fetched.filter((F.col("status") == 200) & F.col("html").isNotNull() & (F.col("html") != ""))
 
 
+def _robots_path(p: Column) -> Column:
+    """Percent-decoded path (with query and fragment) without an empty query or fragment mark.
+
+    The parser decodes and re-encodes both the rule and the URL; encoding keeps
+    prefixes, so the decoded texts are compared.
+    """
+    decoded = F.coalesce(_percent_decode(p), p)
+    return F.regexp_replace(F.regexp_replace(decoded, "#$", ""), r"\?(?=#|$)", "")
+
+
 def _path_for_robots(u: Column) -> Column:
-    rest = F.regexp_extract(u, r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*([\s\S]*)$", 1)
+    rest = _robots_path(F.regexp_extract(u, r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*([\s\S]*)$", 1))
     return F.when(rest == "", F.lit("/")).otherwise(rest)
 
 
@@ -152,7 +162,7 @@ def robots_rules(robots: DataFrame) -> DataFrame:
     rules = events.filter(F.col("kind") == "R").select(
         "host", "entry", F.col("pos").alias("rule_order"),
         (F.col("allow") | (F.col("value") == "")).alias("allow"),
-        _percent_decode(F.col("value")).alias("path_prefix"))
+        F.col("value").alias("path_prefix"))
     # an entry that only carries a crawl delay still exists and allows everything
     rule_less = events.groupBy("host", "entry").agg(
         F.max(F.when(F.col("kind") == "R", 1).otherwise(0)).alias("__has_rules"),
@@ -193,7 +203,7 @@ def robots_filter(urls: DataFrame, rules: DataFrame, agent: str = DEFAULT_AGENT,
     group = "entry" if "entry" in rules.columns else "agent"   # a group of rules shares an entry
     r = rules.select(
         "host", F.col(group).alias("__g"), "agent", "rule_order", "allow",
-        F.when(F.col("path_prefix") == "*", F.lit("")).otherwise(F.col("path_prefix")).alias("path_prefix"),
+        F.when(F.col("path_prefix") == "*", F.lit("")).otherwise(_robots_path(F.col("path_prefix"))).alias("path_prefix"),
         (F.col("agent") == "*").alias("is_default"))
     r = r.filter(F.col("is_default") | F.lit(token).contains(F.lower(F.col("agent"))))
     chosen = r.groupBy("host").agg(
@@ -233,41 +243,46 @@ def frontier_step(frontier: DataFrame, visited: DataFrame, links: DataFrame,
     return nxt
 
 
-def crawl_order(seeds: DataFrame, links: DataFrame, max_pages: int = 100,
+def crawl_order(seeds: DataFrame, links: DataFrame, max_pages: int | None = None,
                 max_depth: int | None = None, rules: DataFrame | None = None,
-                agent: str = DEFAULT_AGENT) -> DataFrame:
+                agent: str = DEFAULT_AGENT, fetched: DataFrame | None = None) -> DataFrame:
     """Breadth-first reach from the seeds over a stored link table.
 
-    Returns (url, level) for the first ``max_pages`` pages in (level, url)
-    order.  One join per level; the link table is hash-partitioned by ``src``
-    and checkpointed once, so each level only shuffles the frontier.  Each
-    level's result is checkpointed to the shared folder (lineage stays one
-    level deep and survives executor loss).
+    Returns (url, level), all of it unless ``max_pages`` bounds it to the first
+    pages in (level, url) order.  Seeds pass the robots rules like any other URL.
+    With ``fetched(url, status, html)`` only pages fetched with status 200 and
+    content count as visited, and only they lead further.  One join per level;
+    each level is checkpointed to the shared folder, so lineage stays one level
+    deep and survives executor loss; the link table is checkpointed once.
     """
-    spark = seeds.sparkSession
-    checkpoint_root(spark)
-    # hash-partitioned on src once (AQE sizes the partitions), reused by every level
+    checkpoint_root(seeds.sparkSession)
     graph = links.select("src", "dst").distinct().repartition("src").checkpoint()
-    frontier = seeds.select(F.col(seeds.columns[0]).alias("url")).distinct().withColumn("level", F.lit(0)).checkpoint()
-    levels = [frontier]          # each level is checkpointed once; visited is their union
-    n_visited = frontier.count()
-    level = 0
-    while n_visited < max_pages and (max_depth is None or level < max_depth):
-        visited = reduce(DataFrame.unionByName, levels)
-        nxt = frontier_step(frontier.select("url"), visited, graph, rules, agent)
-        nxt = nxt.withColumn("level", F.lit(level + 1)).checkpoint()
-        n_new = nxt.count()
-        if n_new == 0:
+    usable = usable_pages(fetched).select("url").distinct().checkpoint() if fetched is not None else None
+
+    def admitted(urls: DataFrame, level: int, room: int | None) -> DataFrame:
+        if usable is not None:
+            urls = urls.join(usable, "url", "left_semi")
+        urls = urls.select("url", F.lit(level).alias("level")).checkpoint()
+        if room is not None and urls.count() > room:
+            # dense url-ordered numbers from range-partitioned sorting: no single task holds the level
+            urls = (assign_ids(urls.select("url"), "url", id_col="__n").filter(F.col("__n") <= room)
+                    .select("url", F.lit(level).alias("level")).checkpoint())
+        return urls
+
+    first = seeds.select(F.col(seeds.columns[0]).alias("url")).distinct()
+    if rules is not None:
+        first = robots_filter(first, rules, agent).filter("allowed").select("url")
+    tried = [first.checkpoint()]  # every url met, whether it was usable or not
+    levels = [admitted(tried[0], 0, max_pages)]
+    n_visited, n_new, level = 0, levels[0].count(), 0
+    while n_new:
+        n_visited += n_new
+        if (max_pages is not None and n_visited >= max_pages) or (max_depth is not None and level >= max_depth):
             break
         level += 1
-        if n_visited + n_new > max_pages:
-            # cut the last level at the first (max_pages - visited) urls: dense url-ordered
-            # numbers from range-partitioned sorting, no single task holds the level
-            keep = max_pages - n_visited
-            nxt = (assign_ids(nxt.select("url"), "url", id_col="__n").filter(F.col("__n") <= keep)
-                   .select("url", F.lit(level).alias("level")).checkpoint())
-            n_new = keep
-        levels.append(nxt)
-        n_visited += n_new
-        frontier = nxt
+        nxt = frontier_step(levels[-1].select("url"), reduce(DataFrame.unionByName, tried), graph, rules, agent).checkpoint()
+        found = admitted(nxt, level, None if max_pages is None else max_pages - n_visited)
+        n_new = found.count()
+        tried.append(nxt.select("url"))
+        levels.append(found)
     return reduce(DataFrame.unionByName, levels)

@@ -25,7 +25,8 @@ FIXTURE_SQL: dict[str, str] = {
         SELECT conv_id * 1000 + turn AS req_id,
                CASE WHEN conv_id % 10 = 9 THEN 'POST' ELSE 'GET' END AS method,
                CASE WHEN conv_id % 10 = 8 THEN '/'
-                    ELSE '/search?page=1&query=' || split_part(text, ' ', 2) || '+' || split_part(text, ' ', 3)
+                    ELSE '/search?page=1&query=' || replace(replace(replace(replace(replace(replace(
+                         text, '%', '%25'), '&', '%26'), '+', '%2B'), '#', '%23'), chr(10), '%0A'), ' ', '+')
                END AS uri
         FROM conversations WHERE role = 'user'""",
     "fetch_log": """
@@ -39,6 +40,20 @@ FIXTURE_SQL: dict[str, str] = {
                                UNION ALL SELECT 1, false, '/de'
                                UNION ALL SELECT 2, false, '/the') r
         WHERE page_id % 2 = 0""",
+    # the same rules percent-encoded, a group for a named agent, and an exception under a query string
+    "robots_named": """
+        SELECT DISTINCT split_part(split_part(url, '://', 2), '/', 1) AS host, r.agent, r.rule_order, r.allow, r.path_prefix
+        FROM pages CROSS JOIN (SELECT '*' AS agent, 0 AS rule_order, true AS allow, '/%64er' AS path_prefix
+                               UNION ALL SELECT '*', 1, false, '/d%65'
+                               UNION ALL SELECT '*', 2, false, '/the'
+                               UNION ALL SELECT 'mycrawler', 3, true, '/%74he%3Fx'
+                               UNION ALL SELECT 'mycrawler', 4, false, '/%74h') r
+        WHERE page_id % 2 = 0 AND (r.agent = '*' OR page_id % 3 = 0)""",
+    # page urls as they are, with one character percent-encoded, and with a query and a fragment
+    "robots_urls": """
+        SELECT url FROM pages
+        UNION SELECT replace(replace(url, '/d', '/%64'), '/t', '/%74') FROM pages
+        UNION SELECT replace(url, '/the', '/the?x=') || '#f' FROM pages""",
     "link_graph": """
         SELECT a.url AS src, b.url AS dst FROM pages a CROSS JOIN (SELECT count(*) AS n FROM pages) c
         JOIN pages b ON b.page_id = (a.page_id * 7 + 3) % c.n

@@ -122,9 +122,13 @@ def _unsplit(scheme: str, netloc: str, path: str, query: str, frag: str) -> str:
     return f"(CASE WHEN {frag} <> '' THEN {out} || '#' || {frag} ELSE {out} END)"
 
 
-def resolve_items(base: str, href: str, out: str, p: str = "rz_") -> str:
-    """SELECT items (DuckDB lateral aliases) ending in ``<out>`` = urljoin(base, href)."""
-    items = []
+def resolve_sql(pairs: str, p: str = "rz_") -> str:
+    """Subquery (src, href, dst) with dst = urljoin(src, href) for the distinct pairs of a subquery.
+
+    Each step is materialized: DuckDB would otherwise copy the expressions of
+    every alias into the next and spend its time planning.
+    """
+    base, href, out, items = "src", "href", "dst", []
     for side, x in (("b", base), ("h", href)):
         s = f"{p}{side}_"
         items += [
@@ -160,7 +164,9 @@ def resolve_items(base: str, href: str, out: str, p: str = "rz_") -> str:
              f"WHEN {h}netloc <> '' THEN {_unsplit(p + 'scheme', h + 'netloc', h + 'path', h + 'query', h + 'fragment')} "
              f"WHEN {h}path = '' THEN {_unsplit(p + 'scheme', b + 'netloc', b + 'path', f'(CASE WHEN {h}query = {chr(39)}{chr(39)} THEN {b}query ELSE {h}query END)', h + 'fragment')} "
              f"ELSE {_unsplit(p + 'scheme', b + 'netloc', p + 'joined', h + 'query', h + 'fragment')} END AS {out}")
-    return ",\n  ".join(items + [final])
+    steps = [f"{p}0 AS MATERIALIZED (SELECT DISTINCT src, href FROM {pairs})"]
+    steps += [f"{p}{i} AS MATERIALIZED (SELECT *, {item} FROM {p}{i - 1})" for i, item in enumerate(items, 1)]
+    return f"(WITH {', '.join(steps)} SELECT src, href, {final} FROM {p}{len(items)})"
 
 
 def unquote(x: str) -> str:
@@ -169,12 +175,15 @@ def unquote(x: str) -> str:
 
 
 def links_sql(src_table: str = "pages") -> str:
-    """Subquery text of all (src, href, dst) anchors of ``src_table`` (not de-duplicated)."""
-    return f"""(
-  SELECT src, href, {resolve_items('src', 'href', 'dst')}
-  FROM (SELECT src, {decode_entities(unquote('raw'))} AS href FROM (
+    """Subquery text of the distinct (src, href, dst) anchors of ``src_table``."""
+    return resolve_sql(hrefs_sql(src_table))
+
+
+def hrefs_sql(src_table: str = "pages") -> str:
+    """Subquery text of the (src, href) anchors of ``src_table``."""
+    return f"""(SELECT src, {decode_entities(unquote('raw'))} AS href FROM (
         SELECT url AS src, unnest(regexp_extract_all(regexp_replace(html, '{SKIP_RE}', '', 'g'), '{ANCHOR_RE}', 1)) AS raw
-        FROM {src_table})))"""
+        FROM {src_table}))"""
 
 
 def robots_allowed_sql(urls: str, rules: str = "robots_rules", agent: str = "MyCrawler") -> str:
@@ -182,7 +191,7 @@ def robots_allowed_sql(urls: str, rules: str = "robots_rules", agent: str = "MyC
     token = agent.split("/")[0].lower()
     return f"""(
   WITH r AS (SELECT host, agent, rule_order, allow,
-                    CASE WHEN path_prefix = '*' THEN '' ELSE path_prefix END AS path_prefix,
+                    CASE WHEN path_prefix = '*' THEN '' ELSE url_decode(path_prefix) END AS path_prefix,
                     agent = '*' AS is_default
              FROM {rules} WHERE agent = '*' OR contains('{token}', lower(agent))),
        chosen AS (SELECT host, arg_min(agent, (CASE WHEN is_default THEN 1 ELSE 0 END) * 1000000000 + rule_order) AS agent
@@ -190,7 +199,7 @@ def robots_allowed_sql(urls: str, rules: str = "robots_rules", agent: str = "MyC
        app AS (SELECT r.* FROM r JOIN chosen USING (host, agent)),
        u AS (SELECT DISTINCT url, {host('url')} AS h,
                     CASE WHEN regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\\-]*://[^/?#]*([\\s\\S]*)$', 1) = '' THEN '/'
-                         ELSE regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\\-]*://[^/?#]*([\\s\\S]*)$', 1) END AS p
+                         ELSE url_decode(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\\-]*://[^/?#]*([\\s\\S]*)$', 1)) END AS p
              FROM {urls})
   SELECT u.url, coalesce(arg_min(app.allow, app.rule_order) FILTER (WHERE starts_with(u.p, app.path_prefix)), true) AS allowed
   FROM u LEFT JOIN app ON app.host = u.h GROUP BY u.url)"""

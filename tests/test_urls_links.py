@@ -157,3 +157,37 @@ def test_robots_rules_random_files_match_robotparser(spark):
             for p in paths:
                 want[f"http://{host}{p}"] = rp.can_fetch(agent, f"http://{host}{p}")
         assert got == want, [(u, got[u], want[u]) for u in want if got.get(u) != want[u]][:5]
+
+
+def test_robots_compare_decoded_paths(spark):
+    import urllib.robotparser
+
+    body = "User-agent: *\nDisallow: /a%20b\nDisallow: /caf%C3%A9\nDisallow: /x/\nAllow: /q?ok\nDisallow: /q?\n"
+    parser = urllib.robotparser.RobotFileParser()
+    parser.parse(body.splitlines())
+    urls = [f"http://h{p}" for p in ("/a%20b/c", "/a b", "/caf%C3%A9/1", "/café", "/%78/1", "/x/1", "/x", "/q?ok=1", "/q?no", "/q", "/", "", "/q%3Fok")]
+    rules = lx.robots_rules(spark.createDataFrame([("h", 200, body)], "host string, status int, body string"))
+    got = {r.url: r.allowed for r in lx.robots_filter(spark.createDataFrame([(u,) for u in urls], "url string"), rules).collect()}
+    assert got == {u: parser.can_fetch("MyCrawler", u) for u in urls}
+
+
+def test_hrefs_are_cleaned_like_urljoin(spark):
+    from urllib.parse import urljoin
+
+    hrefs = [" /x", "/x\n", "/p\nq", "\thttp://z/1", "\x01/c", "a\tb", "  "]
+    df = spark.createDataFrame([("http://a/b/", h) for h in hrefs], "base string, href string")
+    got = [(r.href, r.u) for r in df.select("href", ux.resolve_url("base", "href").alias("u")).collect()]
+    assert got == [(h, urljoin("http://a/b/", h)) for h in hrefs]
+
+
+def test_crawl_seeds_are_bounded_and_checked(spark):
+    seeds = spark.createDataFrame([(f"http://h/{i}",) for i in range(10)], "url string")
+    links = spark.createDataFrame([("http://h/0", "http://h/n"), ("http://h/n", "http://h/m"), ("http://d/1", "http://h/z")], "src string, dst string")
+    assert sorted(r.url for r in lx.crawl_order(seeds, links, max_pages=3).collect()) == ["http://h/0", "http://h/1", "http://h/2"]
+    deny = spark.createDataFrame([("d", "*", 0, False, "/")], "host string, agent string, rule_order int, allow boolean, path_prefix string")
+    both = seeds.unionByName(spark.createDataFrame([("http://d/1",)], "url string"))
+    reach = {r.url for r in lx.crawl_order(both, links, rules=deny).collect()}
+    assert reach == {f"http://h/{i}" for i in range(10)} | {"http://h/n", "http://h/m"}
+    fetched = spark.createDataFrame([(f"http://h/{i}", 200, "x") for i in range(10)] + [("http://h/n", 404, "x"), ("http://h/m", 200, "x")],
+                                    "url string, status int, html string")
+    assert {r.url for r in lx.crawl_order(seeds, links, fetched=fetched).collect()} == {f"http://h/{i}" for i in range(10)}
