@@ -110,6 +110,17 @@ def term_frequency(forward: DataFrame, with_url: bool = True) -> DataFrame:
         *keys, "term", "frequency", "total_terms")
 
 
+def latest_forward(pages: DataFrame, url: str = "url", html: str = "html", seq: str = "seq") -> DataFrame:
+    """Forward index with one document per url: the one with the largest ``seq`` (without it, largest hash of the html).
+
+    Pages are parsed first, so term counts and not HTML go through the shuffle.
+    """
+    order = F.col(seq) if seq in pages.columns else F.xxhash64(html)
+    fwd = forward_with(spread(pages), F.col(url), html_to_text(html), {"seq": order})
+    latest = fwd.groupBy("url").agg(F.max_by(F.struct("term_count", "total_terms", "terms"), F.col("seq")).alias("d"))
+    return latest.select("url", "d.*")
+
+
 def document_stats(forward: DataFrame) -> DataFrame:
     """(url, term_count, total_terms) per document, zero-term documents included."""
     return forward.select("url", "term_count", "total_terms")
@@ -236,14 +247,15 @@ def assign_ids(keys: DataFrame, key: str, existing: DataFrame | None = None,
     ordered = fresh.repartitionByRange(key).sortWithinPartitions(key).checkpoint()
     pos = ordered.select(key, F.spark_partition_id().alias("__p"),
                          F.monotonically_increasing_id().alias("__m"))
-    counts = sorted(tuple(r) for r in pos.groupBy("__p").count().collect())  # ≤ #partitions rows
+    spark = keys.sparkSession
+    counts = sorted(tuple(r) for r in pos.groupBy("__p").count().collect())  # a row per partition
     starts, acc = [], offset
     for part, n in counts:
-        starts += [F.lit(part), F.lit(acc)]
+        starts.append((part, acc))
         acc += n
-    start_of = F.create_map(*starts) if starts else F.create_map().cast("map<int,bigint>")
+    start_of = F.broadcast(spark.createDataFrame(starts, "__p int, __start long"))  # a row per partition
     local = F.col("__m") - F.shiftleft(F.col("__p").cast("long"), 33)
-    numbered = pos.select(key, (F.element_at(start_of, F.col("__p")) + local + 1).cast("long").alias(id_col))
+    numbered = pos.join(start_of, "__p").select(key, (F.col("__start") + local + 1).cast("long").alias(id_col))
     if existing is not None:
         numbered = existing.select(key, F.col(id_col).cast("long")).unionByName(numbered)
     return numbered

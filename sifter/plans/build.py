@@ -93,7 +93,7 @@ def auto_buckets(n_postings: int) -> int:
 
 
 def write_index_tables(forward: DataFrame, path: str, idf: str = "smoothed",
-                       buckets: int | None = 64, pages_in: int | None = None) -> Index:
+                       buckets: int | None = None, pages_in: int | None = None) -> Index:
     """Persist forward, terms, stats and postings under ``path``.
 
     The regex pipeline runs once (into ``forward``); everything else is
@@ -158,7 +158,7 @@ def latest_version(spark: SparkSession, root: str) -> int | None:
 
 
 def publish(forward: DataFrame, root: str, version: int, idf: str = "smoothed",
-            buckets: int | None = 64, pages_in: int | None = None) -> Index:
+            buckets: int | None = None, pages_in: int | None = None, tag: str = "") -> Index:
     """Write version ``version`` beside the live one and publish it last.
 
     Readers only open versions that carry the marker, so they never see a
@@ -170,10 +170,16 @@ def publish(forward: DataFrame, root: str, version: int, idf: str = "smoothed",
     if fs.exists(spark, f"{path}/{PUBLISHED}"):
         return read_index_tables(spark, path)
     idx = write_index_tables(forward, path, idf, buckets, pages_in)
-    fs.write_marker(spark, f"{path}/{PUBLISHED}", str(version))
+    fs.write_marker(spark, f"{path}/{PUBLISHED}", f"{version}\n{tag}")
     return idx
 
 
+def published_tag(spark: SparkSession, root: str) -> str | None:
+    """The tag that the last published version was given."""
+    v = latest_version(spark, root)
+    return None if v is None else fs.read_text(spark, f"{version_path(root, v)}/{PUBLISHED}").partition("\n")[2]
+
+
 def open_index(spark: SparkSession, root: str) -> Index | None:
     """The last published version, resolved once by the caller."""
     v = latest_version(spark, root)
@@ -185,17 +191,16 @@ def scan_postings(index: Index) -> DataFrame:
     return index.named_postings.select("term", "url", "frequency")
 
 
-def bulk_build(pages: DataFrame, root: str, idf: str = "smoothed", buckets: int = 64,
+def bulk_build(pages: DataFrame, root: str, idf: str = "smoothed", buckets: int | None = None,
                url: str = "url", html: str = "html") -> Index:
     """Bulk build into the next version of ``root`` and publish it.
 
-    ``pages`` must hold one row per url, as the page store (R02) provides;
-    refreshes fold repeated urls themselves.
+    Of pages that repeat a url one is indexed, as in a refresh.
     """
     spark = pages.sparkSession
     v = latest_version(spark, root)
     n_in = pages.count()  # pages without a body are dropped; the difference is kept as a metric
-    return publish(ix.forward_from_pages(pages, url, html), root, 0 if v is None else v + 1, idf, buckets, n_in)
+    return publish(ix.latest_forward(pages, url, html), root, 0 if v is None else v + 1, idf, buckets, n_in)
 
 
 def score_matrix(index: Index, idf: str | None = None) -> DataFrame:

@@ -64,6 +64,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         if jdir.isDefined():
             root = os.path.dirname(jdir.get().rstrip("/"))
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="sifter-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
     elif not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
@@ -75,6 +77,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared folder (never reused)."""
     return f"{checkpoint_root(spark)}/sifter-{name}-{uuid.uuid4().hex[:12]}"
 
-
-def default_parallelism(spark: SparkSession) -> int:
-    return max(1, spark.sparkContext.defaultParallelism)

@@ -3,11 +3,11 @@
 ``readStream.format("text")`` with ``wholetext`` turns each new dump file into
 one row; the file source's checkpoint log is the "already indexed" set (R23)
 and ``cleanSource`` can delete or archive consumed files as the reference
-does.  Each micro-batch runs ``refresh_index`` in ``foreachBatch``: the batch
-id is recorded next to the published version, so a retried batch does not
-publish twice.  The reference polls hourly and only refreshes when at least
-two files wait; ``run_scheduled`` does that check before starting an
-``availableNow`` run.
+does.  Each micro-batch runs ``refresh_index`` in ``foreachBatch``: the marker
+that publishes its version names the batch, so a retried batch does not publish
+twice, and the consumed paths are kept beside the versions.  The reference
+polls hourly and only refreshes when at least two files wait; ``run_scheduled``
+counts the files not yet consumed before starting an ``availableNow`` run.
 """
 
 from __future__ import annotations
@@ -26,19 +26,28 @@ from sifter.sources.dump import SKIP_MARK, parse_dump
 # ---------------------------------------------------------------------------
 REFRESH_INTERVAL = "60 minutes"
 MIN_FILES = 2
-BATCHES = "_batches"
+CONSUMED = "_consumed"
 STREAM_CHECKPOINT = "_stream_checkpoint"
 
 
-def waiting_files(spark: SparkSession, raw_dir: str) -> int:
-    """Files waiting in the dump folder (hidden files and .gitkeep ignored)."""
-    return sum(1 for n in fs.list_names(spark, raw_dir)
-               if not n.startswith((".", "_")) and SKIP_MARK not in n)
+def waiting_files(spark: SparkSession, raw_dir: str, root: str | None = None) -> DataFrame:
+    """Paths of dump files that no published batch of ``root`` has consumed (.gitkeep and hidden files ignored).
+
+    Only file metadata is read; the listing is distributed by Spark's file source.
+    """
+    schema = "path string"
+    if not any(not n.startswith((".", "_")) and SKIP_MARK not in n for n in fs.list_names(spark, raw_dir)):
+        return spark.createDataFrame([], schema)
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(raw_dir)
+             .select(F.col("_metadata.file_path").alias("path")).filter(~F.col("path").contains(SKIP_MARK)))
+    if root is None or not fs.exists(spark, f"{root}/{CONSUMED}"):
+        return files
+    return files.join(spark.read.schema(schema).parquet(f"{root}/{CONSUMED}"), "path", "left_anti")
 
 
-def batch_threshold(spark: SparkSession, raw_dir: str, min_files: int = MIN_FILES) -> bool:
+def batch_threshold(spark: SparkSession, raw_dir: str, min_files: int = MIN_FILES, root: str | None = None) -> bool:
     """True when enough files wait for a refresh."""
-    return waiting_files(spark, raw_dir) >= min_files
+    return waiting_files(spark, raw_dir, root).limit(min_files).count() >= min_files
 
 
 def dump_stream(spark: SparkSession, raw_dir: str, max_files_per_trigger: int | None = None,
@@ -55,24 +64,22 @@ def dump_stream(spark: SparkSession, raw_dir: str, max_files_per_trigger: int |
     return raw.filter(~F.col("path").contains(SKIP_MARK))
 
 
-def _index_batch(root: str, idf: str, buckets: int, mode: str):
+def _index_batch(root: str, idf: str, buckets: int | None, mode: str):
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        marker = f"{root}/{BATCHES}/{batch_id}"
-        if fs.exists(spark, marker):
-            return  # this batch id was published before a restart
+        tag = f"batch={batch_id}"
         pages = parse_dump(batch).select(
             "url", F.col("content").alias("html"),
             F.struct(F.lit(batch_id).alias("b"), "mtime", "path").alias("seq"))
-        if pages.isEmpty():
-            return
-        idx = refresh_index(pages, root, idf, buckets, mode)
-        fs.write_marker(spark, marker, idx.path or "")
+        # the marker that publishes a version names its batch, so a batch that is run again publishes nothing
+        if bx.published_tag(spark, root) != tag and not pages.isEmpty():
+            refresh_index(pages, root, idf, buckets, mode, tag=tag)
+        batch.select("path").distinct().write.mode("overwrite").parquet(f"{root}/{CONSUMED}/batch={batch_id}")
     return run
 
 
 def stream_ingest(spark: SparkSession, raw_dir: str, root: str, checkpoint: str | None = None,
-                  trigger: str = "availableNow", idf: str = "smoothed", buckets: int = 64,
+                  trigger: str = "availableNow", idf: str = "smoothed", buckets: int | None = None,
                   mode: str = "replace", clean_source: str | None = None,
                   max_files_per_trigger: int | None = None):
     """Watch ``raw_dir`` and publish a new index version per micro-batch.
@@ -100,11 +107,7 @@ def stream_ingest(spark: SparkSession, raw_dir: str, root: str, checkpoint: str
 def run_scheduled(spark: SparkSession, raw_dir: str, root: str, checkpoint: str | None = None,
                   min_files: int = MIN_FILES, **kwargs) -> bool:
     """One scheduled refresh: skip unless ``min_files`` wait (R57), else ingest all."""
-    if not batch_threshold(spark, raw_dir, min_files):
+    if not batch_threshold(spark, raw_dir, min_files, root):
         return False
     stream_ingest(spark, raw_dir, root, checkpoint, trigger="availableNow", **kwargs)
     return True
-
-
-def current_index(spark: SparkSession, root: str) -> bx.Index | None:
-    return bx.open_index(spark, root)

