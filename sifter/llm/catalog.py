@@ -79,4 +79,23 @@ ORACLE_SQL: dict[str, str] = {
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept, sha256(norm) AS text_sha256
         FROM t WINDOW same AS (PARTITION BY norm)""",
+    # words cut as the operator cuts them; windows as texts; a word goes when a window over it starts in a smaller doc_id
+    "op7_substring_dedup": r"""
+        WITH cut AS (
+            SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
+            FROM documents),
+        windows AS (
+            SELECT doc_id, s, array_to_string(list_slice(words, s, s + 49), ' ') AS run
+            FROM (SELECT doc_id, words, unnest(range(1, len(words) - 48)) AS s FROM cut WHERE len(words) >= 50)),
+        seen AS (SELECT run, min(doc_id) AS first FROM windows GROUP BY run),
+        gone AS (
+            SELECT DISTINCT doc_id, unnest(range(s, s + 50)) AS p
+            FROM windows JOIN seen USING (run) WHERE first < doc_id),
+        placed AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS p FROM cut),
+        kept AS (
+            SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS left_over
+            FROM placed ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+        SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(n, 0) AS BIGINT) AS n_removed,
+               sha256(coalesce(left_over, '')) AS kept_sha256
+        FROM cut LEFT JOIN kept USING (doc_id)""",
 }
