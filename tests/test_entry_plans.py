@@ -90,3 +90,12 @@ def test_stored_search_plans_agree(spark):
     assert rows(lazy) == rows(shuffle_plan)
     every = lambda df: sorted((r.qid, r.url, round(r.score, 9)) for r in df.collect())
     assert every(sx.search_batch(idx, q)) == every(sx.search_batch(idx, q, broadcast_max_rows=0))
+
+
+def test_registered_queries_parse_html_once(spark):
+    """What they return derives from the stored forward table: no scan below them reads html."""
+    for key in ("search_topk", "search_batch", "search_join", "search", "tf_idf_smoothed", "tf_idf_constant",
+                "join_document_stats", "join_term_idf", "corpus_scalar", "inverted_index", "search_request_log"):
+        df = catalog.queries()[key](spark, SF_SMALL)
+        scans = [ln for ln in df._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Relation" in ln]
+        assert scans and not any("html" in ln for ln in scans), key
