@@ -7,6 +7,10 @@ reproduce the reference's document parser byte for byte on valid UTF-8.
 
 from __future__ import annotations
 
+import json
+from functools import cache
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -63,6 +67,36 @@ def decode_entities(c) -> Column:
     return out
 
 
+@cache
+def _reference_names() -> str:
+    """Characters of the named references of HTML, from the standard library's table, as JSON."""
+    return json.dumps({name[:-1]: chars for name, chars in html5.items() if name.endswith(";")})
+
+
+def decode_references(c) -> Column:
+    """Character references with a semicolon, named and numeric, as an attribute value has them.
+
+    Those that stand for an ampersand come last, so that what they leave is not decoded again.
+    """
+    def numeric(ref: Column) -> Column:
+        hexed = F.lower(ref.substr(1, 1)) == "x"
+        code = F.when(hexed, F.conv(F.substring(ref, 2, 8), 16, 10)).otherwise(F.conv(F.substring(ref, 1, 8), 10, 10)).cast("long")
+        valid = ((code > 0) & (code < 0xD800)) | code.between(0xE000, 0x10FFFF)
+        return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")).otherwise("\ufffd")
+
+    def decoded(text: Column) -> Column:
+        names = F.from_json(F.lit(_reference_names()), "map<string,string>")  # folded to one literal
+        found = F.array_distinct(F.regexp_extract_all(text, F.lit(r"&(#[xX][0-9a-fA-F]+|#[0-9]+|[A-Za-z][A-Za-z0-9]*);"), 1))
+        known = F.filter(F.transform(found, lambda r: F.struct(
+            r.alias("ref"), F.when(r.startswith("#"), numeric(F.substring(r, 2, 16))).otherwise(F.try_element_at(names, r)).alias("chars"))),
+            lambda r: r.chars.isNotNull())
+        ordered = F.concat(F.filter(known, lambda r: r.chars != "&"), F.filter(known, lambda r: r.chars == "&"))
+        return F.aggregate(ordered, text, lambda t, r: F.replace(t, F.concat(F.lit("&"), r.ref, F.lit(";")), r.chars))
+
+    text = col(c)
+    return F.when(text.contains("&"), decoded(text)).otherwise(text)
+
+
 def collapse_whitespace(c) -> Column:
     """Runs of whitespace → one space, no trim."""
     return F.regexp_replace(col(c), WHITESPACE_PATTERN, " ")

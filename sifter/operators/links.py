@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sifter.functions.text import decode_entities
+from sifter.functions.text import decode_references
 from sifter.functions.urls import resolve_url, url_host
 from sifter.operators.index import assign_ids, broadcast_if_small, spread
 from sifter.session import checkpoint_root
@@ -36,10 +36,10 @@ def _unquote(v: Column) -> Column:
 
 
 def anchor_hrefs(html) -> Column:
-    """Raw href values of all anchors outside script/style/comments, entities decoded."""
+    """Raw href values of all anchors outside script/style/comments, character references decoded."""
     h = F.col(html) if isinstance(html, str) else html
     raw = F.regexp_extract_all(F.regexp_replace(h, SKIP_PATTERN, ""), F.lit(ANCHOR_PATTERN), 1)
-    return F.transform(raw, lambda v: decode_entities(_unquote(v)))
+    return F.transform(raw, lambda v: decode_references(_unquote(v)))
 
 
 def extract_links(pages: DataFrame, hosts: list[str] | DataFrame | None = None,

@@ -191,3 +191,12 @@ def test_crawl_seeds_are_bounded_and_checked(spark):
     fetched = spark.createDataFrame([(f"http://h/{i}", 200, "x") for i in range(10)] + [("http://h/n", 404, "x"), ("http://h/m", 200, "x")],
                                     "url string, status int, html string")
     assert {r.url for r in lx.crawl_order(seeds, links, fetched=fetched).collect()} == {f"http://h/{i}" for i in range(10)}
+
+
+def test_hrefs_decode_character_references(spark):
+    import html
+
+    hrefs = ["/q?a=1&#38;b=2", "/e&eacute;&amp;eacute;", "&#x1F600;&#233;&#xe9;", "/a?x=1&y=2", "&lt;&quot;&apos;&gt;", "&nosuch;", "&amp;#38;", "/plain"]
+    pages = spark.createDataFrame([("http://h/", f'<a href="{h}">x</a>') for h in hrefs], "url string, html string")
+    got = [r.h[0] for r in pages.select(lx.anchor_hrefs("html").alias("h")).collect()]
+    assert got == [html.unescape(h) for h in hrefs]
