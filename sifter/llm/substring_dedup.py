@@ -227,6 +227,9 @@ def screen(rows: DataFrame, anchors: DataFrame) -> DataFrame:
             key, doc, tag, pos = (x[order] for x in (key, doc, tag, pos))
             first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
             last = np.maximum.reduceat(doc, first)
+            # in the order of the documents, whose columns then take little room in files and shuffles
+            by_doc = np.lexsort((pos[first], tag[first], doc[first]))
+            first, last = first[by_doc], last[by_doc]
             yield _screened(grp, 0, key=key[first], doc=doc[first], tag=tag[first], pos=pos[first], last=last, digest=None, text=None)
 
     schema = "grp int, part int, key long, doc long, tag long, pos int, last long, digest string, text string"
