@@ -172,7 +172,8 @@ def exact_dedup(docs: DataFrame, capacity: int = BUCKET_BYTES, max_depth: int =
     index = build_index(store(entries(docs), "exact-entries"), capacity, max_depth)
     # documents of a frequent text make a skewed side, which the join splits
     found = keyed(docs).join(index.drop("bucket", "chain"), ["key", "text_sha256"])
-    same_row = Window.partitionBy("key", "text_sha256", "doc_id").orderBy("doc_id")
+    # dealt by digest and doc_id, not by the join's keys, so that a frequent text stays spread
+    same_row = Window.partitionBy("text_sha256", "doc_id").orderBy("doc_id")
     first = F.row_number().over(same_row) == 1
     return found.select("doc_id", "keep_id", "group_size", (F.col("doc_id").eqNullSafe(F.col("keep_id")) & first).alias("kept"), "text_sha256")
 
