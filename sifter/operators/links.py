@@ -261,13 +261,11 @@ def crawl_order(seeds: DataFrame, links: DataFrame, max_pages: int | None = None
 
     def admitted(urls: DataFrame, level: int, room: int | None) -> DataFrame:
         if usable is not None:
-            urls = urls.join(usable, "url", "left_semi")
-        urls = urls.select("url", F.lit(level).alias("level")).checkpoint()
+            urls = urls.join(usable, "url", "left_semi").checkpoint()
         if room is not None and urls.count() > room:
             # dense url-ordered numbers from range-partitioned sorting: no single task holds the level
-            urls = (assign_ids(urls.select("url"), "url", id_col="__n").filter(F.col("__n") <= room)
-                    .select("url", F.lit(level).alias("level")).checkpoint())
-        return urls
+            urls = assign_ids(urls.select("url"), "url", id_col="__n").filter(F.col("__n") <= room).checkpoint()
+        return urls.select("url", F.lit(level).alias("level"))
 
     first = seeds.select(F.col(seeds.columns[0]).alias("url")).distinct()
     if rules is not None:
