@@ -48,9 +48,11 @@ BANDS, ROWS = 16, 3
 #: (4.3 standard deviations of 48 samples under 0.8).
 LEAST_AGREEMENT = 0.55
 DF_BUCKETS = 1 << 18
-#: Nodes of a bucket up to which all those of different classes are compared.
-SMALL = 256
-#: Nodes without a leader that are compared at a time.
+#: Nodes of a bucket up to which all those of different classes are paired.
+SMALL = 64
+#: In a larger bucket, partners of each node outside the leaders' classes.
+NEAREST = 2
+#: Such nodes that are compared at a time.
 BLOCK = 2048
 CACHE_WORDS = 300_000
 
@@ -279,10 +281,11 @@ def components(links: DataFrame) -> DataFrame:
 def residual_pairs(rows: DataFrame, labels: DataFrame, nodes: DataFrame) -> DataFrame:
     """Pairs of different classes in a bucket, other than those with leaders, that their samples do not rule out.
 
-    In a bucket of up to SMALL nodes all nodes of different classes are
-    compared.  In a larger one the nodes that share no class with its leaders
-    are compared with each other; when there are more than BLOCK of them they are
-    split by a second band (texts alike to 0.8 agree in two bands of 16 but for 2 in 10,000).
+    In a bucket of up to SMALL nodes all nodes of different classes are paired.
+    In a larger one each node that shares no class with the leaders is paired
+    with the NEAREST such nodes that agree with it in most samples, so the pairs
+    grow with the nodes; when there are more than BLOCK of them they are split by a
+    second band (texts alike to 0.8 agree in two bands of 16 but for 2 in 10,000).
     """
     label = rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     of_leaders = (leaders(rows).select("bucket", F.explode("leaders").alias("node")).join(labels, "node", "left")
@@ -292,38 +295,38 @@ def residual_pairs(rows: DataFrame, labels: DataFrame, nodes: DataFrame) -> Data
                                           (F.min("label") < F.max("label")).alias("mixed"))
              .filter(F.col("mixed") & ((F.col("n") <= SMALL) | (F.col("n_outside") > 1))).drop("mixed"))
     rest = marked.join(sizes, "bucket").filter((F.col("n") <= SMALL) | F.col("outside")).join(nodes.select("node", "samples"), "node")
-    rest = store(rest.select("bucket", "node", "label", "samples", ((F.col("n") > SMALL) & (F.col("n_outside") > BLOCK)).alias("large")), "minhash-rest")
+    rest = store(rest.select("bucket", "node", "label", "samples", (F.col("n") > SMALL).alias("large"),
+                             ((F.col("n") > SMALL) & (F.col("n_outside") > BLOCK)).alias("split")), "minhash-rest")
     second = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64("bucket", b, F.slice("samples", b * ROWS + 1, ROWS)))
-    split = rest.filter("large").select(F.explode(second).alias("bucket"), "node", "label", "samples")
-    dealt = rest.filter("NOT large").drop("large").unionByName(split).repartition("bucket").sortWithinPartitions("bucket", "node")
+    split = rest.filter("split").select(F.explode(second).alias("bucket"), "node", "label", "samples", "large")
+    dealt = rest.filter("NOT split").drop("split").unionByName(split).repartition("bucket").sortWithinPartitions("bucket", "node")
     least = int(np.ceil(LEAST_AGREEMENT * BANDS * ROWS))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, held = None, []
 
-        def compare(new: list[tuple], old: list[tuple]) -> Iterator[pa.RecordBatch]:
-            x, y = (np.array([h[2] for h in side], dtype=np.int32) for side in (new, old))
-            names = {}
-            p, q = (np.array([names.setdefault(h[1], len(names)) for h in side]) for side in (new, old))
-            for i, mine in enumerate(x):
-                near = np.flatnonzero(((y == mine).sum(axis=1) >= least) & (q != p[i])).tolist()
-                if near:
-                    yield pa.RecordBatch.from_arrays([pa.array([new[i][0]] * len(near), pa.binary()), pa.array([old[j][0] for j in near], pa.binary())],
+        def compare(block: list[tuple]) -> Iterator[pa.RecordBatch]:
+            """Pairs of different classes that agree enough; of a large bucket the nearest of each node."""
+            samples, names = np.array([h[2] for h in block], dtype=np.int32), {}
+            label = np.array([names.setdefault(h[1], len(names)) for h in block])
+            for i, mine in enumerate(samples):
+                agree = (samples == mine).sum(axis=1)
+                near = np.flatnonzero((agree >= least) & (label != label[i]))
+                if block[i][3]:
+                    near = near[np.argsort(-agree[near], kind="stable")[:NEAREST]]
+                else:
+                    near = near[near < i]
+                if len(near):
+                    yield pa.RecordBatch.from_arrays([pa.array([block[i][0]] * len(near), pa.binary()), pa.array([block[j][0] for j in near.tolist()], pa.binary())],
                                                      names=["a", "b"])
 
-        def close() -> Iterator[pa.RecordBatch]:
-            blocks = [held[i:i + BLOCK] for i in range(0, len(held), BLOCK)]
-            for i, new in enumerate(blocks):
-                for old in blocks[:i + 1]:
-                    yield from compare(new, old)
-
         for batch in batches:
-            for key, *row in zip(*(batch.column(c).to_pylist() for c in ("bucket", "node", "label", "samples")), strict=True):
-                if key != bucket:
-                    yield from close()
+            for key, *row in zip(*(batch.column(c).to_pylist() for c in ("bucket", "node", "label", "samples", "large")), strict=True):
+                if key != bucket or len(held) == BLOCK:
+                    yield from compare(held)
                     bucket, held = key, []
                 held.append(tuple(row))
-        yield from close()
+        yield from compare(held)
 
     return _ordered(dealt.mapInArrow(run, "a binary, b binary"))
 
@@ -343,7 +346,7 @@ def link(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFrame, Da
     pairs = store(agreeing(leader_pairs(met), nodes), "minhash-pairs")
     links = verify(pairs, _texts(docs, rows, pairs), idf, similarity)
     labels = components(links)
-    more = store(agreeing(residual_pairs(met, labels, nodes).join(pairs, ["a", "b"], "left_anti"), nodes), "minhash-pairs")
+    more = store(residual_pairs(met, labels, nodes).join(pairs, ["a", "b"], "left_anti"), "minhash-pairs")
     if not more.isEmpty():
         links = links.unionByName(verify(more, _texts(docs, rows, more), idf, similarity))
         labels = components(links)
