@@ -16,10 +16,11 @@ set; two texts agree in a sample with the probability of their weighted Jaccard
 similarity.  Texts that agree in all samples of a band meet in a bucket.  In a
 bucket every text is compared with a few leaders, not with every other text, so
 the pairs grow with the texts; what the leaders leave in different classes is
-then compared by its samples (``residual_pairs``).  Pairs whose samples do not rule out
-the threshold are verified by their exact weighted Jaccard similarity, and the
-links of at least ``SIMILARITY`` make the classes (connected components, by
-label propagation over stored tables).
+then compared by its samples (``residual_pairs``), and what is still in different
+classes of a large bucket is compared in tiles, every pair (``remaining_links``).
+Pairs whose samples do not rule out the threshold are verified by their exact
+weighted Jaccard similarity, and the links of at least ``SIMILARITY`` make the
+classes (connected components, by label propagation over stored tables).
 
 Defined results: texts equal up to case and white space are one node, so
 copies make no pairs; null, empty and blank texts are one class; a text of
@@ -36,7 +37,7 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sifter.llm.common import keep_rows, slices, store, texts_of, who
@@ -54,6 +55,8 @@ SMALL = 64
 NEAREST = 2
 #: Such nodes that are compared at a time.
 BLOCK = 2048
+#: Nodes and bytes of text on a side of a tile of a large bucket.
+TILE, TILE_BYTES = 1024, 8 << 20
 CACHE_WORDS = 300_000
 
 
@@ -214,10 +217,14 @@ def sketches(docs: DataFrame, idf: np.ndarray) -> DataFrame:
     return store(rows.mapInArrow(run, f"doc_id {kind}, text_hash long, node binary, samples array<int>"), "minhash-sketches")
 
 
+def bands() -> Column:
+    """The bucket of each band of the samples."""
+    return F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(b, F.slice("samples", b * ROWS + 1, ROWS)))
+
+
 def buckets(nodes: DataFrame) -> DataFrame:
     """Stored: bucket and node, of buckets with two nodes at least."""
-    band = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(b, F.slice("samples", b * ROWS + 1, ROWS)))
-    rows = nodes.select("node", F.explode(band).alias("bucket"))
+    rows = nodes.select("node", F.explode(bands()).alias("bucket"))
     shared = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")
     return store(rows.join(shared, "bucket").select("bucket", "node"), "minhash-buckets")
 
@@ -331,6 +338,90 @@ def residual_pairs(rows: DataFrame, labels: DataFrame, nodes: DataFrame) -> Data
     return _ordered(dealt.mapInArrow(run, "a binary, b binary"))
 
 
+def unsettled(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """Stored: bucket, node and label of the buckets of more than SMALL nodes that hold several classes."""
+    label = rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    mixed = (label.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("least"), F.max("label").alias("most"))
+             .filter((F.col("n") > SMALL) & (F.col("least") < F.col("most"))).select("bucket"))
+    return store(label.join(mixed, "bucket").select("bucket", "node", "label"), "minhash-unsettled")
+
+
+def remaining_links(rest: DataFrame, nodes: DataFrame, texts: DataFrame, idf: np.ndarray, similarity: float) -> DataFrame:
+    """Stored: links that join every two classes of a bucket with a pair that reaches the threshold.
+
+    Of two classes of a bucket one at least is not its largest: the nodes
+    outside the largest class, in groups of about TILE, are compared with all nodes
+    of the bucket, in such groups too, one tile of two groups after the other in
+    tasks.  A pair is compared in the first bucket that it shares, and only while its
+    classes are not linked yet; a tile returns fewer links than it has nodes.
+    """
+    shared = texts.sparkSession.sparkContext.broadcast(idf)
+    sized = store(rest.join(texts, "node").join(nodes, "node")
+                  .select("bucket", "node", "label", "samples", "text", F.array_position(bands(), F.col("bucket")).alias("band"),
+                          F.octet_length("text").alias("size")), "minhash-unsettled-texts")
+    largest = (sized.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("size"))
+               .groupBy("bucket").agg(F.max(F.struct("n", "label", "size")).alias("main"), F.sum("n").alias("n"), F.sum("size").alias("all_size")))
+    groups = lambda n, size: F.greatest(F.lit(1), F.ceil(n / TILE), F.ceil(size / TILE_BYTES)).cast("int")
+    dealt = (sized.join(largest.select("bucket", F.col("main.label").alias("main"), groups(F.col("n"), F.col("all_size")).alias("columns"),
+                                       groups(F.col("n") - F.col("main.n"), F.col("all_size") - F.col("main.size")).alias("lines")), "bucket")
+             .withColumn("outside", F.col("label") != F.col("main")))
+    mine = lambda n, seed: F.pmod(F.xxhash64("node", F.lit(seed)), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    kept = ["bucket", "line", "column", "first", "outside", "node", "label", "samples", "band", "text"]
+    one = dealt.filter("outside").withColumns({"line": mine("lines", 1), "first": F.lit(True)}).withColumn("column", every("columns"))
+    two = dealt.withColumns({"column": mine("columns", 2), "first": F.lit(False)}).withColumn("line", every("lines"))
+    tiles = (one.select(kept).unionByName(two.select(kept)).repartition("bucket", "line", "column")
+             .sortWithinPartitions("bucket", "line", "column"))
+    least = int(np.ceil(LEAST_AGREEMENT * BANDS * ROWS))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, tile, held = Words(), None, []
+
+        def compare(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+            left, right = [r for r in rows if r[0]], [r for r in rows if not r[0]]
+            if not left or not right:
+                return
+            names, sets, found = {}, {}, []
+            number = lambda side: np.array([names.setdefault(r[3], len(names)) for r in side])
+            mine, label = number(left), number(right)
+            outside, samples, band = np.array([r[1] for r in right]), np.array([r[4] for r in right], dtype=np.int32), left[0][5] - 1
+
+            def set_of(row: tuple) -> tuple[np.ndarray, np.ndarray]:
+                if row[2] not in sets:
+                    use, = words.look_up([words_of(row[6] or "")])
+                    sets[row[2]] = weighted_shingles(words.hashes[use], shared.value[words.buckets[use]])
+                return sets[row[2]]
+
+            for i, row in enumerate(left):
+                same = samples == np.array(row[4], dtype=np.int32)
+                near = np.flatnonzero((same.sum(axis=1) >= least) & (label != mine[i]))
+                if band >= 0 and len(near):
+                    met = same[near].reshape(len(near), BANDS, ROWS).all(axis=2)
+                    near = near[met.argmax(axis=1) == band]
+                for j in near.tolist():
+                    other = right[j]
+                    if label[j] == mine[i] or (outside[j] and other[2] < row[2]):
+                        continue
+                    score = weighted_jaccard(set_of(row), set_of(other))
+                    if score >= similarity:
+                        found.append((*sorted((row[2], other[2])), score))
+                        old, new = label[j], mine[i]
+                        mine[mine == old], label[label == old] = new, new
+            if found:
+                a, b, score = zip(*found, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(score, pa.float64())], names=["a", "b", "score"])
+
+        for batch in batches:
+            for row in zip(*(batch.column(c).to_pylist() for c in kept), strict=True):
+                if row[:3] != tile:
+                    yield from compare(held)
+                    tile, held = row[:3], []
+                held.append(row[3:])
+        yield from compare(held)
+
+    return store(tiles.mapInArrow(run, "a binary, b binary, score double"), "minhash-links")
+
+
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, class_id, class_size, n_links (verified, of its text) and kept of every row."""
     rows, labels, links = link(docs, similarity)
@@ -350,6 +441,12 @@ def link(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFrame, Da
     if not more.isEmpty():
         links = links.unionByName(verify(more, _texts(docs, rows, more), idf, similarity))
         labels = components(links)
+    rest = unsettled(met, labels)
+    if not rest.isEmpty():
+        texts = _texts(docs, rows, rest.select(F.col("node").alias("a"), F.col("node").alias("b")))
+        # two tiles may have found one link
+        links = links.unionByName(remaining_links(rest, nodes, texts, idf, similarity)).dropDuplicates(["a", "b"])
+        labels = components(links)
     return rows, labels, links
 
 

@@ -153,6 +153,41 @@ def test_what_the_leaders_leave_is_compared(spark, monkeypatch, small, block):
         assert got and got <= allowed
 
 
+def drifting_copies(spark, n, edits, seed):
+    """Copies of copies: each text differs from an earlier one in ``edits`` words, from most others in many."""
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice(LOW) for _ in range(5))
+    texts = [[word() for _ in range(150)]]
+    while len(texts) < n:
+        t = list(rng.choice(texts))
+        for k in rng.sample(range(150), rng.choice(edits)):
+            t[k] = word()
+        texts.append(t)
+    return spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+
+
+def copies_around_the_threshold(spark, n, seed):
+    """Edits of one text that is not there: most pairs are somewhat under the threshold, a few reach it."""
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice(LOW) for _ in range(5))
+    base, out = [word() for _ in range(150)], []
+    for i in range(n):
+        t = list(base)
+        for k in rng.sample(range(150), rng.choice((3, 4))):
+            t[k] = word()
+        out.append((i, " ".join(t)))
+    return spark.createDataFrame(out, "doc_id long, text string")
+
+
+@pytest.mark.parametrize("small,nearest,tile,tile_bytes", [(64, 2, 1024, 8 << 20), (4, 0, 50, 8 << 20), (4, 2, 7, 20_000)])
+def test_classes_of_large_buckets_equal_brute_force(spark, monkeypatch, small, nearest, tile, tile_bytes):
+    for name, value in (("SMALL", small), ("NEAREST", nearest), ("TILE", tile), ("TILE_BYTES", tile_bytes)):
+        monkeypatch.setattr(minhash, name, value)
+    for docs in (copies_around_the_threshold(spark, 500, 1), drifting_copies(spark, 300, (2, 3, 4), 8)):
+        got = collected(minhash.near_duplicates(docs).select("doc_id", "class_id", "class_size"))
+        assert got == near_groups(docs, minhash.idf_table(docs))
+
+
 # -- substrings --------------------------------------------------------------------
 
 
