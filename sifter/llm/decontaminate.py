@@ -6,11 +6,13 @@ placeholders.  Every five-word window of the benchmark is hashed, as template an
 as plain words; of the documents every ``stride``-th window is.  An item counts as leaked when at
 least 0.8 of its windows stand in the document; such a document has enough
 windows in a row that a window at every stride meets one of them (see
-``stride_for``), so the sampled windows find all leaks.  The windows hash-join;
-each meeting place gives an alignment of document and item, which is then
-compared word by word over the whole item.  Slots that were filled with other
+``stride_for``), so the sampled windows find all candidates.  The windows hash-join;
+of the candidates every window is then joined with those of the item, and
+each meeting place gives an alignment of document and item (several, if words were
+inserted or left out), which is compared word by word over the whole item.  Slots that were filled with other
 values (re-parameterised questions) must be filled consistently: one value of
-the item, one value in the document.
+the item, one value in the document; where all alignments together are not, those
+count that can be added, most windows first, without a contradiction.
 
 Items with equal templates are one class, named by its smallest item_id.
 Benchmark windows and candidate documents are broadcast only when their stored
@@ -99,7 +101,9 @@ def stride_for(shortest: int) -> int:
 
     With at least 0.8 of n - 4 windows intact, the longest run of intact windows
     has ceil(0.8 (n - 4)) of them while an edit of an inner word would break more
-    than a fifth (n < 29), and at least 8 above that.
+    than a fifth (n < 29), and at least 8 above that.  An inserted word breaks four
+    inner windows, so k of them need n - 4 >= 20 k and leave k + 1 runs of which
+    the longest has at least (n - 4 - 4 k) / (k + 1) >= 16 k / (k + 1) >= 8 windows.
     """
     return max(1, min(MAX_STRIDE, -(-8 * (shortest - WINDOW + 1) // 10)))
 
@@ -118,10 +122,17 @@ def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY)
     in_items = store(numbered.select("item", F.explode(hashed_windows(F.array_join("item_words", " "), 1)).alias("w"))
                      .select("item", F.col("w.pos").alias("item_pos"), "w.h"), "decontaminate-windows")
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
-    in_docs = (rows.select("doc_id", "text_hash", F.explode(hashed_windows(marked(F.col("text")), step)).alias("w"))
-               .select("doc_id", "text_hash", "w.pos", "w.h"))
-    places = store(in_docs.join(_sized(in_items), "h")
-                   .select("doc_id", "text_hash", "item", (F.col("pos") - F.col("item_pos")).alias("shift")).distinct(), "decontaminate-places")
+
+    def windows(of: DataFrame, every: int) -> DataFrame:
+        return (of.select("doc_id", "text_hash", F.explode(hashed_windows(marked(F.col("text")), every)).alias("w"))
+                .select("doc_id", "text_hash", "w.pos", "w.h"))
+
+    pairs = store(windows(rows, step).join(_sized(in_items), "h").select("doc_id", "text_hash", "item").distinct(), "decontaminate-candidates")
+    wanted = _sized(pairs.select(F.col("doc_id").alias("in_doc"), F.col("text_hash").alias("in_text")).distinct())
+    held = rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("in_doc")) & (F.col("text_hash") == F.col("in_text")), "left_semi")
+    met = (windows(held.dropDuplicates(["doc_id", "text_hash"]), 1).join(_sized(in_items), "h")
+           .groupBy("doc_id", "text_hash", "item", (F.col("pos") - F.col("item_pos")).alias("shift")).agg(F.lit(1).alias("met")).drop("met"))
+    places = store(met, "decontaminate-places")
     candidates = places.groupBy("doc_id", "text_hash", "item").agg(F.collect_set("shift").alias("shifts"))
     candidates = candidates.withColumnsRenamed({"doc_id": "in_doc", "text_hash": "in_text"})
     if places.count() <= BROADCAST_ROWS:
@@ -131,10 +142,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY)
             .join(_sized(numbered.select("item", "item_id", "copies", "item_words", "item_t")), "item")
             .select("doc_id", "text_hash", "item_id", "copies", "item_words", "item_t", "shifts", words(marked(F.col("text"))).alias("doc_words"))
             .dropDuplicates(["doc_id", "text_hash", "item_id"]))
-    return compare(both).filter((F.col("containment") >= similarity) & (F.col("consistent") | (F.col("literal") >= similarity)))
+    return compare(both, similarity).filter((F.col("containment") >= similarity) & (F.col("consistent") | (F.col("literal") >= similarity)))
 
 
-def compare(aligned: DataFrame) -> DataFrame:
+def compare(aligned: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """Compare items word by word with the documents at every alignment (shift) found."""
     n = F.size("item_t")
     kind = lambda w: F.when(w.substr(1, 1).isin(NAME, NUMBER, UNIT), w.substr(1, 1)).otherwise(w)
@@ -157,22 +168,28 @@ def compare(aligned: DataFrame) -> DataFrame:
 
     def judged(shift: Column) -> Column:
         return let(at(shift), lambda c: let(whole(c, "same"), lambda w: F.struct(
-            w.alias("windows"), whole(c, "literal").alias("literal"),
+            (-F.size(w)).alias("order"), shift.alias("shift"), w.alias("windows"), whole(c, "literal").alias("literal"),
             F.transform(F.filter(F.transform(c, lambda x, k: F.struct(x.alias("x"), k.alias("k"))),
                                  lambda z: z.x.slot & F.exists(w, lambda s: (z.k >= s) & (z.k < s + WINDOW))),
                         lambda z: F.struct(z.x.kind.alias("kind"), z.x.i.alias("i"), z.x.d.alias("d"))).alias("slots"))))
 
     seen = aligned.withColumn("found", F.transform("shifts", judged))
     slots = F.array_distinct(F.flatten(F.transform("found", lambda f: f.slots)))
+    agree = lambda s: F.size(F.array_distinct(F.transform(s, lambda x: F.struct(x.kind, x.i)))) == F.size(s)
+    added = lambda taken, f: let(F.array_distinct(F.concat(taken.slots, f.slots)), lambda s: F.when(agree(s), F.struct(
+        F.array_union(taken.windows, f.windows).alias("windows"), s.alias("slots"))).otherwise(taken))
+    nothing = F.struct(F.array().cast("array<int>").alias("windows"), F.array().cast("array<struct<kind:string,i:string,d:string>>").alias("slots"))
     seen = (seen.withColumn("windows", F.array_distinct(F.flatten(F.transform("found", lambda f: f.windows))))
             .withColumn("literal_windows", F.array_distinct(F.flatten(F.transform("found", lambda f: f.literal))))
-            .withColumn("slots", slots))
-    filled = F.array_distinct(F.transform("slots", lambda s: F.struct(s.kind, s.i)))
+            .withColumn("slots", slots).withColumn("taken", F.aggregate(F.array_sort("found"), nothing, added)))
     all_windows = (n - WINDOW + 1).cast("double")
+    seen = (seen.withColumn("part", ~agree(F.col("slots")) & (F.size("taken.windows") / all_windows >= similarity))
+            .withColumns({"windows": F.when(F.col("part"), F.col("taken.windows")).otherwise(F.col("windows")),
+                          "slots": F.when(F.col("part"), F.col("taken.slots")).otherwise(F.col("slots"))}))
     return seen.select(
         "doc_id", "text_hash", "item_id", "copies", n.alias("item_words"),
         (F.size("windows") / all_windows).alias("containment"), (F.size("literal_windows") / all_windows).alias("literal"),
-        F.size("slots").alias("slots"), (F.size(filled) == F.size("slots")).alias("consistent"),
+        F.size("slots").alias("slots"), agree(F.col("slots")).alias("consistent"),
         F.exists("slots", lambda s: s.i != s.d).alias("reparameterised"))
 
 

@@ -319,6 +319,29 @@ def test_leaks_in_the_corpus_equal_brute_force(spark):
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {i for i, _ in pairs_of(docs)} - {i for i, _ in want}
 
 
+def test_items_with_inserted_or_missing_words_are_found(spark):
+    """At every place of the item and of the stride; the item keeps at least 0.8 of its windows."""
+    item = [f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(44)]
+    docs, key = [], 0
+    for n, cut in ((29, 0), (29, 1), (44, 0), (44, 1)):
+        for k in range(4, n - 4):
+            changed = item[:k] + (["inserted"] if not cut else []) + item[k + cut:n]
+            for at in range(8):
+                docs.append((key, " ".join(["before"] * at + changed + ["after"] * 3), 0 if n == 29 else 1))
+                key += 1
+    docs += [(key, " ".join([*item[:12], "x", *item[12:30], "y", *item[30:]]), 1), (key + 1, " ".join([*item[:15], "x", "y", *item[15:29]]), 0)]
+    bench = spark.createDataFrame([(0, " ".join(item[:29])), (1, " ".join(item))], "item_id long, text string")
+    table = spark.createDataFrame(docs, "doc_id long, text string, of long")
+    found = {(r.doc_id, r.item_id) for r in decontaminate.decontaminate(table.drop("of"), bench).collect()}
+    assert {(d, of) for d, _, of in docs} <= found
+
+
+def test_two_fillings_of_a_template_in_one_document(spark):
+    apples = ITEMS[0][1]
+    fill = lambda a, b: apples.replace("12", a).replace(" 3 ", f" {b} ")
+    assert set(leaks(spark, [(1, f"{fill('99', '7')} and then {fill('55', '8')}"), (2, fill("99", "7").replace("99 of", "45 of"))])) == {(1, 1)}
+
+
 def test_decontamination_with_empty_tables(spark):
     bench = spark.createDataFrame(ITEMS, "item_id long, text string")
     assert decontaminate.decontaminate(empty(spark), bench).count() == 0
