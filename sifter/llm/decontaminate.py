@@ -14,7 +14,8 @@ values (re-parameterised questions) must be filled consistently: one value of
 the item, one value in the document; where all alignments together are not, those
 count that can be added, most windows first, without a contradiction.
 
-Items with equal templates are one class, named by its smallest item_id.
+Items with equal templates are one class, named by its smallest item_id; each of
+their distinct wordings is compared, and the best one gives the row of the class.
 Benchmark windows and candidate documents are broadcast only when their stored
 row count is within ``BROADCAST_ROWS`` rows of fixed width; beyond that the
 same joins shuffle.
@@ -89,10 +90,11 @@ def hashed_windows(marked_text: Column, step: int) -> Column:
 
 
 def item_classes(benchmark: DataFrame) -> DataFrame:
-    """Stored: item_id, copies, item_words and template words of every class of items with five words or more."""
+    """Stored: per distinct wording of five words or more its words and template words, and item_id and copies of its class."""
     items = benchmark.select("item_id", marked(F.col("text")).alias("m")).withColumn("t", template(F.col("m")))
-    one = items.groupBy("t").agg(F.min(F.struct(F.col("item_id").isNull(), "item_id", "m")).alias("first"), F.count(F.lit(1)).alias("copies"))
-    return store(one.select(F.col("first.item_id").alias("item_id"), "copies", words(F.col("first.m")).alias("item_words"), words("t").alias("item_t"))
+    one = items.groupBy("t").agg(F.min(F.struct(F.col("item_id").isNull(), "item_id")).alias("first"), F.count(F.lit(1)).alias("copies"))
+    worded = items.select("t", "m").distinct().join(one, "t")
+    return store(worded.select(F.col("first.item_id").alias("item_id"), "copies", words(F.col("m")).alias("item_words"), words(F.col("t")).alias("item_t"))
                  .filter(F.size("item_t") >= WINDOW), "decontaminate-items")
 
 
@@ -118,9 +120,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY)
     items = item_classes(benchmark)
     shortest = items.agg(F.min(F.size("item_t"))).first()[0]
     step = stride_for(shortest or WINDOW)
-    numbered = items.withColumn("item", F.xxhash64(F.array_join("item_t", " ")))
+    numbered = items.withColumns({"item": F.xxhash64(F.array_join("item_t", " ")), "wording": F.xxhash64(F.array_join("item_words", " "))})
     in_items = store(numbered.select("item", F.explode(hashed_windows(F.array_join("item_words", " "), 1)).alias("w"))
-                     .select("item", F.col("w.pos").alias("item_pos"), "w.h"), "decontaminate-windows")
+                     .select("item", F.col("w.pos").alias("item_pos"), "w.h").distinct(), "decontaminate-windows")
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
 
     def windows(of: DataFrame, every: int) -> DataFrame:
@@ -139,10 +141,15 @@ def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY)
         candidates = F.broadcast(candidates)
     same = rows["doc_id"].eqNullSafe(candidates["in_doc"]) & (rows["text_hash"] == candidates["in_text"])
     both = (rows.join(candidates, same)
-            .join(_sized(numbered.select("item", "item_id", "copies", "item_words", "item_t")), "item")
-            .select("doc_id", "text_hash", "item_id", "copies", "item_words", "item_t", "shifts", words(marked(F.col("text"))).alias("doc_words"))
-            .dropDuplicates(["doc_id", "text_hash", "item_id"]))
-    return compare(both, similarity).filter((F.col("containment") >= similarity) & (F.col("consistent") | (F.col("literal") >= similarity)))
+            .join(_sized(numbered.select("item", "wording", "item_id", "copies", "item_words", "item_t")), "item")
+            .select("doc_id", "text_hash", "item", "wording", "item_id", "copies", "item_words", "item_t", "shifts",
+                    words(marked(F.col("text"))).alias("doc_words"))
+            .dropDuplicates(["doc_id", "text_hash", "item", "wording"]))
+    found = compare(both, similarity).filter((F.col("containment") >= similarity) & (F.col("consistent") | (F.col("literal") >= similarity)))
+    told = [c for c in found.columns if c not in ("doc_id", "text_hash", "item", "wording")]
+    best = F.struct("literal", "consistent", "containment", (-F.col("slots")).alias("order"), "wording")
+    return (found.groupBy("doc_id", "text_hash", "item").agg(F.max_by(F.struct(*told), best).alias("best"))
+            .select("doc_id", "text_hash", "best.*"))
 
 
 def compare(aligned: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -187,7 +194,7 @@ def compare(aligned: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
             .withColumns({"windows": F.when(F.col("part"), F.col("taken.windows")).otherwise(F.col("windows")),
                           "slots": F.when(F.col("part"), F.col("taken.slots")).otherwise(F.col("slots"))}))
     return seen.select(
-        "doc_id", "text_hash", "item_id", "copies", n.alias("item_words"),
+        "doc_id", "text_hash", "item", "wording", "item_id", "copies", n.alias("item_words"),
         (F.size("windows") / all_windows).alias("containment"), (F.size("literal_windows") / all_windows).alias("literal"),
         F.size("slots").alias("slots"), agree(F.col("slots")).alias("consistent"),
         F.exists("slots", lambda s: s.i != s.d).alias("reparameterised"))

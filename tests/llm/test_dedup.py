@@ -342,6 +342,19 @@ def test_two_fillings_of_a_template_in_one_document(spark):
     assert set(leaks(spark, [(1, f"{fill('99', '7')} and then {fill('55', '8')}"), (2, fill("99", "7").replace("99 of", "45 of"))])) == {(1, 1)}
 
 
+def test_every_wording_of_a_template_is_judged(spark):
+    text = "she packs {} apples and {} pears into the basket and then walks all the long way to the market"
+    other = "quite another question under the same number that speaks about a river and a bridge near the harbour"
+    wordings = [(1, text.format(3, 3)), (2, text.format(3, 4)), (7, other), (7, ITEMS[1][1]), (None, other.replace("river", "lake")), (None, ITEMS[5][1])]
+    bench = spark.createDataFrame(wordings, "item_id long, text string")
+    docs = [(1, text.format(3, 4)), (2, text.format(3, 3)), (3, text.format(8, 9)), (4, f"{other} and {ITEMS[1][1]}"), (5, ITEMS[1][1]),
+            (6, f"{ITEMS[5][1]}, {other.replace('river', 'lake')}")]
+    found = decontaminate.decontaminate(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()
+    assert sorted((r.doc_id, r.item_id or 0) for r in found) == [(1, 1), (2, 1), (3, 1), (4, 7), (4, 7), (5, 7), (6, 0), (6, 0)]
+    assert {r.doc_id: r.reparameterised for r in found if r.doc_id < 4} == {1: False, 2: False, 3: True}
+    assert {r.copies for r in found if r.doc_id < 4} == {2}
+
+
 def test_decontamination_with_empty_tables(spark):
     bench = spark.createDataFrame(ITEMS, "item_id long, text string")
     assert decontaminate.decontaminate(empty(spark), bench).count() == 0
