@@ -10,6 +10,12 @@ labelled rows, whole texts, of each of the ``MAX_LANGS`` most frequent labels,
 taken by the hash of doc_id from rows whose crc32(doc_id as text) mod 4 is not
 ``HELD_OUT``.  A prediction reads the text alone.
 
+A text whose n-grams are too rare in the sample for its predicted language has a
+score under ``LEAST_SCORE``: the mean log share of its n-grams is held against
+that of the language's sampled rows, each third of them by n-gram shares counted over
+the other two thirds.  The spread grows as a text gets shorter, so a few words are seldom
+rejected; a language with under ``LEAST_USUAL`` such rows rejects nothing.
+
 Defined results: ``und`` with score 0 for a null text or one without a letter
 (also when no label could be learned); one learned label is predicted with
 score 1; a row without doc_id is not held out and is not learned from; rows
@@ -47,6 +53,8 @@ MAX_GRAM = 4
 UNDETERMINED = "und"
 #: Score under which the pipeline rejects a document.
 LEAST_SCORE = 0.2
+#: Rows that tell what is usual for a language, standard deviations below it that pass, n-grams that count as one draw.
+LEAST_USUAL, DEVIATIONS, OVERLAP = 30, 6.0, 8
 #: Distinct words a task remembers before it starts anew.
 CACHE_WORDS = 300_000
 _WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
@@ -69,13 +77,17 @@ def word_grams(word: str) -> list[int]:
 
 @dataclass
 class Model:
-    """Weights (DIMENSIONS + bias, classifiers): families first, then pairs of languages."""
+    """Weights (DIMENSIONS + bias, classifiers): families first, then pairs of languages, then the log shares of n-grams.
+
+    ``usual`` has per language mean and variance of the rows' log shares, the variance inside a row, and the deviations allowed.
+    """
 
     langs: list[str]
     families: list[str]
     members: dict[str, list[str]]
     pairs: list[tuple[str, str]]
     weights: np.ndarray
+    usual: dict[str, tuple[float, float, float, float]] = field(default_factory=dict)
     words: dict[str, int] = field(default_factory=dict)
 
     # -- prediction ---------------------------------------------------------
@@ -103,10 +115,12 @@ class Model:
                 self._sums = np.concatenate([self._sums, np.add.reduceat(rows, np.cumsum(part) - part, axis=0)])
             self._grams = np.concatenate([self._grams, sizes.astype(np.float32)])
         out = np.zeros((len(counted), self.weights.shape[1]), dtype=np.float64)
+        self.sizes = np.ones(len(counted))
         for i, ws in enumerate(counted):
             use = np.fromiter(map(self.words.__getitem__, ws), dtype=np.int64, count=len(ws))
             if len(use):
-                out[i] = self._sums[use].sum(axis=0, dtype=np.float64) / self._grams[use].sum(dtype=np.float64)
+                self.sizes[i] = self._grams[use].sum(dtype=np.float64)
+                out[i] = self._sums[use].sum(axis=0, dtype=np.float64) / self.sizes[i]
         return out + self.weights[-1]
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
@@ -114,7 +128,17 @@ class Model:
         if not self.langs:
             return [(UNDETERMINED, 0.0)] * len(texts)
         scores = self.scores(counted)
-        return [self._decide(s) if c else (UNDETERMINED, 0.0) for c, s in zip(counted, scores, strict=True)]
+        return [self._held(*self._decide(s[:-1]), s[-1], n) if c else (UNDETERMINED, 0.0)
+                for c, s, n in zip(counted, scores, self.sizes, strict=True)]
+
+    def _held(self, lang: str, score: float, share: float, n: float) -> tuple[str, float]:
+        """The score, brought under LEAST_SCORE if the text's n-grams are too rare for its language."""
+        if lang in self.usual:
+            mean, variance, inside, allowed = self.usual[lang]
+            under = mean - allowed * np.sqrt(variance + OVERLAP * inside / n) - share
+            if under > 0:
+                score *= LEAST_SCORE * np.exp(-under)
+        return lang, float(score)
 
     def _decide(self, s: np.ndarray) -> tuple[str, float]:
         sure = lambda m: 1.0 / (1.0 + np.exp(-4.0 * m))
@@ -156,6 +180,27 @@ def _fit_svm(x: np.ndarray, y: np.ndarray, c: float = 4.0, rounds: int = 60) ->
     return np.r_[x.T @ (alpha * y), (alpha * y).sum()]
 
 
+def _usual_shares(x: np.ndarray, n: np.ndarray, lang: np.ndarray) -> tuple[np.ndarray, dict[str, tuple[float, float, float, float]]]:
+    """Log shares of the n-grams over all rows, and what each third of a language's rows has of those over the other rows."""
+    third, log_of = np.zeros(len(lang), dtype=np.int64), lambda sums, rows: np.log(sums / max(1, rows) + 1e-6).astype(np.float32)
+    for name in set(lang):
+        at = np.flatnonzero(lang == name)
+        third[at] = np.arange(len(at)) % 3
+    total, share, square = x.sum(axis=0, dtype=np.float64), np.zeros(len(lang)), np.zeros(len(lang))
+    for k in range(3):
+        mine = third == k
+        others = log_of(np.maximum(total - mine.astype(np.float32) @ x, 0.0), (~mine).sum())
+        share[mine], square[mine] = (x @ others)[mine], (x @ others**2)[mine]
+    usual = {}
+    for name in sorted(set(lang)):
+        rows = lang == name
+        if rows.sum() >= LEAST_USUAL:
+            mean, variance, inside = share[rows].mean(), share[rows].var(), (square[rows] - share[rows]**2).mean()
+            off = (mean - share[rows]) / np.sqrt(variance + OVERLAP * inside / n[rows])
+            usual[name] = (float(mean), float(variance), float(inside), float(max(DEVIATIONS, 1.5 * off.max())))
+    return log_of(total, len(lang)), usual
+
+
 def fit(docs: DataFrame, families: dict[str, str] | None = None, sample_per_lang: int = SAMPLE_PER_LANG,
         max_langs: int = MAX_LANGS) -> Model:
     """Fit the classifiers on a bounded sample of the labelled rows outside the held-out fold."""
@@ -176,20 +221,22 @@ def fit(docs: DataFrame, families: dict[str, str] | None = None, sample_per_lang
     def features(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                sparse = []
+                sparse, sizes = [], []
                 for text in part.column("text").to_pylist():
                     grams = np.concatenate([np.array(word_grams(w)) for w in words_of(text)])
                     count = np.bincount(grams, minlength=DIMENSIONS)
                     at = np.flatnonzero(count)
+                    sizes.append(len(grams))
                     sparse.append((at.astype(np.int32), (count[at] / count.sum()).astype(np.float32)))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("lang"), part.column("doc_id"),
                      pa.array([a for a, _ in sparse], pa.list_(pa.int32())),
-                     pa.array([v for _, v in sparse], pa.list_(pa.float32()))], names=["lang", "doc_id", "at", "value"])
+                     pa.array([v for _, v in sparse], pa.list_(pa.float32())), pa.array(sizes, pa.int64())],
+                    names=["lang", "doc_id", "at", "value", "grams"])
 
     kind = dict(docs.dtypes)["doc_id"]
     sample = texts.select("lang", "doc_id", "text").mapInArrow(
-        features, f"lang string, doc_id {kind}, at array<int>, value array<float>").toPandas()
+        features, f"lang string, doc_id {kind}, at array<int>, value array<float>, grams long").toPandas()
     sample = sample.sort_values(["lang", "doc_id"], kind="stable").groupby("lang").head(sample_per_lang)
     x = np.zeros((len(sample), DIMENSIONS), dtype=np.float32)
     for i, (at, value) in enumerate(zip(sample["at"], sample["value"], strict=True)):
@@ -207,14 +254,16 @@ def fit(docs: DataFrame, families: dict[str, str] | None = None, sample_per_lang
     for a, b in pairs:
         both = (lang == a) | (lang == b)
         columns.append(_fit_svm(x[both] * scale, np.where(lang[both] == a, 1.0, -1.0)))
+    log_share, usual = _usual_shares(x, sample["grams"].to_numpy(), lang)
     weights = np.stack(columns, axis=1)
     weights[:-1] *= scale
-    return Model(langs, names, members, pairs, weights.astype(np.float32))
+    weights = np.c_[weights, np.r_[log_share, 0.0]]
+    return Model(langs, names, members, pairs, weights.astype(np.float32), usual)
 
 
 def _shared(docs: DataFrame, model: Model):
     """The model for the tasks; bounded: (families + pairs of at most MAX_LANGS languages) * DIMENSIONS weights."""
-    return docs.sparkSession.sparkContext.broadcast((model.langs, model.families, model.members, model.pairs, model.weights))
+    return docs.sparkSession.sparkContext.broadcast((model.langs, model.families, model.members, model.pairs, model.weights, model.usual))
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:

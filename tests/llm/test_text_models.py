@@ -13,6 +13,7 @@ from sifter.llm import language_id, pii
 
 from .messy import collected, empty, messy, rows, small
 
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
 PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
             "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
 
@@ -129,3 +130,16 @@ def test_languages_of_messy_rows(spark):
     assert language_id.language_id(empty(spark)).count() == 0
     nothing = docs.withColumn("lang", docs["lang"].substr(9, 0)).filter("false").unionByName(docs.withColumn("lang", docs["n_chars"].cast("string")).filter("doc_id is null"))
     assert {r.lang_pred for r in language_id.language_id(nothing).collect()} == {"und"}
+
+
+def test_unlearned_languages_are_rejected_and_held_out_texts_stay(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model, rng = language_id.fit(docs), random.Random(1)
+    some = lambda letters, n: " ".join("".join(rng.choice(letters) for _ in range(rng.randint(2, 9))) for _ in range(n))
+    unknown = [(i, some(letters, n)) for i, (letters, n) in enumerate(
+        (a, n) for a in ("абвгдежзиклмнопрстуфхцчшыья", "αβγδεζηθικλμνξοπρστυφχψω", "אבגדהוזחטיכלמנסעפצקרשת", LETTERS) for n in (40, 100, 1000))]
+    table = spark.createDataFrame(unknown, "doc_id long, text string")
+    assert language_id.drop_unidentified(table, model).count() == 0
+    assert all(r.score < language_id.LEAST_SCORE for r in language_id.identify(table, model).collect())
+    held = docs.filter(language_id.fold() == language_id.HELD_OUT).filter("text rlike '[a-z]'")
+    assert language_id.drop_unidentified(held, model).count() == held.count()
