@@ -11,7 +11,20 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sifter.llm import bpe_codec, decontaminate, exact_dedup, language_id, minhash, pii, sharding, substring_dedup, token_count, token_ids
+from sifter.llm import (
+    bpe_codec,
+    centroids,
+    decontaminate,
+    exact_dedup,
+    language_id,
+    minhash,
+    pii,
+    piece_codec,
+    sharding,
+    substring_dedup,
+    token_count,
+    token_ids,
+)
 from sifter.llm.common import read_table
 
 
@@ -58,6 +71,15 @@ def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_codec.encode_decode(read_table(spark, sf_dir, "documents"),
+                                     public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
     "op6_bpe_roundtrip": op6_bpe_roundtrip,
@@ -69,8 +91,31 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontaminate": op8_decontaminate,
     "op7_substring_dedup": op7_substring_dedup,
     "op1_minhash_dedup": op1_minhash_dedup,
+    "op11_sentencepiece": op11_sentencepiece,
+    "op12_centroids": op12_centroids,
 }
 
+
+def _centroid_rounds() -> str:
+    """The rounds of the centroid query as a chain of common table expressions."""
+    steps = []
+    for r in range(centroids.ROUNDS + 1):
+        steps.append(f"""
+        a{r} AS MATERIALIZED (
+            SELECT id, min(struct_pack(d := d, c := c)) AS best FROM (
+                SELECT id, c, list_sum(list_transform(list_zip(q, center), lambda z: CAST((z[1] - z[2]) * (z[1] - z[2]) AS HUGEINT))) AS d
+                FROM points, c{r}) GROUP BY id)""")
+        if r < centroids.ROUNDS:
+            steps.append(f"""
+        s{r} AS (
+            SELECT c, list(m ORDER BY j) AS center FROM (
+                SELECT c, j, CAST((s - ((s % n) + n) % n) / n AS BIGINT) AS m FROM (
+                    SELECT best.c AS c, j, sum(CAST(q[j] AS HUGEINT)) AS s, CAST(count(*) AS HUGEINT) AS n
+                    FROM a{r} JOIN points USING (id), range(1, 65) AS dims(j) GROUP BY ALL)) GROUP BY c),
+        c{r + 1} AS MATERIALIZED (
+            SELECT c{r}.c, coalesce(s{r}.center, c{r}.center) AS center FROM c{r} LEFT JOIN s{r} USING (c))""")
+    return ",".join(steps)
+
 ORACLE_SQL: dict[str, str] = {
     "op4_exact_dedup": """
         WITH t AS (
@@ -98,4 +143,20 @@ ORACLE_SQL: dict[str, str] = {
         SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(n, 0) AS BIGINT) AS n_removed,
                sha256(coalesce(left_over, '')) AS kept_sha256
         FROM cut LEFT JOIN kept USING (doc_id)""",
+    "op12_centroids": f"""
+        WITH points AS MATERIALIZED (
+            SELECT row_number() OVER () AS id, vec_id,
+                   list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+            FROM embeddings
+            WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(CAST(x AS DOUBLE)))) = 64),
+        c0 AS MATERIALIZED (
+            SELECT row_number() OVER (ORDER BY h, q) - 1 AS c, q AS center
+            FROM (SELECT sha256('3:' || coalesce(CAST(vec_id AS VARCHAR), '')) AS h, q FROM points ORDER BY h, q LIMIT 8)),
+        {_centroid_rounds()},
+        found AS (
+            SELECT vec_id, best.c AS c, best.d AS d FROM a{centroids.ROUNDS} JOIN points USING (id))
+        SELECT vec_id, CAST(c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance,
+               CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia,
+               sha256(array_to_string(center, ',')) AS centroid_sha256
+        FROM found JOIN c{centroids.ROUNDS} USING (c)""",
 }
