@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from sifter.llm import (
     bpe_codec,
     centroids,
+    collocations,
     decontaminate,
     exact_dedup,
     language_id,
@@ -80,6 +81,10 @@ def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.cluster_vectors(read_table(spark, sf_dir, "embeddings"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
     "op6_bpe_roundtrip": op6_bpe_roundtrip,
@@ -93,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op11_sentencepiece": op11_sentencepiece,
     "op12_centroids": op12_centroids,
+    "op13_collocations": op13_collocations,
 }
 
 
@@ -159,4 +165,32 @@ ORACLE_SQL: dict[str, str] = {
                CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia,
                sha256(array_to_string(center, ',')) AS centroid_sha256
         FROM found JOIN c{centroids.ROUNDS} USING (c)""",
+    "op13_collocations": r"""
+        WITH cut AS (
+            SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') AS w
+            FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+                      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+                  FROM documents)),
+        sizes AS (SELECT lang, sum(len(w)) AS n FROM cut GROUP BY lang),
+        counted AS MATERIALIZED (
+            SELECT lang, k, g, count(*) AS f
+            FROM (SELECT lang, k, list_slice(w, s, s + k - 1) AS g
+                  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS s FROM cut, range(1, 4) AS lengths(k) WHERE len(w) >= k))
+            GROUP BY ALL),
+        candidates AS MATERIALIZED (SELECT lang, k, g, f AS a FROM counted WHERE k > 1 AND f >= 10),
+        longer AS (
+            SELECT lang, list_slice(g, s, s + 1) AS g, max(a) AS most FROM candidates, range(1, 3) AS starts(s) WHERE k = 3 GROUP BY ALL),
+        cuts AS (
+            SELECT c.lang, c.g, c.a, s AS cut, p.f AS l, q.f AS r,
+                   (1000000::HUGEINT * c.a * c.a) // (p.f::HUGEINT * q.f) AS score
+            FROM candidates c, range(1, 3) AS places(s)
+            JOIN counted p ON p.lang = c.lang AND p.g = list_slice(c.g, 1, s)
+            JOIN counted q ON q.lang = c.lang AND q.g = list_slice(c.g, s + 1, c.k)
+            WHERE s < c.k),
+        best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, cut) = 1),
+        ranked AS (
+            SELECT lang, array_to_string(g, ' ') AS phrase, a, l, r, CAST(score AS BIGINT) AS score,
+                   row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(g, ' ')) AS rank
+            FROM best LEFT JOIN longer USING (lang, g) WHERE most IS NULL OR 100 * most < 50 * a)
+        SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, score FROM ranked JOIN sizes USING (lang) WHERE rank <= 2000""",
 }
