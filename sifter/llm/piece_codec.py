@@ -23,7 +23,7 @@ import heapq
 import re
 import zlib
 from collections.abc import Iterable, Iterator
-from itertools import chain, islice
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -33,9 +33,9 @@ from sifter.llm.common import ragged, slices, texts_of
 
 #: Characters of distinct words that a task remembers before it starts anew.
 CACHE_CHARS = 8_000_000
-#: Characters up to which a word's pairs are simply looked through for the best one.
+#: Characters up to which words are merged together; longer ones by themselves.
 SHORT_WORD = 64
-_NO_PIECE = float("-inf")
+_NO_RANK = np.int32(2**31 - 1)
 _SPACE = "▁"
 # Fixed values of the model format: numbers of its fields and piece types
 _PIECES, _TRAINER, _NORMALIZER = 1, 2, 3
@@ -224,6 +224,7 @@ class PieceModel:
             if kind == _NORMAL:
                 self.id_of[text] = i
                 self.score[text] = float(np.frombuffer(found.get(2, b"\0\0\0\0"), "<f4")[0])
+        self._tables()
         # a text may be cut before a space mark and before a line end unless a piece reaches across
         self.cuts = self.char_map.space == _SPACE and not any(
             re.search(f"[^{_SPACE}]{_SPACE}|.\n|\n.", p, re.S) for p in self.id_of)
@@ -232,39 +233,99 @@ class PieceModel:
     def words(self, chars: str) -> list[str]:
         return self.word.findall(chars) if self.cuts else [chars] if chars else []
 
-    def encode(self, word: str) -> tuple[list[int], list[int]]:
-        """Ids of a word, and how many characters each stands for (bytes of a character: the last has it)."""
-        ids: list[int] = []
-        sizes: list[int] = []
-        for piece in self._merged(word) if len(word) <= SHORT_WORD else self._merged_long(word):
-            if piece in self.id_of:
-                ids.append(self.id_of[piece])
-                sizes.append(len(piece))
-            else:
-                raw = piece.encode("utf-8")
-                ids += [self.byte_id[b] for b in raw]
-                sizes += [0] * (len(raw) - 1) + [1]
-        return ids, sizes
-
-    def _merged(self, word: str) -> list[str]:
-        """Symbols left when the best pair, the leftmost of equals, has been merged until none is a piece."""
-        symbols, score = list(word), self.score.get
-        scores = [score(a + b, _NO_PIECE) for a, b in zip(symbols, symbols[1:])]
-        while scores:
-            best = max(scores)
-            if best == _NO_PIECE:
-                break
-            at = scores.index(best)
-            symbols[at] += symbols.pop(at + 1)
-            del scores[at]
-            if at < len(scores):
-                scores[at] = score(symbols[at] + symbols[at + 1], _NO_PIECE)
-            if at:
-                scores[at - 1] = score(symbols[at - 1] + symbols[at], _NO_PIECE)
-        return symbols
+    def _tables(self) -> None:
+        """Symbols (pieces and their characters) by number, and the pairs that make a piece, as sorted arrays."""
+        symbols = {s: n for n, s in enumerate(self.id_of)}
+        for c in sorted(set("".join(self.id_of))):
+            symbols.setdefault(c, len(symbols))
+        self.symbols = symbols
+        ranks = {s: r for r, s in enumerate(sorted(set(self.score.values()), reverse=True))}
+        found = [(symbols[p[:cut]] << 32 | symbols[p[cut:]], ranks[s], symbols[p]) for p, s in self.score.items()
+                 for cut in range(1, len(p)) if p[:cut] in symbols and p[cut:] in symbols]
+        table = np.array(sorted(found), dtype=np.int64).reshape(-1, 3)
+        self.pair, self.rank, self.into = table[:, 0].copy(), table[:, 1].astype(np.int32), table[:, 2].astype(np.int32)
+        # characters without a symbol are numbered behind the symbols, by code point
+        self.symbol_of = np.arange(0x110000, dtype=np.int32) + len(symbols)
+        self.symbol_of[[ord(s) for s in symbols if len(s) == 1]] = [n for s, n in symbols.items() if len(s) == 1]
+        self.piece_of = np.array([self.id_of.get(s, -1) for s in symbols], dtype=np.int32)
+        self.chars_of = np.array([len(s) for s in symbols], dtype=np.int32)
+        self.code_of = np.array([ord(s[0]) for s in symbols], dtype=np.int32)
+        raw = [bytes([self.byte_of[i]]) if i in self.byte_of else s.encode("utf-8") for i, s in enumerate(self.spelled)]
+        self.raw_size = np.array(list(map(len, raw)), dtype=np.int64)
+        self.raw_at = np.cumsum(self.raw_size) - self.raw_size
+        self.raw = np.frombuffer(b"".join(raw), dtype=np.uint8)
+        self.byte_ids = np.array(self.byte_id, dtype=np.int32)
+
+    def _pairs(self, sym: np.ndarray, word: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank of the pairs that begin at these places, ``_NO_RANK`` for none, and the symbols they make."""
+        right = np.minimum(at + 1, len(sym) - 1)
+        key = sym[at].astype(np.int64) << 32 | sym[right]
+        place = np.minimum(np.searchsorted(self.pair, key), len(self.pair) - 1)
+        good = (self.pair[place] == key) & (word[at] == word[right]) & (right > at)
+        return np.where(good, self.rank[place], _NO_RANK), self.into[place]
+
+    def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of all words behind one another, the characters each stands for, and the number of ids per word.
+
+        Of a character that falls back to its bytes the last byte has the character.
+        """
+        short = [w if len(w) <= SHORT_WORD else "" for w in words]
+        sym = self.symbol_of[np.frombuffer("".join(short).encode("utf-32-le"), dtype=np.uint32)]
+        word = np.repeat(np.arange(len(words)), np.fromiter(map(len, short), np.int64, len(short)))
+        ready = [self._merged(sym, word)]
+        for i, w in enumerate(words):
+            if len(w) > SHORT_WORD:
+                left = [self.symbols[s] if s in self.symbols else len(self.symbols) + ord(s) for s in self._merged_long(w)]
+                ready.append((np.array(left, dtype=np.int32), np.full(len(left), i)))
+        sym, word = (np.concatenate(parts) for parts in zip(*ready, strict=True))
+        order = np.argsort(word, kind="stable")
+        sym, word = sym[order], word[order]
+        known = np.minimum(sym, len(self.symbols) - 1)
+        outside = sym >= len(self.symbols)
+        ids = np.where(outside, -1, self.piece_of[known])
+        code = np.where(outside, sym - len(self.symbols), self.code_of[known])
+        chars = np.where(ids < 0, 1, self.chars_of[known])
+        several = np.where(ids < 0, 1 + (code > 0x7F) + (code > 0x7FF) + (code > 0xFFFF), 1)
+        if (ids < 0).any():
+            ids, chars = self._fall_back(ids, chars, code, several)
+        return ids.astype(np.int32), chars.astype(np.int32), np.bincount(word, weights=several, minlength=len(words)).astype(np.int64)
+
+    def _fall_back(self, ids: np.ndarray, chars: np.ndarray, code: np.ndarray, several: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of bytes in place of characters without a piece."""
+        end = np.cumsum(several)
+        lost = np.flatnonzero(ids < 0)
+        raw = np.frombuffer(code[lost].astype("<u4").tobytes().decode("utf-32-le").encode("utf-8"), dtype=np.uint8)
+        spread, shown = np.repeat(ids, several), np.zeros(int(end[-1]), dtype=chars.dtype)
+        spread[spread < 0] = self.byte_ids[raw]
+        shown[end - 1] = chars
+        return spread, shown
+
+    def _merged(self, sym: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Symbols left, with their words, when in every round each word has merged the leftmost of its best pairs."""
+        rank, into = self._pairs(sym, word, np.arange(len(sym)))
+        ready = [(sym[:0], word[:0])]
+        while len(sym):
+            first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
+            sizes = np.diff(np.r_[first, len(word)])
+            best = np.minimum.reduceat(rank, first)
+            if (best == _NO_RANK).any():  # words without a pair are ready
+                stay = np.repeat(best < _NO_RANK, sizes)
+                ready.append((sym[~stay], word[~stay]))
+                sym, word, rank, into = (v[stay] for v in (sym, word, rank, into))
+                continue
+            at = np.flatnonzero(rank == np.repeat(best, sizes))
+            at = at[np.r_[True, word[at[1:]] != word[at[:-1]]]]
+            sym[at] = into[at]
+            stay = np.ones(len(sym), dtype=bool)
+            stay[at + 1] = False
+            sym, word, rank, into = (v[stay] for v in (sym, word, rank, into))
+            at -= np.arange(len(at))
+            beside = np.concatenate([at, at[at > 0] - 1])
+            rank[beside], into[beside] = self._pairs(sym, word, beside)
+        return tuple(np.concatenate(parts) for parts in zip(*ready, strict=True))
 
     def _merged_long(self, word: str) -> list[str]:
-        """The same with a queue of pairs, for words of any length."""
+        """The same for one word of any length, with a queue of pairs."""
         symbols, score = list(word), self.score.get
         after, before = list(range(1, len(word) + 1)), list(range(-1, len(word) - 1))
         queue: list[tuple[float, int, str]] = []
@@ -334,7 +395,7 @@ class Encoder:
         self.known, self.held = _Numbers(), 0
         self.decimals: list[str] = []
         self.spelled: list[str] = []
-        self.sizes: list[int] = []
+        self.sizes = np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.int32)
         self.chars = np.zeros(0, np.int32)
 
@@ -344,31 +405,25 @@ class Encoder:
         normal = [self.model.char_map.normalise(t) for t in texts]
         number, before = self.known.__getitem__, len(self.known)
         used = [list(map(number, self.model.words(chars))) for chars, _, _ in normal]
-        fresh = [self.model.encode(w) for w in islice(self.known, before, None)]
-        self.held += sum(map(len, islice(self.known, before, None)))
-        for ids, _ in fresh:
-            self.decimals.append(",".join(map(str, ids)))
-            self.spelled.append(self._spelled(ids))
-            self.sizes.append(len(ids))
-        self.ids = np.r_[self.ids, np.fromiter(chain.from_iterable(i for i, _ in fresh), np.int32)]
-        self.chars = np.r_[self.chars, np.fromiter(chain.from_iterable(c for _, c in fresh), np.int32)]
-        sizes = np.array(self.sizes, dtype=np.int64)
-        starts = np.cumsum(sizes) - sizes
+        fresh = list(islice(self.known, before, None))
+        self.held += sum(map(len, fresh))
+        if fresh:
+            self._learn(*self.model.encode(fresh))
+        sizes, starts = self.sizes, np.cumsum(self.sizes) - self.sizes
         return [Encoded(self, np.array(u, dtype=np.int64), starts, sizes, widths, lead)
                 for u, (_, widths, lead) in zip(used, normal, strict=True)]
 
-    def _spelled(self, ids: list[int]) -> str:
-        """What the ids of a word spell, with space marks: bytes of whole characters read as those."""
-        if self.model.byte_of.keys().isdisjoint(ids):
-            return "".join([self.model.spelled[i] for i in ids])
-        out, raw = [], bytearray()
-        for i in ids:
-            if i in self.model.byte_of:
-                raw.append(self.model.byte_of[i])
-            else:
-                out += [raw.decode("utf-8", "replace"), self.model.spelled[i]]
-                raw.clear()
-        return "".join([*out, raw.decode("utf-8", "replace")])
+    def _learn(self, ids: np.ndarray, chars: np.ndarray, sizes: np.ndarray) -> None:
+        """Keep the ids of new words, in decimals, and what they spell (bytes of whole characters read as those)."""
+        model, ends = self.model, np.cumsum(sizes)
+        decimal, raw = list(map(str, ids.tolist())), ragged(model.raw, model.raw_at[ids], model.raw_size[ids]).tobytes()
+        upto = np.r_[0, np.cumsum(model.raw_size[ids])]
+        lo = 0
+        for hi, begin, end in zip(ends.tolist(), upto[ends - sizes].tolist(), upto[ends].tolist(), strict=True):
+            self.decimals.append(",".join(decimal[lo:hi]))
+            self.spelled.append(raw[begin:end].decode("utf-8", "replace"))
+            lo = hi
+        self.ids, self.chars, self.sizes = np.r_[self.ids, ids], np.r_[self.chars, chars], np.r_[self.sizes, sizes]
 
 
 class Encoded:
