@@ -21,6 +21,7 @@ an empty table gives an empty result; other input columns are ignored.
 
 from __future__ import annotations
 
+import json
 import os
 import struct
 import unicodedata
@@ -30,13 +31,14 @@ from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sifter.llm.bpe_codec import byte_symbols
-from sifter.llm.common import ragged, slices, store, texts_of
+from sifter.llm.common import ragged, slices, store
 
 END_ID = 2
 #: Ids after which a block is closed (a longer document has a block of its own).
@@ -44,10 +46,17 @@ BLOCK_IDS = 1 << 20
 #: Rules made in one round, in all, and the least count of a pair worth a rule.
 ROUND_RULES, MAX_RULES, LEAST_COUNT = 2048, 14_000, 12
 MAX_ROUNDS = 16
-#: Distinct words a task remembers before it starts anew.
-CACHE_WORDS = 500_000
+#: Distinct pieces a task remembers before it starts anew.
+CACHE_PIECES = 500_000
+# The rules that belong to the vocabulary
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": PATTERN}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
 _HEAD = "<4s6I"
-_CELLS = 1 << 18
+_CELL_BITS = 18
 #: Shards whose sizes one window adds up.
 SHARD_GROUP = 4096
 
@@ -65,9 +74,10 @@ class WordEncoder:
 
     The tokenizer normalises (NFC, lower case), drops white space and cuts words
     from digits and signs.  No rule of it reads across a space or a line end, so
-    a text is cut there, and a word's pieces are looked up or given to the
-    library's BPE model once.  A word that holds a special token's string or is
-    not its own NFC form goes through the library whole.
+    a text is cut there; the distinct words of a slice are cut into pieces in one
+    go, and a piece is given to the library's BPE model once.  A word that holds
+    a special token's string or is not its own NFC form goes through the library
+    whole.  A file with other rules is refused.
     """
 
     def __init__(self, path: str):
@@ -77,17 +87,18 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        rules = json.loads(self.tokenizer.to_str())
+        if rules["normalizer"] != NORMALIZER or rules["pre_tokenizer"] != PRE_TOKENIZER:
+            raise ValueError("the tokenizer file has other rules than this encoder")
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         if not all("<" in s for s in self.special):
             raise ValueError("special tokens are expected to hold a <")
         self.byte_chars = str.maketrans(dict(enumerate(byte_symbols())))
-        # Fixed value: the pattern that belongs to the vocabulary
-        self.pattern = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+|\n")  # and line ends between words
+        self.pattern = regex.compile(PATTERN + r"|\n")  # and line ends between words
         self._forget()
 
     def _forget(self) -> None:
-        self.known, self.words = _Numbers(), _Ragged()
-        self.known_pieces, self.pieces = _Numbers({"\n": 0}), _Ragged()
+        self.known, self.pieces = _Numbers({"\n": 0}), _Ragged()
         self.pieces.add([[]])
 
     def _whole(self, text: str) -> bool:
@@ -95,42 +106,42 @@ class WordEncoder:
         return ("<" in text and any(s in text for s in self.special)) or not text.isascii() and (
             "Σ" in text or not unicodedata.is_normalized("NFC", text))
 
-    def _learn(self, words: list[str]) -> None:
-        """Add the ids of new words; those of all words are cut into pieces in one go."""
-        joined = "\n".join(words)
-        odd = {w for w in words if self._whole(w)} if self._whole(joined) else set()
-        if odd:
-            joined = "\n".join("" if w in odd else w for w in words)
+    def _encode(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words behind one another, and the number of ids of each word."""
+        joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words), "\n")[0].as_py()
+        odd: dict[int, list[int]] = {}
+        if self._whole(joined):
+            each = joined.split("\n")
+            odd = {i: self.tokenizer.encode(w, add_special_tokens=False).ids for i, w in enumerate(each) if self._whole(w)}
+            joined = "\n".join("" if i in odd else w for i, w in enumerate(each))
         found = self.pattern.findall(joined.lower())
-        number, before = self.known_pieces.__getitem__, len(self.known_pieces)
+        if len(self.known) > CACHE_PIECES:
+            self._forget()
+        number, before = self.known.__getitem__, len(self.known)
         use = np.fromiter(map(number, found), dtype=np.int64, count=len(found))
         tokenize = self.tokenizer.model.tokenize
-        self.pieces.add([[t.id for t in tokenize(self._spelled(p))] for p in islice(self.known_pieces, before, None)])
+        self.pieces.add([[t.id for t in tokenize(self._spelled(p))] for p in islice(self.known, before, None)])
         word = np.cumsum(use == 0)  # number of the word that each piece is in
         sizes = np.bincount(word, weights=self.pieces.sizes[use], minlength=len(words)).astype(np.int64)
-        self.words.extend(self.pieces.take(use), sizes)
-        for i, w in enumerate(words) if odd else ():
-            if w in odd:
-                self.words.replace(len(self.words.sizes) - len(words) + i, self.tokenizer.encode(w, add_special_tokens=False).ids)
+        flat = self.pieces.take(use)
+        if odd:
+            starts = (np.cumsum(sizes) - sizes)[list(odd)]
+            flat = np.insert(flat, np.repeat(starts, [len(i) for i in odd.values()]), np.fromiter(chain.from_iterable(odd.values()), np.uint32))
+            sizes[list(odd)] = [len(i) for i in odd.values()]
+        return flat, sizes
 
     def _spelled(self, piece: str) -> str:
         return piece if piece.isascii() and piece.isalpha() else piece.encode("utf-8").decode("latin-1").translate(self.byte_chars)
 
-    def ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts behind one another, and the number of ids of each text."""
-        if len(self.known) > CACHE_WORDS:
-            self._forget()
-        number, before = self.known.__getitem__, len(self.known)
-        use = [np.fromiter(map(number, w), dtype=np.int64, count=len(w))
-               for w in (t.replace("\n", " ").split(" ") for t in texts)]
-        fresh = list(islice(self.known, before, None))
-        if fresh:
-            self._learn(fresh)
-        per_text = np.fromiter(map(len, use), dtype=np.int64, count=len(use))
-        used = np.concatenate([per_text[:0], *use])
-        upto = np.r_[0, np.cumsum(self.words.sizes[used])]
-        last = np.cumsum(per_text)
-        return self.words.take(used), upto[last] - upto[last - per_text]
+    def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts (null: empty) behind one another, and the number of ids of each text."""
+        words = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), " ")
+        coded = words.flatten().dictionary_encode()
+        flat, sizes = self._encode(coded.dictionary)
+        used = np.asarray(coded.indices)
+        upto = np.r_[0, np.cumsum(sizes[used])]
+        ends = np.r_[0, np.cumsum(np.asarray(pc.list_value_length(words)), dtype=np.int64)]
+        return ragged(flat, (np.cumsum(sizes) - sizes)[used], sizes[used]), np.diff(upto[ends])
 
 
 class _Ragged:
@@ -146,10 +157,6 @@ class _Ragged:
         self.at = np.r_[self.at, len(self.flat) + np.cumsum(sizes) - sizes]
         self.flat, self.sizes = np.r_[self.flat, flat], np.r_[self.sizes, sizes]
 
-    def replace(self, number: int, ids: list[int]) -> None:
-        self.at[number], self.sizes[number] = len(self.flat), len(ids)
-        self.flat = np.r_[self.flat, np.array(ids, np.uint32)]
-
     def take(self, numbers: np.ndarray) -> np.ndarray:
         return ragged(self.flat, self.at[numbers], self.sizes[numbers])
 
@@ -159,23 +166,23 @@ class _Ragged:
 
 def compress(ids: np.ndarray, sizes: np.ndarray) -> bytes:
     """A block from the ids of its documents; pairs never reach across documents."""
-    seq = ids.astype(np.int64)
+    seq = ids.astype(np.int32)
     doc_end = np.zeros(len(seq), dtype=bool)
     doc_end[np.cumsum(sizes)[sizes > 0] - 1] = True
     first_rule = int(seq.max()) + 1 if len(seq) else 0
     left: list[int] = []
     right: list[int] = []
     for _ in range(MAX_ROUNDS):
-        pairs, counts = _frequent_pairs(seq, doc_end)
+        pairs, counts, places = _frequent_pairs(seq, doc_end)
         chosen = _compatible(pairs, counts, MAX_RULES - len(left))
         if not len(chosen):
             break
-        a, b = chosen >> 32, chosen & 0xFFFFFFFF
-        new = first_rule + len(left) + np.arange(len(chosen))
-        left += a.tolist()
-        right += b.tolist()
+        new = np.full(len(pairs), -1, dtype=np.int32)
+        new[chosen] = first_rule + len(left) + np.arange(len(chosen))
+        left += (pairs[chosen] >> 32).tolist()
+        right += (pairs[chosen] & 0xFFFFFFFF).tolist()
         before = len(seq)
-        seq, doc_end = _replace(seq, doc_end, chosen, new)
+        seq, doc_end = _replace(seq, doc_end, *places, new)
         if len(seq) > 0.98 * before:
             break
     lengths = np.ones(first_rule + len(left), dtype=np.int64)
@@ -191,42 +198,53 @@ def compress(ids: np.ndarray, sizes: np.ndarray) -> bytes:
                      *(p.astype("<u4").tobytes() for p in parts), seq.astype(f"<u{width}").tobytes()])
 
 
-def _frequent_pairs(seq: np.ndarray, doc_end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent pairs and their counts, most frequent first."""
+def _frequent_pairs(seq: np.ndarray, doc_end: np.ndarray) -> tuple[np.ndarray, np.ndarray, tuple[np.ndarray, np.ndarray]]:
+    """Frequent pairs and their counts; and where they are: places, and the pair's number at each.
+
+    Pairs fall into cells by a hash, and the fullest cells count.  In each of them the
+    pair at its last place stands for the cell and is counted exactly; another pair of
+    the cell has its turn when that one is replaced.
+    """
+    none = np.zeros(0, dtype=np.int64)
     if len(seq) < 2:
-        return seq[:0], seq[:0]
-    inside = np.flatnonzero(~doc_end[:-1])
-    a, b = seq[inside], seq[inside + 1]
-    cell = (a * 0x9E3779B1 + b * 0x85EBCA6B >> 13) & (_CELLS - 1)
-    held = np.bincount(cell, minlength=_CELLS)
+        return none, none, (none, none)
+    code = seq.astype(np.uint32)
+    cell = (code[:-1] * np.uint32(0x9E3779B1) + code[1:] * np.uint32(0x85EBCA6B)) >> np.uint32(32 - _CELL_BITS)
+    cell[doc_end[:-1]] = 1 << _CELL_BITS
+    held = np.bincount(cell, minlength=(1 << _CELL_BITS) + 1)[:-1]
     least = max(LEAST_COUNT, int(np.partition(held, -2 * ROUND_RULES)[-2 * ROUND_RULES]))
-    full = held[cell] >= least
-    pairs, counts = np.unique(a[full] << 32 | b[full], return_counts=True)  # exact among the fullest cells
-    order = np.lexsort((pairs, -counts))[:2 * ROUND_RULES]
-    order = order[counts[order] >= LEAST_COUNT]
-    return pairs[order], counts[order]
+    fullest = np.flatnonzero(held >= least)
+    number = np.full((1 << _CELL_BITS) + 1, -1, dtype=np.int32)
+    number[fullest] = np.arange(len(fullest))
+    of = number[cell]
+    at = np.flatnonzero(of >= 0)
+    of = of[at]
+    last = np.zeros(len(fullest), dtype=np.int64)
+    last[of] = at
+    a, b = seq[last], seq[last + 1]
+    same = (seq[at] == a[of]) & (seq[at + 1] == b[of])
+    at, of = at[same], of[same]
+    return a.astype(np.int64) << 32 | b, np.bincount(of, minlength=len(fullest)), (at, of)
 
 
 def _compatible(pairs: np.ndarray, counts: np.ndarray, room: int) -> np.ndarray:
-    """Of these pairs, in this order, those whose places cannot overlap; sorted."""
+    """Numbers of the most frequent of these pairs whose places cannot overlap."""
+    order = np.lexsort((pairs, -counts))[:2 * ROUND_RULES]
+    order = order[counts[order] >= LEAST_COUNT]
     starts, ends, chosen = set(), set(), []
-    for p in pairs.tolist():
+    for n, p in zip(order.tolist(), pairs[order].tolist(), strict=True):
         a, b = p >> 32, p & 0xFFFFFFFF
         if len(chosen) < min(ROUND_RULES, room) and a not in ends and b not in starts and (a != b or a not in starts):
-            chosen.append(p)
+            chosen.append(n)
             starts.add(a)
             ends.add(b)
-    return np.array(sorted(chosen), dtype=np.int64)
+    return np.array(chosen, dtype=np.int64)
 
 
-def _replace(seq: np.ndarray, doc_end: np.ndarray, chosen: np.ndarray, new: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    starts = np.zeros(int(seq.max()) + 1, dtype=bool)
-    starts[chosen >> 32] = True
-    maybe = np.flatnonzero(starts[seq[:-1]] & ~doc_end[:-1])
-    pair = seq[maybe] << 32 | seq[maybe + 1]
-    at = np.minimum(np.searchsorted(chosen, pair), len(chosen) - 1)
-    found = chosen[at] == pair
-    place, symbol = maybe[found], new[at[found]]
+def _replace(seq: np.ndarray, doc_end: np.ndarray, at: np.ndarray, of: np.ndarray, new: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The sequence with the pairs at these places replaced by their new symbols (-1: not replaced)."""
+    symbol = new[of]
+    place, symbol = at[symbol >= 0], symbol[symbol >= 0]
     # only a pair of equal symbols can follow itself at once: every second place
     run = np.r_[True, place[1:] != place[:-1] + 1]
     number = np.arange(len(place))
@@ -318,7 +336,7 @@ def write_shards(docs: DataFrame, tokenizer_path: str, name: str = "token-ids",
         for batch in batches:
             doc_type = batch.schema.field("doc_id").type
             for part in slices(batch, "text"):
-                flat, lengths = encoder.ids(texts_of(part))
+                flat, lengths = encoder.ids(part.column("text"))
                 for doc_id, ids in zip(part.column("doc_id").to_pylist(), np.split(flat, np.cumsum(lengths)[:-1]), strict=True):
                     held += [ids, np.array([end_id], dtype=np.uint32)]
                     doc_ids.append(doc_id)

@@ -1,11 +1,13 @@
 """Token counts, token ids and the BPE codec against the tokenizer libraries."""
 
 import hashlib
+import json
 import random
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
 from sifter.llm import bpe_codec, token_count, token_ids
@@ -85,7 +87,7 @@ def test_encode_decode_on_messy_rows(spark):
 def test_word_ids_equal_the_library():
     t, encoder = library("word_bpe_49k.json"), token_ids.WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
     texts = fuzz()
-    flat, sizes = encoder.ids(texts)
+    flat, sizes = encoder.ids(pa.array(texts))
     for text, ids, want in zip(texts, np.split(flat, np.cumsum(sizes)[:-1]), t.encode_batch(texts, add_special_tokens=False), strict=True):
         assert ids.tolist() == want.ids, text
 
@@ -122,3 +124,13 @@ def test_token_ids_are_read_back(spark):
     check_ids(token_ids.token_ids(messy(spark), path).collect(), [r[:2] for r in rows()])
     check_ids(token_ids.token_ids(small(spark), path).collect(), [(r.doc_id, r.text) for r in small(spark).collect()])
     assert token_ids.token_ids(empty(spark), path).count() == 0
+
+
+def test_files_with_other_rules_are_refused(tmp_path):
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        spec = json.load(f)
+    spec["normalizer"] = None
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(spec), encoding="utf-8")
+    with pytest.raises(ValueError, match="other rules"):
+        token_ids.WordEncoder(str(path))
