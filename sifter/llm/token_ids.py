@@ -69,6 +69,14 @@ class _Numbers(dict):
         return number
 
 
+def check_rules(path: str) -> None:
+    """Refuse a tokenizer file with other rules than those that ``WordEncoder`` follows."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    if spec["normalizer"] != NORMALIZER or spec["pre_tokenizer"] != PRE_TOKENIZER:
+        raise ValueError("the tokenizer file has other rules than this encoder")
+
+
 class WordEncoder:
     """Ids of whole texts by the tokenizer file, from its library's model.
 
@@ -77,7 +85,7 @@ class WordEncoder:
     a text is cut there; the distinct words of a slice are cut into pieces in one
     go, and a piece is given to the library's BPE model once.  A word that holds
     a special token's string or is not its own NFC form goes through the library
-    whole.  A file with other rules is refused.
+    whole.  ``check_rules`` tells whether a file has these rules.
     """
 
     def __init__(self, path: str):
@@ -87,9 +95,6 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        rules = json.loads(self.tokenizer.to_str())
-        if rules["normalizer"] != NORMALIZER or rules["pre_tokenizer"] != PRE_TOKENIZER:
-            raise ValueError("the tokenizer file has other rules than this encoder")
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         if not all("<" in s for s in self.special):
             raise ValueError("special tokens are expected to hold a <")
@@ -318,6 +323,7 @@ class Block:
 
 def write_shards(docs: DataFrame, tokenizer_path: str, name: str = "token-ids", end_id: int = END_ID) -> DataFrame:
     """Encode all documents into stored shards: shard, block, doc_ids, n_ids, data."""
+    check_rules(tokenizer_path)
     base = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     kind = dict(base.dtypes)["doc_id"]
     ordered = base.repartitionByRange("doc_id", "text_hash").sortWithinPartitions("doc_id", "text_hash", "text")

@@ -133,4 +133,4 @@ def test_files_with_other_rules_are_refused(tmp_path):
     path = tmp_path / "other.json"
     path.write_text(json.dumps(spec), encoding="utf-8")
     with pytest.raises(ValueError, match="other rules"):
-        token_ids.WordEncoder(str(path))
+        token_ids.check_rules(str(path))
