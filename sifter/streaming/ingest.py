@@ -1,11 +1,14 @@
 """Structured Streaming ingest of the dump directory.
 
 ``readStream.format("text")`` with ``wholetext`` turns each new dump file into
-one row; the file source's checkpoint log is the "already indexed" set (R23)
+one row; the file source's checkpoint log tells a stream what it has read (R23)
 and ``cleanSource`` can delete or archive consumed files as the reference
-does.  Each micro-batch runs ``refresh_index`` in ``foreachBatch``: the marker
-that publishes its version names the batch, so a retried batch does not publish
-twice, and the consumed paths are kept beside the versions.  The reference
+does.  Each micro-batch runs ``refresh_index`` in ``foreachBatch``.  The index
+keeps a ledger of the files it has consumed, published with the version that
+holds their pages, so each file is indexed exactly once whatever becomes of the
+stream: a batch that is run again, a lost checkpoint, or several streams into
+one index.  A path counts as one file: new content needs a new name, as
+``write_raw_dump`` gives it.  The reference
 polls hourly and only refreshes when at least two files wait; ``run_scheduled``
 counts the files not yet consumed before starting an ``availableNow`` run.
 """
@@ -26,12 +29,11 @@ from sifter.sources.dump import SKIP_MARK, parse_dump
 # ---------------------------------------------------------------------------
 REFRESH_INTERVAL = "60 minutes"
 MIN_FILES = 2
-CONSUMED = "_consumed"
 STREAM_CHECKPOINT = "_stream_checkpoint"
 
 
 def waiting_files(spark: SparkSession, raw_dir: str, root: str | None = None) -> DataFrame:
-    """Paths of dump files that no published batch of ``root`` has consumed (.gitkeep and hidden files ignored).
+    """Paths of dump files that no published version of ``root`` has consumed (.gitkeep and hidden files ignored).
 
     Only file metadata is read; the listing is distributed by Spark's file source.
     """
@@ -40,9 +42,7 @@ def waiting_files(spark: SparkSession, raw_dir: str, root: str | None = None) ->
         return spark.createDataFrame([], schema)
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(raw_dir)
              .select(F.col("_metadata.file_path").alias("path")).filter(~F.col("path").contains(SKIP_MARK)))
-    if root is None or not fs.exists(spark, f"{root}/{CONSUMED}"):
-        return files
-    return files.join(spark.read.schema(schema).parquet(f"{root}/{CONSUMED}"), "path", "left_anti")
+    return files if root is None else files.join(bx.consumed(spark, root), "path", "left_anti")
 
 
 def batch_threshold(spark: SparkSession, raw_dir: str, min_files: int = MIN_FILES, root: str | None = None) -> bool:
@@ -66,15 +66,12 @@ def dump_stream(spark: SparkSession, raw_dir: str, max_files_per_trigger: int |
 
 def _index_batch(root: str, idf: str, buckets: int | None, mode: str):
     def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        tag = f"batch={batch_id}"
         pages = parse_dump(batch).select(
-            "url", F.col("content").alias("html"),
+            "path", "url", F.col("content").alias("html"),
             F.struct(F.lit(batch_id).alias("b"), "mtime", "path").alias("seq"))
-        # the marker that publishes a version names its batch, so a batch that is run again publishes nothing
-        if bx.published_tag(spark, root) != tag and not pages.isEmpty():
-            refresh_index(pages, root, idf, buckets, mode, tag=tag)
-        batch.select("path").distinct().write.mode("overwrite").parquet(f"{root}/{CONSUMED}/batch={batch_id}")
+        # the ledger of the index decides what is new: not the batch's number, which another stream, a lost
+        # checkpoint or a batch that is run again can repeat
+        refresh_index(pages, root, idf, buckets, mode, tag=f"batch={batch_id}", source="path")
     return run
 
 
