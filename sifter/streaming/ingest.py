@@ -38,7 +38,7 @@ def waiting_files(spark: SparkSession, raw_dir: str, root: str | None = None) ->
     Only file metadata is read; the listing is distributed by Spark's file source.
     """
     schema = "path string"
-    if not any(not n.startswith((".", "_")) and SKIP_MARK not in n for n in fs.list_names(spark, raw_dir)):
+    if not fs.exists(spark, raw_dir):
         return spark.createDataFrame([], schema)
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(raw_dir)
              .select(F.col("_metadata.file_path").alias("path")).filter(~F.col("path").contains(SKIP_MARK)))
