@@ -67,17 +67,35 @@ def who(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.col(doc_id).cast("string"), F.lit(""))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores behind it until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def _keyed(docs: DataFrame, keys: dict[str, Column], rows: DataFrame) -> tuple[DataFrame, DataFrame, list[str]]:
+    """``docs`` with key columns whose names it lacks, the distinct keys of ``rows`` under these names, and the names."""
+    names = {k: free_name(docs, k) for k in keys}
+    return (docs.withColumns({names[k]: c for k, c in keys.items()}),
+            rows.select(*[F.col(k).alias(n) for k, n in names.items()]).distinct(), list(names.values()))
+
+
 def keep_rows(docs: DataFrame, keys: dict[str, Column], chosen: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose keys are in ``chosen``, one for each key; all columns as they were.
 
     ``keys`` gives the internal key columns that ``chosen`` has; the window uses
     the partitioning and order of the join.
     """
-    found = docs.withColumns(keys).join(chosen.select(*keys).distinct(), list(keys))
-    first = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys)) == 1
-    return found.withColumn("__first", first).filter("__first").select(*docs.columns)
+    keyed, wanted, names = _keyed(docs, keys, chosen)
+    found = keyed.join(wanted, names)
+    place = free_name(found, "__place")
+    first = F.row_number().over(Window.partitionBy(*names).orderBy(*names))
+    return found.withColumn(place, first).filter(F.col(place) == 1).select(*docs.columns)
 
 
 def drop_rows(docs: DataFrame, keys: dict[str, Column], found: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose keys are not in ``found``."""
-    return docs.withColumns(keys).join(found.select(*keys).distinct(), list(keys), "left_anti").select(*docs.columns)
+    keyed, gone, names = _keyed(docs, keys, found)
+    return keyed.join(gone, names, "left_anti").select(*docs.columns)

@@ -8,7 +8,8 @@ from sifter.llm.common import read_table
 
 SMALL = "/root/testdata/sf0.001"
 #: Columns whose names operators use inside.
-CLASHING = ("key", "bucket", "node", "label", "grp", "kind", "shard", "slot", "lang_pred", "score", "place", "tag")
+CLASHING = ("key", "bucket", "node", "label", "grp", "kind", "shard", "slot", "lang_pred", "score", "place", "tag",
+            "__who", "__key", "__sha", "__text_hash", "__first", "__place", "__doc", "__own", "__other", "__spans", "__REMOVED")
 
 
 def rows():
