@@ -2,17 +2,19 @@
 
 Patterns find the protected entities (e-mail and IP addresses, card and phone
 numbers) in every whole text.  The words around each entity are its context.
-Over the whole corpus, with c(t) the occurrences of a term, c(e) those of an
-entity, c(t, e) those of the term in contexts of the entity and E all entity
-occurrences, a term discloses an entity by
+Over the whole corpus, with c(t) the occurrences of a term, c(t, e) those of the
+term in contexts of the entity, and p the share of all words that stand in
+contexts of the entity, a term discloses an entity by
 
-    share = c(t, e) / c(t)              how often the term points to the entity
-    bits  = log2(share / (c(e) / E))    what it tells beyond the entity's frequency
+    share    = c(t, e) / c(t)                     how often the term points to the entity
+    evidence = c(t, e) * log2(share / p)          bits by which that is no accident
 
-A term seen in at least ``MIN_SUPPORT`` contexts of an entity that tells at
-least ``MIN_BITS`` is generalised at ``GENERALISE`` and removed at ``REMOVE``
-and above, in the documents that hold the entity, where it stands in its context.
-A text without an entity is never changed.
+Neither shrinks with the entity's own frequency.  A term seen in at least
+``MIN_SUPPORT`` contexts of an entity, with at least ``MIN_EVIDENCE``, is
+generalised at a share of ``GENERALISE`` and removed at ``REMOVE`` and above, in
+the documents that hold the entity, where it stands in its context.  So an entity
+that occurs once or twice has no disclosing terms: two occurrences side by side
+tell nothing.  A text without an entity is never changed.
 
 Counts are summed per task before they are shuffled; the terms, not the texts,
 move.  Defined results: a null or empty text has no spans; equal rows get equal
@@ -33,12 +35,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sifter.llm.common import slices, store, texts_of
+from sifter.llm.common import free_name, slices, store, texts_of
 
 KINDS = ("email", "ip", "card", "phone")
 #: Words on each side of an entity that are its context.
 CONTEXT = 5
-MIN_SUPPORT, MIN_BITS, GENERALISE, REMOVE = 3, 3.0, 0.5, 0.9
+MIN_SUPPORT, MIN_EVIDENCE, GENERALISE, REMOVE = 3, 8.0, 0.5, 0.9
 #: Distinct terms a task counts before it hands them on.
 COUNT_TERMS = 300_000
 
@@ -164,18 +166,18 @@ def _counted(seen: Counter) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["term", "n"])
 
 
-def disclosures(found: DataFrame, counts: DataFrame, min_support: int = MIN_SUPPORT, min_bits: float = MIN_BITS,
+def disclosures(found: DataFrame, counts: DataFrame, min_support: int = MIN_SUPPORT, min_evidence: float = MIN_EVIDENCE,
                 generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
-    """entity, term, share, bits, action of the terms that disclose an entity."""
-    n_entity = found.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
-    total = found.agg(F.sum(F.array_size("entities")).alias("total"))
-    both = (found.select(F.explode("context").alias("c")).groupBy("c.entity", "c.term")
-            .agg(F.count(F.lit(1)).alias("n_both")).filter(F.col("n_both") >= min_support))
-    told = (both.join(counts, "term").join(n_entity, "entity").crossJoin(F.broadcast(total))  # one row
+    """entity, term, share, evidence, action of the disclosing terms."""
+    near = found.select(F.explode("context").alias("c")).select("c.entity", "c.term")
+    n_near = near.groupBy("entity").agg(F.count(F.lit(1)).alias("n_near"))
+    total = counts.agg(F.sum("n_term").alias("total"))
+    both = near.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both")).filter(F.col("n_both") >= min_support)
+    told = (both.join(counts, "term").join(n_near, "entity").crossJoin(F.broadcast(total))  # one row
             .withColumn("share", F.col("n_both") / F.col("n_term"))
-            .withColumn("bits", F.log2(F.col("share") * F.col("total") / F.col("n_entity"))))
-    return (told.filter((F.col("bits") >= min_bits) & (F.col("share") >= generalise))
-            .select("entity", "term", "share", "bits", F.when(F.col("share") >= remove, "removed").otherwise("generalised").alias("action")))
+            .withColumn("evidence", F.col("n_both") * F.log2(F.col("share") * F.col("total") / F.col("n_near"))))
+    return (told.filter((F.col("evidence") >= min_evidence) & (F.col("share") >= generalise))
+            .select("entity", "term", "share", "evidence", F.when(F.col("share") >= remove, "removed").otherwise("generalised").alias("action")))
 
 
 def personal_data(docs: DataFrame) -> DataFrame:
@@ -202,15 +204,16 @@ def personal_data(docs: DataFrame) -> DataFrame:
 def sanitise(docs: DataFrame) -> DataFrame:
     """The documents' columns with the text rewritten: entities and generalised terms become their kind, removed terms go."""
     spans = personal_data(docs).select("doc_id", "text_hash", "spans", "removed").distinct()
-    keyed = docs.withColumn("__text_hash", F.xxhash64("text"))
-    named = spans.withColumnsRenamed({"doc_id": "__doc", "text_hash": "__hash", "spans": "__spans", "removed": "__removed"})
-    both = keyed.join(named, keyed["doc_id"].eqNullSafe(named["__doc"]) & (F.col("__text_hash") == F.col("__hash")), "left")
+    doc, own, other, found, gone = (free_name(docs, n) for n in ("__doc", "__own", "__other", "__spans", "__removed"))
+    keyed = docs.withColumn(own, F.xxhash64("text"))
+    named = spans.withColumnsRenamed({"doc_id": doc, "text_hash": other, "spans": found, "removed": gone})
+    both = keyed.join(named, F.col("doc_id").eqNullSafe(F.col(doc)) & (F.col(own) == F.col(other)), "left")
 
     @F.pandas_udf("string")
     def rewrite(text: pd.Series, spans: pd.Series, removed: pd.Series) -> pd.Series:
         return pd.Series([rewritten(*row) for row in zip(text, spans, removed, strict=True)], dtype=object)
 
-    return both.withColumn("text", rewrite("text", "__spans", "__removed")).select(docs.columns)
+    return both.withColumn("text", rewrite("text", found, gone)).select(docs.columns)
 
 
 def rewritten(text: str | None, spans: str | None, removed: str | None) -> str | None:

@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import pytest
+import regex
 
 from sifter.llm import language_id, pii
 
@@ -41,17 +42,27 @@ def test_spans_equal_the_plain_patterns(spark):
         assert [s[:3] for s in pii.base_spans(text)] == spans(text), text[:100]
 
 
+def around(text, found):
+    """(entity, term, start, end) of the five words before and after each span that are in no span."""
+    free = [m for m in regex.finditer(r"\p{L}[\p{L}\p{M}]*", text) if not any(s < m.end() and e > m.start() for _, s, e, _ in found)]
+    out = set()
+    for kind, s, e, value in found:
+        before, after = [m for m in free if m.start() < s][-5:], [m for m in free if m.start() >= e][:5]
+        out |= {(f"{kind}:{value}", m[0].lower(), m.start(), m.end()) for m in before + after}
+    return sorted(out)
+
+
 def disclosing(given):
     """Spans of disclosing terms by row, counted in plain Python."""
     found = [pii.base_spans(t or "") for _, t in given]
-    near = [pii.contexts(t or "", s) for (_, t), s in zip(given, found, strict=True)]
+    near = [around(t or "", s) for (_, t), s in zip(given, found, strict=True)]
     n_term = Counter(w for _, t in given for w in pii._WORD.findall((t or "").lower()))
-    n_entity = Counter(f"{k}:{v}" for s in found for k, _, _, v in s)
+    n_near = Counter(e for c in near for e, _, _, _ in c)
     both = Counter((e, w) for c in near for e, w, _, _ in c)
-    total, risky = sum(n_entity.values()), {}
+    total, risky = sum(n_term.values()), {}
     for (e, w), n in both.items():
         share = n / n_term[w]
-        if n >= pii.MIN_SUPPORT and share >= pii.GENERALISE and math.log2(share * total / n_entity[e]) >= pii.MIN_BITS:
+        if n >= 3 and share >= 0.5 and n * math.log2(share * total / n_near[e]) >= 8:
             risky[e, w] = share
     return [sorted({(a, b) for e, w, a, b in c if (e, w) in risky}) for c in near]
 
@@ -69,6 +80,17 @@ def people(spark):
     return spark.createDataFrame(out, "doc_id long, text string")
 
 
+def test_terms_of_frequent_and_of_few_entities_are_found(spark):
+    """An address with a third of all occurrences, and a table of three addresses: terms that stand only beside theirs."""
+    rng = random.Random(8)
+    words = [a + b for a in ("da", "lo", "mi", "re") for b in ("n", "k", "l", "t")]
+    for owners in ([0] * 40 + list(range(1, 21)) * 4, [0, 1, 2] * 30):
+        rows = [(i, " ".join([*rng.sample(words, 6), f"captain{chr(97 + o)}", f"p{o}@mail.org", *rng.sample(words, 6)])) for i, o in enumerate(owners)]
+        found = pii.personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        terms = {r.doc_id: r.n_term for r in found}
+        assert all(terms[i] == 1 for i, o in enumerate(owners) if owners.count(o) >= 3)
+
+
 @pytest.mark.parametrize("table", [messy, people, small])
 def test_personal_data(spark, table):
     docs = table(spark)
