@@ -423,9 +423,9 @@ def remaining_links(rest: DataFrame, nodes: DataFrame, texts: DataFrame, idf: np
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """doc_id, class_id, class_size, n_links (verified, of its text) and kept of every row."""
-    rows, labels, links = link(docs, similarity)
-    return classes(rows, labels, links)
+    """doc_id, class_id, class_size and kept of every row; of each class one row is kept, of the least doc_id (null last)."""
+    rows, labels, _ = link(docs, similarity)
+    return classes(rows, labels)
 
 
 def link(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -469,11 +469,11 @@ def _texts(docs: DataFrame, rows: DataFrame, pairs: DataFrame) -> DataFrame:
     return store(found.dropDuplicates(["node"]), "minhash-texts")
 
 
-def classes(rows: DataFrame, labels: DataFrame, links: DataFrame) -> DataFrame:
-    degree = (links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node")))
-              .groupBy("node").agg(F.count(F.lit(1)).alias("n_links")))
-    member = (rows.select("doc_id", "node").join(labels, "node", "left").join(degree, "node", "left")
-              .select("doc_id", F.coalesce("label", "node").alias("label"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")))
-    sizes = member.groupBy("label").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"))
+def classes(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    member = (rows.select("doc_id", "text_hash", "node").join(labels, "node", "left")
+              .select("doc_id", F.coalesce("label", "node").alias("label"),
+                      F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash", F.monotonically_increasing_id().alias("row")).alias("place")))
+    member = store(member, "minhash-members")  # the numbers of the rows are fixed once written
+    sizes = member.groupBy("label").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("class_size"))
     return (member.join(sizes, "label")
-            .select("doc_id", "class_id", "class_size", "n_links", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept")))
+            .select("doc_id", F.col("first.doc_id").alias("class_id"), "class_size", (F.col("place.row") == F.col("first.row")).alias("kept")))

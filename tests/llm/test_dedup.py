@@ -371,3 +371,10 @@ def test_the_stride_meets_every_leak(n):
         broken = {w for e in rng.sample(range(n), rng.randint(0, 3)) for w in range(max(0, e - 4), min(windows, e + 1))}
         if windows - len(broken) >= 0.8 * windows:
             assert all(any((w + at) % step == 0 for w in range(windows) if w not in broken) for at in range(step))
+
+
+def test_one_row_of_every_class_is_kept(spark):
+    found = minhash.near_duplicates(messy(spark)).groupBy("class_id", "class_size").agg(F.sum(F.col("kept").cast("int")).alias("n"), F.count("*").alias("rows"))
+    rows = found.collect()
+    assert sum(r.n for r in rows) == minhash.keep_one(messy(spark)).count()
+    assert all(r.n * r.class_size == r.rows for r in rows)
