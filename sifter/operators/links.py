@@ -195,9 +195,8 @@ def robots_filter(urls: DataFrame, rules: DataFrame, agent: str = DEFAULT_AGENT,
     rule whose path is a prefix of the URL's path decides; no rule → allowed.
 
     Exact and pair-free: instead of pairing each URL with every rule of its
-    host, each URL emits only its prefixes of the lengths that rules have
-    (a set bounded by the longest rule), and those meet the rules in an
-    equi-join on (host, prefix).
+    host, each URL emits only its prefixes of the lengths that the rules of its
+    host have, and those meet the rules in an equi-join on (host, prefix).
     """
     token = agent.split("/")[0].lower()
     group = "entry" if "entry" in rules.columns else "agent"   # a group of rules shares an entry
@@ -211,17 +210,14 @@ def robots_filter(urls: DataFrame, rules: DataFrame, agent: str = DEFAULT_AGENT,
     applicable = r.join(chosen, ["host", "__g"], "left_semi").select(
         "host", "path_prefix", "rule_order", "allow").distinct()
 
-    # one small job: the distinct prefix lengths (bounded by the longest rule) and the rule count
-    summary = applicable.agg(F.array_sort(F.collect_set(F.length("path_prefix"))).alias("lengths"),
-                             F.count(F.lit(1)).alias("n")).first()
-    lengths, n_rules = list(summary["lengths"] or []), int(summary["n"])
+    # a host's prefix lengths: one short row per host, so a URL emits no more prefixes than its own host has lengths
+    lengths = applicable.groupBy("host").agg(F.array_sort(F.collect_set(F.length("path_prefix"))).alias("__lengths"))
+    n_rules = applicable.count()
     u = urls.select(F.col(url).alias("url")).distinct().select(
         "url", url_host(F.col("url")).alias("host"), _path_for_robots(F.col("url")).alias("__path"))
-    prefixes = F.filter(
-        F.transform(F.array(*[F.lit(n) for n in lengths]) if lengths else F.array().cast("array<int>"),
-                    lambda n: F.when(F.length("__path") >= n, F.substring("__path", 1, n))),
-        lambda p: p.isNotNull())
-    cand = u.select("url", "host", F.explode_outer(prefixes).alias("path_prefix"))
+    prefixes = F.transform(F.filter("__lengths", lambda n: F.length("__path") >= n), lambda n: F.substring(F.col("__path"), F.lit(1), n))
+    cand = (u.join(broadcast_if_small(lengths, n_rules), "host", "left")
+            .select("url", "host", F.explode_outer(prefixes).alias("path_prefix")))
     hits = cand.join(broadcast_if_small(applicable, n_rules), ["host", "path_prefix"], "left")
     return hits.groupBy("url").agg(
         F.coalesce(F.min_by("allow", "rule_order"), F.lit(True)).alias("allowed"))

@@ -200,3 +200,15 @@ def test_hrefs_decode_character_references(spark):
     pages = spark.createDataFrame([("http://h/", f'<a href="{h}">x</a>') for h in hrefs], "url string, html string")
     got = [r.h[0] for r in pages.select(lx.anchor_hrefs("html").alias("h")).collect()]
     assert got == [html.unescape(h) for h in hrefs]
+
+
+def test_urls_emit_prefixes_of_their_own_hosts_lengths_only(spark):
+    rules = spark.createDataFrame(
+        [("a", "*", 0, False, "/" + "x" * n) for n in range(1, 40)] + [("b", "*", 0, False, "/p")],
+        "host string, agent string, rule_order int, allow boolean, path_prefix string")
+    long_path = "/" + "y" * 60
+    urls = spark.createDataFrame([(f"http://{h}{p}",) for h in ("a", "b", "c") for p in ("/xx", "/p1", long_path)], "url string")
+    decided = lx.robots_filter(urls, rules)
+    assert {r.url for r in decided.filter("not allowed").collect()} == {"http://a/xx", "http://b/p1"} and decided.count() == 9
+    plan = decided._jdf.queryExecution().optimizedPlan().toString()
+    assert "__lengths" in plan and "collect_set" in plan  # joined per host, not collected on the driver
