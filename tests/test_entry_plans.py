@@ -50,6 +50,33 @@ def test_search_plan_prunes_and_limits(spark):
     assert "BroadcastHashJoin" in plan or "broadcast" in plan.lower()
 
 
+def test_hits_stay_in_their_shard(spark):
+    """Postings are scanned once and dealt once; above them only ranked rows are dealt, by query."""
+    pages = spark.read.parquet(f"{SF_SMALL}/pages.parquet")
+    idx = bx.write_index_tables(ix.forward_from_pages(pages), scratch_path(spark, "t-shards"), buckets=8)
+    queries = fixture(spark, SF_SMALL, "chat_queries")
+    for found, above in ((sx.search_batch(idx, queries, k=10), "WindowGroupLimit [qid"), (sx.search_totals(idx, queries), "HashAggregate(keys=[qid")):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        lines = plan.splitlines()
+        by_shard = [i for i, ln in enumerate(lines) if "Exchange hashpartitioning(shard" in ln]
+        assert len(by_shard) == 1 and plan.count("frequency#") and sum("FileScan" in ln and "frequency" in ln for ln in lines) == 1
+        moved = [i for i, ln in enumerate(lines[:by_shard[0]]) if "Exchange hashpartitioning(qid" in ln]
+        assert len(moved) == 1 and above in lines[moved[0] + 1], lines[moved[0] + 1]
+        assert not any("Exchange hashpartitioning(qid" in ln and "doc_id" in ln for ln in lines)
+
+
+def test_totals_are_those_of_all_matches(spark):
+    pages = spark.read.parquet(f"{SF_SMALL}/pages.parquet")
+    idx = bx.write_index_tables(ix.forward_from_pages(pages), scratch_path(spark, "t-totals"), buckets=8)
+    queries = fixture(spark, SF_SMALL, "chat_queries")
+    want = {}
+    for r in sx.search_batch(idx, queries).collect():
+        want.setdefault(r.qid, []).append(r.score)
+    for layout in ({}, {"shards": 1}, {"shards": 37}, {"query_side_bytes": 0}):
+        got = {r.qid: (r.matches, round(r.best, 9), round(r.total, 6)) for r in sx.search_totals(idx, queries, **layout).collect()}
+        assert got == {q: (len(v), round(max(v), 9), round(sum(v), 6)) for q, v in want.items()}
+
+
 def unpartitioned_windows(plan: str) -> list[str]:
     """Window specs list partition keys first; without any, the first item is an ordering or the frame."""
     out = []
@@ -84,12 +111,12 @@ def test_stored_search_plans_agree(spark):
     q = fixture(spark, SF_SMALL, "chat_queries")
     rows = lambda df: sorted((r.qid, r.url, round(r.score, 9), r.rank) for r in df.collect())
     broadcast_plan = sx.search_batch(idx, q, k=10)
-    shuffle_plan = sx.search_batch(idx, q, k=10, broadcast_max_rows=0)
+    shuffle_plan = sx.search_batch(idx, q, k=10, query_side_bytes=0)
     assert rows(broadcast_plan) == rows(shuffle_plan)
     lazy = sx.search_batch(bx.build_index(pages), q, k=10)
     assert rows(lazy) == rows(shuffle_plan)
     every = lambda df: sorted((r.qid, r.url, round(r.score, 9)) for r in df.collect())
-    assert every(sx.search_batch(idx, q)) == every(sx.search_batch(idx, q, broadcast_max_rows=0))
+    assert every(sx.search_batch(idx, q)) == every(sx.search_batch(idx, q, query_side_bytes=0))
 
 
 def test_registered_queries_parse_html_once(spark):

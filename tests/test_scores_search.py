@@ -100,8 +100,8 @@ def test_topk_with_many_exact_copies(spark, tmp_path):
     stored = bx.write_index_tables(bx.ix.forward_from_pages(pages), str(tmp_path / "copies"), "constant", buckets=2)
     lazy = bx.build_index(pages, idf="constant")
     rows = lambda df: sorted((r.qid, r.url, round(r.score, 9), r.rank) for r in df.collect())
-    for plan_rows in (0, 2_000_000):
-        got = rows(sx.search_batch(stored, q, k=5, broadcast_max_rows=plan_rows))
+    for layout in ({"query_side_bytes": 0}, {}, {"shards": 1}, {"shards": 50}):
+        got = rows(sx.search_batch(stored, q, k=5, **layout))
         assert got == rows(sx.search_batch(lazy, q, k=5))
     top_spam = [r.url for r in sx.search_batch(stored, q, k=5).filter("qid = 1").orderBy("rank").collect()]
     assert top_spam == ["http://o/1", "http://c/000", "http://c/001", "http://c/002", "http://c/003"]
