@@ -1,9 +1,11 @@
 """Benchmark decontamination by template canonicalisation (operator 8); DataFrame functions only.
 
-A text becomes a sequence of lower-case words in which names (capitalised words
-inside a sentence), numbers and the units behind numbers are typed
+A text becomes a sequence of lower-case words in which names (capitalised words),
+numbers and the units behind numbers are typed
 placeholders.  Every five-word window of the benchmark is hashed, as template and
-as plain words; of the documents every ``stride``-th window is.  An item counts as leaked when at
+as plain words; of the documents every ``stride``-th window is.  A window of
+placeholders alone says nothing as a template and is hashed as plain words only;
+instead the windows at both ends of a stretch of such windows are always hashed.  An item counts as leaked when at
 least 0.8 of its windows stand in the document; such a document has enough
 windows in a row that a window at every stride meets one of them (see
 ``stride_for``), so the sampled windows find all candidates.  The windows hash-join;
@@ -11,14 +13,18 @@ of the candidates every window is then joined with those of the item, and
 each meeting place gives an alignment of document and item (several, if words were
 inserted or left out), which is compared word by word over the whole item.  Slots that were filled with other
 values (re-parameterised questions) must be filled consistently: one value of
-the item, one value in the document; where all alignments together are not, those
+the item, one value in the document, where the value of a name is its whole run of up
+to five words.  A capitalised word that begins a sentence may be no name, so it
+meets any name but is held to no consistency.  A name may have another number of
+words: windows around it count when those that end and begin with it do.  Where all alignments together are not, those
 count that can be added, most windows first, without a contradiction.
 
 Items with equal templates are one class, named by its smallest item_id; each of
 their distinct wordings is compared, and the best one gives the row of the class.
 Benchmark windows and candidate documents are broadcast only when their stored
-row count is within ``BROADCAST_ROWS`` rows of fixed width; beyond that the
-same joins shuffle.
+row count is within ``BROADCAST_ROWS`` rows of fixed width, the items' words
+only within ``BROADCAST_BYTES``; beyond that the same joins shuffle.  Alignments that
+put the same words beside an item are compared once.
 
 Defined results: null and empty texts and items with fewer than five words
 leak nothing; a row per leaking (doc_id, item class); rows repeated with one
@@ -38,8 +44,13 @@ SIMILARITY = 0.8
 MAX_STRIDE = 8
 #: Rows (a few longs each, under 64 MB) up to which a side is broadcast.
 BROADCAST_ROWS = 1_000_000
-# Markers of names, numbers and units (private-use characters), and the units.
-NAME, NUMBER, UNIT = "\ue000", "\ue001", "\ue002"
+#: Measured bytes of the items' words up to which they are broadcast.
+BROADCAST_BYTES = 64 << 20
+#: Words on each side that may belong to the same name.
+RUN = 2
+# Markers of names, numbers, units and capitals at a sentence's start (private-use characters), and the units.
+NAME, NUMBER, UNIT, START = "\ue000", "\ue001", "\ue002", "\ue003"
+MARKERS = NAME + NUMBER + UNIT + START
 UNITS = ("km cm mm m kg mg g ml l s ms min h km/h mph miles mile feet foot inches inch yards yard pounds pound lbs oz hours hour "
          "minutes minute seconds second days day weeks week months month years year dollars dollar euros euro cents cent percent "
          "degrees meters metres grams kilograms liters litres").split()
@@ -52,18 +63,19 @@ def let(value: Column, use) -> Column:
 
 def marked(text: Column) -> Column:
     """Words separated by single spaces; names, numbers and units carry their marker in front."""
-    t = F.translate(F.coalesce(text, F.lit("")), NAME + NUMBER + UNIT, "")
+    t = F.translate(F.coalesce(text, F.lit("")), MARKERS, "")
     t = F.regexp_replace(t, r"(?<=[\p{Ll}\p{Nd},;] )\p{Lu}\p{Ll}+", f"{NAME}$0")
+    t = F.regexp_replace(t, rf"(?<![\p{{L}}\p{{M}}\p{{Nd}}{NAME}])\p{{Lu}}\p{{Ll}}+", f"{START}$0")
     t = F.regexp_replace(t, r"\p{Nd}+(?:[.,]\p{Nd}+)*", f" {NUMBER}$0 ")
     units = "|".join(sorted(UNITS, key=len, reverse=True))
     t = F.regexp_replace(F.lower(t), rf"(?<=\p{{Nd}} ) ?({units})(?![\p{{L}}])", f" {UNIT}$1 ")
-    t = F.regexp_replace(t, rf"[^\p{{L}}\p{{M}}\p{{Nd}}{NAME}{NUMBER}{UNIT}.,]+|[.,](?!\p{{Nd}})|(?<!\p{{Nd}})[.,]", " ")
+    t = F.regexp_replace(t, rf"[^\p{{L}}\p{{M}}\p{{Nd}}{MARKERS}.,]+|[.,](?!\p{{Nd}})|(?<!\p{{Nd}})[.,]", " ")
     return F.trim(F.regexp_replace(t, " +", " "))
 
 
 def template(marked_text: Column) -> Column:
     """A marked text with the values of its slots taken out."""
-    return F.regexp_replace(marked_text, f"([{NAME}{NUMBER}{UNIT}])[^ ]*", "$1")
+    return F.regexp_replace(F.translate(marked_text, START, NAME), f"([{NAME}{NUMBER}{UNIT}])[^ ]*", "$1")
 
 
 def words(joined: Column) -> Column:
@@ -72,21 +84,29 @@ def words(joined: Column) -> Column:
 
 def plain(marked_text: Column) -> Column:
     """A marked text without the markers."""
-    return F.translate(marked_text, NAME + NUMBER + UNIT, "")
+    return F.translate(marked_text, MARKERS, "")
 
 
-def window_starts(n: Column, step: int) -> Column:
-    """0, step, ... as far as a whole window fits."""
-    return F.when(n >= WINDOW, F.sequence(F.lit(0), n - WINDOW, F.lit(step))).otherwise(F.array().cast("array<int>"))
+def window_starts(marked_text: Column, w: Column, step: int) -> Column:
+    """0, step, ... as far as a whole window fits, and the windows next to those of placeholders alone."""
+    last = F.size(w) - WINDOW
+    only = lambda i: F.forall(F.slice(w, i + 1, WINDOW), lambda x: x.substr(1, 1).isin(*MARKERS))
+    ends = F.filter(F.sequence(F.lit(0), last), lambda i: ~only(i) & (((i > 0) & only(F.greatest(i - 1, F.lit(0)))) | ((i < last) & only(i + 1))))
+    every = F.sequence(F.lit(0), last, F.lit(step))
+    if step > 1:
+        every = F.when(marked_text.rlike(f"(?:^| )(?:[{MARKERS}][^ ]*(?: |$)){{{WINDOW}}}"), F.array_union(every, ends)).otherwise(every)
+    return F.when(last >= 0, every).otherwise(F.array().cast("array<int>"))
 
 
 def hashed_windows(marked_text: Column, step: int) -> Column:
-    """Array of (pos, h) of the windows at every ``step`` words: of the template, and of the plain words where they differ."""
+    """Array of (pos, h) of the windows at every ``step`` words (see ``window_starts``): of the plain words, and of the template
+    where that differs and holds a word."""
     def both(w: Column, i: Column) -> Column:
-        return let(F.array_join(F.slice(w, i + 1, WINDOW), " "), lambda t: F.transform(
-            F.array_distinct(F.array(template(t), plain(t))), lambda x: F.struct(i.alias("pos"), F.xxhash64(x).alias("h"))))
+        return let(F.array_join(F.slice(w, i + 1, WINDOW), " "), lambda t: let(template(t), lambda x: F.transform(
+            F.array_distinct(F.when(F.translate(x, MARKERS + " ", "") == "", F.array(plain(t))).otherwise(F.array(x, plain(t)))),
+            lambda v: F.struct(i.alias("pos"), F.xxhash64(v).alias("h")))))
 
-    return let(words(marked_text), lambda w: F.flatten(F.transform(window_starts(F.size(w), step), lambda i: both(w, i))))
+    return let(marked_text, lambda m: let(words(m), lambda w: F.flatten(F.transform(window_starts(m, w, step), lambda i: both(w, i)))))
 
 
 def item_classes(benchmark: DataFrame) -> DataFrame:
@@ -118,7 +138,8 @@ def _sized(df: DataFrame) -> DataFrame:
 def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, text_hash, item_id and how the item stands in the document, for every leak."""
     items = item_classes(benchmark)
-    shortest = items.agg(F.min(F.size("item_t"))).first()[0]
+    joined = F.octet_length(F.array_join("item_words", " ")) + 32 * F.size("item_words")  # of both arrays, an array holds 8 bytes more a word
+    shortest, width = items.agg(F.min(F.size("item_t")), F.sum(2 * joined)).first()
     step = stride_for(shortest or WINDOW)
     numbered = items.withColumns({"item": F.xxhash64(F.array_join("item_t", " ")), "wording": F.xxhash64(F.array_join("item_words", " "))})
     in_items = store(numbered.select("item", F.explode(hashed_windows(F.array_join("item_words", " "), 1)).alias("w"))
@@ -140,8 +161,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY)
     if places.count() <= BROADCAST_ROWS:
         candidates = F.broadcast(candidates)
     same = rows["doc_id"].eqNullSafe(candidates["in_doc"]) & (rows["text_hash"] == candidates["in_text"])
+    worded = numbered.select("item", "wording", "item_id", "copies", "item_words", "item_t")
     both = (rows.join(candidates, same)
-            .join(_sized(numbered.select("item", "wording", "item_id", "copies", "item_words", "item_t")), "item")
+            .join(F.broadcast(worded) if (width or 0) <= BROADCAST_BYTES else worded, "item")
             .select("doc_id", "text_hash", "item", "wording", "item_id", "copies", "item_words", "item_t", "shifts",
                     words(marked(F.col("text"))).alias("doc_words"))
             .dropDuplicates(["doc_id", "text_hash", "item", "wording"]))
@@ -153,19 +175,31 @@ def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY)
 
 
 def compare(aligned: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """Compare items word by word with the documents at every alignment (shift) found."""
+    """Compare items word by word with the documents at every alignment (shift) found; alignments with equal words count once."""
     n = F.size("item_t")
-    kind = lambda w: F.when(w.substr(1, 1).isin(NAME, NUMBER, UNIT), w.substr(1, 1)).otherwise(w)
-
-    def at(shift: Column) -> Column:
-        """Per word of the item: template equal, word equal, kind of slot, both values."""
+    named = lambda w: w.substr(1, 1).isin(NAME, START)
+    kind = lambda w: F.when(named(w), NAME).when(w.substr(1, 1).isin(NUMBER, UNIT), w.substr(1, 1)).otherwise(w)
+    blank = lambda k: F.array_repeat(F.lit(""), k)
+
+    def value(w: Column, k: Column) -> Column:
+        """What fills the slot at ``k`` of padded words: a name's run, else the word itself."""
+        at = lambda d: F.element_at(w, k + (RUN + 1 + d))
+        left, right, linked = [], [], [F.lit(True), F.lit(True)]
+        for d in range(1, RUN + 1):  # a run goes back to a sentence's start and not beyond it
+            linked = [linked[0] & at(1 - d).startswith(NAME) & named(at(-d)), linked[1] & at(d).startswith(NAME)]
+            left.insert(0, F.when(linked[0], plain(at(-d))))
+            right.append(F.when(linked[1], plain(at(d))))
+        return F.when(named(at(0)), F.concat_ws(" ", *left, plain(at(0)), *right)).otherwise(plain(at(0)))
+
+    def at(item: Column, doc: Column) -> Column:
+        """Per word of the item: template equal, word equal, kind of slot, both values; ``item`` and ``doc`` are padded by RUN words."""
         def one(k: Column) -> Column:
-            item_word, place = F.element_at("item_words", k + 1), shift + k
-            doc_word = F.when((place >= 0) & (place < F.size("doc_words")), F.element_at("doc_words", F.greatest(place, F.lit(0)) + 1)).otherwise("")
-            return let(F.struct(item_word.alias("i"), doc_word.alias("d")), lambda p: F.struct(
-                ((kind(p.i) == kind(p.d)) | (plain(p.i) == plain(p.d))).alias("same"),
-                (plain(p.i) == plain(p.d)).alias("literal"), kind(p.i).alias("kind"), plain(p.i).alias("i"), plain(p.d).alias("d"),
-                (kind(p.i).isin(NAME, NUMBER, UNIT) & (kind(p.i) == kind(p.d))).alias("slot")))
+            return let(F.struct(F.element_at(item, k + (RUN + 1)).alias("i"), F.element_at(doc, k + (RUN + 1)).alias("d")), lambda p: let(F.struct(
+                kind(p.i).alias("kind"), (kind(p.i) == kind(p.d)).alias("alike"), (plain(p.i) == plain(p.d)).alias("literal"),
+                (kind(p.i).isin(NAME, NUMBER, UNIT) & (kind(p.i) == kind(p.d)) & ~p.i.startswith(START) & ~p.d.startswith(START)).alias("slot")),
+                lambda q: F.struct((q.alike | q.literal).alias("same"), q.literal.alias("literal"), q.kind.alias("kind"), q.slot.alias("slot"),
+                                   F.when(q.slot, value(item, k)).alias("i"), F.when(q.slot, value(doc, k)).alias("d"),
+                                   (q.alike & ~q.literal).alias("other"))))
         return F.transform(F.sequence(F.lit(0), n - 1), one)
 
     def whole(compared: Column, what: str) -> Column:
@@ -173,14 +207,19 @@ def compare(aligned: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         return F.filter(F.sequence(F.lit(0), n - WINDOW),
                         lambda s: F.forall(F.slice(compared, s + 1, WINDOW), lambda c: c[what]))
 
-    def judged(shift: Column) -> Column:
-        return let(at(shift), lambda c: let(whole(c, "same"), lambda w: F.struct(
-            (-F.size(w)).alias("order"), shift.alias("shift"), w.alias("windows"), whole(c, "literal").alias("literal"),
+    def judged(piece: Column) -> Column:
+        return let(at(F.col("item_pad"), F.split(piece, " ")), lambda c: let(whole(c, "same"), lambda w: F.struct(
+            (-F.size(w)).alias("order"), piece.alias("piece"), w.alias("windows"), whole(c, "literal").alias("literal"),
+            F.exists(c, lambda x: x.other).alias("other"),
             F.transform(F.filter(F.transform(c, lambda x, k: F.struct(x.alias("x"), k.alias("k"))),
                                  lambda z: z.x.slot & F.exists(w, lambda s: (z.k >= s) & (z.k < s + WINDOW))),
                         lambda z: F.struct(z.x.kind.alias("kind"), z.x.i.alias("i"), z.x.d.alias("d"))).alias("slots"))))
 
-    seen = aligned.withColumn("found", F.transform("shifts", judged))
+    beside = lambda padded, shift: F.array_join(F.slice(padded, shift + n + 1, n + 2 * RUN), " ")
+    pieces = let(F.concat(blank(n + RUN), F.col("doc_words"), blank(n + RUN)),
+                 lambda padded: F.array_distinct(F.transform("shifts", lambda shift: beside(padded, shift))))
+    seen = (aligned.withColumns({"pieces": pieces, "item_pad": F.concat(blank(F.lit(RUN)), F.col("item_words"), blank(F.lit(RUN)))})
+            .withColumn("found", F.transform("pieces", judged)))
     slots = F.array_distinct(F.flatten(F.transform("found", lambda f: f.slots)))
     agree = lambda s: F.size(F.array_distinct(F.transform(s, lambda x: F.struct(x.kind, x.i)))) == F.size(s)
     added = lambda taken, f: let(F.array_distinct(F.concat(taken.slots, f.slots)), lambda s: F.when(agree(s), F.struct(
@@ -189,6 +228,11 @@ def compare(aligned: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     seen = (seen.withColumn("windows", F.array_distinct(F.flatten(F.transform("found", lambda f: f.windows))))
             .withColumn("literal_windows", F.array_distinct(F.flatten(F.transform("found", lambda f: f.literal))))
             .withColumn("slots", slots).withColumn("taken", F.aggregate(F.array_sort("found"), nothing, added)))
+    names = F.filter(F.sequence(F.lit(0), n - 1), lambda c: kind(F.element_at("item_words", c + 1)) == NAME)
+    across = lambda w: F.array_union(w, F.flatten(F.transform(
+        F.filter(names, lambda c: F.array_contains(w, c - (WINDOW - 1)) & F.array_contains(w, c)),
+        lambda c: F.sequence(c - (WINDOW - 2), c - 1))))
+    seen = seen.withColumns({"windows": across(F.col("windows")), "taken": F.col("taken").withField("windows", across(F.col("taken.windows")))})
     all_windows = (n - WINDOW + 1).cast("double")
     seen = (seen.withColumn("part", ~agree(F.col("slots")) & (F.size("taken.windows") / all_windows >= similarity))
             .withColumns({"windows": F.when(F.col("part"), F.col("taken.windows")).otherwise(F.col("windows")),
@@ -197,7 +241,7 @@ def compare(aligned: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         "doc_id", "text_hash", "item", "wording", "item_id", "copies", n.alias("item_words"),
         (F.size("windows") / all_windows).alias("containment"), (F.size("literal_windows") / all_windows).alias("literal"),
         F.size("slots").alias("slots"), agree(F.col("slots")).alias("consistent"),
-        F.exists("slots", lambda s: s.i != s.d).alias("reparameterised"))
+        (F.exists("slots", lambda s: s.i != s.d) | F.exists("found", lambda f: f.other & (F.size(f.windows) > 0))).alias("reparameterised"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import defaultdict
 
@@ -378,3 +379,36 @@ def test_one_row_of_every_class_is_kept(spark):
     rows = found.collect()
     assert sum(r.n for r in rows) == minhash.keep_one(messy(spark)).count()
     assert all(r.n * r.class_size == r.rows for r in rows)
+
+
+def test_renamed_questions_are_found(spark):
+    """Names may begin a sentence and may have another number of words; clean texts of the same shape stay clean."""
+    item = "Tom buys 3 apples at the old market near the river. Tom eats one of them and gives the rest to Anna. How many apples does Tom have when he walks home in the evening"
+    rename = lambda who, n=3, to="Anna": item.replace("Tom", who).replace(" 3 ", f" {n} ").replace("Anna", to)
+    docs = [(1, rename("Sara")), (2, rename("Mary Ann")), (3, f"A story. {rename('Sara', 7, 'Bill')} And so on."), (4, rename("Mary Ann", 8)),
+            (5, rename("Mary Ann", 8, "Peter Paul")), (6, rename("tom")), (7, item),
+            (8, "Tom sells 3 horses at the new station near the hill. Sara takes one of those and leaves the other to Anna. Why did Tom stay there until he went back to the town"),
+            (9, rename("Sara").replace("does Sara", "does Bill").replace("to Anna", "to Sara"))]
+    bench = spark.createDataFrame([(1, item), (2, rename("Lady Jane", 5))], "item_id long, text string")
+    found = {r.doc_id: r for r in decontaminate.decontaminate(spark.createDataFrame(docs, "doc_id long, text string"), bench.filter("item_id = 1")).collect()}
+    assert {1, 2, 3, 4, 5, 6, 7} <= set(found) and 8 not in found
+    assert found[1].reparameterised and found[2].reparameterised and not found[7].reparameterised
+    found = {(r.doc_id, r.item_id) for r in decontaminate.decontaminate(spark.createDataFrame(docs[:1], "doc_id long, text string"), bench).collect()}
+    assert found == {(1, 1), (1, 2)}
+
+
+@pytest.mark.parametrize("kind", ["many", "one"])
+def test_texts_of_numbers(spark, kind):
+    """20,000 numbers, and 20,000 times one number, against an item that lists numbers; the leaks among them are found."""
+    rng = random.Random(3)
+    number = (lambda: str(rng.randint(0, 10**6))) if kind == "many" else (lambda: "7")
+    listed = lambda n: " ".join(number() for _ in range(n))
+    ask = "sort these values from the smallest to the largest one please"
+    values = listed(40)
+    bench = spark.createDataFrame([(1, f"{ask} {values} and write down the fifth of them")], "item_id long, text string")
+    docs = [(1, listed(20_000)), (2, f"{listed(10_000)} {ask} {listed(40)} and write down the fifth of them {listed(10_000)}"),
+            (3, f"{ask} {values} and write down the fifth of them"), (4, f"the table holds {listed(20_000)} in all")]
+    start = time.monotonic()
+    found = {r.doc_id for r in decontaminate.decontaminate(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()}
+    assert time.monotonic() - start < 60
+    assert found >= {2, 3} and (kind == "one" or found == {2, 3})
