@@ -34,6 +34,9 @@ empty result; other columns are ignored.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -228,10 +231,17 @@ def compare(aligned: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     seen = (seen.withColumn("windows", F.array_distinct(F.flatten(F.transform("found", lambda f: f.windows))))
             .withColumn("literal_windows", F.array_distinct(F.flatten(F.transform("found", lambda f: f.literal))))
             .withColumn("slots", slots).withColumn("taken", F.aggregate(F.array_sort("found"), nothing, added)))
-    names = F.filter(F.sequence(F.lit(0), n - 1), lambda c: kind(F.element_at("item_words", c + 1)) == NAME)
-    across = lambda w: F.array_union(w, F.flatten(F.transform(
-        F.filter(names, lambda c: F.array_contains(w, c - (WINDOW - 1)) & F.array_contains(w, c)),
-        lambda c: F.sequence(c - (WINDOW - 2), c - 1))))
+    def across(w: Column) -> Column:
+        """``w`` and the windows that span a name of 1 to RUN + 1 words, of which those that end and begin with it are in ``w``."""
+        def spanning(more: int) -> Column:
+            def whole_name(c: Column) -> Column:
+                later = [F.element_at("item_pad", c + (RUN + 1 + d)).startswith(NAME) for d in range(1, more + 1)]
+                return reduce(and_, later, named(F.element_at("item_words", c + 1)))
+            both = F.filter(F.sequence(F.lit(0), n - 1), lambda c: whole_name(c) & F.array_contains(w, c - (WINDOW - 1)) & F.array_contains(w, c + more))
+            return F.flatten(F.transform(both, lambda c: F.sequence(c - (WINDOW - 2), c + (more - 1))))
+
+        return reduce(F.array_union, map(spanning, range(RUN + 1)), w)
+
     seen = seen.withColumns({"windows": across(F.col("windows")), "taken": F.col("taken").withField("windows", across(F.col("taken.windows")))})
     all_windows = (n - WINDOW + 1).cast("double")
     seen = (seen.withColumn("part", ~agree(F.col("slots")) & (F.size("taken.windows") / all_windows >= similarity))

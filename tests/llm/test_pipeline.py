@@ -52,7 +52,7 @@ def test_stages_pass_the_columns_on(spark, table):
 
 
 def test_every_operator_is_registered():
-    assert sorted(int(k[2:].split("_")[0]) for k in catalog.QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in catalog.QUERIES) == list(range(1, 14))
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "exact_dedup", "near_dedup", "decontaminate", "bpe_encode"]
     assert set(catalog.ORACLE_SQL) <= set(catalog.QUERIES)
 
