@@ -67,8 +67,9 @@ def let(value: Column, use) -> Column:
 def marked(text: Column) -> Column:
     """Words separated by single spaces; names, numbers and units carry their marker in front."""
     t = F.translate(F.coalesce(text, F.lit("")), MARKERS, "")
-    t = F.regexp_replace(t, r"(?<=[\p{Ll}\p{Nd},;] )\p{Lu}\p{Ll}+", f"{NAME}$0")
-    t = F.regexp_replace(t, rf"(?<![\p{{L}}\p{{M}}\p{{Nd}}{NAME}])\p{{Lu}}\p{{Ll}}+", f"{START}$0")
+    # the lookbehinds stand behind the capital, so that they are tried at capitals only
+    t = F.regexp_replace(t, r"\p{Lu}(?<=[\p{Ll}\p{Nd},;] \p{Lu})\p{Ll}+", f"{NAME}$0")
+    t = F.regexp_replace(t, rf"\p{{Lu}}(?<![\p{{L}}\p{{M}}\p{{Nd}}{NAME}]\p{{Lu}})\p{{Ll}}+", f"{START}$0")
     t = F.regexp_replace(t, r"\p{Nd}+(?:[.,]\p{Nd}+)*", f" {NUMBER}$0 ")
     units = "|".join(sorted(UNITS, key=len, reverse=True))
     t = F.regexp_replace(F.lower(t), rf"(?<=\p{{Nd}} ) ?({units})(?![\p{{L}}])", f" {UNIT}$1 ")
@@ -82,7 +83,8 @@ def template(marked_text: Column) -> Column:
 
 
 def words(joined: Column) -> Column:
-    return F.filter(F.split(joined, " "), lambda w: w != "")
+    """The words of a text that ``marked`` or ``template`` gave."""
+    return F.when(joined == "", F.array().cast("array<string>")).otherwise(F.split(joined, " "))
 
 
 def plain(marked_text: Column) -> Column:
@@ -93,10 +95,12 @@ def plain(marked_text: Column) -> Column:
 def window_starts(marked_text: Column, w: Column, step: int) -> Column:
     """0, step, ... as far as a whole window fits, and the windows next to those of placeholders alone."""
     last = F.size(w) - WINDOW
-    only = lambda i: F.forall(F.slice(w, i + 1, WINDOW), lambda x: x.substr(1, 1).isin(*MARKERS))
-    ends = F.filter(F.sequence(F.lit(0), last), lambda i: ~only(i) & (((i > 0) & only(F.greatest(i - 1, F.lit(0)))) | ((i < last) & only(i + 1))))
     every = F.sequence(F.lit(0), last, F.lit(step))
     if step > 1:
+        slot = lambda x: x.substr(1, 1).isin(*MARKERS)
+        only = F.filter(F.sequence(F.lit(0), last), lambda i: slot(F.element_at(w, i + WINDOW)) & F.forall(F.slice(w, i + 1, WINDOW), slot))
+        ends = let(only, lambda o: F.filter(F.array_except(F.flatten(F.transform(o, lambda i: F.array(i - 1, i + 1))), o),
+                                            lambda i: (i >= 0) & (i <= last)))
         every = F.when(marked_text.rlike(f"(?:^| )(?:[{MARKERS}][^ ]*(?: |$)){{{WINDOW}}}"), F.array_union(every, ends)).otherwise(every)
     return F.when(last >= 0, every).otherwise(F.array().cast("array<int>"))
 
@@ -105,9 +109,10 @@ def hashed_windows(marked_text: Column, step: int) -> Column:
     """Array of (pos, h) of the windows at every ``step`` words (see ``window_starts``): of the plain words, and of the template
     where that differs and holds a word."""
     def both(w: Column, i: Column) -> Column:
-        return let(F.array_join(F.slice(w, i + 1, WINDOW), " "), lambda t: let(template(t), lambda x: F.transform(
-            F.array_distinct(F.when(F.translate(x, MARKERS + " ", "") == "", F.array(plain(t))).otherwise(F.array(x, plain(t)))),
-            lambda v: F.struct(i.alias("pos"), F.xxhash64(v).alias("h")))))
+        hashed = lambda v: F.struct(i.alias("pos"), F.xxhash64(v).alias("h"))
+        worded = lambda x: (F.length(x) > 2 * WINDOW - 1) | (F.translate(x, MARKERS + " ", "") != "")
+        return let(F.array_join(F.slice(w, i + 1, WINDOW), " "), lambda t: let(plain(t), lambda p: F.when(p == t, F.array(hashed(p))).otherwise(
+            let(template(t), lambda x: F.when(worded(x), F.array(hashed(x), hashed(p))).otherwise(F.array(hashed(p)))))))
 
     return let(marked_text, lambda m: let(words(m), lambda w: F.flatten(F.transform(window_starts(m, w, step), lambda i: both(w, i)))))
 
