@@ -6,9 +6,12 @@ it one-versus-one linear support vector machines separate the languages, and
 the language with most votes (then the larger sum of margins) is predicted.
 
 The classifiers are fitted on a bounded sample: at most ``SAMPLE_PER_LANG``
-labelled rows, whole texts, of each of the ``MAX_LANGS`` most frequent labels,
-taken by the hash of doc_id from rows whose crc32(doc_id as text) mod 4 is not
-``HELD_OUT``.  A prediction reads the text alone.
+labelled rows, whole texts, of every label, taken by the hash of doc_id from rows
+whose crc32(doc_id as text) mod 4 is not ``HELD_OUT``; rows equal in label, doc_id and
+text count once.  Every classifier is fitted in a task of its own: a pair of languages on
+all sampled rows of the two, a family on up to ``FAMILY_ROWS`` of its rows against those
+of other families among ``SHARED_ROWS`` rows that all labels share evenly.  Only
+the weights come to the driver, one column per family and pair.  A prediction reads the text alone.
 
 A text whose n-grams are too rare in the sample for its predicted language has a
 score under ``LEAST_SCORE``: the mean log share of its n-grams is held against
@@ -31,12 +34,13 @@ from dataclasses import dataclass, field
 from itertools import combinations, islice
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sifter.llm.common import slices
+from sifter.llm.common import slices, store
 
 #: Languages and the family that a first step tells apart.
 FAMILIES = {
@@ -46,7 +50,8 @@ FAMILIES = {
     "fi": "uralic", "et": "uralic", "hu": "uralic", "tr": "turkic", "az": "turkic",
 }
 SAMPLE_PER_LANG = 300
-MAX_LANGS = 64
+#: Rows of a family, and rows over all labels, that a family's classifier is fitted on.
+FAMILY_ROWS, SHARED_ROWS = 1_000, 2_000
 HELD_OUT = 2
 DIMENSIONS = 8192
 MAX_GRAM = 4
@@ -55,8 +60,10 @@ UNDETERMINED = "und"
 LEAST_SCORE = 0.2
 #: Rows that tell what is usual for a language, standard deviations below it that pass, n-grams that count as one draw.
 LEAST_USUAL, DEVIATIONS, OVERLAP = 30, 6.0, 8
-#: Distinct words a task remembers before it starts anew.
-CACHE_WORDS = 300_000
+#: Distinct words a task remembers before it starts anew, and sums of weights it holds for them.
+CACHE_WORDS, CACHE_SUMS = 300_000, 30_000_000
+#: Sums of weights looked up at once for new words.
+LOOKUP_SUMS = 200_000
 _WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 
 
@@ -90,13 +97,20 @@ class Model:
     usual: dict[str, tuple[float, float, float, float]] = field(default_factory=dict)
     words: dict[str, int] = field(default_factory=dict)
 
+    def __post_init__(self):
+        family = {m: f for f, members in self.members.items() for m in members}
+        self._pairs_of: dict[str, list[int]] = {f: [] for f in self.families}
+        for at, (a, _) in enumerate(self.pairs):
+            self._pairs_of[family[a]].append(at)
+
     # -- prediction ---------------------------------------------------------
 
     def scores(self, counted: list[list[str]]) -> np.ndarray:
         """Scores (texts, classifiers) of lists of words; a text's n-grams are those of its words."""
-        if len(self.words) > CACHE_WORDS or not hasattr(self, "_sums"):
+        wide = self.weights.shape[1]
+        if len(self.words) > min(CACHE_WORDS, CACHE_SUMS // wide) or not hasattr(self, "_sums"):
             self.words = {}
-            self._sums = np.zeros((0, self.weights.shape[1]), dtype=np.float32)
+            self._sums = np.zeros((0, wide), dtype=np.float32)
             self._grams = np.zeros(0, dtype=np.float32)
         before = len(self.words)
         for ws in counted:
@@ -107,12 +121,12 @@ class Model:
         if fresh:
             sizes = np.fromiter(map(len, fresh), dtype=np.int64, count=len(fresh))
             flat = np.fromiter((g for gs in fresh for g in gs), dtype=np.int64, count=int(sizes.sum()))
+            ends, step, sums = np.cumsum(sizes), max(1, LOOKUP_SUMS // wide), [self._sums]
             # in steps, as the looked-up weights are wide
-            for lo in range(0, len(fresh), 20_000):
-                part = sizes[lo:lo + 20_000]
-                at = int(sizes[:lo].sum())
-                rows = self.weights[flat[at:at + int(part.sum())]]
-                self._sums = np.concatenate([self._sums, np.add.reduceat(rows, np.cumsum(part) - part, axis=0)])
+            for lo in range(0, len(fresh), step):
+                start, end = ends[lo] - sizes[lo], ends[min(lo + step, len(fresh)) - 1]
+                sums.append(np.add.reduceat(self.weights[flat[start:end]], (ends - sizes)[lo:lo + step] - start, axis=0))
+            self._sums = np.concatenate(sums)
             self._grams = np.concatenate([self._grams, sizes.astype(np.float32)])
         out = np.zeros((len(counted), self.weights.shape[1]), dtype=np.float64)
         self.sizes = np.ones(len(counted))
@@ -149,11 +163,11 @@ class Model:
             family, score = self.families[best], sure((f[best] - f[second]) / 2)
         members = self.members[family]
         votes = {m: [0, 0.0] for m in members}
-        for (a, b), m in zip(self.pairs, s[len(self.families):], strict=True):
-            if a in votes and b in votes:
-                votes[a if m >= 0 else b][0] += 1
-                votes[a][1] += m
-                votes[b][1] -= m
+        for at in self._pairs_of[family]:
+            (a, b), m = self.pairs[at], s[len(self.families) + at]
+            votes[a if m >= 0 else b][0] += 1
+            votes[a][1] += m
+            votes[b][1] -= m
         lang = max(members, key=lambda m: (*votes[m], m))
         if len(members) > 1:
             score *= sure(votes[lang][1] / (len(members) - 1))
@@ -180,89 +194,137 @@ def _fit_svm(x: np.ndarray, y: np.ndarray, c: float = 4.0, rounds: int = 60) ->
     return np.r_[x.T @ (alpha * y), (alpha * y).sum()]
 
 
-def _usual_shares(x: np.ndarray, n: np.ndarray, lang: np.ndarray) -> tuple[np.ndarray, dict[str, tuple[float, float, float, float]]]:
-    """Log shares of the n-grams over all rows, and what each third of a language's rows has of those over the other rows."""
-    third, log_of = np.zeros(len(lang), dtype=np.int64), lambda sums, rows: np.log(sums / max(1, rows) + 1e-6).astype(np.float32)
-    for name in set(lang):
-        at = np.flatnonzero(lang == name)
-        third[at] = np.arange(len(at)) % 3
-    total, share, square = x.sum(axis=0, dtype=np.float64), np.zeros(len(lang)), np.zeros(len(lang))
-    for k in range(3):
-        mine = third == k
-        others = log_of(np.maximum(total - mine.astype(np.float32) @ x, 0.0), (~mine).sum())
-        share[mine], square[mine] = (x @ others)[mine], (x @ others**2)[mine]
-    usual = {}
-    for name in sorted(set(lang)):
-        rows = lang == name
-        if rows.sum() >= LEAST_USUAL:
-            mean, variance, inside = share[rows].mean(), share[rows].var(), (square[rows] - share[rows]**2).mean()
-            off = (mean - share[rows]) / np.sqrt(variance + OVERLAP * inside / n[rows])
-            usual[name] = (float(mean), float(variance), float(inside), float(max(DEVIATIONS, 1.5 * off.max())))
-    return log_of(total, len(lang)), usual
-
-
-def fit(docs: DataFrame, families: dict[str, str] | None = None, sample_per_lang: int = SAMPLE_PER_LANG,
-        max_langs: int = MAX_LANGS) -> Model:
-    """Fit the classifiers on a bounded sample of the labelled rows outside the held-out fold."""
-    families = FAMILIES if families is None else families
-    labelled = docs.select("doc_id", "lang", "text").filter(
+def sample_rows(docs: DataFrame, sample_per_lang: int = SAMPLE_PER_LANG) -> DataFrame:
+    """Stored: lang, n (place in its language), n-grams (at, value: their shares), number of n-grams, sum of squared shares."""
+    labelled = docs.select("doc_id", "lang", "text", F.xxhash64("text").alias("text_hash")).filter(
         F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (fold() != HELD_OUT)
         & F.coalesce(F.col("text"), F.lit("")).rlike(r"\p{L}"))
-    langs = [r["lang"] for r in labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).collect()]
-    if not langs:
-        return Model([], [], {}, [], np.zeros((DIMENSIONS + 1, 0), np.float32))
-    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = (labelled.filter(F.col("lang").isin(langs)).select("lang", "doc_id")
-              .withColumn("n", F.row_number().over(by_hash)).filter(F.col("n") <= sample_per_lang)
-              .groupBy("lang", "doc_id").agg(F.max("n").alias("n")))
-    # at most max_langs * sample_per_lang ids
-    texts = labelled.join(F.broadcast(chosen.drop("n")), ["lang", "doc_id"])
+    row = ["lang", "doc_id", "text_hash"]
+    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "text_hash")
+    chosen = (labelled.select(*row).withColumn("n", F.row_number().over(by_hash)).filter(F.col("n") <= sample_per_lang)
+              .groupBy(*row).agg(F.min("n").alias("n")))
+    # stored, so that its measured size decides the join; repeated rows are put together before they move
+    texts = labelled.join(store(chosen, "language-chosen"), row).groupBy(*row).agg(F.min("n").alias("n"), F.min("text").alias("text"))
 
     def features(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 sparse, sizes = [], []
                 for text in part.column("text").to_pylist():
-                    grams = np.concatenate([np.array(word_grams(w)) for w in words_of(text)])
-                    count = np.bincount(grams, minlength=DIMENSIONS)
+                    # word by word, as a long text has many more n-grams than distinct ones
+                    count = np.zeros(DIMENSIONS, dtype=np.int64)
+                    for w in words_of(text):
+                        np.add.at(count, word_grams(w), 1)
                     at = np.flatnonzero(count)
-                    sizes.append(len(grams))
+                    sizes.append(int(count.sum()))
                     sparse.append((at.astype(np.int32), (count[at] / count.sum()).astype(np.float32)))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("lang"), part.column("doc_id"),
+                    [part.column("lang"), part.column("n"),
                      pa.array([a for a, _ in sparse], pa.list_(pa.int32())),
-                     pa.array([v for _, v in sparse], pa.list_(pa.float32())), pa.array(sizes, pa.int64())],
-                    names=["lang", "doc_id", "at", "value", "grams"])
-
-    kind = dict(docs.dtypes)["doc_id"]
-    sample = texts.select("lang", "doc_id", "text").mapInArrow(
-        features, f"lang string, doc_id {kind}, at array<int>, value array<float>, grams long").toPandas()
-    sample = sample.sort_values(["lang", "doc_id"], kind="stable").groupby("lang").head(sample_per_lang)
-    x = np.zeros((len(sample), DIMENSIONS), dtype=np.float32)
-    for i, (at, value) in enumerate(zip(sample["at"], sample["value"], strict=True)):
-        x[i, at] = value
-    scale = 1.0 / np.sqrt((x * x).sum(axis=1).mean())  # n-gram shares are small numbers
-    lang = sample["lang"].to_numpy()
-    langs = sorted(set(lang))
+                     pa.array([v for _, v in sparse], pa.list_(pa.float32())), pa.array(sizes, pa.int64()),
+                     pa.array([float((v.astype(np.float64) ** 2).sum()) for _, v in sparse], pa.float64())],
+                    names=["lang", "n", "at", "value", "grams", "norm"])
+
+    return store(texts.select("lang", "n", "text").mapInArrow(
+        features, "lang string, n int, at array<int>, value array<float>, grams long, norm double"), "language-sample")
+
+
+def _log_shares(sample: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Log shares of the n-grams over all rows, and per third of the rows (n mod 3) over the other two."""
+    unit = float(2 ** 32)  # shares are summed as integers: any order gives the same sum
+    rows = dict(sample.groupBy((F.col("n") % 3).alias("third")).count().collect())
+    told = (sample.select((F.col("n") % 3).alias("third"), F.inline(F.arrays_zip("at", "value")))
+            .groupBy("third", "at").agg(F.sum(F.round(F.col("value").cast("double") * unit).cast("long")).alias("sum")).collect())
+    sums = np.zeros((3, DIMENSIONS))
+    for third, at, total in told:  # at most three rows per n-gram slot
+        sums[third, at] = total / unit
+    log_of = lambda total, n: np.log(total / max(1, n) + 1e-6).astype(np.float32)
+    everything, n = sums.sum(axis=0), sum(rows.values())
+    return log_of(everything, n), np.stack([log_of(everything - sums[k], n - rows.get(k, 0)) for k in range(3)])
+
+
+def _usual_shares(sample: DataFrame, others: np.ndarray) -> dict[str, tuple[float, float, float, float]]:
+    """What the rows of a language have of the log shares over the rows outside their third; a language's sample is one group."""
+    def usual(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("n")
+        own = [(others[n % 3][at].astype(np.float64), value.astype(np.float64)) for n, at, value in zip(rows["n"], rows["at"], rows["value"], strict=True)]
+        share, square = np.array([v @ o for o, v in own]), np.array([v @ o**2 for o, v in own])
+        mean, variance, inside = share.mean(), share.var(), (square - share**2).mean()
+        off = (mean - share) / np.sqrt(np.maximum(variance + OVERLAP * inside / rows["grams"].to_numpy(), 1e-30))
+        return pd.DataFrame({"lang": [rows["lang"].iloc[0]], "mean": [mean], "variance": [variance], "inside": [inside],
+                             "allowed": [max(DEVIATIONS, 1.5 * off.max())], "counted": [len(rows)]})
+
+    told = sample.select("lang", "n", "at", "value", "grams").groupBy("lang").applyInPandas(
+        usual, "lang string, mean double, variance double, inside double, allowed double, counted int").filter(F.col("counted") >= LEAST_USUAL).collect()
+    return {r["lang"]: (r["mean"], r["variance"], r["inside"], r["allowed"]) for r in told}
+
+
+def _dense(at: Iterable[np.ndarray], value: Iterable[np.ndarray], rows: int) -> np.ndarray:
+    x = np.zeros((rows, DIMENSIONS), dtype=np.float32)
+    for i, (a, v) in enumerate(zip(at, value, strict=True)):
+        x[i, a] = v
+    return x
+
+
+def _fit_all(sample: DataFrame, families: list[str], members: dict[str, list[str]], pairs: list[tuple[str, str]], scale: float) -> np.ndarray:
+    """Weights (DIMENSIONS + bias, classifiers), each classifier fitted by the task of its group of rows."""
+    spark, first = sample.sparkSession, len(families)
+    weights = np.zeros((DIMENSIONS + 1, first + len(pairs)), dtype=np.float32)
+    in_pairs = [(lang, first + k, sign) for k, pair in enumerate(pairs) for lang, sign in zip(pair, (1, -1), strict=True)]
+    in_family = [(lang, k, 1) for k, f in enumerate(families) for lang in members[f]] if first > 1 else []
+    if not in_pairs and not in_family:
+        return weights
+    role = "lang string, classifier int, sign int"
+    told = ["classifier", "sign", "lang", "n", "at", "value"]
+    rows = sample.join(spark.createDataFrame(in_pairs, role), "lang").select(*told)
+    shared = None
+    if in_family:
+        by_place = Window.partitionBy("classifier").orderBy("n", "lang")
+        own = (sample.join(spark.createDataFrame(in_family, role), "lang").withColumn("place", F.row_number().over(by_place))
+               .filter(F.col("place") <= FAMILY_ROWS))
+        rows = rows.unionByName(own.select(*told))
+        # SHARED_ROWS rows, one of every label before a second of any
+        pool = sample.select("lang", "n", "at", "value").orderBy("n", "lang").limit(SHARED_ROWS).toPandas()
+        family = {lang: k for k, f in enumerate(families) for lang in members[f]}
+        shared = spark.sparkContext.broadcast(pool.assign(family=[family[v] for v in pool["lang"]]))
+
+    def fit_one(group: pd.DataFrame) -> pd.DataFrame:
+        k = int(group["classifier"].iloc[0])
+        if k < first:
+            other = shared.value
+            group = pd.concat([group, other[other["family"] != k].assign(sign=-1)])
+        group = group.sort_values(["lang", "n"], kind="stable")
+        x = _dense(group["at"], group["value"], len(group))
+        x *= np.float32(scale)
+        return pd.DataFrame({"classifier": [k], "weights": [_fit_svm(x, group["sign"].to_numpy(np.float64)).astype(np.float32)]})
+
+    for r in rows.groupBy("classifier").applyInPandas(fit_one, "classifier int, weights array<float>").toLocalIterator():
+        weights[:, r["classifier"]] = r["weights"]
+    weights[:-1] *= np.float32(scale)
+    return weights
+
+
+def fit(docs: DataFrame, families: dict[str, str] | None = None, sample_per_lang: int = SAMPLE_PER_LANG) -> Model:
+    """Fit the classifiers on a bounded sample of the labelled rows outside the held-out fold."""
+    families = FAMILIES if families is None else families
+    sample = sample_rows(docs, sample_per_lang)
+    langs = sorted(r["lang"] for r in sample.select("lang").distinct().collect())
+    if not langs:
+        return Model([], [], {}, [], np.zeros((DIMENSIONS + 1, 0), np.float32))
     members: dict[str, list[str]] = {}
     for name in langs:
         members.setdefault(families.get(name, name), []).append(name)
     names = sorted(members)
-    family = np.array([families.get(v, v) for v in lang])
-    columns = [_fit_svm(x * scale, np.where(family == f, 1.0, -1.0)) for f in names] if len(names) > 1 else [np.zeros(DIMENSIONS + 1)]
     pairs = [p for f in names for p in combinations(members[f], 2)]
-    for a, b in pairs:
-        both = (lang == a) | (lang == b)
-        columns.append(_fit_svm(x[both] * scale, np.where(lang[both] == a, 1.0, -1.0)))
-    log_share, usual = _usual_shares(x, sample["grams"].to_numpy(), lang)
-    weights = np.stack(columns, axis=1)
-    weights[:-1] *= scale
-    weights = np.c_[weights, np.r_[log_share, 0.0]]
-    return Model(langs, names, members, pairs, weights.astype(np.float32), usual)
+    # n-gram shares are small numbers; summed as decimals, which do not depend on the order
+    norm, rows = sample.agg(F.sum(F.col("norm").cast("decimal(20,12)")), F.count(F.lit(1))).first()
+    log_share, others = _log_shares(sample)
+    weights = _fit_all(sample, names, members, pairs, 1.0 / np.sqrt(max(float(norm) / rows, 1e-12)))
+    return Model(langs, names, members, pairs, np.c_[weights, np.r_[log_share, np.float32(0.0)]], _usual_shares(sample, others))
 
 
 def _shared(docs: DataFrame, model: Model):
-    """The model for the tasks; bounded: (families + pairs of at most MAX_LANGS languages) * DIMENSIONS weights."""
+    """The model for the tasks: DIMENSIONS weights per family and pair of languages, however many rows there are."""
     return docs.sparkSession.sparkContext.broadcast((model.langs, model.families, model.members, model.pairs, model.weights, model.usual))
 
 

@@ -7,6 +7,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 import regex
 
@@ -165,3 +166,44 @@ def test_unlearned_languages_are_rejected_and_held_out_texts_stay(spark):
     assert all(r.score < language_id.LEAST_SCORE for r in language_id.identify(table, model).collect())
     held = docs.filter(language_id.fold() == language_id.HELD_OUT).filter("text rlike '[a-z]'")
     assert language_id.drop_unidentified(held, model).count() == held.count()
+
+
+def test_every_label_is_learned(spark):
+    """More labels than fit one machine of all rows; a hot doc_id gives one sampled row, texts of a rare label are found."""
+    rng = random.Random(2)
+    vocabulary = {f"l{k:02}": ["".join(rng.choice(LETTERS) for _ in range(6)) for _ in range(30)] for k in range(90)}
+    table, i = [], 0
+    for k, (lang, known) in enumerate(vocabulary.items()):
+        for _ in range(6 if k else 400):
+            i += 1
+            table.append((i, lang, " ".join(rng.choice(known) for _ in range(40))))
+    table += [(i + 1, "l01", table[400][2])] * 2000
+    docs = spark.createDataFrame(table, "doc_id long, lang string, text string")
+    sample = language_id.sample_rows(docs).select("lang", "n").collect()
+    assert max(Counter(r.lang for r in sample).values()) <= language_id.SAMPLE_PER_LANG and sum(r.lang == "l01" for r in sample) <= 7
+    model = language_id.fit(docs, families={f"l{k:02}": "many" for k in range(4)})
+    assert len(model.langs) == 90 and len(model.families) == 87 and len(model.pairs) == 6
+    want = {r[0]: r[1] for r in table}
+    found = language_id.identify(docs, model).collect()
+    assert len(found) == len(table)
+    assert sum(r.lang_pred == want[r.doc_id] for r in found) >= 0.99 * len(found)
+    again = language_id.fit(docs.repartition(7), families={f"l{k:02}": "many" for k in range(4)})
+    assert np.allclose(model.weights, again.weights, atol=1e-4) and model.usual == again.usual
+
+
+def test_svm_reaches_the_least_cost():
+    """Dual coordinate descent against plain gradient descent on the cost itself."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(40, 4)).astype(np.float32)
+    y = np.where(x[:, 0] + 0.3 * rng.normal(size=40) > 0.4, 1.0, -1.0)
+    weight = np.where(y > 0, 20 / (y > 0).sum(), 20 / (y < 0).sum()) * 4.0
+    one = np.c_[x, np.ones(40)]
+
+    def cost(w):
+        return 0.5 * w @ w + (weight * np.maximum(0, 1 - y * (one @ w)) ** 2).sum()
+
+    plain = np.zeros(5)
+    for _ in range(50_000):
+        plain -= 1e-4 * (plain - 2 * one.T @ (weight * y * np.maximum(0, 1 - y * (one @ plain))))
+    assert cost(language_id._fit_svm(x, y, rounds=5000)) <= cost(plain) * 1.001
+    assert cost(language_id._fit_svm(x, y)) <= cost(plain) * 1.02  # as it is used, stopped after 60 rounds
