@@ -35,7 +35,7 @@ empty result; other columns are ignored.
 from __future__ import annotations
 
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -64,22 +64,27 @@ def let(value: Column, use) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
+def _has_marker(value: Column) -> Column:
+    return reduce(or_, (value.contains(m) for m in MARKERS))
+
+
 def marked(text: Column) -> Column:
     """Words separated by single spaces; names, numbers and units carry their marker in front."""
-    t = F.translate(F.coalesce(text, F.lit("")), MARKERS, "")
+    t = F.when(_has_marker(text), F.translate(text, MARKERS, "")).otherwise(F.coalesce(text, F.lit("")))
     # the lookbehinds stand behind the capital, so that they are tried at capitals only
     t = F.regexp_replace(t, r"\p{Lu}(?<=[\p{Ll}\p{Nd},;] \p{Lu})\p{Ll}+", f"{NAME}$0")
     t = F.regexp_replace(t, rf"\p{{Lu}}(?<![\p{{L}}\p{{M}}\p{{Nd}}{NAME}]\p{{Lu}})\p{{Ll}}+", f"{START}$0")
     t = F.regexp_replace(t, r"\p{Nd}+(?:[.,]\p{Nd}+)*", f" {NUMBER}$0 ")
     units = "|".join(sorted(UNITS, key=len, reverse=True))
     t = F.regexp_replace(F.lower(t), rf"(?<=\p{{Nd}} ) ?({units})(?![\p{{L}}])", f" {UNIT}$1 ")
-    t = F.regexp_replace(t, rf"[^\p{{L}}\p{{M}}\p{{Nd}}{MARKERS}.,]+|[.,](?!\p{{Nd}})|(?<!\p{{Nd}})[.,]", " ")
-    return F.trim(F.regexp_replace(t, " +", " "))
+    # single spaces are no matches, as most places that match would be such
+    t = F.regexp_replace(t, rf"[^\p{{L}}\p{{M}}\p{{Nd}}{MARKERS}., ]+|[.,](?!\p{{Nd}})|(?<!\p{{Nd}})[.,]", " ")
+    return F.trim(F.regexp_replace(t, " {2,}", " "))
 
 
 def template(marked_text: Column) -> Column:
     """A marked text with the values of its slots taken out."""
-    return F.regexp_replace(F.translate(marked_text, START, NAME), f"([{NAME}{NUMBER}{UNIT}])[^ ]*", "$1")
+    return F.regexp_replace(F.replace(marked_text, F.lit(START), F.lit(NAME)), f"([{NAME}{NUMBER}{UNIT}])[^ ]*", "$1")
 
 
 def words(joined: Column) -> Column:
@@ -89,7 +94,7 @@ def words(joined: Column) -> Column:
 
 def plain(marked_text: Column) -> Column:
     """A marked text without the markers."""
-    return F.translate(marked_text, MARKERS, "")
+    return reduce(lambda t, marker: F.replace(t, F.lit(marker), F.lit("")), MARKERS, marked_text)
 
 
 def window_starts(marked_text: Column, w: Column, step: int) -> Column:
@@ -108,13 +113,25 @@ def window_starts(marked_text: Column, w: Column, step: int) -> Column:
 def hashed_windows(marked_text: Column, step: int) -> Column:
     """Array of (pos, h) of the windows at every ``step`` words (see ``window_starts``): of the plain words, and of the template
     where that differs and holds a word."""
-    def both(w: Column, i: Column) -> Column:
+    slots = rf"(?:^| )(?:[{MARKERS}][^ ]*(?: |$)){{{WINDOW}}}"  # a window of placeholders alone
+
+    def both(joined: Column, i: Column) -> Column:
         hashed = lambda v: F.struct(i.alias("pos"), F.xxhash64(v).alias("h"))
         worded = lambda x: (F.length(x) > 2 * WINDOW - 1) | (F.translate(x, MARKERS + " ", "") != "")
-        return let(F.array_join(F.slice(w, i + 1, WINDOW), " "), lambda t: let(plain(t), lambda p: F.when(p == t, F.array(hashed(p))).otherwise(
-            let(template(t), lambda x: F.when(worded(x), F.array(hashed(x), hashed(p))).otherwise(F.array(hashed(p)))))))
+        return let(joined, lambda t: F.when(~_has_marker(t), F.array(hashed(t))).otherwise(let(template(t), lambda x: F.when(
+            worded(x), F.array(hashed(x), hashed(plain(t)))).otherwise(F.array(hashed(plain(t)))))))
+
+    def by_words(m: Column) -> Column:
+        return let(words(m), lambda w: F.transform(window_starts(m, w, step), lambda i: both(F.array_join(F.slice(w, i + 1, WINDOW), " "), i)))
+
+    def by_steps(m: Column) -> Column:
+        """The same for windows at every step only, cut out of the text in one pass."""
+        cut = rf"([^ ]++(?: [^ ]++){{{WINDOW - 1}}})(?: [^ ]++){{0,{step - WINDOW}}} ?"
+        return F.transform(F.regexp_extract_all(m, F.lit(cut), 1), lambda t, k: both(t, k * step))
 
-    return let(marked_text, lambda m: let(words(m), lambda w: F.flatten(F.transform(window_starts(m, w, step), lambda i: both(w, i)))))
+    if step < WINDOW:
+        return let(marked_text, lambda m: F.flatten(by_words(m)))
+    return let(marked_text, lambda m: F.flatten(F.when(m.rlike(slots), by_words(m)).otherwise(by_steps(m))))
 
 
 def item_classes(benchmark: DataFrame) -> DataFrame:
