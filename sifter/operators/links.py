@@ -21,12 +21,16 @@ from sifter.session import checkpoint_root
 # ---------------------------------------------------------------------------
 # What an HTML parser skips and what counts as an anchor.
 #   skipped: <script>/<style> blocks and <!-- … --> comments (also multi-line)
-#   anchor:  <a …href=VALUE…>, VALUE double-quoted, single-quoted or bare
+#   anchor:  <a …href=VALUE…>, VALUE double-quoted, single-quoted or bare; the attributes in
+#            front are read whole, so a quoted value may hold ">" or "href="
 #   default crawler user agent: MyCrawler
 # ---------------------------------------------------------------------------
 SKIP_PATTERN = r"(?i)<script[^>]*>[\s\S]*?</script>|<style[^>]*>[\s\S]*?</style>|<!--[\s\S]*?-->"
-ANCHOR_PATTERN = (r"(?i)<a[\t\n\x0B\f\r ](?:[^>]*?[\t\n\x0B\f\r ])?href[\t\n\x0B\f\r ]*=[\t\n\x0B\f\r ]*"
-                  r"(\"[^\"]*\"|'[^']*'|[^\t\n\x0B\f\r \"'>]+)")
+_BLANK = r"\t\n\x0B\f\r "
+_EQUALS = rf"[{_BLANK}]*+=[{_BLANK}]*+"
+_ATTRIBUTE = rf"""[^{_BLANK}>=]++(?:{_EQUALS}(?:"[^"]*+"|'[^']*+'|[^{_BLANK}"'>][^{_BLANK}>]*+)?+)?+"""
+ANCHOR_PATTERN = (rf"""(?i)<a(?=[{_BLANK}])(?:[{_BLANK}]*+(?!href{_EQUALS})(?:{_ATTRIBUTE}|=))*+"""
+                  rf"""[{_BLANK}]*+href{_EQUALS}("[^"]*"|'[^']*'|[^{_BLANK}"'>]+)""")
 DEFAULT_AGENT = "MyCrawler"
 
 

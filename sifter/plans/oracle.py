@@ -106,7 +106,10 @@ HOST_RE = r"^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)"
 RELATIVE = ("", "ftp", "http", "gopher", "nntp", "imap", "wais", "file", "https", "shttp", "mms",
             "prospero", "rtsp", "rtsps", "rtspu", "sftp", "svn", "svn+ssh", "ws", "wss")
 SKIP_RE = r"(?i)<script[^>]*>[\s\S]*?</script>|<style[^>]*>[\s\S]*?</style>|<!--[\s\S]*?-->"
-ANCHOR_RE = (r"(?i)<a[\t\n\x0B\f\r ](?:[^>]*?[\t\n\x0B\f\r ])?href[\t\n\x0B\f\r ]*=[\t\n\x0B\f\r ]*"
+_WS = r"[\t\n\x0B\f\r ]"
+# what may stand in front of href: a quoted or bare value behind "=", or any other character but ">"
+_FRONT = rf"(?:={_WS}*\"[^\"]*\"|={_WS}*''[^'']*''|={_WS}*[^\t\n\x0B\f\r \"''>]|[^>=])*?"
+ANCHOR_RE = (rf"(?i)<a{_WS}(?:{_FRONT}{_WS})?href{_WS}*={_WS}*"
              r"(\"[^\"]*\"|''[^'']*''|[^\t\n\x0B\f\r \"''>]+)")
 
 

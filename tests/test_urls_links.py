@@ -212,3 +212,30 @@ def test_urls_emit_prefixes_of_their_own_hosts_lengths_only(spark):
     assert {r.url for r in decided.filter("not allowed").collect()} == {"http://a/xx", "http://b/p1"} and decided.count() == 9
     plan = decided._jdf.queryExecution().optimizedPlan().toString()
     assert "__lengths" in plan and "collect_set" in plan  # joined per host, not collected on the driver
+
+
+def test_anchors_behind_other_attributes(spark):
+    """Against the standard library's HTML parser: quoted values may hold '>' or 'href=', long tags do not overflow."""
+    from html.parser import HTMLParser
+
+    class Anchors(HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.found = []
+
+        def handle_starttag(self, tag, attrs):
+            if tag == "a":
+                self.found += [v for k, v in attrs if k == "href" and v][:1]
+
+    tags = ['<a title="a>b" href="/1">', "<a title='x > y' href='/2' class=z>", '<a title="see href=/no" href=/3>', '<a data-href="/no" href="/4">',
+            "<A\n TITLE = \"a>b\"\n HREF = '/5'>", '<a title=don\'t href="/6">', "<a title=\"href='/no'\">", '<a class="x"href="/8">', "<a x= href=/no>",
+            "<a>", "<abbr href='/no'>", "<a hrefs='/no'>", "<a href=''>", "<a disabled href=/10/a?b=c&amp;d>", '<a href="/11?a>b">', "<a name=x>", "<a x=1 y href=/12>",
+            "<a " + " ".join(f'data-{i}="v>{i}"' for i in range(400)) + " href=/13>", '<a title="' + "long > " * 20_000 + '" href=/14>']
+    bodies = [*(f"<p>it's {t}one</a> isn't</p>" for t in tags), "".join(f"{t}text</a>\n" for t in tags)]
+    pages = spark.createDataFrame(list(enumerate(bodies)), "n int, html string")
+    got = {r.n: [h for h in r.h if h] for r in pages.select("n", lx.anchor_hrefs("html").alias("h")).collect()}
+    for n, body in enumerate(bodies):
+        parser = Anchors()
+        parser.feed(body)
+        parser.close()
+        assert got[n] == parser.found, body[:200]
