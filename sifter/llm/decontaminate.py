@@ -192,7 +192,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY)
             .select("doc_id", "text_hash", "item", "wording", "item_id", "copies", "item_words", "item_t", "shifts",
                     words(marked(F.col("text"))).alias("doc_words"))
             .dropDuplicates(["doc_id", "text_hash", "item", "wording"]))
-    found = compare(both, similarity).filter((F.col("containment") >= similarity) & (F.col("consistent") | (F.col("literal") >= similarity)))
+    # stored before it is filtered: a filter would be pushed through the comparison and repeat it for each column that it reads
+    compared = store(compare(both, similarity), "decontaminate-compared")
+    found = compared.filter((F.col("containment") >= similarity) & (F.col("consistent") | (F.col("literal") >= similarity)))
     told = [c for c in found.columns if c not in ("doc_id", "text_hash", "item", "wording")]
     best = F.struct("literal", "consistent", "containment", (-F.col("slots")).alias("order"), "wording")
     return (found.groupBy("doc_id", "text_hash", "item").agg(F.max_by(F.struct(*told), best).alias("best"))

@@ -412,3 +412,12 @@ def test_texts_of_numbers(spark, kind):
     found = {r.doc_id for r in decontaminate.decontaminate(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()}
     assert time.monotonic() - start < 60
     assert found >= {2, 3} and (kind == "one" or found == {2, 3})
+
+
+def test_the_comparison_is_planned_once(spark):
+    bench = spark.createDataFrame([(1, "Tom sold 12 red apples to Sara for 3 dollars in the old market")], "item_id long, text string")
+    docs = spark.createDataFrame([(7, "x y Tom sold 12 red apples to Sara for 3 dollars in the old market z")], "doc_id long, text string")
+    found = decontaminate.decontaminate(docs, bench)
+    # the comparison itself is stored: no filter or later column repeats it in the plan that the driver holds
+    assert len(found._jdf.queryExecution().optimizedPlan().toString()) < 20_000
+    assert [(r.doc_id, r.item_id) for r in found.collect()] == [(7, 1)]
