@@ -28,17 +28,17 @@ words; an empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
-import re
 from collections import defaultdict
 from collections.abc import Callable, Iterable, Iterator
 from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sifter.llm.common import slices, store
+from sifter.llm.common import slices, store, utf8_of
 
 WINDOW = 50
 ANCHOR = 16
@@ -47,13 +47,18 @@ PHRASE = 25
 GROUP_BYTES = 4 << 20
 #: Distinct words a task remembers before it starts anew.
 CACHE_WORDS = 300_000
-_WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _LEAST = -(2**63)
 _BASE = 0x9E3779B97F4A7C15 | 1
 
 
+def joined(text: str | None) -> bytes:
+    """The words of a text joined by single spaces; ``bytes.split`` splits at space and 0x09-0x0D alone."""
+    return b" ".join((text or "").encode("utf-8", "surrogatepass").split())
+
+
 def words_of(text: str | None) -> list[str]:
-    return _WORD.findall(text) if text else []
+    words = joined(text).decode("utf-8", "surrogatepass")
+    return words.split(" ") if words else []
 
 
 class _Hashes(dict):
@@ -92,6 +97,23 @@ class Hasher:
             self._powers(2 * longest)
         return [self.hashes[u] for u in use]
 
+    def texts(self, texts: pa.Array) -> list[np.ndarray]:
+        """Hashes of the words of each text (null: none), each distinct word of the batch hashed once."""
+        import xxhash
+
+        cut = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        coded = cut.flatten().dictionary_encode()
+        held = np.array([xxhash.xxh3_64_intdigest(w) for w in utf8_of(coded.dictionary)], dtype=np.uint64)
+        ends, at = np.cumsum(np.asarray(pc.list_value_length(cut)), dtype=np.int64), np.asarray(coded.indices)
+        blank = pc.index(coded.dictionary, "").as_py()  # before the first and behind the last white space
+        if blank >= 0:
+            real = at != blank
+            ends, at = np.r_[0, np.cumsum(real)][ends], at[real]
+        longest = int(np.diff(ends, prepend=0).max(initial=0))
+        if longest >= len(self.power):
+            self._powers(2 * longest)
+        return np.split(held[at], ends[:-1])[:len(texts)]
+
     def rolled(self, hashes: np.ndarray, n: int) -> np.ndarray:
         """Hash of the ``n`` words from each place."""
         if len(hashes) < n:
@@ -132,7 +154,7 @@ def anchor_rows(rows: DataFrame) -> DataFrame:
         hasher = Hasher()
         for batch in batches:
             for part in slices(batch, "text"):
-                found = [np.unique(hasher.anchors(h)) for h in hasher.words([words_of(t) for t in part.column("text").to_pylist()])]
+                found = [np.unique(hasher.anchors(h)) for h in hasher.texts(part.column("text"))]
                 sizes = [len(f) for f in found]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(found).view(np.int64)), *(pa.array(np.repeat(np.asarray(part.column(c)), sizes)) for c in ("grp", "doc"))],
@@ -209,16 +231,15 @@ def screen(rows: DataFrame, anchors: DataFrame) -> DataFrame:
             grp = int(part.column("grp")[0].as_py())
             out = []
             ids, tags, texts = (part.column(c).to_pylist() for c in ("doc", "tag", "text"))
-            cut = [words_of(t) for t in texts]
-            for doc, tag, text, words, hashes in zip(ids, tags, texts, cut, hasher.words(cut), strict=True):
+            for doc, tag, text, hashes in zip(ids, tags, texts, hasher.texts(part.column("text")), strict=True):
                 hit = np.zeros(0, dtype=np.int64)
-                if wanted is not None and len(words) >= WINDOW:
+                if wanted is not None and len(hashes) >= WINDOW:
                     least = hasher.anchors(hashes)
                     at = np.minimum(np.searchsorted(wanted, least), len(wanted) - 1)
                     hit = np.flatnonzero(wanted[at] == least)
                     if len(hit):
                         held.append((hasher.rolled(hashes, WINDOW)[hit].view(np.int64), np.full(len(hit), doc), np.full(len(hit), tag), hit))
-                out.append((doc, tag, len(words), None if len(hit) else _digest(words), text if len(hit) else None))
+                out.append((doc, tag, len(hashes), None if len(hit) else hashlib.sha256(joined(text)).hexdigest(), text if len(hit) else None))
             columns = list(zip(*out, strict=True))
             yield _screened(grp, 1, key=None, doc=columns[0], tag=columns[1], pos=columns[2], last=None, digest=columns[3], text=columns[4])
         if held:

@@ -8,7 +8,9 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from sifter.llm import decontaminate, exact_dedup, minhash, sharding, substring_dedup
@@ -421,3 +423,20 @@ def test_the_comparison_is_planned_once(spark):
     # the comparison itself is stored: no filter or later column repeats it in the plan that the driver holds
     assert len(found._jdf.queryExecution().optimizedPlan().toString()) < 20_000
     assert [(r.doc_id, r.item_id) for r in found.collect()] == [(7, 1)]
+
+
+def test_words_of_a_batch_are_hashed_together():
+    rng = random.Random(4)
+    parts = ["a", "bc", " ", "  ", "\n", "\t", "\x0b", "\x0c", "\r", "\x1c", "\x1f", "\x85", "\xa0", "　", "é", "日", "\0"]
+    texts = [*("".join(rng.choice(parts) for _ in range(rng.randint(0, 20))) for _ in range(500)), None, "", " ", "a"]
+    cut = [re.findall(r"[^\x20\x09-\x0D]+", t or "") for t in texts]
+    assert [substring_dedup.words_of(t) for t in texts] == cut
+    hasher = substring_dedup.Hasher()
+    for lo, hi in ((0, len(texts)), (7, 8), (500, 504), (3, 3)):
+        got = hasher.texts(pa.array(texts, pa.string()).slice(lo, hi - lo))
+        assert [h.tolist() for h in got] == [h.tolist() for h in hasher.words(cut[lo:hi])]
+    words = minhash.Words()
+    for some in (cut, cut[9:10], [[]], []):
+        use = words.look_up(some)
+        got = [(words.hashes[u].tolist(), words.buckets[u].tolist()) for u in use]
+        assert got == [([xxhash.xxh3_64_intdigest(w) for w in t], [zlib.crc32(w.encode()) % minhash.DF_BUCKETS for w in t]) for t in some]
