@@ -33,14 +33,14 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterable, Iterator
-from itertools import islice
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sifter.llm.common import keep_rows, slices, store, texts_of, who
+from sifter.llm.common import keep_rows, slices, store, texts_of, utf8_of, who
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -57,35 +57,20 @@ NEAREST = 2
 BLOCK = 2048
 #: Nodes and bytes of text on a side of a tile of a large bucket.
 TILE, TILE_BYTES = 1024, 8 << 20
-CACHE_WORDS = 300_000
-
-
-class _Numbers(dict):
-    """Numbers keys in the order in which they are first asked for."""
-
-    def __missing__(self, key: str) -> int:
-        number = self[key] = len(self)
-        return number
 
 
 class Words:
-    """Hashes and document-frequency buckets of words, remembered in a task."""
-
-    def __init__(self) -> None:
-        self.known, self.hashes, self.buckets = _Numbers(), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    """Hashes and document-frequency buckets of the words looked up last."""
 
     def look_up(self, texts: list[list[str]]) -> list[np.ndarray]:
-        """Numbers of the words of each text; ``hashes`` and ``buckets`` hold what they stand for."""
+        """Numbers of the words of each text; until the next call ``hashes`` and ``buckets`` hold what they stand for."""
         import xxhash
 
-        if len(self.known) > CACHE_WORDS:
-            self.__init__()
-        number = self.known.__getitem__
-        use = [np.fromiter(map(number, t), dtype=np.int64, count=len(t)) for t in texts]
-        fresh = list(islice(self.known, len(self.hashes), None))
-        self.hashes = np.r_[self.hashes, np.array([xxhash.xxh3_64_intdigest(w) for w in fresh], dtype=np.uint64)]
-        self.buckets = np.r_[self.buckets, np.array([zlib.crc32(w.encode("utf-8", "surrogatepass")) % DF_BUCKETS for w in fresh], dtype=np.int64)]
-        return use
+        coded = pa.array(list(chain.from_iterable(texts)), pa.string()).dictionary_encode()
+        distinct = utf8_of(coded.dictionary)  # few next to the words
+        self.hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in distinct], dtype=np.uint64)
+        self.buckets = np.array([zlib.crc32(w) for w in distinct], dtype=np.int64) % DF_BUCKETS
+        return np.split(np.asarray(coded.indices), np.cumsum([len(t) for t in texts])[:-1])[:len(texts)]
 
 
 def words_of(text: str) -> list[str]:
