@@ -27,6 +27,7 @@ import struct
 import unicodedata
 import zlib
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 from itertools import chain, islice
 
 import numpy as np
@@ -46,7 +47,7 @@ BLOCK_IDS = 1 << 20
 #: Rules made in one round, in all, and the least count of a pair worth a rule.
 ROUND_RULES, MAX_RULES, LEAST_COUNT = 2048, 14_000, 12
 MAX_ROUNDS = 16
-#: Distinct pieces a task remembers before it starts anew.
+#: Distinct pieces a Python worker remembers before it forgets those that it met in one slice only.
 CACHE_PIECES = 500_000
 # The rules that belong to the vocabulary
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -105,6 +106,16 @@ class WordEncoder:
     def _forget(self) -> None:
         self.known, self.pieces = _Numbers({"\n": 0}), _Ragged()
         self.pieces.add([[]])
+        self.met = np.zeros(1, np.int64)  # slices that each piece was met in
+
+    def _forget_rare(self) -> None:
+        often = np.flatnonzero(self.met > 1)
+        names, pieces = list(self.known), self.pieces
+        self._forget()
+        often = often[often > 0] if len(often) <= CACHE_PIECES // 2 else often[:0]
+        self.known.update(zip((names[i] for i in often.tolist()), range(1, len(often) + 1), strict=True))
+        self.pieces.extend(pieces.take(often), pieces.sizes[often])
+        self.met = np.ones(len(self.known), np.int64)
 
     def _whole(self, text: str) -> bool:
         """Whether the library must see a word whole."""
@@ -121,11 +132,12 @@ class WordEncoder:
             joined = "\n".join("" if i in odd else w for i, w in enumerate(each))
         found = self.pattern.findall(joined.lower())
         if len(self.known) > CACHE_PIECES:
-            self._forget()
+            self._forget_rare()
         number, before = self.known.__getitem__, len(self.known)
         use = np.fromiter(map(number, found), dtype=np.int64, count=len(found))
         tokenize = self.tokenizer.model.tokenize
         self.pieces.add([[t.id for t in tokenize(self._spelled(p))] for p in islice(self.known, before, None)])
+        self.met = np.r_[self.met, np.zeros(len(self.known) - before, np.int64)] + (np.bincount(use, minlength=len(self.known)) > 0)
         word = np.cumsum(use == 0)  # number of the word that each piece is in
         sizes = np.bincount(word, weights=self.pieces.sizes[use], minlength=len(words)).astype(np.int64)
         flat = self.pieces.take(use)
@@ -149,6 +161,12 @@ class WordEncoder:
         return ragged(flat, (np.cumsum(sizes) - sizes)[used], sizes[used]), np.diff(upto[ends])
 
 
+@lru_cache(1)
+def shared_encoder(path: str) -> WordEncoder:
+    """The encoder of this Python worker, which keeps from task to task what it has encoded."""
+    return WordEncoder(path)
+
+
 class _Ragged:
     """Lists of ids behind one another."""
 
@@ -329,7 +347,7 @@ def write_shards(docs: DataFrame, tokenizer_path: str, name: str = "token-ids",
     ordered = base.repartitionByRange("doc_id", "text_hash").sortWithinPartitions("doc_id", "text_hash", "text")
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, shard, number = WordEncoder(tokenizer_path), TaskContext.get().partitionId(), 0
+        encoder, shard, number = shared_encoder(tokenizer_path), TaskContext.get().partitionId(), 0
         held, doc_ids, sizes, count = [], [], [], 0
         doc_type = pa.int64()
 

@@ -134,3 +134,17 @@ def test_files_with_other_rules_are_refused(tmp_path):
     path.write_text(json.dumps(spec), encoding="utf-8")
     with pytest.raises(ValueError, match="other rules"):
         token_ids.check_rules(str(path))
+
+
+def test_pieces_are_kept_from_task_to_task(monkeypatch):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    t, encoder = library("word_bpe_49k.json"), token_ids.shared_encoder(path)
+    assert token_ids.shared_encoder(path) is encoder
+    monkeypatch.setattr(token_ids, "CACHE_PIECES", 40)
+    made = fuzz(400)
+    for lo in range(0, len(made), 20):  # the full cache keeps what recurs, and numbers it anew
+        part = made[lo:lo + 20]
+        flat, sizes = encoder.ids(pa.array(part))
+        assert flat.tolist() == [i for x in part for i in t.encode(x, add_special_tokens=False).ids]
+        assert sizes.sum() == len(flat) and len(encoder.known) == len(encoder.pieces.sizes) == len(encoder.met)
+    token_ids.shared_encoder.cache_clear()
