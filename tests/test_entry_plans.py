@@ -126,3 +126,10 @@ def test_registered_queries_parse_html_once(spark):
         df = catalog.queries()[key](spark, SF_SMALL)
         scans = [ln for ln in df._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Relation" in ln]
         assert scans and not any("html" in ln for ln in scans), key
+
+
+def test_the_text_corpus_is_parsed_once(spark):
+    found = catalog.QUERIES["search_topk_text"](spark, "/root/testdata/sf0.001")
+    # terms, stats and postings come from the stored forward index, not each from the texts
+    assert not [f for f in found.inputFiles() if "/documents.parquet" in f]
+    assert found.count() > 0
