@@ -42,6 +42,8 @@ CHUNK_BYTES = 8 << 20
 #: Entries that the filters of a shard hold at most on average.
 SHARD_ENTRIES = 1 << 21
 MAX_ID_BITS = 31
+#: Words of a stream whose phrases are packed at a time.
+STEP = 1 << 16
 #: Copies of a lookup table, so that a frequent key is spread over as many tasks.
 SALT = 8
 #: Parts of a language that are ranked by themselves first.
@@ -231,34 +233,52 @@ def read_filter(data: bytes, shard: int) -> tuple[Packing, np.ndarray, np.ndarra
     return packing, upper, lower, np.frombuffer(data, f"<u{count_width}", n, at).astype(np.int64)
 
 
-def phrases(stream: np.ndarray, ids: np.ndarray, packing: Packing) -> tuple[np.ndarray, np.ndarray]:
-    """All neighbouring words of a stream that have ids, packed, two and three at a time."""
-    s = ids[stream]
-    two = np.flatnonzero((s[:-1] > 0) & (s[1:] > 0))
-    three = two[:-1][np.diff(two) == 1]
-    none = np.zeros(len(two), dtype=np.int64)
-    pairs, triples = packing.pack(s[two], s[two + 1], none), packing.pack(s[three], s[three + 1], s[three + 2])
-    return np.concatenate([pairs[0], triples[0]]), np.concatenate([pairs[1], triples[1]])
+def phrases(stream: np.ndarray, ids: np.ndarray, packing: Packing) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All neighbouring words of a stream that have ids, packed, two and three at a time; ``STEP`` words after the other."""
+    for lo in range(0, len(stream), STEP):
+        s = ids[stream[lo:lo + STEP + 2]]
+        two = np.flatnonzero((s[:-1] > 0) & (s[1:] > 0))
+        three = two[:-1][np.diff(two) == 1]
+        two, three = two[two < STEP], three[three < STEP]  # the next step has the others
+        yield packing.pack(s[two], s[two + 1], np.zeros(len(two), dtype=np.int64))
+        yield packing.pack(s[three], s[three + 1], s[three + 2])
+
+
+def count_phrases(stream: np.ndarray, ids: np.ndarray, packing: Packing) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``count_sorted`` of the phrases of a stream; where both lanes fit into 64 bits, sorted in place."""
+    packed = phrases(stream, ids, packing)
+    if 3 * packing.bits > 64:
+        lanes = list(zip(*packed, strict=True)) or [[np.zeros(0, np.uint64)]] * 2
+        return count_sorted(packing, *map(np.concatenate, lanes))
+    low = np.uint64(packing.low)
+    keys = np.concatenate([np.zeros(0, np.uint64), *(u << low | v for u, v in packed)])
+    keys.sort()
+    new = np.ones(len(keys), dtype=bool)
+    np.not_equal(keys[1:], keys[:-1], out=new[1:])
+    counts = np.diff(np.flatnonzero(new), append=len(keys))
+    keys = keys[new]
+    return keys >> low, keys & _mask(packing.low), counts
 
 
 def chunk_filters(chunks: DataFrame, vocabulary: DataFrame, packing: Packing, shard_bits: int) -> DataFrame:
     """shard, filter: for every chunk one filter per shard that it has phrases of."""
     words = chunks.select("chunk", "lang", F.posexplode("words").alias("place", "word"))
     known = (words.join(vocabulary.select("lang", "word", "id"), ["lang", "word"])
-             .groupBy("chunk").agg(F.collect_list(F.struct("place", "id")).alias("known")))  # a chunk's words: bounded
+             .groupBy("chunk")  # a chunk's words: bounded; place and id in one long
+             .agg(F.collect_list(F.shiftleft(F.col("place").cast("long"), 32).bitwiseOR(F.col("id"))).alias("known")))
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for stream, known in zip(batch.column("stream"), batch.column("known"), strict=True):
                 numbers = np.frombuffer(stream.as_py(), "<u4")
-                place, ids = (np.asarray(known.values.field(i)) for i in (0, 1))
+                known = np.asarray(known.values)
+                place = known >> 32
                 table = np.zeros(max(int(numbers.max(initial=0)), int(place.max(initial=-1)) + 1) + 1, dtype=np.int64)
-                table[place + 1] = ids
-                upper, lower, counts = count_sorted(packing, *phrases(numbers, table, packing))
-                shard = (upper >> np.uint64(packing.high - shard_bits)).astype(np.int64)
-                cuts = np.r_[np.flatnonzero(np.r_[True, shard[1:] != shard[:-1]]), len(shard)] if len(shard) else [0]
-                found = [(int(shard[lo]), write_filter(packing, shard_bits, upper[lo:hi], lower[lo:hi], counts[lo:hi]))
-                         for lo, hi in zip(cuts[:-1], cuts[1:], strict=True)]
+                table[place + 1] = known & (2**32 - 1)
+                upper, lower, counts = count_phrases(numbers, table, packing)
+                cuts = np.searchsorted(upper, np.arange((1 << shard_bits) + 1, dtype=np.uint64) << np.uint64(packing.high - shard_bits))
+                found = [(shard, write_filter(packing, shard_bits, upper[lo:hi], lower[lo:hi], counts[lo:hi]))
+                         for shard, (lo, hi) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)) if lo < hi]
                 yield pa.RecordBatch.from_arrays([pa.array([s for s, _ in found], pa.int64()), pa.array([f for _, f in found], pa.binary())],
                                                  names=["shard", "filter"])
 
@@ -270,13 +290,12 @@ def merged_counts(filters: DataFrame, least: int) -> DataFrame:
 
     def merge(table: pa.Table) -> pa.Table:
         shard = table.column("shard")[0].as_py()
-        packing, upper, lower, counts = None, [], [], []
+        packing, lanes = None, []
         for data in table.column("filter"):
-            packing, u, v, c = read_filter(data.as_py(), shard)
-            upper.append(u)
-            lower.append(v)
-            counts.append(c)
-        u, v, c = count_sorted(packing, np.concatenate(upper), np.concatenate(lower), np.concatenate(counts))
+            packing, *found = read_filter(data.as_py(), shard)
+            lanes.append(found)
+        lanes = list(zip(*lanes, strict=True))
+        u, v, c = count_sorted(packing, *(np.concatenate(lanes.pop(0)) for _ in range(3)))
         x, y, z = packing.unpack(u[c >= least], v[c >= least])
         return pa.table({"x": x, "y": y, "z": z, "a": c[c >= least].astype(np.int64)})
 
@@ -309,7 +328,8 @@ def collocations(docs: DataFrame, least: int = LEAST_COUNT, top: int = TOP) -> D
     entries = 2 * int(sizes.agg(F.sum("n")).first()[0] or 0)
     packing = Packing(bits)
     shard_bits = min(packing.high, max(0, (entries // SHARD_ENTRIES).bit_length()))
-    counts = store(merged_counts(chunk_filters(chunks, vocabulary, packing, shard_bits), least), "collocation-counts")
+    filters = chunk_filters(chunks, vocabulary, packing, shard_bits)
+    counts = store(merged_counts(filters, least), "collocation-counts", batch_bytes=CHUNK_BYTES)
 
     salt = F.pmod(F.xxhash64("x", "y", "z"), F.lit(SALT)).cast("int").alias("salt")
     found = counts.select("*", salt)

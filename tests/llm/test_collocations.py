@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -109,3 +110,22 @@ def test_filters_lose_nothing(bits, shard_bits):
         data = collocations.write_filter(packing, shard_bits, upper[mine], lower[mine], counts[mine])
         back, u, v, c = collocations.read_filter(data, s)
         assert back.bits == bits and (u == upper[mine]).all() and (v == lower[mine]).all() and (c == counts[mine]).all()
+
+
+@pytest.mark.parametrize("bits", [18, 21, 25])
+def test_the_phrases_of_a_chunk_are_counted_in_little_memory(bits):
+    rng, packing = np.random.default_rng(bits), collocations.Packing(bits)
+    stream, ids = rng.integers(0, 3000, 300_000).astype("<u4"), np.r_[0, rng.permutation(1 << 16)[:2999] + 1]
+    ids[rng.integers(1, 3000, 300)] = 0
+    s = ids[stream].tolist()
+    brute = Counter((*s[i:i + 2], 0) for i in range(len(s) - 1) if all(s[i:i + 2]))
+    brute.update(tuple(s[i:i + 3]) for i in range(len(s) - 2) if all(s[i:i + 3]))
+    tracemalloc.start()
+    upper, lower, counts = collocations.count_phrases(stream, ids, packing)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert dict(zip(zip(*(v.tolist() for v in packing.unpack(upper, lower)), strict=True), counts.tolist(), strict=True)) == brute
+    order = upper << np.uint64(packing.low) | lower if 3 * bits <= 64 else upper
+    assert (order[1:] >= order[:-1]).all()
+    assert 3 * bits > 64 or peak < 40 * counts.sum()
+    assert all(len(x) == 0 for x in collocations.count_phrases(stream[:1], ids, packing))
