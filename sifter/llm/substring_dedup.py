@@ -267,7 +267,8 @@ def _screened(grp: int, part: int, **columns) -> pa.RecordBatch:
 
 def passages(screened: DataFrame) -> DataFrame:
     """Stored: passage (its id), first (doc of its first occurrence), text and the keys of its windows."""
-    windows = screened.filter("part = 0")
+    # a group has a window once, so nothing is gained by combining before the exchange, which would take the documents' order
+    windows = screened.filter("part = 0").select("key", "doc", "tag", "pos", "grp", "last").repartition("key")
     confirmed = (windows.groupBy("key").agg(F.min(F.struct("doc", "tag", "pos", "grp")).alias("first"), F.max("last").alias("last"))
                  .filter("first.doc < last").select("key", "first.*"))
     side = confirmed.select("grp", "doc", "tag", (F.col("pos")).cast("string").alias("text"), "key")
@@ -365,7 +366,8 @@ def locate(screened: DataFrame, found: DataFrame) -> DataFrame:
     windows = screened.filter("part = 0").select("key", "grp")
     keys = found.select("passage", F.explode("keys").alias("key"))
     routes = windows.join(keys, "key").select("grp", "passage").distinct()
-    side = routes.join(found.select("passage", "first", "text"), "passage").select("grp", F.col("first").alias("doc"), "text")
+    side = store(routes.join(found.select("passage", "first", "text"), "passage").select("grp", F.col("first").alias("doc"), "text"),
+                 "substring-routes")  # so the windows' exchange is gone before the texts' begins
 
     def handle(rows: pa.Table | None, docs: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = [] if rows is None else [(d, t.split(" ")) for d, t in zip(rows.column("doc").to_pylist(), rows.column("text").to_pylist(), strict=True)]

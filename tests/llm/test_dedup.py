@@ -13,7 +13,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from sifter.llm import decontaminate, exact_dedup, minhash, sharding, substring_dedup
+from sifter.llm import common, decontaminate, exact_dedup, minhash, sharding, substring_dedup
 
 from .messy import collected, empty, messy, rows, small
 
@@ -440,3 +440,16 @@ def test_words_of_a_batch_are_hashed_together():
         use = words.look_up(some)
         got = [(words.hashes[u].tolist(), words.buckets[u].tolist()) for u in use]
         assert got == [([xxhash.xxh3_64_intdigest(w) for w in t], [zlib.crc32(w.encode()) % minhash.DF_BUCKETS for w in t]) for t in some]
+
+
+def test_shuffles_go_when_their_table_is_stored(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    held = lambda: {f for f in files.getAllFiles().mkString(" ").split() if "shuffle_" in f and f.endswith(".data")}
+    key, before = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", held()
+    was = spark.conf.get(key)
+    df = spark.range(1000).repartition(3, "id").groupBy((F.col("id") % 7).alias("k")).count()
+    assert {r.k: r["count"] for r in common.store(df, "test-shuffles").collect()} == {k: len(range(k, 1000, 7)) for k in range(7)}
+    end = time.time() + 20
+    while held() - before and time.time() < end:  # Spark removes them behind the query
+        time.sleep(0.2)
+    assert not held() - before and spark.conf.get(key) == was
