@@ -33,10 +33,10 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterable, Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,6 +48,10 @@ BANDS, ROWS = 16, 3
 #: Share of agreeing samples below which a pair cannot reach the threshold
 #: (4.3 standard deviations of 48 samples under 0.8).
 LEAST_AGREEMENT = 0.55
+#: Elements that may lie below this, over the weight of their set, are drawn first.
+LIKELY = 6.0
+#: Elements times samples that are drawn at a time.
+SAMPLED = 1 << 15
 DF_BUCKETS = 1 << 18
 #: Nodes of a bucket up to which all those of different classes are paired.
 SMALL = 64
@@ -64,13 +68,19 @@ class Words:
 
     def look_up(self, texts: list[list[str]]) -> list[np.ndarray]:
         """Numbers of the words of each text; until the next call ``hashes`` and ``buckets`` hold what they stand for."""
+        numbers, lengths = self.number([" ".join(t) for t in texts])
+        return np.split(numbers, np.cumsum(lengths)[:-1])[:len(texts)]
+
+    def number(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for words joined by single spaces: the numbers of all texts in a row, and how many each text has."""
         import xxhash
 
-        coded = pa.array(list(chain.from_iterable(texts)), pa.string()).dictionary_encode()
+        cut = pc.split_pattern(pa.array([t or None for t in texts], pa.string()), " ")
+        coded = cut.flatten().dictionary_encode()
         distinct = utf8_of(coded.dictionary)  # few next to the words
         self.hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in distinct], dtype=np.uint64)
         self.buckets = np.array([zlib.crc32(w) for w in distinct], dtype=np.int64) % DF_BUCKETS
-        return np.split(np.asarray(coded.indices), np.cumsum([len(t) for t in texts])[:-1])[:len(texts)]
+        return np.asarray(coded.indices), np.asarray(pc.fill_null(pc.list_value_length(cut), 0))
 
 
 def words_of(text: str) -> list[str]:
@@ -84,65 +94,141 @@ def _mix(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(32))
 
 
-def weighted_shingles(hashes: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct shingle hashes of a text, ascending, and their weights."""
-    n = min(SHINGLE, len(hashes))
-    if n == 0:
-        return hashes, np.zeros(0, np.float64)
+def _shingles(hashes: np.ndarray, idf: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and summed idf of the ``n`` words from each place."""
     m = len(hashes) - n + 1
     shingle, weight = np.zeros(m, np.uint64), np.zeros(m)
     with np.errstate(over="ignore"):
         for i in range(n):
             shingle = _mix(shingle * np.uint64(0x9E3779B97F4A7C15) + hashes[i:i + m])
             weight += idf[i:i + m]
+    return shingle, weight
+
+
+def _distinct(shingle: np.ndarray, weight: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     order = np.argsort(shingle, kind="stable")
     shingle, weight = shingle[order], weight[order]
-    first = np.flatnonzero(np.r_[True, shingle[1:] != shingle[:-1]])
-    count = np.diff(np.r_[first, m])
+    new = np.ones(len(shingle), dtype=bool)
+    np.not_equal(shingle[1:], shingle[:-1], out=new[1:])
+    first = np.flatnonzero(new)
+    count = np.diff(first, append=len(shingle))
     return shingle[first], weight[first] / n * count
 
 
+def weighted_shingles(hashes: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct shingle hashes of a text, ascending, and their weights."""
+    n = min(SHINGLE, len(hashes))
+    if n == 0:
+        return hashes, np.zeros(0, np.float64)
+    return _distinct(*_shingles(hashes, idf, n), n)
+
+
+def weighted_sets(hashes: np.ndarray, idf: np.ndarray, lengths: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """``weighted_shingles`` of texts whose words lie in a row, hashed together."""
+    shingle, weight = _shingles(hashes, idf, SHINGLE) if len(hashes) >= SHINGLE else (None, None)
+    at = 0
+    for n in lengths.tolist():
+        if n < SHINGLE:
+            yield weighted_shingles(hashes[at:at + n], idf[at:at + n])
+        else:
+            yield _distinct(shingle[at:at + n - SHINGLE + 1], weight[at:at + n - SHINGLE + 1], SHINGLE)
+        at += n
+
+
 def icws(shingles: np.ndarray, weights: np.ndarray, samples: int = BANDS * ROWS) -> np.ndarray:
-    """Improved consistent weighted samples of a weighted set, one int per sample.
+    """Improved consistent weighted samples of a weighted set, one int per sample."""
+    return icws_of([(shingles, weights)], samples)[0]
+
+
+def icws_of(sets: list[tuple[np.ndarray, np.ndarray]], samples: int = BANDS * ROWS) -> np.ndarray:
+    """Improved consistent weighted samples of weighted sets, a line each.
 
     For every element and sample, r and c are Gamma(2, 1) and beta uniform, drawn
     from a hash of both; the element with the least ln c - r (t - beta) - r,
     t = floor(ln S / r + beta), is the sample, together with its t.
+
+    exp of that value is exponential with rate S, so the least over the set
+    lies below ``LIKELY`` / (sum of the weights) but for one sample in 400.
+    Elements that cannot lie below are left out; samples without an element
+    below are drawn again from all.
     """
-    if not len(shingles):
-        return np.zeros(samples, np.int32)
     seeds = _mix(np.arange(1, samples + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)) | np.uint64(1)
-    best = np.full(samples, np.inf, np.float32)
-    out = np.zeros(samples, np.int32)
-    step = max(1, (1 << 18) // samples)  # bounded work arrays for long texts
-    columns = np.arange(samples)
-    for lo in range(0, len(shingles), step):
-        s = shingles[lo:lo + step]
-        log_s = np.log(weights[lo:lo + step]).astype(np.float32)[:, None]
-        with np.errstate(over="ignore"):
-            h = s[:, None] * seeds[None, :]
-            h ^= h >> np.uint64(32)
-            h *= np.uint64(0xD6E8FEB86659FD93)
-            h ^= h >> np.uint64(29)
-            extra = (h * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)
-        parts = h.view(np.uint16).reshape(len(s), samples, 4).astype(np.float32)
-        parts += np.float32(0.5)
-        parts *= np.float32(1 / 65536)
-        r = -np.log(parts[:, :, 0] * parts[:, :, 1])
-        c = -np.log(parts[:, :, 2] * parts[:, :, 3])
-        beta = extra.astype(np.float32) * np.float32(2.0**-24)
-        t = np.floor(log_s / r + beta)
-        a = np.log(c) - r * (t - beta + np.float32(1))
-        at = np.argmin(a, axis=0)
-        least = a[at, columns]
-        better = least < best
-        with np.errstate(over="ignore"):
-            value = _mix(s[at] + t[at, columns].astype(np.int64).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-        best[better] = least[better]
-        out[better] = (value >> np.uint64(32)).astype(np.uint32).view(np.int32)[better]
+    most = np.array([LIKELY / w.sum() if len(w) else np.inf for _, w in sets])
+    out, best = _least(sets, seeds, most)
+    again = best > np.log(most)[:, None]
+    for i in np.flatnonzero(again.any(axis=1)):
+        out[i, again[i]] = _least([sets[i]], seeds[again[i]], np.array([np.inf]))[0]
     return out
 
 
+def _least(sets: list[tuple[np.ndarray, np.ndarray]], seeds: np.ndarray, most: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The samples of each set among the elements whose exp(value) may be at most ``most``, and their values.
+
+    With e^-r = u0 u1 and c = -ln(u2 u3) exp of the value lies above u0 u1 c / S,
+    which takes one logarithm instead of three.
+    """
+    n = len(seeds)
+    best, out = np.full(len(sets) * n, np.inf, np.float32), np.zeros(len(sets) * n, np.int32)
+    step = max(1, SAMPLED // n)  # bounded work arrays for long texts
+    room = [np.empty(n * step, np.uint64), np.empty(n * step, np.uint64), np.empty(4 * n * step, np.float32), np.empty(n * step, np.float32)]
+    held, count = [], 0
+    for i, (shingles, weights) in enumerate(sets):
+        # a hundredth more, for what 32-bit floats round
+        limit = (weights * (-1.01 * 2.0**32 * most[i])).astype(np.float32)
+        for lo in range(0, len(shingles), step):
+            s = shingles[lo:lo + step]
+            m = len(s)
+            h, other, bound = (x[:n * m].reshape(n, m) for x in (room[0], room[1], room[3]))
+            parts = room[2][:4 * n * m].reshape(n, m, 4)
+            np.multiply(seeds[:, None], s, out=h)
+            h ^= np.right_shift(h, np.uint64(32), out=other)
+            h *= np.uint64(0xD6E8FEB86659FD93)
+            h ^= np.right_shift(h, np.uint64(29), out=other)
+            np.add(h.view(np.uint16).reshape(n, m, 4), np.float32(0.5), out=parts)
+            np.multiply(parts[:, :, 2], parts[:, :, 3], out=bound)
+            bound *= np.float32(2.0**-32)
+            np.log(bound, out=bound)
+            bound *= parts[:, :, 0]
+            bound *= parts[:, :, 1]
+            at = np.flatnonzero(bound >= limit[lo:lo + step])
+            sample = at // m
+            place = at - sample * m + lo
+            held.append((sample + i * n, h.reshape(-1)[at], shingles[place], weights[place]))
+            count += len(at)
+            if count >= SAMPLED:
+                _settle(held, best, out)
+                held, count = [], 0
+    _settle(held, best, out)
+    return out.reshape(len(sets), n), best.reshape(len(sets), n)
+
+
+def _settle(held: list[tuple], best: np.ndarray, out: np.ndarray) -> None:
+    """Put the least of the held elements of every sample into ``best`` and ``out`` where it is less."""
+    if not held:
+        return
+    sample, h, shingle, weight = (np.concatenate(x) for x in zip(*held, strict=True))
+    if not len(sample):
+        return
+    if (sample[1:] < sample[:-1]).any():  # a set in several steps
+        order = np.argsort(sample, kind="stable")
+        sample, h, shingle, weight = (x[order] for x in (sample, h, shingle, weight))
+    parts = (h.view(np.uint16).astype(np.float32).reshape(len(h), 4) + np.float32(0.5)) * np.float32(1 / 65536)
+    r = -np.log(parts[:, 0] * parts[:, 1])
+    c = -np.log(parts[:, 2] * parts[:, 3])
+    extra = (h * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)
+    beta = extra.astype(np.float32) * np.float32(2.0**-24)
+    t = np.floor(np.log(weight).astype(np.float32) / r + beta)
+    a = np.log(c) - r * (t - beta + np.float32(1))
+    first = np.flatnonzero(np.r_[True, sample[1:] != sample[:-1]])
+    least = np.minimum.reduceat(a, first)
+    hit = np.flatnonzero(a == np.repeat(least, np.diff(first, append=len(a))))
+    chosen, sample = hit[np.searchsorted(hit, first)], sample[first]
+    value = _mix(shingle[chosen] + t[chosen].astype(np.int64).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    better = least < best[sample]
+    best[sample[better]] = least[better]
+    out[sample[better]] = (value >> np.uint64(32)).astype(np.uint32).view(np.int32)[better]
+
+
 def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
     if not len(a[0]) or not len(b[0]):
         return float(len(a[0]) == len(b[0]))
@@ -162,7 +248,7 @@ def idf_table(docs: DataFrame) -> np.ndarray:
         for batch in batches:
             for part in slices(batch, "text"):
                 for use in words.look_up([words_of(t) for t in texts_of(part)]):
-                    df[np.unique(words.buckets[use])] += 1
+                    df[words.buckets[use]] += 1  # one more for a bucket, however often it is named
                 n += part.num_rows
         df[DF_BUCKETS] = n  # the last row counts documents
         at = np.flatnonzero(df)
@@ -189,13 +275,14 @@ def sketches(docs: DataFrame, idf: np.ndarray) -> DataFrame:
         words = Words()
         for batch in batches:
             for part in slices(batch, "text"):
-                cut = [words_of(t) for t in texts_of(part)]
-                use = words.look_up(cut)
-                samples = [icws(*weighted_shingles(words.hashes[u], shared.value[words.buckets[u]])) for u in use]
-                nodes = [xxhash.xxh3_128_digest(" ".join(c).encode("utf-8", "surrogatepass")) for c in cut]
+                texts = [" ".join(words_of(t)) for t in texts_of(part)]
+                use, lengths = words.number(texts)
+                samples = icws_of(list(weighted_sets(words.hashes[use], shared.value[words.buckets][use], lengths)))
+                nodes = [xxhash.xxh3_128_digest(t.encode("utf-8", "surrogatepass")) for t in texts]
+                places = pa.array(np.arange(len(samples) + 1, dtype=np.int32) * samples.shape[1])
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("text_hash"), pa.array(nodes, pa.binary()),
-                     pa.array([s.tolist() for s in samples], pa.list_(pa.int32()))], names=["doc_id", "text_hash", "node", "samples"])
+                     pa.ListArray.from_arrays(places, pa.array(samples.reshape(-1)))], names=["doc_id", "text_hash", "node", "samples"])
 
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     kind = dict(docs.dtypes)["doc_id"]
@@ -246,8 +333,8 @@ def verify(pairs: DataFrame, texts: DataFrame, idf: np.ndarray, similarity: floa
             for part in slices(batch, "text_a"):
                 sets = []
                 for column in ("text_a", "text_b"):
-                    use = words.look_up([words_of(t) for t in texts_of(part, column)])
-                    sets.append([weighted_shingles(words.hashes[u], shared.value[words.buckets[u]]) for u in use])
+                    use, lengths = words.number([" ".join(words_of(t)) for t in texts_of(part, column)])
+                    sets.append(weighted_sets(words.hashes[use], shared.value[words.buckets][use], lengths))
                 score = np.array([weighted_jaccard(x, y) for x, y in zip(*sets, strict=True)])
                 yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b"), pa.array(score)], names=["a", "b", "score"])
 

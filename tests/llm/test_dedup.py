@@ -453,3 +453,44 @@ def test_shuffles_go_when_their_table_is_stored(spark):
     while held() - before and time.time() < end:  # Spark removes them behind the query
         time.sleep(0.2)
     assert not held() - before and spark.conf.get(key) == was
+
+
+def plain_sample(shingles, weights, samples):
+    """Of every sample the element with the least value, all elements drawn in full."""
+    mix = minhash._mix
+    seeds = mix(np.arange(1, samples + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)) | np.uint64(1)
+    h = shingles[:, None] * seeds
+    h = (h ^ h >> np.uint64(32)) * np.uint64(0xD6E8FEB86659FD93)
+    h ^= h >> np.uint64(29)
+    u = (h[:, :, None] >> np.arange(0, 64, 16, dtype=np.uint64) & np.uint64(0xFFFF)).astype(np.float32) / np.float32(65536) + np.float32(2.0**-17)
+    r, c = -np.log(u[:, :, 0] * u[:, :, 1]), -np.log(u[:, :, 2] * u[:, :, 3])
+    beta = (h * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)).astype(np.float32) * np.float32(2.0**-24)
+    t = np.floor(np.log(weights).astype(np.float32)[:, None] / r + beta)
+    at = np.argmin(np.log(c) - r * (t - beta + np.float32(1)), axis=0)
+    value = mix(shingles[at] + t[at, np.arange(samples)].astype(np.int64).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    return (value >> np.uint64(32)).astype(np.uint32).view(np.int32)
+
+
+def test_few_elements_are_drawn_in_full(monkeypatch):
+    rng, drawn = np.random.default_rng(5), []
+    sets = []
+    for n in (1, 2, 30, 400, 700, 3000):
+        s = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+        sets += [(s, rng.choice([1.0, 1.3, 2.0, 40.0], len(s))), (s[:0], np.zeros(0))]
+    settle = minhash._settle
+    monkeypatch.setattr(minhash, "_settle", lambda held, *rest: (drawn.extend(len(x[0]) for x in held), settle(held, *rest)))
+    got = minhash.icws_of(sets, 300)
+    for g, (s, w) in zip(got, sets, strict=True):
+        assert g.tolist() == (plain_sample(s, w, 300).tolist() if len(s) else [0] * 300)
+    assert sum(drawn) < 0.1 * 300 * sum(len(s) for s, _ in sets)
+
+
+def test_shingles_of_texts_in_a_row():
+    rng = np.random.default_rng(6)
+    for lengths in ([0, 7, 3, 0, 5, 12, 1, 90], [2, 1], [0], []):
+        n = np.array(lengths, dtype=np.int64)
+        hashes, idf = rng.integers(0, 9, n.sum()).astype(np.uint64), 1 + rng.random(n.sum())
+        ends = np.cumsum(n)
+        got = list(minhash.weighted_sets(hashes, idf, n))
+        want = [minhash.weighted_shingles(hashes[e - k:e], idf[e - k:e]) for e, k in zip(ends, n, strict=True)]
+        assert [(s.tolist(), w.tolist()) for s, w in got] == [(s.tolist(), w.tolist()) for s, w in want]
