@@ -26,10 +26,12 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from sifter.llm.common import ragged, slices, texts_of
+from sifter.llm.common import lean, ragged, slices, texts_of
 
 #: Distinct chunks a task remembers before it starts anew.
 CACHE_CHUNKS = 600_000
+#: Chunks whose ids are put together at a time.
+GATHERED = 1 << 16
 #: Fixed value: the pre-token pattern that belongs to the byte-level vocabulary.
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _NO_RANK = np.int64(2**40)
@@ -229,7 +231,9 @@ class Encoder:
         lengths = self.sizes[used]
         upto = np.r_[0, np.cumsum(lengths)]
         last = np.cumsum(per_text)
-        return ragged(self.flat, at[used], lengths), upto[last] - upto[last - per_text]
+        flat = np.concatenate([self.flat[:0], *(ragged(self.flat, at[used[lo:lo + GATHERED]], lengths[lo:lo + GATHERED])
+                                                for lo in range(0, len(used), GATHERED))])
+        return flat, upto[last] - upto[last - per_text]
 
 
 def encode_decode(docs: DataFrame, tokenizer_path: str, with_ids: bool = False, with_text: bool = False) -> DataFrame:
@@ -257,4 +261,4 @@ def encode_decode(docs: DataFrame, tokenizer_path: str, with_ids: bool = False,
     kind = dict(docs.dtypes)["doc_id"]
     schema = f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
     schema += ", ids array<int>" * with_ids + ", decoded string" * with_text
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return docs.select("doc_id", "text").mapInArrow(lean(run), schema)

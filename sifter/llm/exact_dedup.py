@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sifter.llm.common import keep_rows, slices, store, who
+from sifter.llm.common import keep_rows, lean, slices, store, who
 
 #: Bits of the finest directory.
 MAX_DEPTH = 16
@@ -84,12 +84,12 @@ def entries(docs: DataFrame) -> DataFrame:
                         seen[0] = _larger(seen[0], doc_id)
                         seen[1] += 1
                 if size > COMBINE_BYTES:
-                    yield flush()
+                    yield from slices(flush(), "text")
                     held, size = {}, 0
         if held:
-            yield flush()
+            yield from slices(flush(), "text")
 
-    return base.mapInArrow(combine, f"key long, text string, max_id {kind}, rows long")
+    return base.mapInArrow(lean(combine), f"key long, text string, max_id {kind}, rows long")
 
 
 def cell(depth: int = MAX_DEPTH):
@@ -164,7 +164,7 @@ def build_index(entry: DataFrame, capacity: int = BUCKET_BYTES, max_depth: int =
 
     placed = entry.withColumn("cell", cell(max_depth)).join(F.broadcast(cells), "cell").drop("cell")
     owned = placed.repartition("bucket").sortWithinPartitions("bucket", "key")  # an owner takes whole key ranges
-    return store(owned.mapInArrow(own, _LEAF.format(kind=kind)), "exact-index")
+    return store(owned.mapInArrow(lean(own), _LEAF.format(kind=kind)), "exact-index")
 
 
 def exact_dedup(docs: DataFrame, capacity: int = BUCKET_BYTES, max_depth: int = MAX_DEPTH) -> DataFrame:

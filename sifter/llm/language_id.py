@@ -40,7 +40,7 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sifter.llm.common import slices, store
+from sifter.llm.common import lean, slices, store
 
 #: Languages and the family that a first step tells apart.
 FAMILIES = {
@@ -62,6 +62,8 @@ LEAST_SCORE = 0.2
 LEAST_USUAL, DEVIATIONS, OVERLAP = 30, 6.0, 8
 #: Distinct words a task remembers before it starts anew, and sums of weights it holds for them.
 CACHE_WORDS, CACHE_SUMS = 300_000, 30_000_000
+#: Bytes of text cut into words at a time for a prediction.
+TEXT_BYTES = 1 << 20
 #: Sums of weights looked up at once for new words.
 LOOKUP_SUMS = 200_000
 _WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
@@ -117,17 +119,15 @@ class Model:
             for w in ws:
                 if w not in self.words:
                     self.words[w] = len(self.words)
-        fresh = [word_grams(w) for w in islice(self.words, before, None)]
-        if fresh:
-            sizes = np.fromiter(map(len, fresh), dtype=np.int64, count=len(fresh))
-            flat = np.fromiter((g for gs in fresh for g in gs), dtype=np.int64, count=int(sizes.sum()))
-            ends, step, sums = np.cumsum(sizes), max(1, LOOKUP_SUMS // wide), [self._sums]
-            # in steps, as the looked-up weights are wide
-            for lo in range(0, len(fresh), step):
-                start, end = ends[lo] - sizes[lo], ends[min(lo + step, len(fresh)) - 1]
-                sums.append(np.add.reduceat(self.weights[flat[start:end]], (ends - sizes)[lo:lo + step] - start, axis=0))
-            self._sums = np.concatenate(sums)
-            self._grams = np.concatenate([self._grams, sizes.astype(np.float32)])
+        fresh, step, sums, grams = islice(self.words, before, None), max(1, LOOKUP_SUMS // wide), [self._sums], [self._grams]
+        # in steps, as the looked-up weights are wide
+        while some := [word_grams(w) for w in islice(fresh, step)]:
+            sizes = np.fromiter(map(len, some), dtype=np.int64, count=len(some))
+            flat = np.fromiter((g for gs in some for g in gs), dtype=np.int64, count=int(sizes.sum()))
+            sums.append(np.add.reduceat(self.weights[flat], np.cumsum(sizes) - sizes, axis=0))
+            grams.append(sizes.astype(np.float32))
+        if len(sums) > 1:
+            self._sums, self._grams = np.concatenate(sums), np.concatenate(grams)
         out = np.zeros((len(counted), self.weights.shape[1]), dtype=np.float64)
         self.sizes = np.ones(len(counted))
         for i, ws in enumerate(counted):
@@ -226,7 +226,7 @@ def sample_rows(docs: DataFrame, sample_per_lang: int = SAMPLE_PER_LANG) -> Data
                     names=["lang", "n", "at", "value", "grams", "norm"])
 
     return store(texts.select("lang", "n", "text").mapInArrow(
-        features, "lang string, n int, at array<int>, value array<float>, grams long, norm double"), "language-sample")
+        lean(features), "lang string, n int, at array<int>, value array<float>, grams long, norm double"), "language-sample")
 
 
 def _log_shares(sample: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -335,7 +335,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     def predict(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = Model(*shared.value)
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", TEXT_BYTES):
                 found = m.predict(part.column("text").to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("held_out"), pa.array([p for p, _ in found], pa.string()),
@@ -343,7 +343,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
     base = docs.select("doc_id", F.coalesce(fold() == HELD_OUT, F.lit(False)).alias("held_out"), "text")
     kind = dict(base.dtypes)["doc_id"]
-    return base.mapInArrow(predict, f"doc_id {kind}, held_out boolean, lang_pred string, score double")
+    return base.mapInArrow(lean(predict), f"doc_id {kind}, held_out boolean, lang_pred string, score double")
 
 
 def drop_unidentified(docs: DataFrame, model: Model, least_score: float = LEAST_SCORE) -> DataFrame:
@@ -353,11 +353,11 @@ def drop_unidentified(docs: DataFrame, model: Model, least_score: float = LEAST_
     def choose(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = Model(*shared.value)
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", TEXT_BYTES):
                 found = m.predict(part.column("text").to_pylist())
                 yield part.filter(pa.array([lang != UNDETERMINED and score >= least_score for lang, score in found]))
 
-    return docs.mapInArrow(choose, docs.schema)
+    return docs.mapInArrow(lean(choose), docs.schema)
 
 
 def language_id(docs: DataFrame) -> DataFrame:

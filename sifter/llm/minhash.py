@@ -40,11 +40,13 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sifter.llm.common import keep_rows, slices, store, texts_of, utf8_of, who
+from sifter.llm.common import keep_rows, lean, slices, store, texts_of, utf8_of, who
 
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 16, 3
+#: Bytes of text that are split into words and hashed at a time.
+TEXT_BYTES = 1 << 20
 #: Share of agreeing samples below which a pair cannot reach the threshold
 #: (4.3 standard deviations of 48 samples under 0.8).
 LEAST_AGREEMENT = 0.55
@@ -246,7 +248,7 @@ def idf_table(docs: DataFrame) -> np.ndarray:
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, df, n = Words(), np.zeros(DF_BUCKETS + 1, np.int64), 0
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", TEXT_BYTES):
                 for use in words.look_up([words_of(t) for t in texts_of(part)]):
                     df[words.buckets[use]] += 1  # one more for a bucket, however often it is named
                 n += part.num_rows
@@ -255,7 +257,7 @@ def idf_table(docs: DataFrame) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(df[at], pa.int64())], names=["bucket", "n"])
 
     # at most DF_BUCKETS + 1 rows
-    counted = docs.select("text").mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
+    counted = docs.select("text").mapInArrow(lean(count), "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
     df = np.ones(DF_BUCKETS + 1)
     df[counted["bucket"]] = counted["n"]
     total = max(2.0, df[DF_BUCKETS])
@@ -274,7 +276,7 @@ def sketches(docs: DataFrame, idf: np.ndarray) -> DataFrame:
 
         words = Words()
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", TEXT_BYTES):
                 texts = [" ".join(words_of(t)) for t in texts_of(part)]
                 use, lengths = words.number(texts)
                 samples = icws_of(list(weighted_sets(words.hashes[use], shared.value[words.buckets][use], lengths)))
@@ -286,7 +288,7 @@ def sketches(docs: DataFrame, idf: np.ndarray) -> DataFrame:
 
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     kind = dict(docs.dtypes)["doc_id"]
-    return store(rows.mapInArrow(run, f"doc_id {kind}, text_hash long, node binary, samples array<int>"), "minhash-sketches")
+    return store(rows.mapInArrow(lean(run), f"doc_id {kind}, text_hash long, node binary, samples array<int>"), "minhash-sketches")
 
 
 def bands() -> Column:
@@ -330,7 +332,7 @@ def verify(pairs: DataFrame, texts: DataFrame, idf: np.ndarray, similarity: floa
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words()
         for batch in batches:
-            for part in slices(batch, "text_a"):
+            for part in slices(batch, "text_a", TEXT_BYTES):
                 sets = []
                 for column in ("text_a", "text_b"):
                     use, lengths = words.number([" ".join(words_of(t)) for t in texts_of(part, column)])
@@ -340,7 +342,7 @@ def verify(pairs: DataFrame, texts: DataFrame, idf: np.ndarray, similarity: floa
 
     side = lambda c: texts.select(F.col("node").alias(c), F.col("text").alias(f"text_{c}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "text_a", "text_b")
-    return store(both.mapInArrow(run, "a binary, b binary, score double").filter(F.col("score") >= similarity), "minhash-links")
+    return store(both.mapInArrow(lean(run), "a binary, b binary, score double").filter(F.col("score") >= similarity), "minhash-links")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -407,7 +409,7 @@ def residual_pairs(rows: DataFrame, labels: DataFrame, nodes: DataFrame) -> Data
                 held.append(tuple(row))
         yield from compare(held)
 
-    return _ordered(dealt.mapInArrow(run, "a binary, b binary"))
+    return _ordered(dealt.mapInArrow(lean(run), "a binary, b binary"))
 
 
 def unsettled(rows: DataFrame, labels: DataFrame) -> DataFrame:
@@ -491,7 +493,7 @@ def remaining_links(rest: DataFrame, nodes: DataFrame, texts: DataFrame, idf: np
                 held.append(row[3:])
         yield from compare(held)
 
-    return store(tiles.mapInArrow(run, "a binary, b binary, score double"), "minhash-links")
+    return store(tiles.mapInArrow(lean(run), "a binary, b binary, score double"), "minhash-links")
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
