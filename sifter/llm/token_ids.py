@@ -56,6 +56,11 @@ NORMALIZER = {"type": "Sequence", "normalizers": [
 PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [
     {"type": "Split", "pattern": {"Regex": PATTERN}, "behavior": "Removed", "invert": True},
     {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+#: Letters of scripts without marks, as they are in NFC and with one lower case each; signs that no contraction or special token begins with.
+LETTERS = "A-Za-zÀ-ÖØ-öø-įı-ɏΑ-ΡΤ-Ωα-ωЀ-ҁҊ-ԯ"
+_SIGNS = "!\"#$%&()*+,-./:;=>?@[\\]^_`{|}~"
+_STEM = f"^[{LETTERS}]+"
+_SIMPLE = f"{_STEM}[{regex.escape(_SIGNS, special_only=False)}]*$"
 _HEAD = "<4s6I"
 _CELL_BITS = 18
 #: Shards whose sizes one window adds up.
@@ -70,6 +75,11 @@ class _Numbers(dict):
         return number
 
 
+def _lined(words: pa.Array) -> str:
+    """Words with line ends between them."""
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words), "\n")[0].as_py()
+
+
 def check_rules(path: str) -> None:
     """Refuse a tokenizer file with other rules than those that ``WordEncoder`` follows."""
     with open(path, encoding="utf-8") as f:
@@ -84,7 +94,8 @@ class WordEncoder:
     The tokenizer normalises (NFC, lower case), drops white space and cuts words
     from digits and signs.  No rule of it reads across a space or a line end, so
     a text is cut there; the distinct words of a slice are cut into pieces in one
-    go, and a piece is given to the library's BPE model once.  A word that holds
+    go, and a piece is given to the library's BPE model once.  Letters with signs
+    behind them are two pieces without a search for them.  A word that holds
     a special token's string or is not its own NFC form goes through the library
     whole.  ``check_rules`` tells whether a file has these rules.
     """
@@ -122,9 +133,15 @@ class WordEncoder:
         return ("<" in text and any(s in text for s in self.special)) or not text.isascii() and (
             "Σ" in text or not unicodedata.is_normalized("NFC", text))
 
-    def _encode(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all words behind one another, and the number of ids of each word."""
-        joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words), "\n")[0].as_py()
+    def _encode(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of all words, and where those of each word begin and how many they are."""
+        simple = pc.match_substring_regex(words, _SIMPLE)
+        plain, joined = words.filter(simple), _lined(words.filter(pc.invert(simple)))
+        stems = pc.utf8_rtrim(plain, _SIGNS)
+        tailed = np.asarray(pc.less(pc.binary_length(stems), pc.binary_length(plain)))
+        tails = pc.replace_substring_regex(plain.filter(pa.array(tailed)), _STEM, "").dictionary_encode()
+        names = _lined(stems).lower().split()
+        names += tails.dictionary.to_pylist()
         odd: dict[int, list[int]] = {}
         if self._whole(joined):
             each = joined.split("\n")
@@ -134,18 +151,27 @@ class WordEncoder:
         if len(self.known) > CACHE_PIECES:
             self._forget_rare()
         number, before = self.known.__getitem__, len(self.known)
-        use = np.fromiter(map(number, found), dtype=np.int64, count=len(found))
+        use = np.fromiter(map(number, chain(names, found)), dtype=np.int64, count=len(names) + len(found))
         tokenize = self.tokenizer.model.tokenize
         self.pieces.add([[t.id for t in tokenize(self._spelled(p))] for p in islice(self.known, before, None)])
         self.met = np.r_[self.met, np.zeros(len(self.known) - before, np.int64)] + (np.bincount(use, minlength=len(self.known)) > 0)
-        word = np.cumsum(use == 0)  # number of the word that each piece is in
-        sizes = np.bincount(word, weights=self.pieces.sizes[use], minlength=len(words)).astype(np.int64)
-        flat = self.pieces.take(use)
+        # the pieces of simple words before those of the others, and the number of the word that each is in
+        n, counts, others = len(plain), 1 + tailed, use[len(names):]
+        first = np.cumsum(counts) - counts
+        pieces = np.empty(int(counts.sum()), dtype=np.int64)
+        pieces[first] = use[:n]
+        pieces[first[tailed] + 1] = use[n:len(names)][np.asarray(tails.indices)]
+        word = np.r_[np.repeat(np.arange(n), counts), n + np.cumsum(others == 0)]
+        use = np.r_[pieces, others]
+        held = np.bincount(word, weights=self.pieces.sizes[use], minlength=len(words)).astype(np.int64)
+        flat, starts = self.pieces.take(use), np.cumsum(held) - held
         if odd:
-            starts = (np.cumsum(sizes) - sizes)[list(odd)]
-            flat = np.insert(flat, np.repeat(starts, [len(i) for i in odd.values()]), np.fromiter(chain.from_iterable(odd.values()), np.uint32))
-            sizes[list(odd)] = [len(i) for i in odd.values()]
-        return flat, sizes
+            at = n + np.array(list(odd))
+            held[at] = [len(i) for i in odd.values()]
+            starts[at] = len(flat) + np.cumsum(held[at]) - held[at]
+            flat = np.r_[flat, np.fromiter(chain.from_iterable(odd.values()), np.uint32)]
+        place = np.argsort(np.argsort(~np.asarray(simple), kind="stable"), kind="stable")
+        return flat, starts[place], held[place]
 
     def _spelled(self, piece: str) -> str:
         return piece if piece.isascii() and piece.isalpha() else piece.encode("utf-8").decode("latin-1").translate(self.byte_chars)
@@ -154,11 +180,11 @@ class WordEncoder:
         """Ids of all texts (null: empty) behind one another, and the number of ids of each text."""
         words = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), " ")
         coded = words.flatten().dictionary_encode()
-        flat, sizes = self._encode(coded.dictionary)
+        flat, starts, sizes = self._encode(coded.dictionary)
         used = np.asarray(coded.indices)
         upto = np.r_[0, np.cumsum(sizes[used])]
         ends = np.r_[0, np.cumsum(np.asarray(pc.list_value_length(words)), dtype=np.int64)]
-        return ragged(flat, (np.cumsum(sizes) - sizes)[used], sizes[used]), np.diff(upto[ends])
+        return ragged(flat, starts[used], sizes[used]), np.diff(upto[ends])
 
 
 @lru_cache(1)

@@ -3,12 +3,14 @@
 import hashlib
 import json
 import random
+import unicodedata
 import zlib
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+import regex
 
 from sifter.llm import bpe_codec, token_count, token_ids
 
@@ -92,6 +94,38 @@ def test_word_ids_equal_the_library():
         assert ids.tolist() == want.ids, text
 
 
+def test_simple_words_are_not_searched_for_pieces():
+    t, encoder = library("word_bpe_49k.json"), token_ids.WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    searched, pattern = [], encoder.pattern
+
+    class Pattern:
+        def findall(self, text):
+            searched.append(text)
+            return pattern.findall(text)
+
+    encoder.pattern = Pattern()
+    texts = ["Plain words,  DON'T x2 plain.\"", "", None, " <s>É\u0301 straße...\tüber\nΑΣ end<s> İx ŉ. ÇPA!!", "only] letters.%% Ёж, Straße. [x] ÀÉ", ".", "a\\ b- c^ d_e d_ e'"]
+    for _ in range(2):
+        flat, sizes = encoder.ids(pa.array(texts))
+        want = [t.encode(x or "", add_special_tokens=False).ids for x in texts]
+        assert [x.tolist() for x in np.split(flat, np.cumsum(sizes)[:-1])] == want
+    assert not {"plain", "plain.\"", "words,", "çpa!!", "only]", "letters.%%", "ёж,", "straße.", "àé", "a\\"} & set(" ".join(searched).split())
+    assert "don't" in searched[0]
+
+
+def test_letters_of_simple_words_are_pieces_as_they_are():
+    letter = regex.compile(f"[{token_ids.LETTERS}]")
+    found = [c for c in map(chr, range(0x110000)) if letter.match(c)]
+    assert len(found) > 700
+    for c in found:
+        assert regex.fullmatch(r"\p{L}", c) and regex.fullmatch(r"\p{L}", c.lower()) and unicodedata.is_normalized("NFC", c), c
+    t, encoder = library("word_bpe_49k.json"), token_ids.WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    texts = [" ".join(found), "".join(found), "".join(reversed(found)), *(f"{c}{c}{s} {s}{c}" for c, s in zip(found, token_ids._SIGNS * 40))]
+    flat, sizes = encoder.ids(pa.array(texts))
+    for text, ids, want in zip(texts, np.split(flat, np.cumsum(sizes)[:-1]), t.encode_batch(texts, add_special_tokens=False), strict=True):
+        assert ids.tolist() == want.ids, text
+
+
 @pytest.mark.parametrize("sizes", [[0, 5, 0, 4000, 1, 0], [3], [0, 0], [9000, 9000]])
 def test_blocks_decode_whole_and_in_parts(sizes):
     rng = np.random.default_rng(1)
