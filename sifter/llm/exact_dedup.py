@@ -2,15 +2,17 @@
 
 1. Equal texts of a task's input collapse into one entry (key, text, largest
    doc_id, rows), so a text that fills a third of the corpus reaches its owner
-   as a few rows.  The entries are written to the shared folder.
+   as a few rows.
 2. The directory starts as one bucket for all keys.  While a bucket holds more
    bytes than its capacity it splits by the next bit of the key, and when its
    depth exceeds the directory's the directory doubles.  This works on sums of
    bytes per cell of the finest directory allowed, at most ``2**MAX_DEPTH``
-   rows; a bucket that is still overfull there stays one long bucket.
+   rows, in which a key counts once; a bucket that is still overfull there stays
+   one long bucket.
 3. Buckets are key ranges.  An owner task reads its ranges in key order,
    chains the entries that share a key and compares their bytes, and writes the
-   index leaves: one per distinct text with keep_id and group size.
+   index leaves to the shared folder, in files of a good size: one per distinct
+   text with keep_id and group size.
 4. Every document looks its leaf up by key and digest.
 
 Texts are equal when identical after lower-casing A-Z only.  Defined results:
@@ -53,13 +55,18 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.xxhash64(normalised()).alias("key"), F.sha2(normalised(), 256).alias("text_sha256"))
 
 
+def prepared(docs: DataFrame) -> DataFrame:
+    """doc_id, key and normalised text."""
+    return docs.select("doc_id", F.xxhash64(normalised()).alias("key"), normalised().alias("text"))
+
+
 def _larger(a, b):
     return b if a is None else a if b is None or a >= b else b
 
 
 def entries(docs: DataFrame) -> DataFrame:
     """Key, text, largest doc_id and number of rows of the equal texts of each task's input."""
-    base = docs.select("doc_id", F.xxhash64(normalised()).alias("key"), normalised().alias("text"))
+    base = prepared(docs)
     kind = dict(base.dtypes)["doc_id"]
 
     def combine(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,11 +124,12 @@ def split_directory(cell_bytes: dict[int, int], capacity: int = BUCKET_BYTES, ma
     return directory, depth_of_directory, buckets
 
 
-def build_index(entry: DataFrame, capacity: int = BUCKET_BYTES, max_depth: int = MAX_DEPTH) -> DataFrame:
-    """Index leaves from stored entries, written to the shared folder."""
+def build_index(entry: DataFrame, capacity: int = BUCKET_BYTES, max_depth: int = MAX_DEPTH, texts: DataFrame | None = None) -> DataFrame:
+    """Index leaves from entries, written to the shared folder; ``texts`` has the keys and texts where that is cheaper than the entries."""
     spark = entry.sparkSession
+    each = (entry if texts is None else texts).groupBy("key").agg((F.max(F.octet_length("text")) + 64).alias("bytes"))
     # at most 2**max_depth rows
-    sums = entry.groupBy(cell(max_depth).alias("cell")).agg(F.sum(F.octet_length("text") + 64).alias("bytes")).collect()
+    sums = each.groupBy(cell(max_depth).alias("cell")).agg(F.sum("bytes").alias("bytes")).collect()
     directory, depth, buckets = split_directory({r["cell"]: r["bytes"] for r in sums}, capacity, max_depth)
     kind = dict(entry.dtypes)["max_id"]
     # a row per cell of the finest directory: at most 2**max_depth
@@ -164,12 +172,13 @@ def build_index(entry: DataFrame, capacity: int = BUCKET_BYTES, max_depth: int =
 
     placed = entry.withColumn("cell", cell(max_depth)).join(F.broadcast(cells), "cell").drop("cell")
     owned = placed.repartition("bucket").sortWithinPartitions("bucket", "key")  # an owner takes whole key ranges
-    return store(owned.mapInArrow(lean(own), _LEAF.format(kind=kind)), "exact-index")
+    # leaves are small beside the texts: not a file for each owner
+    return store(owned.mapInArrow(lean(own), _LEAF.format(kind=kind)).hint("rebalance"), "exact-index")
 
 
 def exact_dedup(docs: DataFrame, capacity: int = BUCKET_BYTES, max_depth: int = MAX_DEPTH) -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256 of every row."""
-    index = build_index(store(entries(docs), "exact-entries"), capacity, max_depth)
+    index = build_index(entries(docs), capacity, max_depth, prepared(docs))
     # documents of a frequent text make a skewed side, which the join splits
     found = keyed(docs).join(index.drop("bucket", "chain"), ["key", "text_sha256"])
     # dealt by digest and doc_id, not by the join's keys, so that a frequent text stays spread
@@ -180,6 +189,6 @@ def exact_dedup(docs: DataFrame, capacity: int = BUCKET_BYTES, max_depth: int =
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """The documents' columns of the one row that stays of equal texts."""
-    index = build_index(store(entries(docs), "exact-entries"))
+    index = build_index(entries(docs), texts=prepared(docs))
     keys = {"__key": F.xxhash64(normalised()), "__sha": F.sha2(normalised(), 256), "__who": who()}
     return keep_rows(docs, keys, index.select(F.col("key").alias("__key"), F.col("text_sha256").alias("__sha"), who("keep_id").alias("__who")))

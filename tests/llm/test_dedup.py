@@ -62,6 +62,27 @@ def test_directory_doubles_only_where_buckets_overflow():
         assert cell >> (4 - d) == prefix
 
 
+def test_the_exact_index_is_the_only_table_and_has_few_files(spark, monkeypatch):
+    stored = []
+
+    def kept(df, name, *args, **kwargs):
+        table = common.store(df, name, *args, **kwargs)
+        stored.append((name, len(table.inputFiles())))
+        return table
+
+    monkeypatch.setattr(exact_dedup, "store", kept)
+    assert exact_dedup.exact_dedup(messy(spark).repartition(8), 1, 6).count() == len(rows())
+    assert stored == [("exact-index", 1)]
+
+
+def test_a_text_counts_once_for_the_directory(spark, monkeypatch):
+    sums, split = [], exact_dedup.split_directory
+    monkeypatch.setattr(exact_dedup, "split_directory", lambda cells, *a: sums.append(cells) or split(cells, *a))
+    docs = spark.range(0, 100, 1, 4).select(F.col("id").alias("doc_id"), F.repeat(F.lit("Ab"), 500).alias("text"))
+    assert {r.group_size for r in exact_dedup.exact_dedup(docs).collect()} == {100}
+    assert [list(s.values()) for s in sums] == [[1064]]
+
+
 def test_equal_keys_are_chained_by_their_bytes(spark):
     entry = spark.createDataFrame([(7, "a", 1, 1), (7, "b", 9, 2), (7, "a", 5, 3)], "key long, text string, max_id long, rows long")
     leaves = exact_dedup.build_index(entry).select("chain", "text_sha256", "keep_id", "group_size").collect()
