@@ -38,7 +38,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sifter.llm.common import slices, store, utf8_of
+from sifter.llm.common import lean, slices, store, utf8_of
 
 WINDOW = 50
 ANCHOR = 16
@@ -160,7 +160,7 @@ def anchor_rows(rows: DataFrame) -> DataFrame:
                     [pa.array(np.concatenate(found).view(np.int64)), *(pa.array(np.repeat(np.asarray(part.column(c)), sizes)) for c in ("grp", "doc"))],
                     names=["anchor", "grp", "doc"])
 
-    return store(rows.select("grp", "doc", "text").mapInArrow(run, "anchor long, grp int, doc long"), "substring-anchors")
+    return store(rows.select("grp", "doc", "text").mapInArrow(lean(run), "anchor long, grp int, doc long"), "substring-anchors")
 
 
 _ROW = "grp int, kind int, doc long, tag long, key long, text string"
@@ -202,7 +202,7 @@ def by_group(side: DataFrame, docs: DataFrame, handle: Group, schema: str) -> Da
         return have.select(*(F.col(n).cast(kinds[n]) if n in have.columns else F.lit(None).cast(kinds[n]).alias(n) for n in names))
 
     both = shaped(side, 0).unionByName(shaped(docs, 1)).repartition("grp").sortWithinPartitions("grp", "kind")
-    return both.mapInArrow(stream, schema)
+    return both.mapInArrow(lean(stream), schema)
 
 
 def _pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, int, pa.RecordBatch]]:

@@ -6,7 +6,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from sifter.llm import bpe_codec, common, language_id
+from sifter.llm import bpe_codec, common, language_id, substring_dedup
 from sifter.llm.common import SLICE_BYTES, lean, store
 
 
@@ -55,3 +55,11 @@ def test_new_words_are_cut_into_n_grams_a_step_at_a_time(monkeypatch):
     monkeypatch.setattr(language_id.np, "fromiter", lambda of, real=np.fromiter, **k: most.append(k["count"]) or real(of, **k))
     assert model().scores(counted).tolist() == whole.tolist()
     assert max(most) <= 2 * len(language_id.word_grams("three"))
+
+
+def test_tasks_of_substring_dedup_give_back_what_they_freed(spark, monkeypatch):
+    leaned = []
+    monkeypatch.setattr(substring_dedup, "lean", lambda run: leaned.append(run.__name__) or lean(run))
+    docs = spark.createDataFrame([(i, " ".join(f"w{j}" for j in range(60))) for i in range(3)], "doc_id long, text string")
+    assert sorted((r.doc_id, r.n_removed) for r in substring_dedup.substring_dedup(docs).collect()) == [(0, 0), (1, 60), (2, 60)]
+    assert leaned == ["run", "stream", "stream", "stream"]
