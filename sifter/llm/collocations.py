@@ -54,6 +54,15 @@ _BREAKS, _BLANKS = b".,;:!?\x0a\x0b\x0c\x0d", b"\x20\x09"
 _TABLE = bytes(0x0A if b in _BREAKS else 0x20 if b in _BLANKS else b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
+def _large(table: DataFrame) -> DataFrame:
+    """A side of a join that grows with the corpus: merged, never broadcast.
+
+    Spark takes a stored table for as large as its compressed files, also after an
+    explode, and would hold many times that on the driver.
+    """
+    return table.hint("merge")
+
+
 # -- chunks of numbered words -----------------------------------------------------
 
 
@@ -114,7 +123,7 @@ def frequent_words(chunks: DataFrame, least: int) -> DataFrame:
               .groupBy("lang", F.col("words").alias("word")).agg(F.sum("counts").alias("f")).filter(F.col("f") >= least))
     key = F.concat("lang", F.lit("\t"), "word")  # no word holds a tab
     found = store(counts.withColumn("key", key), "collocation-words")
-    return store(found.join(assign_ids(found, "key"), "key").select("id", "lang", "word", "f"), "collocation-ids")
+    return store(found.join(_large(assign_ids(found, "key")), "key").select("id", "lang", "word", "f"), "collocation-ids")
 
 
 # -- packed phrases ---------------------------------------------------------------
@@ -263,7 +272,7 @@ def count_phrases(stream: np.ndarray, ids: np.ndarray, packing: Packing) -> tupl
 def chunk_filters(chunks: DataFrame, vocabulary: DataFrame, packing: Packing, shard_bits: int) -> DataFrame:
     """shard, filter: for every chunk one filter per shard that it has phrases of."""
     words = chunks.select("chunk", "lang", F.posexplode("words").alias("place", "word"))
-    known = (words.join(vocabulary.select("lang", "word", "id"), ["lang", "word"])
+    known = (words.join(_large(vocabulary.select("lang", "word", "id")), ["lang", "word"])
              .groupBy("chunk")  # a chunk's words: bounded; place and id in one long
              .agg(F.collect_list(F.shiftleft(F.col("place").cast("long"), 32).bitwiseOR(F.col("id"))).alias("known")))
 
@@ -282,7 +291,7 @@ def chunk_filters(chunks: DataFrame, vocabulary: DataFrame, packing: Packing, sh
                 yield pa.RecordBatch.from_arrays([pa.array([s for s, _ in found], pa.int64()), pa.array([f for _, f in found], pa.binary())],
                                                  names=["shard", "filter"])
 
-    return chunks.select("chunk", "stream").join(known, "chunk").select("stream", "known").mapInArrow(count, "shard long, filter binary")
+    return chunks.select("chunk", "stream").join(_large(known), "chunk").select("stream", "known").mapInArrow(count, "shard long, filter binary")
 
 
 def merged_counts(filters: DataFrame, least: int) -> DataFrame:
@@ -307,8 +316,8 @@ def merged_counts(filters: DataFrame, least: int) -> DataFrame:
 
 def _salted(table: DataFrame, keys: dict[str, str], values: dict[str, str]) -> DataFrame:
     """A lookup table under other names, ``SALT`` times."""
-    return table.select(*[F.col(k).alias(n) for k, n in keys.items()], *[F.col(v).alias(n) for v, n in values.items()],
-                        F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("salt"))
+    return _large(table.select(*[F.col(k).alias(n) for k, n in keys.items()], *[F.col(v).alias(n) for v, n in values.items()],
+                               F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("salt")))
 
 
 def _score(a: Column, l: Column, r: Column) -> Column:  # noqa: E741
@@ -342,7 +351,7 @@ def collocations(docs: DataFrame, least: int = LEAST_COUNT, top: int = TOP) -> D
     held = counts.filter("z > 0")
     covering = (held.select("x", "y", "a").unionByName(held.select(F.col("y").alias("x"), F.col("z").alias("y"), "a"))
                 .groupBy("x", "y").agg(F.max("a").alias("longer")))
-    two = (two.join(covering, ["x", "y"], "left")
+    two = (two.join(_large(covering), ["x", "y"], "left")
            .filter(F.col("longer").isNull() | (100 * F.col("longer") < COVERED_PERCENT * F.col("a")))
            .select("lang", F.concat_ws(" ", "wx", "wy").alias("phrase"), "a", F.col("fx").alias("l"), F.col("fy").alias("r"),
                    _score(F.col("a"), F.col("fx"), F.col("fy")).alias("score")))

@@ -129,3 +129,20 @@ def test_the_phrases_of_a_chunk_are_counted_in_little_memory(bits):
     assert (order[1:] >= order[:-1]).all()
     assert 3 * bits > 64 or peak < 40 * counts.sum()
     assert all(len(x) == 0 for x in collocations.count_phrases(stream[:1], ids, packing))
+
+
+def test_no_table_that_grows_with_the_corpus_is_broadcast(spark, monkeypatch):
+    """The compressed size of stored tables says little about what the driver would hold, least of all after an explode."""
+    plans, store = [], collocations.store
+    planned = lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString())
+
+    def spy(df, *args, **options):
+        planned(df)
+        return store(df, *args, **options)
+
+    monkeypatch.setattr(collocations, "store", spy)
+    table = spark.createDataFrame([(i, t, lang) for i, t, lang in made(100)], "doc_id long, text string, lang string")
+    planned(collocations.collocations(table))
+    keys = {re.sub(r"#\d+L?", "", k) for p in plans for k in re.findall(r"BroadcastHashJoin \[([^\]]*)\]", p)}
+    assert keys <= {"lang", "__p"}  # a row per language, a row per partition
+    assert sum("SortMergeJoin" in p for p in plans) > 2
