@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from sifter.operators import search as sx
 from sifter.plans import build as bx
+from sifter.plans import catalog
+
+from conftest import SF_SMALL
 
 PAGES = [("A", "<body>apple banana apple</body>"), ("B", "<body>banana cherry</body>"),
          ("C", "<body>cherry</body>")]
@@ -114,3 +117,22 @@ def test_driver_bucket_matches_spark(spark):
     rows = terms.select("term", bx.ix.term_bucket("term", 37).alias("b")).collect()
     assert rows and all(bx.ix.bucket_of(r.term, 37) == r.b for r in rows)
     assert F is not None
+
+
+def test_join_sums_are_those_of_all_joined_postings(spark, corpus):
+    idx = bx.build_index(corpus, idf="constant")
+    queries = spark.createDataFrame([(1, "banana cherry banana"), (2, "cherry zzz"), (3, ""), (4, "banana"), (4, "banana"), (None, "apple")],
+                                    "qid int, query string")
+    qt = sx.query_terms(queries)
+    every = (sx.search_join(idx.postings, qt).groupBy("qid", "term", "mult")
+             .agg(F.count(F.lit(1)).alias("postings"), F.sum("tf_idf").alias("tf_idf")))
+    rows = lambda df: sorted(((r.qid, r.term, r.mult, r.postings, round(r.tf_idf, 9)) for r in df.collect()), key=repr)
+    got = rows(sx.search_join_totals(idx.postings, qt))
+    assert got == rows(every) and (4, "banana", 2, 2) in {r[:4] for r in got} and len(got) == 5
+
+
+def test_registered_join_sums_postings_before_the_queries_multiply_them(spark):
+    """Nothing is summed above the join with the queries: their terms meet one row per term."""
+    plan = catalog.queries()["search_join"](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    above = plan.split("Join Inner")[0]
+    assert "Join Inner" in plan and "Aggregate" not in above
